@@ -11,7 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapworks.operators import marts
+from pyspark.sql import functions as F
+
+from lapworks.operators import bronze, checks, conform, laps, marts, metrics, reports, sessions
+from lapworks.operators import validity
+from lapworks.plans import check_presets as presets
 from lapworks.plans import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +73,8 @@ leaderboard AS (
   SELECT CAST(dense_rank() OVER (ORDER BY avg_lap_time_s ASC NULLS FIRST,
                                  lap_consistency_s ASC NULLS FIRST) AS INTEGER) AS pace_rank,
          full_name, team_name, driver_number, fastest_lap_s, avg_lap_time_s,
-         median_lap_time_s, lap_consistency_s, total_valid_laps, 2025 AS season_year
+         median_lap_time_s, lap_consistency_s, total_valid_laps,
+         TIMESTAMP '2025-01-01 00:00:00' AS generated_at, 2025 AS season_year
   FROM lb_agg)"""
 
 STANDINGS_CTE = ENRICHED_CTE + f""",
@@ -81,7 +86,8 @@ st_agg AS (
 standings AS (
   SELECT CAST(dense_rank() OVER (ORDER BY avg_team_pace_s ASC NULLS FIRST,
                                  total_valid_laps DESC NULLS LAST) AS INTEGER) AS team_pace_rank,
-         team_name, best_lap_s, avg_team_pace_s, total_valid_laps, 2025 AS season_year
+         team_name, best_lap_s, avg_team_pace_s, total_valid_laps,
+         TIMESTAMP '2025-01-01 00:00:00' AS generated_at, 2025 AS season_year
   FROM st_agg)"""
 
 _W5 = " OVER (PARTITION BY driver_number ORDER BY lap_number ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
@@ -90,7 +96,7 @@ progression AS (
   SELECT full_name, team_name, driver_number, lap_number,
          round(lap_duration, 3) AS lap_duration_s,
          {exact_avg_sql('lap_duration', _W5)} AS rolling_avg_5lap_s,
-         2025 AS season_year
+         TIMESTAMP '2025-01-01 00:00:00' AS generated_at, 2025 AS season_year
   FROM valid)"""
 
 
@@ -115,16 +121,346 @@ def progression(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Gold marts
-@register("driver_leaderboard", f"WITH {LEADERBOARD_CTE} SELECT * FROM leaderboard")
+@register("driver_leaderboard", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
 def q_driver_leaderboard(spark, sf_dir):
     return leaderboard(spark, sf_dir).drop("generated_at")
 
 
-@register("team_standings", f"WITH {STANDINGS_CTE} SELECT * FROM standings")
+@register("team_standings", f"WITH {STANDINGS_CTE} SELECT * EXCLUDE (generated_at) FROM standings")
 def q_team_standings(spark, sf_dir):
     return standings(spark, sf_dir).drop("generated_at")
 
 
-@register("lap_progression", f"WITH {PROGRESSION_CTE} SELECT * FROM progression")
+@register("lap_progression", f"WITH {PROGRESSION_CTE} SELECT * EXCLUDE (generated_at) FROM progression")
 def q_lap_progression(spark, sf_dir):
     return progression(spark, sf_dir).drop("generated_at")
+
+
+# ---------------------------------------------------------------- sessions
+SESSIONS_RAW_CTE = """
+sessions_raw AS (
+  SELECT o_orderkey AS session_key, ' ' || o_orderpriority || ' ' AS session_name,
+         CASE o_orderstatus WHEN 'F' THEN 'Race' WHEN 'O' THEN ' qualifying '
+              ELSE 'Practice 1' END AS session_type,
+         'Circuit ' || CAST(o_custkey AS VARCHAR) AS location,
+         ' ' || o_orderpriority AS country_name,
+         year(o_orderdate) AS year,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS date_start,
+         strftime(o_orderdate + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') AS date_end,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'Baku' ELSE 'Monza' END AS circuit_short_name,
+         o_orderkey AS pos
+  FROM orders)"""
+
+CLEANED_CTE = SESSIONS_RAW_CTE + """,
+cleaned AS (
+  SELECT CAST(session_key AS BIGINT) AS session_id, trim(session_name) AS session_name,
+         upper(trim(session_type)) AS session_type, location, trim(country_name) AS country_name,
+         CAST(date_start AS TIMESTAMP) AS start_time, CAST(date_end AS TIMESTAMP) AS end_time,
+         CAST(year AS INTEGER) AS year, TIMESTAMP '2025-01-01 00:00:00' AS processed_at,
+         2025 AS pipeline_year
+  FROM sessions_raw
+  WHERE upper(trim(session_type)) IN ('RACE', 'QUALIFYING') AND session_key IS NOT NULL
+    AND TRY_CAST(date_start AS TIMESTAMP) IS NOT NULL)"""
+
+CLEANED_OUT_SQL = """SELECT session_id, session_name, session_type, location, country_name,
+       CAST(start_time AS VARCHAR) AS start_time, CAST(end_time AS VARCHAR) AS end_time,
+       year, pipeline_year FROM cleaned"""
+
+
+def cleaned_sessions(spark, sf_dir, raw=None):
+    raw = raw if raw is not None else td.bronze_sessions(spark, sf_dir)
+    return sessions.clean(raw, td.SEASON_YEAR, id_type="bigint", as_of=td.AS_OF)
+
+
+def _sessions_out(df):
+    return df.select("session_id", "session_name", "session_type", "location", "country_name",
+                     F.col("start_time").cast("string").alias("start_time"),
+                     F.col("end_time").cast("string").alias("end_time"), "year", "pipeline_year")
+
+
+@register("sessions_clean", f"WITH {CLEANED_CTE} {CLEANED_OUT_SQL}")
+def q_sessions_clean(spark, sf_dir):
+    return _sessions_out(cleaned_sessions(spark, sf_dir))
+
+
+@register("session_dedupe", f"WITH {CLEANED_CTE} {CLEANED_OUT_SQL}")
+def q_session_dedupe(spark, sf_dir):
+    raw = td.bronze_sessions(spark, sf_dir)
+    return _sessions_out(cleaned_sessions(spark, sf_dir, raw.unionByName(raw)))
+
+
+_RESOLVE_SQL = """WITH {cte}
+SELECT *, coalesce(circuit_short_name = '{c}', false) AS matched_circuit FROM sessions_raw
+WHERE session_type = 'Race'
+ORDER BY coalesce(circuit_short_name = '{c}', false) DESC, pos DESC LIMIT 1"""
+
+
+@register("session_resolve", _RESOLVE_SQL.format(cte=SESSIONS_RAW_CTE, c="Baku"))
+def q_session_resolve(spark, sf_dir):
+    return sessions.resolve_target(td.bronze_sessions(spark, sf_dir), "Race", "Baku")
+
+
+@register("session_resolve_fallback", _RESOLVE_SQL.format(cte=SESSIONS_RAW_CTE, c="Silverstone"))
+def q_session_resolve_fallback(spark, sf_dir):
+    return sessions.resolve_target(td.bronze_sessions(spark, sf_dir), "Race", "Silverstone")
+
+
+# ---------------------------------------------------------------- silver laps
+@register("retype_laps", """SELECT trim(CAST(user_id AS VARCHAR)) AS driver_number,
+  event_id AS lap_number, CASE WHEN isnan(value) THEN NULL ELSE value END AS lap_duration,
+  event_type = 'error' AS is_pit_out_lap FROM events""")
+def q_retype_laps(spark, sf_dir):
+    return laps.retype(td.bronze_laps(spark, sf_dir), td.LAP_TYPE, td.DURATION_TYPE)
+
+
+@register("driver_dim_dedupe", """SELECT trim(CAST(c_custkey AS VARCHAR)) AS driver_number,
+  trim(c_name) AS full_name, trim(c_mktsegment) AS team_name,
+  CAST(c_nationkey AS VARCHAR) AS country_code, 'img/' || CAST(c_custkey AS VARCHAR) AS headshot_url
+  FROM customer""")
+def q_driver_dim_dedupe(spark, sf_dir):
+    d = td.bronze_drivers(spark, sf_dir)
+    return laps.driver_dim(d.unionByName(d))
+
+
+@register("enrich_inner", f"WITH {ENRICHED_CTE} SELECT * FROM enriched")
+def q_enrich_inner(spark, sf_dir):
+    return silver_laps(spark, sf_dir).drop("processed_at")
+
+
+@register("unmatched_laps", f"""WITH {ENRICHED_CTE}
+SELECT l.* FROM laps l WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_number = l.driver_number)""")
+def q_unmatched_laps(spark, sf_dir):
+    return laps.unmatched(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir),
+                          lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE)
+
+
+@register("validity_flag", f"""WITH {ENRICHED_CTE}
+SELECT driver_number, lap_number, lap_duration, is_pit_out_lap, is_valid_lap FROM enriched""")
+def q_validity_flag(spark, sf_dir):
+    return silver_laps(spark, sf_dir).select("driver_number", "lap_number", "lap_duration",
+                                             "is_pit_out_lap", "is_valid_lap")
+
+
+@register("validity_reason", f"""WITH {ENRICHED_CTE}
+SELECT driver_number, lap_number, is_valid_lap,
+       CASE WHEN is_pit_out_lap THEN 'pit_out_lap' WHEN lap_duration IS NULL THEN 'missing_duration'
+            WHEN lap_duration < 1.0 THEN 'below_minimum' END AS invalid_reason
+FROM enriched""")
+def q_validity_reason(spark, sf_dir):
+    return td.enriched_laps(spark, sf_dir, reason_col="invalid_reason") \
+        .select("driver_number", "lap_number", "is_valid_lap", "invalid_reason")
+
+
+@register("validity_summary", f"""WITH {ENRICHED_CTE}
+SELECT CAST(count_if(is_valid_lap) AS BIGINT) AS valid_rows,
+       CAST(count_if(NOT is_valid_lap) AS BIGINT) AS flagged_rows FROM enriched""")
+def q_validity_summary(spark, sf_dir):
+    return validity.validity_summary(silver_laps(spark, sf_dir))
+
+
+_RET = """SELECT '{label}' AS label, t.total, k.kept, t.total - k.kept AS dropped,
+  CASE WHEN t.total > 0 THEN round((t.total - k.kept) * 100.0 / t.total, 1) ELSE 0.0 END AS dropped_pct
+  FROM (SELECT count(*) AS total FROM {before}) t, (SELECT count(*) AS kept FROM {after}) k"""
+
+
+@register("retention_summary", f"WITH {ENRICHED_CTE}, {CLEANED_CTE.strip()} "
+          + _RET.format(label="Sessions", before="sessions_raw", after="cleaned")
+          + " UNION ALL " + _RET.format(label="Laps (total)", before="laps", after="enriched"))
+def q_retention_summary(spark, sf_dir):
+    raw_s = td.bronze_sessions(spark, sf_dir)
+    raw_l = td.bronze_laps(spark, sf_dir)
+    return validity.retention("Sessions", raw_s, cleaned_sessions(spark, sf_dir, raw_s)).unionByName(
+        validity.retention("Laps (total)", raw_l, silver_laps(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- bronze normalisation
+@register("null_sentinels", """SELECT event_id,
+  CASE WHEN event_type IN ('None', 'nan', 'NaN') THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN props IN ('None', 'nan', 'NaN') THEN NULL ELSE props END AS props,
+  CASE WHEN raw_user IN ('None', 'nan', 'NaN') THEN NULL ELSE raw_user END AS raw_user
+  FROM (SELECT event_id, event_type, props, coalesce(CAST(user_id AS VARCHAR), 'None') AS raw_user FROM events)""")
+def q_null_sentinels(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events")
+    # pandas-style stringified payload: a missing id arrives as the text 'None'
+    raw = e.select("event_id", "event_type", "props",
+                   F.coalesce(F.col("user_id").cast("string"), F.lit("None")).alias("raw_user"))
+    return bronze.null_sentinels(raw)
+
+
+@register("nan_to_null", """SELECT event_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value,
+  CASE WHEN isnan(value) THEN NULL ELSE value END / 2 AS half FROM events""")
+def q_nan_to_null(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events").select("event_id", "value", (F.col("value") / 2).alias("half"))
+    return bronze.nan_to_null(e)
+
+
+@register("void_to_string", """SELECT event_id, CAST(NULL AS VARCHAR) AS note FROM events""")
+def q_void_to_string(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events").select("event_id", F.lit(None).alias("note"))
+    return bronze.void_to_string(e)
+
+
+@register("ingest_audit", """SELECT event_id, event_type, 'Baku' AS race_location,
+  '2025-01-01 00:00:00' AS ingested_at FROM events""")
+def q_ingest_audit(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events").select("event_id", "event_type")
+    out = bronze.stamp(e, "Baku", as_of=td.AS_OF)
+    return out.withColumn("ingested_at", F.col("ingested_at").cast("string"))
+
+
+@register("stringify_complex")
+def q_stringify_complex(spark, sf_dir):
+    return bronze.stringify_complex(td.table(spark, sf_dir, "embeddings"))
+
+
+# ---------------------------------------------------------------- reports
+@register("kpi_fastest_driver", f"""WITH {LEADERBOARD_CTE}
+SELECT full_name, fastest_lap_s FROM leaderboard ORDER BY fastest_lap_s ASC, full_name ASC LIMIT 1""")
+def q_kpi_fastest_driver(spark, sf_dir):
+    return reports.fastest_driver(leaderboard(spark, sf_dir))
+
+
+@register("kpi_top_team", f"""WITH {STANDINGS_CTE}
+SELECT team_name, avg_team_pace_s FROM standings ORDER BY avg_team_pace_s ASC, team_name ASC LIMIT 1""")
+def q_kpi_top_team(spark, sf_dir):
+    return reports.top_team(standings(spark, sf_dir))
+
+
+@register("speed_consistency", f"""WITH {LEADERBOARD_CTE}
+SELECT full_name, team_name, avg_lap_time_s, lap_consistency_s FROM leaderboard
+WHERE avg_lap_time_s IS NOT NULL AND lap_consistency_s IS NOT NULL ORDER BY avg_lap_time_s""")
+def q_speed_consistency(spark, sf_dir):
+    return reports.speed_consistency(leaderboard(spark, sf_dir))
+
+
+@register("pace_gap", f"""WITH {STANDINGS_CTE},
+fastest AS (SELECT min(avg_team_pace_s) AS best_overall_pace FROM standings)
+SELECT c.team_name, c.avg_team_pace_s, round(c.avg_team_pace_s - f.best_overall_pace, 3) AS pace_delta_s
+FROM standings c CROSS JOIN fastest f ORDER BY pace_delta_s""")
+def q_pace_gap(spark, sf_dir):
+    return reports.pace_gap(standings(spark, sf_dir))
+
+
+_TRACE = """WITH {cte}
+SELECT lap_number, full_name, team_name, rolling_avg_5lap_s FROM progression
+WHERE rolling_avg_5lap_s IS NOT NULL {extra} ORDER BY full_name, lap_number"""
+
+
+@register("race_trace", _TRACE.format(cte=PROGRESSION_CTE, extra=""))
+def q_race_trace(spark, sf_dir):
+    return reports.race_trace(progression(spark, sf_dir))
+
+
+@register("race_trace_filtered", _TRACE.format(cte=PROGRESSION_CTE, extra="AND team_name = 'BUILDING'"))
+def q_race_trace_filtered(spark, sf_dir):
+    return reports.race_trace(progression(spark, sf_dir), team_name="BUILDING")
+
+
+@register("facet_counts_drivers", f"""WITH {PROGRESSION_CTE}
+SELECT full_name, CAST(count_if(team_name = 'BUILDING') AS BIGINT) AS row_count FROM progression GROUP BY full_name""")
+def q_facet_counts_drivers(spark, sf_dir):
+    return reports.facet_counts(progression(spark, sf_dir), "full_name",
+                                {"team_name": "BUILDING", "full_name": None})
+
+
+@register("facet_counts_teams", f"""WITH {PROGRESSION_CTE}
+SELECT team_name, CAST(count_if(full_name = 'Customer#000000001') AS BIGINT) AS row_count
+FROM progression GROUP BY team_name""")
+def q_facet_counts_teams(spark, sf_dir):
+    return reports.facet_counts(progression(spark, sf_dir), "team_name",
+                                {"full_name": "Customer#000000001", "team_name": "AUTOMOBILE"})
+
+
+@register("widget_fastest_by_driver", f"""WITH {LEADERBOARD_CTE}
+SELECT full_name, sum(fastest_lap_s) AS sum_fastest_lap_s FROM leaderboard GROUP BY full_name""")
+def q_widget_fastest_by_driver(spark, sf_dir):
+    return reports.widget_sum(leaderboard(spark, sf_dir), "full_name", "fastest_lap_s")
+
+
+@register("widget_pace_by_team", f"""WITH {STANDINGS_CTE}
+SELECT team_name, sum(avg_team_pace_s) AS sum_avg_team_pace_s FROM standings GROUP BY team_name""")
+def q_widget_pace_by_team(spark, sf_dir):
+    return reports.widget_sum(standings(spark, sf_dir), "team_name", "avg_team_pace_s")
+
+
+@register("widget_trace_by_driver_lap", f"""WITH {PROGRESSION_CTE}
+SELECT full_name, lap_number, sum(rolling_avg_5lap_s) AS sum_rolling_avg_5lap_s FROM progression
+GROUP BY full_name, lap_number""")
+def q_widget_trace(spark, sf_dir):
+    return reports.widget_sum(progression(spark, sf_dir), ["full_name", "lap_number"], "rolling_avg_5lap_s")
+
+
+@register("preview_20", f"""WITH {PROGRESSION_CTE}
+SELECT * EXCLUDE (generated_at) FROM progression ORDER BY full_name, lap_number LIMIT 20""")
+def q_preview_20(spark, sf_dir):
+    return reports.preview(progression(spark, sf_dir).drop("generated_at"), 20)
+
+
+# ---------------------------------------------------------------- operators on other tables
+@register("pace_median", """SELECT l_suppkey, round(quantile_disc(l_extendedprice, 0.5), 3) AS median_price,
+  CAST(count(*) AS BIGINT) AS n_lines FROM lineitem GROUP BY l_suppkey""")
+def q_pace_median(spark, sf_dir):
+    li = td.table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_suppkey").agg(
+        F.round(F.percentile_approx("l_extendedprice", 0.5, 10000), 3).alias("median_price"),
+        F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("pace_stddev", """SELECT l_suppkey, round(coalesce(stddev_samp(l_quantity), 0), 3) AS sd_quantity,
+  round(min(l_quantity), 3) AS min_quantity FROM lineitem GROUP BY l_suppkey""")
+def q_pace_stddev(spark, sf_dir):
+    li = td.table(spark, sf_dir, "lineitem")
+    cols = metrics.pace_columns("l_quantity", "l_quantity", with_median=False,
+                                names={"stddev": "sd_quantity", "min": "min_quantity"})
+    return li.groupBy("l_suppkey").agg(*cols).select("l_suppkey", "sd_quantity", "min_quantity")
+
+
+_ORD_W = " OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
+
+
+@register("rolling_mean_5", f"""SELECT o_custkey, o_orderkey, o_totalprice,
+  {exact_avg_sql('o_totalprice', _ORD_W)} AS rolling_price FROM orders""")
+def q_rolling_mean_5(spark, sf_dir):
+    o = td.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return metrics.rolling_mean(o, "o_totalprice", ["o_custkey"], ["o_orderkey"], rows=5,
+                                out="rolling_price", avg_scale=2)
+
+
+_RANK_SQL = """SELECT c_custkey, c_nationkey, c_mktsegment,
+  CAST(dense_rank() OVER (ORDER BY c_nationkey ASC NULLS FIRST, c_mktsegment DESC NULLS LAST) AS INTEGER) AS rnk
+  FROM customer"""
+
+
+def _rank_customers(spark, sf_dir, distributed):
+    c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return metrics.dense_rank(c, [F.col("c_nationkey").asc_nulls_first(),
+                                  F.col("c_mktsegment").desc_nulls_last()], "rnk",
+                              distributed=distributed)
+
+
+@register("dense_rank_two_key", _RANK_SQL)
+def q_dense_rank_two_key(spark, sf_dir):
+    return _rank_customers(spark, sf_dir, distributed=False)
+
+
+@register("dense_rank_distributed", _RANK_SQL)
+def q_dense_rank_distributed(spark, sf_dir):
+    return _rank_customers(spark, sf_dir, distributed=True)
+
+
+@register("rolling_mean_distributed_vs_window", f"""SELECT o_custkey, o_orderkey,
+  {exact_avg_sql('o_totalprice', _ORD_W)} AS rolling_price FROM orders""")
+def q_rolling_plain(spark, sf_dir):
+    o = td.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return metrics.rolling_mean(o, "o_totalprice", ["o_custkey"], ["o_orderkey"], rows=5,
+                                out="rolling_price", avg_scale=2, distributed=False) \
+        .drop("o_totalprice")
+
+
+@register("ordered_dedupe_latest_order", """SELECT o_custkey, o_orderkey AS o_orderkey_pick FROM (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey
+         ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
+def q_ordered_dedupe(spark, sf_dir):
+    o = td.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    d = conform.dedupe(o, "o_custkey", order=["o_orderdate", "o_orderkey"], keep="max")
+    return d.select("o_custkey", F.col("o_orderkey").alias("o_orderkey_pick"))

@@ -28,7 +28,7 @@ DURATION_TYPE = "double"
 AVG_SCALE = 2
 SEASON_YEAR = 2025
 AS_OF = "2025-01-01 00:00:00"
-STATUS_TO_TYPE = {"F": " race", "O": "Qualifying ", "P": "Practice 1"}
+STATUS_TO_TYPE = {"F": "Race", "O": " qualifying ", "P": "Practice 1"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,7 +58,7 @@ def bronze_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as raw session payload rows: ISO text dates, untrimmed / mixed-case
-    type text, padded names; ``session_key`` NULL never occurs in orders."""
+    type text, padded names; ``pos`` is the payload position (the order key)."""
     o = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
     stype = F.when(status == "F", F.lit(STATUS_TO_TYPE["F"])) \
@@ -74,8 +74,9 @@ def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year(start).alias("year"),
         F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss").alias("date_start"),
         F.date_format(start + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss").alias("date_end"),
-        F.when(status == "F", F.lit("Baku")).otherwise(F.lit("Monza")).alias("circuit_short_name"),
-        F.col("o_totalprice").alias("o_totalprice"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Baku"))
+         .otherwise(F.lit("Monza")).alias("circuit_short_name"),
+        F.col("o_orderkey").alias("pos"),
     )
 
 
