@@ -464,3 +464,81 @@ def q_ordered_dedupe(spark, sf_dir):
     o = td.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     d = conform.dedupe(o, "o_custkey", order=["o_orderdate", "o_orderkey"], keep="max")
     return d.select("o_custkey", F.col("o_orderkey").alias("o_orderkey_pick"))
+
+
+# ---------------------------------------------------------------- data-quality results
+def checks_sql(table_label: str, source: str, check_list) -> str:
+    """DuckDB text of the check results for ``source`` (a CTE name)."""
+    parts = []
+    for c in check_list:
+        pred = c.filter or "true"
+        if c.metric == "row_count":
+            m = f"(SELECT count(*) FROM {source} WHERE {pred})"
+        elif c.metric == "missing_count":
+            m = f"(SELECT count(*) FROM {source} WHERE ({pred}) AND {c.column} IS NULL)"
+        elif c.metric == "duplicate_count":
+            m = (f"(SELECT count(*) FROM (SELECT {c.column} FROM {source} WHERE ({pred}) AND "
+                 f"{c.column} IS NOT NULL GROUP BY {c.column} HAVING count(*) > 1))")
+        elif c.metric == "invalid_count":
+            bad = []
+            if c.valid_values is not None:
+                vals = ", ".join(f"'{v}'" for v in c.valid_values)
+                bad.append(f"{c.column} NOT IN ({vals})")
+            if c.valid_min is not None:
+                bad.append(f"{c.column} < {c.valid_min}")
+            if c.valid_max is not None:
+                bad.append(f"{c.column} > {c.valid_max}")
+            m = (f"(SELECT count(*) FROM {source} WHERE ({pred}) AND {c.column} IS NOT NULL "
+                 f"AND ({' OR '.join(bad) or 'false'}))")
+        else:
+            m = f"(SELECT {c.metric}({c.column}) FROM {source} WHERE {pred})"
+        col = f"'{c.column}'" if c.column else "CAST(NULL AS VARCHAR)"
+        flt = "'" + c.filter.replace("'", "''") + "'" if c.filter else "CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"SELECT '{table_label}' AS \"table\", '{c.name}' AS \"check\", '{c.metric}' AS metric, "
+            f"{col} AS \"column\", {flt} AS \"filter\", CAST({m} AS DOUBLE) AS value, "
+            f"'{c.op}' AS op, CAST({float(c.threshold)} AS DOUBLE) AS threshold")
+    body = "\nUNION ALL\n".join(parts)
+    cmp = " ".join(f"WHEN op = '{o}' AND value {'<>' if o == '!=' else o} threshold THEN 'pass'"
+                   for o in ("=", "!=", ">", ">=", "<", "<="))
+    return (f"SELECT \"table\", \"check\", metric, \"column\", \"filter\", value, op, threshold, "
+            f"CASE WHEN value IS NULL THEN 'error' {cmp} ELSE 'fail' END AS outcome FROM (\n{body})")
+
+
+def _dq(name, label, cte, source, build):
+    check_list = presets.PRESET[label]
+
+    def q(spark, sf_dir):
+        return checks.run_checks(build(spark, sf_dir), check_list, label)
+    register(name, f"WITH {cte} " + checks_sql(label, source, check_list))(q)
+
+
+_dq("dq_results_sessions", "silver.cleaned_sessions", CLEANED_CTE, "cleaned",
+    lambda spark, d: cleaned_sessions(spark, d))
+_dq("dq_results_laps", "silver.enriched_laps",
+    ENRICHED_CTE + ", enriched_a AS (SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS processed_at FROM enriched)",
+    "enriched_a", lambda spark, d: silver_laps(spark, d))
+_dq("dq_results_leaderboard", "gold.driver_performance_metrics", LEADERBOARD_CTE, "leaderboard",
+    lambda spark, d: leaderboard(spark, d))
+_dq("dq_results_standings", "gold.constructor_standings", STANDINGS_CTE, "standings",
+    lambda spark, d: standings(spark, d))
+_dq("dq_results_progression", "gold.lap_progression", PROGRESSION_CTE, "progression",
+    lambda spark, d: progression(spark, d))
+
+# The check kinds on a plain table (column names are parameters): lineitem.
+LINEITEM_CHECKS = [
+    checks.Check("LI1", "row_count", ">", 0),
+    checks.Check("LI2", "missing_count", "=", 0, "l_shipdate"),
+    checks.Check("LI3", "duplicate_count", "=", 0, "l_orderkey"),
+    checks.Check("LI4", "invalid_count", "=", 0, "l_returnflag", valid_values=("A", "N")),
+    checks.Check("LI5", "invalid_count", "=", 0, "l_discount", valid_min=0.0, valid_max=0.08),
+    checks.Check("LI6", "min", ">=", 1, "l_quantity", filter="l_returnflag = 'R'"),
+    checks.Check("LI7", "max", "<=", 50, "l_quantity", filter="l_returnflag = 'R'"),
+    checks.Check("LI8", "missing_count", "=", 0, "l_tax", filter="l_linestatus = 'O'"),
+    checks.Check("LI9", "min", ">", 0, "l_extendedprice", filter="l_quantity > 1000"),
+]
+
+
+@register("dq_lineitem", "WITH li AS (SELECT * FROM lineitem) " + checks_sql("lineitem", "li", LINEITEM_CHECKS))
+def q_dq_lineitem(spark, sf_dir):
+    return checks.run_checks(td.table(spark, sf_dir, "lineitem"), LINEITEM_CHECKS, "lineitem")
