@@ -542,3 +542,121 @@ LINEITEM_CHECKS = [
 @register("dq_lineitem", "WITH li AS (SELECT * FROM lineitem) " + checks_sql("lineitem", "li", LINEITEM_CHECKS))
 def q_dq_lineitem(spark, sf_dir):
     return checks.run_checks(td.table(spark, sf_dir, "lineitem"), LINEITEM_CHECKS, "lineitem")
+
+
+# ---------------------------------------------------------------- sources and sinks
+import uuid  # noqa: E402
+
+from pyspark.sql.types import StructType as _ST  # noqa: E402
+
+from lapworks.plans import pipeline  # noqa: E402
+from lapworks.session import shared_dir  # noqa: E402
+from lapworks.sources import manifest as manifest_src  # noqa: E402
+from lapworks.sources import payloads, rest  # noqa: E402
+from lapworks.streaming import landing  # noqa: E402
+
+PAGE_ROWS = 1000   # records per landed payload page (bounds every file and task)
+EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props"]
+EVENTS_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
+
+
+def _scratch(spark, kind: str) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/lapworks/{kind}/{uuid.uuid4().hex}"
+
+
+def land_events(spark, sf_dir) -> str:
+    """Events as paginated JSON-list payload files in the shared folder."""
+    path = _scratch(spark, "landing")
+    e = td.table(spark, sf_dir, "events").select(
+        *EVENT_FIELDS, F.floor(F.col("event_id") / PAGE_ROWS).alias("page"))
+    payloads.land_pages(e, path, "page")
+    return path
+
+
+def _typed_events(df):
+    return df.select(F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"),
+                     F.col("event_type").cast("string"), F.col("value").cast("double"),
+                     F.col("props").cast("string"))
+
+
+@register("payload_classify", f"""SELECT 'list' AS shape, count(DISTINCT floor(event_id / {PAGE_ROWS}))
+  AS payloads FROM events""")
+def q_payload_classify(spark, sf_dir):
+    got = payloads.classify(payloads.read_landed(spark, land_events(spark, sf_dir)))
+    return got.groupBy("shape").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+@register("payload_explode", EVENTS_SQL)
+def q_payload_explode(spark, sf_dir):
+    return _typed_events(payloads.read_payloads(spark, land_events(spark, sf_dir)))
+
+
+def _landed_manifest(spark, path):
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True) \
+        .option("pathGlobFilter", "*.txt").load(path).select(F.col("path").alias("url"))
+
+
+@register("rest_source", EVENTS_SQL)
+def q_rest_source(spark, sf_dir):
+    path = land_events(spark, sf_dir)
+    fetched = rest.fetch_manifest(_landed_manifest(spark, path), transport="file")
+    recs = payloads.explode_records(fetched.filter(F.col("outcome") == "ok"), keep=("url",))
+    return _typed_events(payloads.to_columns(recs, keep=("url", "pos")))
+
+
+@register("rest_fetch_status", f"""SELECT 'ok' AS outcome, 1 AS attempts,
+  count(DISTINCT floor(event_id / {PAGE_ROWS})) AS urls FROM events""")
+def q_rest_fetch_status(spark, sf_dir):
+    path = land_events(spark, sf_dir)
+    fetched = rest.fetch_manifest(_landed_manifest(spark, path), transport="file")
+    return fetched.groupBy("outcome", "attempts").agg(F.count(F.lit(1)).alias("urls"))
+
+
+@register("endpoint_manifest", f"""WITH {CLEANED_CTE}
+SELECT e.dataset, c.session_id AS key,
+       'https://api.openf1.org/v1/' || e.path || 'session_key=' || CAST(c.session_id AS VARCHAR) AS url
+FROM cleaned c CROSS JOIN (VALUES ('laps', 'laps?'), ('drivers', 'drivers?'),
+                                  ('car_data', 'car_data?speed>=250&')) e(dataset, path)""")
+def q_endpoint_manifest(spark, sf_dir):
+    keys = cleaned_sessions(spark, sf_dir).select(F.col("session_id").alias("session_key"))
+    return manifest_src.endpoint_manifest(
+        keys, "https://api.openf1.org/v1",
+        {"laps": "laps?", "drivers": "drivers?", "car_data": "car_data?speed>=250&"})
+
+
+@register("table_roundtrip", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
+def q_table_roundtrip(spark, sf_dir):
+    from lapworks.sources.tables import read_table, write_table
+    loc = _scratch(spark, "warehouse")
+    db = f"lw_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{loc}'")
+    name = f"spark_catalog.{db}.driver_performance_metrics"
+    write_table(leaderboard(spark, sf_dir), name)
+    return read_table(spark, name, on_empty="raise").drop("generated_at")
+
+
+@register("stream_ingest", EVENTS_SQL)
+def q_stream_ingest(spark, sf_dir):
+    path = land_events(spark, sf_dir)
+    schema = _ST.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+    loc = _scratch(spark, "warehouse")
+    db = f"lw_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{loc}'")
+    table = f"spark_catalog.{db}.raw_events_stream"
+    q = landing.ingest_stream(spark, path, table, schema, _scratch(spark, "stream-checkpoint"),
+                              race_location="Baku", as_of=td.AS_OF)
+    q.awaitTermination()
+    return spark.read.table(table).select(*EVENT_FIELDS)
+
+
+@register("pipeline_status")
+def q_pipeline_status(spark, sf_dir):
+    """The five stages over the whole test tables with the racing preset checks;
+    the Silver gate halts the run (test durations are far below 80 s)."""
+    opts = pipeline.Options(location=_scratch(spark, "warehouse"), as_of=td.AS_OF,
+                            lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
+                            session_id_type="bigint", avg_scale=td.AVG_SCALE)
+    fetchers = {"sessions": lambda: td.bronze_sessions(spark, sf_dir),
+                "laps": lambda: td.bronze_laps(spark, sf_dir),
+                "drivers": lambda: td.bronze_drivers(spark, sf_dir)}
+    return pipeline.run_all(spark, fetchers, opts)
