@@ -45,7 +45,8 @@ def ts_or_now(as_of) -> Column:
 def estimated_size(df: DataFrame) -> int | None:
     """Optimizer size estimate in bytes (an upper-bound style estimate), or None."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else str(size.toString()))
     except Exception:  # Spark Connect or no statistics: unknown
         return None
 

@@ -14,9 +14,15 @@ def _audit(season_year: int, as_of):
     return [ts_or_now(as_of).alias("generated_at"), F.lit(season_year).cast("int").alias("season_year")]
 
 
+def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
+    """Global sort for report outputs; for table writes (order is not kept on
+    re-read) a per-partition sort clusters the files without a range shuffle."""
+    return df.orderBy(*cols) if ordered else df.sortWithinPartitions(*cols)
+
+
 def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
                        accuracy: int = 10000, avg_scale: int | None = None,
-                       distributed: bool = True, as_of=None) -> DataFrame:
+                       distributed="auto", as_of=None, ordered: bool = True) -> DataFrame:
     """Per (driver, name, team) pace metrics over valid laps, dense-ranked on the
     *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie."""
     agg = valid_only(laps).groupBy("driver_number", "full_name", "team_name").agg(
@@ -25,15 +31,16 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
     ranked = dense_rank(agg, [F.col("avg_lap_time_s").asc_nulls_first(),
                               F.col("lap_consistency_s").asc_nulls_first()],
                         "pace_rank", distributed=distributed)
-    return ranked.select(
+    ranked = ranked.select(
         "pace_rank", "full_name", "team_name", "driver_number", "fastest_lap_s",
         "avg_lap_time_s", "median_lap_time_s", "lap_consistency_s", "total_valid_laps",
-        *_audit(season_year, as_of)).orderBy("pace_rank")
+        *_audit(season_year, as_of))
+    return _order(ranked, ordered, "pace_rank")
 
 
 def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
-                   avg_scale: int | None = None, distributed: bool = True,
-                   as_of=None) -> DataFrame:
+                   avg_scale: int | None = None, distributed="auto",
+                   as_of=None, ordered: bool = True) -> DataFrame:
     """Per team: best lap, lap-weighted average (not a mean of driver means), lap count;
     dense-ranked on (average asc, laps desc)."""
     agg = valid_only(laps).groupBy("team_name").agg(
@@ -43,14 +50,15 @@ def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
     ranked = dense_rank(agg, [F.col("avg_team_pace_s").asc_nulls_first(),
                               F.col("total_valid_laps").desc_nulls_last()],
                         "team_pace_rank", distributed=distributed)
-    return ranked.select("team_pace_rank", "team_name", "best_lap_s", "avg_team_pace_s",
-                         "total_valid_laps", *_audit(season_year, as_of)).orderBy("team_pace_rank")
+    out = ranked.select("team_pace_rank", "team_name", "best_lap_s", "avg_team_pace_s",
+                        "total_valid_laps", *_audit(season_year, as_of))
+    return _order(out, ordered, "team_pace_rank")
 
 
 def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimals: int = 3,
                     avg_scale: int | None = None, lap_type: str = "int",
-                    partition_by=("driver_number",), distributed: bool = True,
-                    as_of=None) -> DataFrame:
+                    partition_by=("driver_number",), distributed="auto",
+                    as_of=None, ordered: bool = True) -> DataFrame:
     """Valid laps with the rolling mean of the last ``rows`` *valid* laps of the
     driver (the filter runs first, so gaps are skipped), ordered by name, lap."""
     base = valid_only(laps).select("full_name", "team_name", "driver_number", "lap_number",
@@ -59,7 +67,8 @@ def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimal
     rolled = rolling_mean(base, "lap_duration", list(partition_by), ["lap_number"], rows=rows,
                           out="rolling_avg_5lap_s", decimals=decimals, avg_scale=avg_scale,
                           distributed=distributed)
-    return rolled.select(
+    out = rolled.select(
         "full_name", "team_name", "driver_number", F.col("lap_number").cast(lap_type).alias("lap_number"),
         F.round("lap_duration", decimals).alias("lap_duration_s"), "rolling_avg_5lap_s",
-        *_audit(season_year, as_of)).orderBy("full_name", "lap_number")
+        *_audit(season_year, as_of))
+    return _order(out, ordered, "full_name", "lap_number")

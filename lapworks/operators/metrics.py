@@ -5,7 +5,7 @@ Both windowed operators come in two physical forms with identical results:
 * ``distributed=False`` - the plain window.  A global ``ORDER BY`` window runs in
   a single task, and a window partitioned by entity puts a hot entity (say a
   third of all rows) whole into one task.
-* ``distributed=True`` (default) - the rows are range-partitioned on the
+* ``distributed=True`` - the rows are range-partitioned on the
   ordering, Spark's sampled bounds split even a single hot entity over many
   tasks; each range is ranked / windowed locally and the few rows whose
   result depends on an earlier range are fixed up from a bounded side table.
@@ -28,6 +28,20 @@ def _pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Below this optimizer size estimate a single-task window is cheap; above it the
+# distributed form is used.  The estimate is Spark's own (the one behind
+# autoBroadcastJoinThreshold): file size scaled through the plan.
+SINGLE_TASK_LIMIT = 64 * 1024 * 1024
+
+
+def use_distributed(df: DataFrame, distributed) -> bool:
+    if distributed != "auto":
+        return bool(distributed)
+    from lapworks.operators.conform import estimated_size
+    size = estimated_size(df)
+    return size is None or size > SINGLE_TASK_LIMIT
+
+
 def _exchange_reuse_on(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true"
 
@@ -61,15 +75,16 @@ def pace_columns(value: str = "lap_duration", count_col: str = "lap_number", *,
 
 
 def dense_rank(df: DataFrame, order: list[Column], out: str = "rank", *,
-               distributed: bool = True, num_ranges: int | None = None) -> DataFrame:
+               distributed="auto", num_ranges: int | None = None) -> DataFrame:
     """``dense_rank() OVER (ORDER BY order)`` as an int column ``out``.
 
     Distributed form: range-partition on ``order`` (equal keys share a range),
     dense-rank inside each range, then add the number of distinct keys of all
     earlier ranges.  The offsets table has one row per range (<= ``num_ranges``),
-    a proven bound, so it is broadcast.
+    a proven bound, so it is broadcast.  ``distributed="auto"`` picks the plain
+    window only when the input's size estimate is under ``SINGLE_TASK_LIMIT``.
     """
-    if not distributed:
+    if not use_distributed(df, distributed):
         return df.withColumn(out, F.dense_rank().over(Window.orderBy(*order)).cast("int"))
     n = num_ranges or shuffle_partitions(df.sparkSession)
     local = _pin(df.repartitionByRange(n, *order)
@@ -85,7 +100,7 @@ def dense_rank(df: DataFrame, order: list[Column], out: str = "rank", *,
 
 def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: list[str], *,
                  rows: int = 5, out: str = "rolling_mean", decimals: int = 3,
-                 avg_scale: int | None = None, distributed: bool = True,
+                 avg_scale: int | None = None, distributed="auto",
                  num_ranges: int | None = None) -> DataFrame:
     """Mean over the current and up to ``rows - 1`` preceding rows of the same
     entity (``ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW``), rounded.
@@ -108,7 +123,7 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
         def mean(w):
             return F.try_divide(F.sum(dec).over(w), F.count(dec).over(w))
         finish = (lambda c: F.round(c, decimals).cast("double"))
-    if not distributed:
+    if not use_distributed(df, distributed):
         w = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(-k, 0)
         return df.withColumn(out, finish(mean(w)))
     n = num_ranges or shuffle_partitions(df.sparkSession)

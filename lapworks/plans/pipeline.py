@@ -52,7 +52,7 @@ class Options:
     duration_type: str = "float"
     session_id_type: str = "int"
     avg_scale: int | None = None
-    distributed: bool = True
+    distributed: object = "auto"
     check_sets: dict = field(default_factory=lambda: dict(presets.PRESET))
 
     def name(self, layer: str, table: str, season: int | None = None) -> str:
@@ -160,12 +160,14 @@ def run_gold(spark: SparkSession, opts: Options) -> list[Status]:
     silver = read_table(spark, opts.name("silver", "enriched_laps"), on_empty="raise")
     builders = {
         "driver_performance_metrics": lambda: marts.driver_leaderboard(
-            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of),
+            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of,
+            ordered=False),
         "constructor_standings": lambda: marts.team_standings(
-            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of),
+            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of,
+            ordered=False),
         "lap_progression": lambda: marts.lap_progression(
             silver, season, rows=opts.settings.rolling_laps, avg_scale=opts.avg_scale,
-            lap_type=opts.lap_type, distributed=opts.distributed, as_of=opts.as_of),
+            lap_type=opts.lap_type, distributed=opts.distributed, as_of=opts.as_of, ordered=False),
     }
     out = []
     for name, build in builders.items():

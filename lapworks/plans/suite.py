@@ -126,6 +126,12 @@ def q_driver_leaderboard(spark, sf_dir):
     return leaderboard(spark, sf_dir).drop("generated_at")
 
 
+@register("driver_leaderboard_distributed",
+          f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
+def q_driver_leaderboard_distributed(spark, sf_dir):
+    return leaderboard(spark, sf_dir, distributed=True).drop("generated_at")
+
+
 @register("team_standings", f"WITH {STANDINGS_CTE} SELECT * EXCLUDE (generated_at) FROM standings")
 def q_team_standings(spark, sf_dir):
     return standings(spark, sf_dir).drop("generated_at")
@@ -136,6 +142,12 @@ def q_lap_progression(spark, sf_dir):
     return progression(spark, sf_dir).drop("generated_at")
 
 
+@register("lap_progression_distributed",
+          f"WITH {PROGRESSION_CTE} SELECT * EXCLUDE (generated_at) FROM progression")
+def q_lap_progression_distributed(spark, sf_dir):
+    return progression(spark, sf_dir, distributed=True).drop("generated_at")
+
+
 # ---------------------------------------------------------------- sessions
 SESSIONS_RAW_CTE = """
 sessions_raw AS (
@@ -423,7 +435,7 @@ _ORD_W = " OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 4 PRECE
 def q_rolling_mean_5(spark, sf_dir):
     o = td.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return metrics.rolling_mean(o, "o_totalprice", ["o_custkey"], ["o_orderkey"], rows=5,
-                                out="rolling_price", avg_scale=2)
+                                out="rolling_price", avg_scale=2, distributed=True)
 
 
 _RANK_SQL = """SELECT c_custkey, c_nationkey, c_mktsegment,
