@@ -655,10 +655,9 @@ def q_stream_ingest(spark, sf_dir):
     db = f"lw_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{loc}'")
     table = f"spark_catalog.{db}.raw_events_stream"
-    q = landing.ingest_stream(spark, path, table, schema, _scratch(spark, "stream-checkpoint"),
-                              race_location="Baku", as_of=td.AS_OF)
-    q.awaitTermination()
-    return spark.read.table(table).select(*EVENT_FIELDS)
+    out = landing.ingest_available(spark, path, table, schema, _scratch(spark, "stream-checkpoint"),
+                                   race_location="Baku", as_of=td.AS_OF)
+    return out.select(*EVENT_FIELDS)
 
 
 @register("pipeline_status")
@@ -672,3 +671,27 @@ def q_pipeline_status(spark, sf_dir):
                 "laps": lambda: td.bronze_laps(spark, sf_dir),
                 "drivers": lambda: td.bronze_drivers(spark, sf_dir)}
     return pipeline.run_all(spark, fetchers, opts)
+
+
+# ---------------------------------------------------------------- one check kind per query
+def _kind(name, table, check_list):
+    def q(spark, sf_dir):
+        return checks.run_checks(td.table(spark, sf_dir, table), check_list, table)
+    register(name, f"WITH src AS (SELECT * FROM {table}) " + checks_sql(table, "src", check_list))(q)
+
+
+_kind("dq_row_count", "orders", [checks.Check("R1", "row_count", ">", 0),
+                                 checks.Check("R2", "row_count", ">=", 20000)])
+_kind("dq_missing", "customer", [checks.Check("M1", "missing_count", "=", 0, "c_name"),
+                                 checks.Check("M2", "missing_count", "=", 0, "c_acctbal")])
+_kind("dq_duplicate", "orders", [checks.Check("D1", "duplicate_count", "=", 0, "o_orderkey"),
+                                 checks.Check("D2", "duplicate_count", "=", 0, "o_custkey")])
+_kind("dq_invalid_values", "orders", [checks.Check("V1", "invalid_count", "=", 0, "o_orderstatus",
+                                                   valid_values=("F", "O"))])
+_kind("dq_invalid_range", "part", [checks.Check("G1", "invalid_count", "=", 0, "p_size",
+                                                valid_min=1, valid_max=40)])
+_kind("dq_min_max", "supplier", [checks.Check("X1", "min", ">=", 0, "s_acctbal"),
+                                 checks.Check("X2", "max", "<=", 9999.99, "s_acctbal")])
+_kind("dq_filtered", "events", [checks.Check("F1", "min", ">", 0, "value", filter="event_type = 'purchase'"),
+                                checks.Check("F2", "row_count", ">", 0, filter="event_type = 'purchase'"),
+                                checks.Check("F3", "max", "<=", 400, "value", filter="event_type = 'view'")])

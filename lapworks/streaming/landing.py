@@ -33,3 +33,13 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, schema: StructT
     q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="30 seconds")
     return q.start()
+
+
+def ingest_available(spark: SparkSession, landing: str, table: str, schema: StructType,
+                     checkpoint: str, **kw) -> DataFrame:
+    """Run one ``availableNow`` pass (only files not yet committed in ``checkpoint``),
+    wait for it, and return the refreshed table (micro-batches write through the
+    stream's own session, so this session's cached file listing is refreshed)."""
+    ingest_stream(spark, landing, table, schema, checkpoint, available_now=True, **kw).awaitTermination()
+    spark.catalog.refreshTable(table)
+    return spark.read.table(table)
