@@ -28,8 +28,7 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
     agg = valid_only(laps).groupBy("driver_number", "full_name", "team_name").agg(
         *pace_columns("lap_duration", "lap_number", decimals=decimals, accuracy=accuracy,
                       avg_scale=avg_scale))
-    ranked = dense_rank(agg, [F.col("avg_lap_time_s").asc_nulls_first(),
-                              F.col("lap_consistency_s").asc_nulls_first()],
+    ranked = dense_rank(agg, [("avg_lap_time_s", "asc"), ("lap_consistency_s", "asc")],
                         "pace_rank", distributed=distributed)
     ranked = ranked.select(
         "pace_rank", "full_name", "team_name", "driver_number", "fastest_lap_s",
@@ -47,8 +46,7 @@ def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
         *pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale,
                       with_median=False, with_stddev=False,
                       names={"min": "best_lap_s", "avg": "avg_team_pace_s"}))
-    ranked = dense_rank(agg, [F.col("avg_team_pace_s").asc_nulls_first(),
-                              F.col("total_valid_laps").desc_nulls_last()],
+    ranked = dense_rank(agg, [("avg_team_pace_s", "asc"), ("total_valid_laps", "desc")],
                         "team_pace_rank", distributed=distributed)
     out = ranked.select("team_pace_rank", "team_name", "best_lap_s", "avg_team_pace_s",
                         "total_valid_laps", *_audit(season_year, as_of))

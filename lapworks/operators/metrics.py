@@ -74,34 +74,64 @@ def pace_columns(value: str = "lap_duration", count_col: str = "lap_number", *,
     return cols
 
 
-def dense_rank(df: DataFrame, order: list[Column], out: str = "rank", *,
+def _sort_spec(order) -> list[tuple[str, Column]]:
+    """``"a"`` or ``("a", "asc")`` -> ascending, NULLs first; ``("b", "desc")`` -> descending, NULLs last."""
+    out = []
+    for o in order:
+        name, direction = (o, "asc") if isinstance(o, str) else o
+        c = F.col(name)
+        out.append((name, c.asc_nulls_first() if direction == "asc" else c.desc_nulls_last()))
+    return out
+
+
+def dense_rank(df: DataFrame, order, out: str = "rank", *,
                distributed="auto", num_ranges: int | None = None) -> DataFrame:
     """``dense_rank() OVER (ORDER BY order)`` as an int column ``out``.
 
-    Distributed form: range-partition on ``order`` (equal keys share a range),
-    dense-rank inside each range, then add the number of distinct keys of all
-    earlier ranges.  The offsets table has one row per range (<= ``num_ranges``),
-    a proven bound, so it is broadcast.  ``distributed="auto"`` picks the plain
-    window only when the input's size estimate is under ``SINGLE_TASK_LIMIT``.
+    Distributed form: the *distinct* sort keys are ranked (a hot key collapses
+    in the map-side partial aggregate), then the rank is joined back.  Distinct
+    keys are range-partitioned (balanced: no key repeats), numbered inside each
+    range, and shifted by the number of keys of all earlier ranges; the offsets
+    table has one row per range (<= ``num_ranges``), a proven bound, so it is
+    broadcast.  The input is checkpointed once (it is read twice).  The join back broadcasts the ranked keys only behind a size check,
+    otherwise it is a shuffle join that AQE's skew handling splits on hot keys.
+    ``distributed="auto"`` picks the plain window only when the input's size
+    estimate is under ``SINGLE_TASK_LIMIT``.
     """
+    spec = _sort_spec(order)
     if not use_distributed(df, distributed):
-        return df.withColumn(out, F.dense_rank().over(Window.orderBy(*order)).cast("int"))
+        return df.withColumn(out, F.dense_rank().over(Window.orderBy(*[c for _, c in spec])).cast("int"))
+    from lapworks.operators.conform import maybe_broadcast
     n = num_ranges or shuffle_partitions(df.sparkSession)
-    local = _pin(df.repartitionByRange(n, *order)
-                   .withColumn("_pid", F.spark_partition_id())
-                   .withColumn("_lr", F.dense_rank().over(Window.partitionBy("_pid").orderBy(*order))))
-    sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"))
+    # The input is read twice (keys, join back): materialise it once instead of
+    # recomputing its upstream (for a leaderboard: the aggregate over all laps).
+    df = _pin(df)
+    knames = [f"_k{i}" for i in range(len(spec))]
+    dirs = ["asc" if isinstance(o, str) else o[1] for o in order]
+    ksorts = [c for _, c in _sort_spec(list(zip(knames, dirs)))]
+    keys = df.select(*[F.col(name).alias(k) for (name, _), k in zip(spec, knames)]).distinct()
+    local = (keys.repartitionByRange(n, *ksorts)
+                 .withColumn("_pid", F.spark_partition_id())
+                 .withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*ksorts))))
+    if not _exchange_reuse_on(df):
+        local = _pin(local)
+    # Both consumers below read the same columns of ``local``, so their plans
+    # share one range exchange (one set of bounds).
+    sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"),
+                                      F.max(F.struct(*knames)).alias("_last"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-                 .withColumn(out, (F.col("_lr") + F.col("_off")).cast("int"))
-                 .drop("_pid", "_lr", "_off"))
+    ranked = local.join(F.broadcast(offsets), "_pid") \
+        .select(*knames, (F.col("_lr") + F.col("_off")).cast("int").alias(out))
+    ranked = maybe_broadcast(ranked)
+    cond = [df[name].eqNullSafe(ranked[k]) for (name, _), k in zip(spec, knames)]
+    return df.join(ranked, cond, "inner").drop(*knames)
 
 
 def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: list[str], *,
                  rows: int = 5, out: str = "rolling_mean", decimals: int = 3,
                  avg_scale: int | None = None, distributed="auto",
-                 num_ranges: int | None = None) -> DataFrame:
+                 num_ranges: int | None = None, tiebreak: bool = True) -> DataFrame:
     """Mean over the current and up to ``rows - 1`` preceding rows of the same
     entity (``ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW``), rounded.
 
@@ -112,6 +142,11 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
     (<= 2*(rows-1) rows per run), then the two disjoint parts are unioned.
     """
     k = rows - 1
+    if tiebreak:
+        # rows that tie on (entity, order) get a deterministic order; it also lets
+        # range bounds split a hot run of identical order values
+        df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+        order_by = list(order_by) + ["_tb"]
     if avg_scale is None:
         def mean(w):
             return F.avg(value).over(w)
@@ -125,9 +160,10 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
         finish = (lambda c: F.round(c, decimals).cast("double"))
     if not use_distributed(df, distributed):
         w = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(-k, 0)
-        return df.withColumn(out, finish(mean(w)))
+        res = df.withColumn(out, finish(mean(w)))
+        return res.drop("_tb") if tiebreak else res
     n = num_ranges or shuffle_partitions(df.sparkSession)
-    cols = df.columns
+    cols = [c for c in df.columns if c != "_tb"]
     ranged = df.repartitionByRange(n, *partition_by, *order_by) \
         .withColumn("_pid", F.spark_partition_id())
     run = Window.partitionBy("_pid", *partition_by)

@@ -445,8 +445,7 @@ _RANK_SQL = """SELECT c_custkey, c_nationkey, c_mktsegment,
 
 def _rank_customers(spark, sf_dir, distributed):
     c = td.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return metrics.dense_rank(c, [F.col("c_nationkey").asc_nulls_first(),
-                                  F.col("c_mktsegment").desc_nulls_last()], "rnk",
+    return metrics.dense_rank(c, [("c_nationkey", "asc"), ("c_mktsegment", "desc")], "rnk",
                               distributed=distributed)
 
 

@@ -91,7 +91,7 @@ def test_dense_rank_distributed_matches_window(spark):
     data = [(i, rnd.choice([None, 1, 2, 3, 4]), rnd.choice([None, 10, 20, 30])) for i in range(3000)]
     data += [(10000 + i, 2, 20) for i in range(1000)]        # a hot key: a quarter of all rows
     df = spark.createDataFrame(data, "id int, a int, b int")
-    order = [F.col("a").asc_nulls_first(), F.col("b").desc_nulls_last()]
+    order = [("a", "asc"), ("b", "desc")]
     want = {r.id: r.r for r in metrics.dense_rank(df, order, "r", distributed=False).collect()}
     got = {r.id: r.r for r in metrics.dense_rank(df, order, "r", num_ranges=16).collect()}
     assert got == want
@@ -134,3 +134,19 @@ def test_reports(spark):
     ws = {r.team_name: r.sum_avg_team_pace_s for r in
           reports.widget_sum(marts.team_standings(silver(spark), 2025), "team_name", "avg_team_pace_s").collect()}
     assert ws["Ferrari"] == pytest.approx(95.0)
+
+
+def test_rolling_hot_run_of_null_order_values(spark):
+    rnd = random.Random(5)
+    data = [("hot", None, round(rnd.uniform(1, 9), 2)) for _ in range(3000)]   # identical order key
+    data += [("hot", i, round(rnd.uniform(1, 9), 2)) for i in range(200)]
+    data += [("other", i, 1.0) for i in range(10)]
+    df = spark.createDataFrame(data, "k string, i int, v double")
+    plain = {(r.k, r.i, r.v, r.r) for r in
+             metrics.rolling_mean(df, "v", ["k"], ["i"], out="r", distributed=False).collect()}
+    dist_df = metrics.rolling_mean(df, "v", ["k"], ["i"], out="r", distributed=True, num_ranges=24)
+    assert {(r.k, r.i, r.v, r.r) for r in dist_df.collect()} == plain
+    # the NULL-order run is split over several ranges by the tie-break
+    tb = df.withColumn("_tb", F.xxhash64("k", "i", "v")).repartitionByRange(24, "k", "i", "_tb") \
+        .withColumn("p", F.spark_partition_id()).filter(F.col("i").isNull())
+    assert tb.select("p").distinct().count() > 4
