@@ -53,6 +53,7 @@ class Options:
     session_id_type: str = "int"
     avg_scale: int | None = None
     distributed: object = "auto"
+    seasonal_gold: bool = False          # Gold partitioned by season_year, one season replaced per run
     check_sets: dict = field(default_factory=lambda: dict(presets.PRESET))
 
     def name(self, layer: str, table: str, season: int | None = None) -> str:
@@ -172,7 +173,8 @@ def run_gold(spark: SparkSession, opts: Options) -> list[Status]:
     out = []
     for name, build in builders.items():
         try:
-            out.append(Status("gold", name, "ok", write_table(build(), opts.name("gold", name))["rows"]))
+            kw = {"partition_by": "season_year", "dynamic": True} if opts.seasonal_gold else {}
+            out.append(Status("gold", name, "ok", write_table(build(), opts.name("gold", name), **kw)["rows"]))
         except Exception as ex:
             out.append(Status("gold", name, "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
     return _fail_at_end("gold", out)

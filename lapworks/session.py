@@ -45,13 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        sc = None
+    if sc is not None:
+        d = d or sc.getCheckpointDir()
+        if not d:
+            # Unset (local runs and tests only): take a scratch folder of our own.
+            d = tempfile.mkdtemp(prefix="lapworks-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
     if not d:
-        # Unset (local runs and tests only): take a scratch folder of our own.
-        d = tempfile.mkdtemp(prefix="lapworks-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+        raise RuntimeError("spark.checkpoint.dir is not set for this session")
     return d
 
 

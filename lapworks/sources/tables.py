@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, full_name: str, on_empty: str = "warn") -> D
 
 
 def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partition_by=None,
-                staged: bool = True) -> dict:
+                staged: bool = True, dynamic: bool = False) -> dict:
     """Overwrite ``full_name`` with ``df`` (schema replaced), idempotently.
 
     Staged: the rows go to a staging table first and replace the target only
@@ -47,11 +47,27 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
     target, and a plan that reads the target can still overwrite it.  The row
     count comes from an ``Observation`` on the same write job (one pass).
     Failure -> ``RuntimeError`` naming the table, cause chained.
+
+    ``dynamic=True`` with ``partition_by`` replaces only the partitions present
+    in ``df`` (e.g. one season) of an existing table, keeping the others.
     """
     spark = df.sparkSession
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     target = full_name
+    if dynamic and partition_by and spark.catalog.tableExists(full_name):
+        cols = spark.read.table(full_name).columns
+        key = "spark.sql.sources.partitionOverwriteMode"
+        prev = spark.conf.get(key, "static")
+        spark.conf.set(key, "dynamic")
+        try:
+            observed.select(*cols).write.insertInto(full_name, overwrite=True)
+        except Exception as ex:
+            raise RuntimeError(f"Cannot write table '{target}'") from ex
+        finally:
+            spark.conf.set(key, prev)
+        spark.catalog.refreshTable(full_name)
+        return {"table": target, "rows": int(obs.get.get("rows", 0))}
     stage = f"{full_name}__staging_{uuid.uuid4().hex[:8]}" if staged else full_name
     try:
         w = observed.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
@@ -62,6 +78,9 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
             spark.sql(f"DROP TABLE IF EXISTS {target}")
             # RENAME TO takes <schema>.<table> in the session catalog
             spark.sql(f"ALTER TABLE {stage} RENAME TO {'.'.join(target.split('.')[-2:])}")
+            if partition_by:
+                # partitions are tracked by the catalog: register the moved ones
+                spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
     except Exception as ex:
         if staged:
             try:

@@ -69,6 +69,13 @@ def test_pipeline_all_stages_pass(spark, tmp_path):
     assert lb.count() == 12 and spark.table("spark_catalog.gold.constructor_standings").count() == 5
 
 
+def test_pipeline_seasonal_gold(spark, tmp_path):
+    opts = pipeline.Options(location=str(tmp_path / "wh4"), as_of="2025-09-21 18:00:00", seasonal_gold=True)
+    status = pipeline.run_all(spark, racing_fixture(spark), opts).collect()
+    assert all(s.status == "ok" for s in status), status
+    assert spark.table("spark_catalog.gold.lap_progression").select("season_year").distinct().count() == 1
+
+
 def test_pipeline_halts_and_records_partial_failure(spark, tmp_path):
     f = racing_fixture(spark)
     f["car_data"] = lambda: None                               # a dataset that returned nothing
@@ -85,3 +92,13 @@ def test_pipeline_sessions_required(spark, tmp_path):
     opts = pipeline.Options(location=str(tmp_path / "wh3"))
     with pytest.raises(pipeline.StageError, match="sessions"):
         pipeline.run_bronze(spark, f, opts)
+
+
+def test_dynamic_partition_overwrite_keeps_other_seasons(spark, tmp_path):
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS io_p LOCATION '{tmp_path}/io_p.db'")
+    a = spark.createDataFrame([(1, 2024), (2, 2024), (3, 2025)], "v int, season_year int")
+    write_table(a, "spark_catalog.io_p.t", partition_by="season_year", dynamic=True)
+    b = spark.createDataFrame([(9, 2025)], "v int, season_year int")
+    assert write_table(b, "spark_catalog.io_p.t", partition_by="season_year", dynamic=True)["rows"] == 1
+    got = sorted((r.v, r.season_year) for r in spark.table("spark_catalog.io_p.t").collect())
+    assert got == [(1, 2024), (2, 2024), (9, 2025)]
