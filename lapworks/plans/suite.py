@@ -566,7 +566,7 @@ from lapworks.sources import manifest as manifest_src  # noqa: E402
 from lapworks.sources import payloads, rest  # noqa: E402
 from lapworks.streaming import landing  # noqa: E402
 
-PAGE_ROWS = 1000   # records per landed payload page (bounds every file and task)
+PAGE_ROWS = 10000  # records per landed payload page (bounds every file and task)
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENTS_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
 
