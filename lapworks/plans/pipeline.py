@@ -7,6 +7,7 @@ both bounded by the number of tables and checks.
 
 from __future__ import annotations
 
+import inspect
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -54,6 +55,8 @@ class Options:
     avg_scale: int | None = None
     distributed: object = "auto"
     seasonal_gold: bool = False          # Gold partitioned by season_year, one season replaced per run
+    resolve_session: bool = True         # pick the target session before the per-session datasets
+    position_col: str = "pos"            # payload position of the raw sessions
     check_sets: dict = field(default_factory=lambda: dict(presets.PRESET))
 
     def name(self, layer: str, table: str, season: int | None = None) -> str:
@@ -80,10 +83,22 @@ def ensure_layers(spark: SparkSession, opts: Options) -> None:
                   f"LOCATION '{opts.location.rstrip('/')}/{name}.db'")
 
 
-def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[[], DataFrame | None]],
+def _call(fetch, key):
+    """Fetchers take the resolved session key when they accept an argument."""
+    try:
+        params = inspect.signature(fetch).parameters
+    except (TypeError, ValueError):
+        params = {}
+    return fetch(key) if len(params) >= 1 else fetch()
+
+
+def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame | None]],
                opts: Options, race_location: str | None = None) -> list[Status]:
-    """``sessions`` must yield rows (else raise at once); every other dataset that
-    fails, is missing or empty is recorded and the rest continue; raise at the end."""
+    """``sessions`` must yield rows (else raise at once).  The target session is
+    resolved from the raw sessions (type and circuit, last in payload order ``pos``;
+    raise when there is none) and its key is passed to the other fetchers.  Every
+    other dataset that fails, is missing or empty is recorded and the rest
+    continue; raise at the end."""
     ensure_layers(spark, opts)
     season = opts.settings.season_year
     loc = race_location or opts.settings.race_round
@@ -94,11 +109,21 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[[], DataFrame |
     out = [Status("bronze", "sessions", "ok",
                   write_table(bronze.normalise(sess, loc, as_of=opts.as_of),
                               opts.name("bronze", "raw_sessions", season))["rows"])]
+    key = None
+    if opts.resolve_session:
+        # one aggregate; a single row comes back to the driver
+        target = sessions.resolve_target(sess, opts.settings.session_type, opts.settings.race_round,
+                                         position=opts.position_col).select("session_key").first()
+        if target is None:
+            raise StageError("bronze: could not determine the target session",
+                             out + [Status("bronze", "target_session", "failed", error="none")])
+        key = target["session_key"]
+        out.append(Status("bronze", "target_session", "ok", 1, f"session_key={key}"))
     for name, fetch in fetchers.items():
         if name == "sessions":
             continue
         try:
-            df = fetch()
+            df = _call(fetch, key)
             if df is None or df.isEmpty():
                 out.append(Status("bronze", name, "failed", error="no data"))
                 continue

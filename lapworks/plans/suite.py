@@ -625,14 +625,13 @@ def q_rest_fetch_status(spark, sf_dir):
 
 @register("endpoint_manifest", f"""WITH {CLEANED_CTE}
 SELECT e.dataset, c.session_id AS key,
-       'https://api.openf1.org/v1/' || e.path || 'session_key=' || CAST(c.session_id AS VARCHAR) AS url
-FROM cleaned c CROSS JOIN (VALUES ('laps', 'laps?'), ('drivers', 'drivers?'),
-                                  ('car_data', 'car_data?speed>=250&')) e(dataset, path)""")
+       'https://api.openf1.org/v1/' || e.pre || CAST(c.session_id AS VARCHAR) || e.post AS url
+FROM cleaned c CROSS JOIN (VALUES ('drivers', 'drivers?session_key=', ''),
+                                  ('laps', 'laps?session_key=', ''),
+                                  ('telemetry', 'car_data?session_key=', '&speed>250')) e(dataset, pre, post)""")
 def q_endpoint_manifest(spark, sf_dir):
     keys = cleaned_sessions(spark, sf_dir).select(F.col("session_id").alias("session_key"))
-    return manifest_src.endpoint_manifest(
-        keys, "https://api.openf1.org/v1",
-        {"laps": "laps?", "drivers": "drivers?", "car_data": "car_data?speed>=250&"})
+    return manifest_src.endpoint_manifest(keys, "https://api.openf1.org/v1")
 
 
 @register("table_roundtrip", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")

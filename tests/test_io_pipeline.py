@@ -47,13 +47,13 @@ def racing_fixture(spark):
             laps.append((d[0], lap, 130.0 if lap == 1 else dur, lap == 1))
     sess = [{"session_key": 9001, "session_name": "Baku GP", "session_type": "Race", "location": "Baku",
              "country_name": "Azerbaijan", "year": 2025, "date_start": "2025-09-21T11:00:00",
-             "date_end": "2025-09-21T13:00:00", "circuit_short_name": "Baku"},
+             "date_end": "2025-09-21T13:00:00", "circuit_short_name": "Baku", "pos": 1},
             {"session_key": 9000, "session_name": "Baku Q", "session_type": "Qualifying", "location": "Baku",
              "country_name": "Azerbaijan", "year": 2025, "date_start": "2025-09-20T14:00:00",
-             "date_end": "2025-09-20T15:00:00", "circuit_short_name": "Baku"}]
+             "date_end": "2025-09-20T15:00:00", "circuit_short_name": "Baku", "pos": 0}]
     return {
         "sessions": lambda: spark.createDataFrame(sess),
-        "laps": lambda: spark.createDataFrame(laps, "driver_number string, lap_number long, "
+        "laps": lambda key: spark.createDataFrame(laps if key == 9001 else [], "driver_number string, lap_number long, "
                                                     "lap_duration double, is_pit_out_lap boolean"),
         "drivers": lambda: spark.createDataFrame(drivers, "driver_number string, full_name string, "
                                                           "team_name string, country_code string, headshot_url string"),
@@ -86,6 +86,14 @@ def test_pipeline_halts_and_records_partial_failure(spark, tmp_path):
     assert "silver" not in {s.stage for s in status}           # halted after Bronze
 
 
+def test_pipeline_needs_a_target_session(spark, tmp_path):
+    f = racing_fixture(spark)
+    opts = pipeline.Options(location=str(tmp_path / "wh5"),
+                            settings=pipeline.Settings(race_round="Baku", session_type="Sprint"))
+    with pytest.raises(pipeline.StageError, match="target session"):
+        pipeline.run_bronze(spark, f, opts)
+
+
 def test_pipeline_sessions_required(spark, tmp_path):
     f = racing_fixture(spark)
     f["sessions"] = lambda: None
