@@ -162,3 +162,33 @@ class RestJsonSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(RestJsonSource)
+
+
+class FetchFailed(RuntimeError):
+    pass
+
+
+def fetch_records(spark: SparkSession, urls, *, transport: str = "http", schema=None,
+                  require_all: bool = True, partitions: int | None = None,
+                  max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
+    """URLs (a list or a ``url`` DataFrame) -> typed records ``(url, pos, fields...)``.
+
+    Fetching runs in the tasks; with ``require_all`` a dataset with any URL that
+    did not return a list fails (``FetchFailed``), like a failed single request.
+    ``partitions`` spreads a large manifest over that many fetch tasks.
+    """
+    from pyspark.sql import functions as F
+
+    from lapworks.sources import payloads
+    manifest = urls if isinstance(urls, DataFrame) else \
+        spark.createDataFrame([(u,) for u in urls], "url string")
+    if partitions:
+        manifest = manifest.repartition(partitions)
+    fetched = fetch_manifest(manifest, transport=transport, max_retries=max_retries,
+                             delay_s=delay_s, timeout_s=timeout_s)
+    if require_all:
+        bad = fetched.filter(F.col("outcome") != "ok").select("url", "outcome").limit(5).collect()
+        if bad:
+            raise FetchFailed("fetch failed: " + ", ".join(f"{r.url} ({r.outcome})" for r in bad))
+    recs = payloads.explode_records(fetched.filter(F.col("outcome") == "ok"), keep=("url",))
+    return payloads.to_columns(recs, schema, keep=("url", "pos"))
