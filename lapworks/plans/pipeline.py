@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lapworks.config import DEFAULT, Settings
@@ -25,7 +26,7 @@ log = logging.getLogger("lapworks.pipeline")
 
 STATUS_SCHEMA = StructType([StructField("stage", StringType()), StructField("dataset", StringType()),
                             StructField("status", StringType()), StructField("rows", LongType()),
-                            StructField("error", StringType())])
+                            StructField("detail", StringType())])
 
 
 @dataclass
@@ -34,7 +35,7 @@ class Status:
     dataset: str
     status: str            # ok | failed
     rows: int | None = None
-    error: str | None = None
+    detail: str | None = None
 
 
 class StageError(RuntimeError):
@@ -67,7 +68,7 @@ def _fail_at_end(stage: str, statuses: list[Status]) -> list[Status]:
     failed = [s for s in statuses if s.status != "ok"]
     if failed:
         raise StageError(f"{stage}: {len(failed)} dataset(s) failed: "
-                         + ", ".join(f"{s.dataset} ({s.error})" for s in failed), statuses)
+                         + ", ".join(f"{s.dataset} ({s.detail})" for s in failed), statuses)
     return statuses
 
 
@@ -105,7 +106,7 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame
     sess = fetchers["sessions"]()
     if sess is None or sess.isEmpty():
         raise StageError("bronze: sessions returned no data", [Status("bronze", "sessions", "failed",
-                                                                      error="no data")])
+                                                                      detail="no data")])
     out = [Status("bronze", "sessions", "ok",
                   write_table(bronze.normalise(sess, loc, as_of=opts.as_of),
                               opts.name("bronze", "raw_sessions", season))["rows"])]
@@ -116,7 +117,7 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame
                                          position=opts.position_col).select("session_key").first()
         if target is None:
             raise StageError("bronze: could not determine the target session",
-                             out + [Status("bronze", "target_session", "failed", error="none")])
+                             out + [Status("bronze", "target_session", "failed", detail="none")])
         key = target["session_key"]
         out.append(Status("bronze", "target_session", "ok", 1, f"session_key={key}"))
     for name, fetch in fetchers.items():
@@ -125,13 +126,13 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame
         try:
             df = _call(fetch, key)
             if df is None or df.isEmpty():
-                out.append(Status("bronze", name, "failed", error="no data"))
+                out.append(Status("bronze", name, "failed", detail="no data"))
                 continue
             res = write_table(bronze.normalise(df, loc, as_of=opts.as_of),
                               opts.name("bronze", f"raw_{name}", season))
             out.append(Status("bronze", name, "ok", res["rows"]))
         except Exception as ex:  # recorded, the other datasets go on
-            out.append(Status("bronze", name, "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
+            out.append(Status("bronze", name, "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
     return _fail_at_end("bronze", out)
 
 
@@ -146,16 +147,20 @@ def run_silver(spark: SparkSession, opts: Options) -> list[Status]:
         out.append(Status("silver", "cleaned_sessions", "ok",
                           write_table(cleaned, opts.name("silver", "cleaned_sessions"))["rows"]))
     except Exception as ex:
-        out.append(Status("silver", "cleaned_sessions", "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
+        out.append(Status("silver", "cleaned_sessions", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
     try:
         raw_laps = read_table(spark, opts.name("bronze", "raw_laps", season), on_empty="warn")
         raw_drivers = read_table(spark, opts.name("bronze", "raw_drivers", season), on_empty="warn")
         enriched = laps.enrich(raw_laps, raw_drivers, s.min_lap_duration_s, lap_type=opts.lap_type,
                                duration_type=opts.duration_type, as_of=opts.as_of)
-        out.append(Status("silver", "enriched_laps", "ok",
-                          write_table(enriched, opts.name("silver", "enriched_laps"))["rows"]))
+        flag = F.col("is_valid_lap")
+        res = write_table(enriched, opts.name("silver", "enriched_laps"),
+                          metrics={"valid": F.count_if(flag), "flagged": F.count_if(~flag)})
+        log.info("enriched laps: %s valid, %s flagged", res["valid"], res["flagged"])
+        out.append(Status("silver", "enriched_laps", "ok", res["rows"],
+                          f"valid={res['valid']} flagged={res['flagged']}"))
     except Exception as ex:
-        out.append(Status("silver", "enriched_laps", "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
+        out.append(Status("silver", "enriched_laps", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
     return _fail_at_end("silver", out)
 
 
@@ -176,7 +181,7 @@ def gate(spark: SparkSession, opts: Options, stage: str, tables) -> list[Status]
     try:
         checks.gate(results, stage)
     except checks.QualityGateError as ex:
-        raise StageError(str(ex), [Status(stage, ",".join(tables), "failed", error=str(ex)[:500])]) from ex
+        raise StageError(str(ex), [Status(stage, ",".join(tables), "failed", detail=str(ex)[:500])]) from ex
     return [Status(stage, ",".join(tables), "ok")]
 
 
@@ -201,7 +206,7 @@ def run_gold(spark: SparkSession, opts: Options) -> list[Status]:
             kw = {"partition_by": "season_year", "dynamic": True} if opts.seasonal_gold else {}
             out.append(Status("gold", name, "ok", write_table(build(), opts.name("gold", name), **kw)["rows"]))
         except Exception as ex:
-            out.append(Status("gold", name, "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
+            out.append(Status("gold", name, "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
     return _fail_at_end("gold", out)
 
 
@@ -224,7 +229,7 @@ def run_all(spark: SparkSession, fetchers, opts: Options) -> DataFrame:
             log.error("stage %s failed, halting: %s", stage, ex)
             break
         except Exception as ex:
-            statuses.append(Status(stage, "*", "failed", error=f"{type(ex).__name__}: {ex}"[:500]))
+            statuses.append(Status(stage, "*", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
             break
-    return spark.createDataFrame([(s.stage, s.dataset, s.status, s.rows, s.error) for s in statuses],
+    return spark.createDataFrame([(s.stage, s.dataset, s.status, s.rows, s.detail) for s in statuses],
                                  STATUS_SCHEMA)

@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (rank inputs) are removed once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

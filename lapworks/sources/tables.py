@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, full_name: str, on_empty: str = "warn") -> D
 
 
 def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partition_by=None,
-                staged: bool = True, dynamic: bool = False) -> dict:
+                staged: bool = True, dynamic: bool = False, metrics: dict | None = None) -> dict:
     """Overwrite ``full_name`` with ``df`` (schema replaced), idempotently.
 
     Staged: the rows go to a staging table first and replace the target only
@@ -50,10 +50,12 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
 
     ``dynamic=True`` with ``partition_by`` replaces only the partitions present
     in ``df`` (e.g. one season) of an existing table, keeping the others.
+    ``metrics`` (name -> aggregate Column) are observed on the same job and returned.
     """
     spark = df.sparkSession
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    extra = [c.alias(n) for n, c in (metrics or {}).items()]
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     target = full_name
     if dynamic and partition_by and spark.catalog.tableExists(full_name):
         cols = spark.read.table(full_name).columns
@@ -67,7 +69,7 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
         finally:
             spark.conf.set(key, prev)
         spark.catalog.refreshTable(full_name)
-        return {"table": target, "rows": int(obs.get.get("rows", 0))}
+        return {"table": target, **obs.get}
     stage = f"{full_name}__staging_{uuid.uuid4().hex[:8]}" if staged else full_name
     try:
         w = observed.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
@@ -88,6 +90,6 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
             except Exception:  # pragma: no cover - best effort cleanup
                 pass
         raise RuntimeError(f"Cannot write table '{target}'") from ex
-    rows = int(obs.get.get("rows", 0))
-    log.info("Written %s (%d rows)", target, rows)
-    return {"table": target, "rows": rows}
+    got = dict(obs.get)
+    log.info("Written %s (%s)", target, got)
+    return {"table": target, **got}

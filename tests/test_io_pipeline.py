@@ -65,6 +65,8 @@ def test_pipeline_all_stages_pass(spark, tmp_path):
     status = pipeline.run_all(spark, racing_fixture(spark), opts).collect()
     assert [s.status for s in status] == ["ok"] * len(status), status
     assert [s.stage for s in status][-2:] == ["gold", "gate_gold"]
+    laps_row = next(s for s in status if s.dataset == "enriched_laps")
+    assert laps_row.rows == 480 and laps_row.detail == "valid=468 flagged=12"   # one pass with the write
     lb = spark.table("spark_catalog.gold.driver_performance_metrics")
     assert lb.count() == 12 and spark.table("spark_catalog.gold.constructor_standings").count() == 5
 
@@ -143,7 +145,7 @@ def test_pipeline_from_landed_payloads(spark, tmp_path):
                                                delay_s=0.0),
     }
     opts = pipeline.Options(location=str(tmp_path / "wh6"), as_of="2025-09-21 18:00:00")
-    status = {(s.stage, s.dataset): (s.status, s.rows, s.error)
+    status = {(s.stage, s.dataset): (s.status, s.rows, s.detail)
               for s in pipeline.run_all(spark, fetchers, opts).collect()}
     assert status[("bronze", "target_session")][2] == "session_key=7001"     # last Race at Baku
     assert status[("bronze", "laps")][:2] == ("ok", 420)
