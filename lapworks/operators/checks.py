@@ -128,7 +128,7 @@ class QualityGateError(RuntimeError):
 def gate(results: DataFrame, label: str = "quality") -> list:
     """Raise when any check did not pass.  Collects only non-passing rows,
     bounded by the number of checks.  Returns the collected failures (empty)."""
-    bad = results.filter(F.col("outcome") != "pass").collect()
+    bad = results.filter(F.col("outcome") != "pass").orderBy("table", "check").collect()
     if bad:
         lines = ", ".join(f"{r['table']}:{r['check']}={r['value']} ({r['outcome']})" for r in bad)
         raise QualityGateError(f"{label} gate failed: {len(bad)} check(s): {lines}")

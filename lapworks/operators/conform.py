@@ -58,3 +58,34 @@ def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -
     if size is not None and size <= limit_bytes:
         return F.broadcast(df)
     return df
+
+
+def hot_keys(fact: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding more than ``fraction`` of all rows: at most ``1/fraction`` rows,
+    a proven bound.  Lazy: a partial count per key plus a one-row total."""
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_t"))
+    return counts.crossJoin(F.broadcast(total)) \
+        .filter(F.col("_n") > F.col("_t") * F.lit(fraction)).select(key)
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,
+                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                   hot_fraction: float = 0.001) -> DataFrame:
+    """Fact-to-dimension equi-join on ``key`` (dimension unique on ``key``).
+
+    Small dimension (size estimate <= ``broadcast_limit``): a broadcast join.
+    Otherwise a hot key must not land whole in one shuffle task: the fact rows of
+    the hot keys (> ``hot_fraction`` of all rows, <= 1/hot_fraction keys) are
+    joined against a broadcast of just those keys' dimension rows, the remaining
+    fact rows go through a shuffle join, and the two disjoint parts are unioned.
+    ``how``: ``inner`` or ``left_anti``.
+    """
+    size = estimated_size(dim)
+    if size is not None and size <= broadcast_limit:
+        return fact.join(F.broadcast(dim), key, how)
+    hot = F.broadcast(hot_keys(fact, key, hot_fraction))
+    hot_fact = fact.join(hot, key, "left_semi")
+    cold_fact = fact.join(hot, key, "left_anti")
+    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
+    return hot_fact.join(hot_dim, key, how).unionByName(cold_fact.join(dim, key, how))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapworks.functions.columns import nan_to_null, safe_cast, trimmed
-from lapworks.operators.conform import dedupe, maybe_broadcast, ts_or_now
+from lapworks.operators.conform import DEFAULT_BROADCAST_LIMIT, dedupe, join_dimension, ts_or_now
 from lapworks.operators.schema import (DRIVERS_REQUIRED, ENRICHED_LAPS_CONTRACT, LAPS_REQUIRED,
                                        assert_columns)
 from lapworks.operators.validity import flag, lap_rules
@@ -41,15 +41,17 @@ def driver_dim(drivers: DataFrame) -> DataFrame:
 def enrich(laps: DataFrame, drivers: DataFrame, min_duration: float = 60.0, *,
            lap_type: str = "int", duration_type: str = "float", rules=None,
            reason_col: str | None = None, as_of=None,
-           broadcast_limit: int | None = None) -> DataFrame:
+           broadcast_limit: int | None = None, hot_fraction: float = 0.001) -> DataFrame:
     """Silver ``enriched_laps``: guard both inputs, retype, inner-join the deduped
-    driver dimension, flag validity (rows kept), project the contract."""
+    driver dimension (broadcast when small; hot drivers split off when not),
+    flag validity (rows kept), project the contract."""
     assert_columns(laps, LAPS_REQUIRED, "bronze.raw_laps")
     assert_columns(drivers, DRIVERS_REQUIRED, "bronze.raw_drivers")
     dim = driver_dim(drivers)
-    dim = maybe_broadcast(dim) if broadcast_limit is None else maybe_broadcast(dim, broadcast_limit)
     typed = retype(laps, lap_type, duration_type).select(*LAPS_REQUIRED)
-    joined = typed.join(dim, "driver_number", "inner")
+    joined = join_dimension(typed, dim, "driver_number", "inner",
+                            broadcast_limit=broadcast_limit or DEFAULT_BROADCAST_LIMIT,
+                            hot_fraction=hot_fraction)
     flagged = flag(joined, rules if rules is not None else lap_rules(min_duration),
                    reason_col=reason_col)
     cols = [c for c in ENRICHED_LAPS_CONTRACT if c != "processed_at"]
@@ -59,8 +61,9 @@ def enrich(laps: DataFrame, drivers: DataFrame, min_duration: float = 60.0, *,
 
 
 def unmatched(laps: DataFrame, drivers: DataFrame, *, lap_type: str = "int",
-              duration_type: str = "float") -> DataFrame:
+              duration_type: str = "float", broadcast_limit: int | None = None) -> DataFrame:
     """Laps the inner join drops (no driver row): a left-anti join on the trimmed key."""
     dim = driver_dim(drivers).select("driver_number")
-    return retype(laps, lap_type, duration_type).select(*LAPS_REQUIRED) \
-        .join(maybe_broadcast(dim), "driver_number", "left_anti")
+    return join_dimension(retype(laps, lap_type, duration_type).select(*LAPS_REQUIRED), dim,
+                          "driver_number", "left_anti",
+                          broadcast_limit=broadcast_limit or DEFAULT_BROADCAST_LIMIT)

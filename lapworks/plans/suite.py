@@ -239,6 +239,15 @@ def q_enrich_inner(spark, sf_dir):
     return silver_laps(spark, sf_dir).drop("processed_at")
 
 
+@register("enrich_hot_split", f"WITH {ENRICHED_CTE} SELECT * FROM enriched")
+def q_enrich_hot_split(spark, sf_dir):
+    """The large-dimension path forced on the test tables: drivers above 0.7 % of
+    all laps join a broadcast of their rows, the others a shuffle join."""
+    return laps.enrich(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir), td.MIN_DURATION,
+                       lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE, as_of=td.AS_OF,
+                       broadcast_limit=1, hot_fraction=0.007).drop("processed_at")
+
+
 @register("unmatched_laps", f"""WITH {ENRICHED_CTE}
 SELECT l.* FROM laps l WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_number = l.driver_number)""")
 def q_unmatched_laps(spark, sf_dir):

@@ -139,3 +139,33 @@ def test_summaries(spark):
     assert (r.total, r.dropped_pct) == (0, 0.0)
     r = validity.retention("x", spark.range(20), spark.range(20)).collect()[0]
     assert r.dropped_pct == 0.0
+
+
+def test_enrich_splits_a_hot_driver_when_the_dimension_is_not_broadcast(spark):
+    """A third of all laps on one driver and a dimension above the broadcast limit:
+    the hot driver's laps join a broadcast of its dimension row, the rest shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = 30000
+        lp = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("1")).otherwise((F.col("id") % 500).cast("string"))
+            .alias("driver_number"),
+            F.col("id").cast("int").alias("lap_number"), F.lit(90.0).alias("lap_duration"),
+            F.lit(False).alias("is_pit_out_lap"))
+        dr = spark.range(1, 500).select(F.col("id").cast("string").alias("driver_number"),
+                                        F.concat(F.lit("n"), F.col("id")).alias("full_name"),
+                                        F.lit("t").alias("team_name"),
+                                        F.lit(None).cast("string").alias("country_code"),
+                                        F.lit(None).cast("string").alias("headshot_url"))
+        out = laps.enrich(lp, dr, 60.0, duration_type="double", broadcast_limit=1)
+        rows = out.collect()
+        want = spark.range(n).filter((F.col("id") % 3 == 0) | (F.col("id") % 500 != 0)).count()
+        assert len(rows) == want
+        hot = spark.range(n).filter((F.col("id") % 3 == 0) | (F.col("id") % 500 == 1)).count()
+        assert sum(r.driver_number == "1" for r in rows) == hot
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "Union" in plan
+        miss = laps.unmatched(lp, dr, duration_type="double", broadcast_limit=1).collect()
+        assert len(miss) == n - want and {r.driver_number for r in miss} == {"0"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
