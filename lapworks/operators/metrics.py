@@ -9,6 +9,8 @@ Both windowed operators come in two physical forms with identical results:
   ordering, Spark's sampled bounds split even a single hot entity over many
   tasks; each range is ranked / windowed locally and the few rows whose
   result depends on an earlier range are fixed up from a bounded side table.
+* ``distributed="auto"`` (default) - the plain window only when Spark's size
+  estimate of the input is below ``SINGLE_TASK_LIMIT``, else the distributed form.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from lapworks.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def _pin(df: DataFrame) -> DataFrame:
-    """Materialise a frame keyed by ``spark_partition_id`` into the shared
-    checkpoint folder, so every consumer sees the same range assignment
-    (a re-run range exchange would sample new bounds)."""
+    """Materialise ``df`` once with a reliable checkpoint in the shared folder
+    (``spark.checkpoint.dir``): its consumers read the same rows - and the same
+    range assignment, for a frame keyed by ``spark_partition_id`` - without
+    recomputing the upstream plan, and a lost executor does not lose it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -93,8 +96,9 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
     keys are range-partitioned (balanced: no key repeats), numbered inside each
     range, and shifted by the number of keys of all earlier ranges; the offsets
     table has one row per range (<= ``num_ranges``), a proven bound, so it is
-    broadcast.  The input is checkpointed once (it is read twice).  The join back broadcasts the ranked keys only behind a size check,
-    otherwise it is a shuffle join that AQE's skew handling splits on hot keys.
+    broadcast.  The input is checkpointed once (it is read twice).  The join
+    back broadcasts the ranked keys only behind a size check, otherwise it is a
+    shuffle join that AQE's skew handling splits on hot keys.
     ``distributed="auto"`` picks the plain window only when the input's size
     estimate is under ``SINGLE_TASK_LIMIT``.
     """
@@ -115,8 +119,9 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
                  .withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*ksorts))))
     if not _exchange_reuse_on(df):
         local = _pin(local)
-    # Both consumers below read the same columns of ``local``, so their plans
-    # share one range exchange (one set of bounds).
+    # Both consumers below read the same columns of ``local`` (``_last`` only keeps
+    # the key columns in the sizes branch), so their plans share one range
+    # exchange: one set of bounds.
     sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"),
                                       F.max(F.struct(*knames)).alias("_last"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
