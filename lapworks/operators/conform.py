@@ -64,9 +64,8 @@ def hot_keys(fact: DataFrame, key: str, fraction: float) -> DataFrame:
     """Keys holding more than ``fraction`` of all rows: at most ``1/fraction`` rows,
     a proven bound.  Lazy: a partial count per key plus a one-row total."""
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_t"))
-    return counts.crossJoin(F.broadcast(total)) \
-        .filter(F.col("_n") > F.col("_t") * F.lit(fraction)).select(key)
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") > total * F.lit(fraction)).select(key)
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,

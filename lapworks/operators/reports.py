@@ -26,12 +26,11 @@ def speed_consistency(leaderboard: DataFrame) -> DataFrame:
 
 def pace_gap(standings: DataFrame, decimals: int = 3) -> DataFrame:
     """Each team's gap to the fastest team average.  The best average is a
-    one-row global aggregate, joined as a broadcast (a proven one-row bound)."""
-    best = standings.agg(F.min("avg_team_pace_s").alias("best_overall_pace"))
-    return (standings.crossJoin(F.broadcast(best))
+    scalar subquery over a global (partial) aggregate: one value, no join."""
+    best = standings.agg(F.min("avg_team_pace_s")).scalar()
+    return (standings
             .select("team_name", "avg_team_pace_s",
-                    F.round(F.col("avg_team_pace_s") - F.col("best_overall_pace"), decimals)
-                    .alias("pace_delta_s"))
+                    F.round(F.col("avg_team_pace_s") - best, decimals).alias("pace_delta_s"))
             .orderBy(F.col("pace_delta_s").asc()))
 
 

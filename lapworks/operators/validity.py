@@ -45,11 +45,11 @@ def validity_summary(df: DataFrame, flag_col: str = "is_valid_lap") -> DataFrame
 def retention(label: str, before: DataFrame, after: DataFrame) -> DataFrame:
     """``(label, total, kept, dropped, dropped_pct)``; pct 0.0 for an empty input, one decimal.
 
-    Two global counts (partial aggregates), joined as two one-row frames.
+    Two global counts (partial aggregates); the second is a scalar subquery.
     """
-    t = before.agg(F.count(F.lit(1)).alias("total"))
-    k = after.agg(F.count(F.lit(1)).alias("kept"))
-    out = t.crossJoin(k).withColumn("dropped", F.col("total") - F.col("kept"))
+    kept = after.agg(F.count(F.lit(1))).scalar()
+    out = before.agg(F.count(F.lit(1)).alias("total")) \
+        .select("total", kept.alias("kept")).withColumn("dropped", F.col("total") - F.col("kept"))
     pct = F.when(F.col("total") > 0,
                  F.round(F.col("dropped").cast("double") * 100.0 / F.col("total"), 1)).otherwise(F.lit(0.0))
     return out.select(F.lit(label).alias("label"), "total", "kept", "dropped", pct.alias("dropped_pct"))
