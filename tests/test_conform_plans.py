@@ -71,3 +71,10 @@ def test_rolling_distributed_plan_reuses_one_range_exchange(spark):
     df = metrics.rolling_mean(o, "o_totalprice", ["o_custkey"], ["o_orderkey"], out="r", distributed=True)
     text = _plan(df)
     assert text.count("rangepartitioning(o_custkey") >= 1 and "ReusedExchange" in text
+
+
+def test_cli_lists_queries(capsys):
+    from lapworks.__main__ import main
+    assert main(["queries"]) == 0
+    out = capsys.readouterr().out
+    assert "driver_leaderboard (oracle)" in out and "pipeline_status" in out
