@@ -28,6 +28,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local") and "spark.sql.warehouse.dir" not in (extra or {}):
+        # local runs only: keep managed tables out of the working directory
+        conf["spark.sql.warehouse.dir"] = os.environ.get("LAPWORKS_WAREHOUSE") or tempfile.mkdtemp(
+            prefix="lapworks-wh-", dir=os.environ.get("TMPDIR", "/tmp"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
