@@ -156,7 +156,7 @@ sessions_raw AS (
               ELSE 'Practice 1' END AS session_type,
          'Circuit ' || CAST(o_custkey AS VARCHAR) AS location,
          ' ' || o_orderpriority AS country_name,
-         year(o_orderdate) AS year,
+         CAST(year(o_orderdate) AS INTEGER) AS year,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS date_start,
          strftime(o_orderdate + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') AS date_end,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'Baku' ELSE 'Monza' END AS circuit_short_name,
