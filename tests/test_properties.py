@@ -1,0 +1,67 @@
+"""Distributed forms equal the plain windows on generated data and on a real table."""
+
+import os
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lapworks.operators import conform, metrics
+
+small = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(small, small), min_size=1, max_size=120),
+       ranges=st.integers(min_value=1, max_value=17))
+def test_dense_rank_property(spark, rows, ranges):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, a int, b int")
+    order = [("a", "asc"), ("b", "desc")]
+    want = {r.id: r.r for r in metrics.dense_rank(df, order, "r", distributed=False).collect()}
+    got = {r.id: r.r for r in metrics.dense_rank(df, order, "r", distributed=True, num_ranges=ranges).collect()}
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), small,
+                               st.integers(min_value=0, max_value=999)), min_size=1, max_size=150),
+       ranges=st.integers(min_value=1, max_value=13), width=st.integers(min_value=1, max_value=6))
+def test_rolling_property(spark, rows, ranges, width):
+    df = spark.createDataFrame([(k, o, v / 100.0) for k, o, v in rows], "k string, o int, v double")
+    key = lambda r: (r.k, r.o, r.v, r.r)
+    want = sorted(map(key, metrics.rolling_mean(df, "v", ["k"], ["o"], rows=width, out="r",
+                                                 distributed=False, avg_scale=2).collect()), key=str)
+    got = sorted(map(key, metrics.rolling_mean(df, "v", ["k"], ["o"], rows=width, out="r", distributed=True,
+                                                num_ranges=ranges, avg_scale=2).collect()), key=str)
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3), st.text("xyz", max_size=2)),
+                     min_size=1, max_size=80))
+def test_dedupe_property(spark, rows):
+    df = spark.createDataFrame(rows, "k int, ver int, s string")
+    got = {r.k: (r.ver, r.s) for r in conform.dedupe(df, "k", order="ver").collect()}
+    want = {}
+    for k, ver, s in rows:
+        if k not in want or (ver, s) > want[k]:
+            want[k] = (ver, s)
+    assert got == want
+
+
+SF01 = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF01), reason="sf0.1 tables not present")
+def test_rolling_on_lineitem_with_ties(spark):
+    """600k rows, 1,000 suppliers, (order, line) keys that repeat: both forms agree."""
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    kw = dict(rows=5, out="r", avg_scale=2)
+    plain = metrics.rolling_mean(li, "l_extendedprice", ["l_suppkey"], ["l_orderkey", "l_linenumber"],
+                                 distributed=False, **kw)
+    dist = metrics.rolling_mean(li, "l_extendedprice", ["l_suppkey"], ["l_orderkey", "l_linenumber"],
+                                distributed=True, num_ranges=64, **kw)
+    diff = plain.exceptAll(dist).count() + dist.exceptAll(plain).count()
+    assert diff == 0 and dist.count() == li.count()
