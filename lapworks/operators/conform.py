@@ -70,21 +70,28 @@ def hot_keys(fact: DataFrame, key: str, fraction: float) -> DataFrame:
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,
                    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                   hot_fraction: float = 0.001) -> DataFrame:
+                   hot_fraction: float = 0.001, salts: int | None = None) -> DataFrame:
     """Fact-to-dimension equi-join on ``key`` (dimension unique on ``key``).
 
     Small dimension (size estimate <= ``broadcast_limit``): a broadcast join.
-    Otherwise a hot key must not land whole in one shuffle task: the fact rows of
-    the hot keys (> ``hot_fraction`` of all rows, <= 1/hot_fraction keys) are
-    joined against a broadcast of just those keys' dimension rows, the remaining
-    fact rows go through a shuffle join, and the two disjoint parts are unioned.
-    ``how``: ``inner`` or ``left_anti``.
+    Otherwise one shuffle join on ``(key, salt)`` in which a hot key cannot land
+    whole in one task: keys holding more than ``hot_fraction`` of the fact rows
+    (<= 1/hot_fraction keys, found by a partial count of the key column) spread
+    their fact rows over ``salts`` salt values by a row hash, and only their
+    dimension rows are replicated once per salt (<= salts/hot_fraction rows);
+    every other key keeps salt 0.  ``how``: ``inner`` or ``left_anti``.
     """
     size = estimated_size(dim)
     if size is not None and size <= broadcast_limit:
         return fact.join(F.broadcast(dim), key, how)
-    hot = F.broadcast(hot_keys(fact, key, hot_fraction))
-    hot_fact = fact.join(hot, key, "left_semi")
-    cold_fact = fact.join(hot, key, "left_anti")
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    return hot_fact.join(hot_dim, key, how).unionByName(cold_fact.join(dim, key, how))
+    from lapworks.session import shuffle_partitions
+    n = salts or shuffle_partitions(fact.sparkSession)
+    hot = F.broadcast(hot_keys(fact, key, hot_fraction).withColumn("_hot", F.lit(True)))
+    cols = fact.columns
+    salted_fact = fact.join(hot, key, "left").select(
+        *cols, F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)))
+        .otherwise(F.lit(0)).cast("int").alias("_salt"))
+    salted_dim = dim.join(hot, key, "left").select(
+        *dim.columns, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1)))
+                                .otherwise(F.array(F.lit(0)))).alias("_salt"))
+    return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -242,7 +242,7 @@ def q_enrich_inner(spark, sf_dir):
 @register("enrich_hot_split", f"WITH {ENRICHED_CTE} SELECT * FROM enriched")
 def q_enrich_hot_split(spark, sf_dir):
     """The large-dimension path forced on the test tables: drivers above 0.7 % of
-    all laps join a broadcast of their rows, the others a shuffle join."""
+    all laps are salted over the join partitions, the others keep salt 0."""
     return laps.enrich(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir), td.MIN_DURATION,
                        lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE, as_of=td.AS_OF,
                        broadcast_limit=1, hot_fraction=0.007).drop("processed_at")
