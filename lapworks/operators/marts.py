@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapworks.operators.conform import ts_or_now
-from lapworks.operators.metrics import dense_rank, pace_columns, rolling_mean
+from lapworks.operators.metrics import (dense_rank, lower_median, pace_columns, rolling_mean,
+                                       use_distributed)
 from lapworks.operators.validity import valid_only
 
 
@@ -25,9 +26,21 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
                        distributed="auto", as_of=None, ordered: bool = True) -> DataFrame:
     """Per (driver, name, team) pace metrics over valid laps, dense-ranked on the
     *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie."""
-    agg = valid_only(laps).groupBy("driver_number", "full_name", "team_name").agg(
-        *pace_columns("lap_duration", "lap_number", decimals=decimals, accuracy=accuracy,
-                      avg_scale=avg_scale))
+    keys = ["driver_number", "full_name", "team_name"]
+    valid = valid_only(laps)
+    if use_distributed(valid, distributed):
+        # a hot driver must not funnel one quantile sketch per map task into one
+        # reduce task: exact lower median from a distributed histogram instead
+        cols = pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale,
+                            with_median=False)
+        med = lower_median(valid, keys, "lap_duration", "_med", distributed=True)
+        agg = valid.groupBy(*keys).agg(*cols).join(med, keys, "left").select(
+            *keys, "fastest_lap_s", "avg_lap_time_s",
+            F.round("_med", decimals).alias("median_lap_time_s"), "lap_consistency_s", "total_valid_laps")
+    else:
+        agg = valid.groupBy(*keys).agg(
+            *pace_columns("lap_duration", "lap_number", decimals=decimals, accuracy=accuracy,
+                          avg_scale=avg_scale))
     ranked = dense_rank(agg, [("avg_lap_time_s", "asc"), ("lap_consistency_s", "asc")],
                         "pace_rank", distributed=distributed)
     ranked = ranked.select(

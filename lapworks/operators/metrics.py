@@ -185,3 +185,41 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
     heads = edges.withColumn("_v", mean(across)).filter(F.col("_i") <= k)
     both = inner.select(*cols, "_v").unionByName(heads.select(*cols, "_v"))
     return both.withColumn(out, finish(F.col("_v"))).drop("_v")
+
+
+def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median", *,
+                 distributed="auto", num_ranges: int | None = None) -> DataFrame:
+    """Per group of ``keys``: the lower median of ``value`` (the element at rank
+    ceil(n/2) in ascending order, NULLs ignored) as ``(keys..., out)``.
+
+    This is what ``percentile_approx(value, 0.5, accuracy)`` returns while it is
+    exact (groups up to about ``accuracy`` rows); unlike the sketch it stays exact
+    for any group size and never merges one sketch per map task into one reduce
+    task for a hot group.  Built from a (group, value) histogram (a partial count);
+    the cumulative counts come from a window per group (plain form) or, for the
+    distributed form, from range partitions of the histogram, a running count per
+    (range, group) and per-group offsets over the ranges (<= ranges rows per group).
+    """
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    if not use_distributed(df, distributed):
+        w = Window.partitionBy(*keys).orderBy(value)
+        cum = hist.withColumns({
+            "_cum": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+            "_n": F.sum("_c").over(Window.partitionBy(*keys))})
+    else:
+        from lapworks.operators.conform import maybe_broadcast
+        n = num_ranges or shuffle_partitions(df.sparkSession)
+        local = _pin(hist.repartitionByRange(n, *keys, value)
+                         .withColumn("_pid", F.spark_partition_id()))
+        run = Window.partitionBy("_pid", *keys)
+        local = local.withColumn("_lc", F.sum("_c").over(
+            run.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
+        sizes = local.groupBy("_pid", *keys).agg(F.max("_lc").alias("_s"))
+        earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select("_pid", *keys, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
+                               F.sum("_s").over(Window.partitionBy(*keys)).alias("_n"))
+        cum = local.join(maybe_broadcast(offsets), ["_pid", *keys]) \
+            .withColumn("_cum", F.col("_lc") + F.col("_off"))
+    target = F.floor((F.col("_n") + 1) / 2)
+    return cum.filter((F.col("_cum") >= target) & (F.col("_cum") - F.col("_c") < target)) \
+        .select(*keys, F.col(value).alias(out))

@@ -427,6 +427,14 @@ def q_pace_median(spark, sf_dir):
         F.count(F.lit(1)).alias("n_lines"))
 
 
+@register("pace_median_distributed", """SELECT l_suppkey, round(quantile_disc(l_extendedprice, 0.5), 3)
+  AS median_price FROM lineitem GROUP BY l_suppkey""")
+def q_pace_median_distributed(spark, sf_dir):
+    li = td.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    med = metrics.lower_median(li, ["l_suppkey"], "l_extendedprice", "m", distributed=True)
+    return med.select("l_suppkey", F.round("m", 3).alias("median_price"))
+
+
 @register("pace_stddev", """SELECT l_suppkey, round(coalesce(stddev_samp(l_quantity), 0), 3) AS sd_quantity,
   round(min(l_quantity), 3) AS min_quantity FROM lineitem GROUP BY l_suppkey""")
 def q_pace_stddev(spark, sf_dir):

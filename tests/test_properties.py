@@ -65,3 +65,34 @@ def test_rolling_on_lineitem_with_ties(spark):
                                 distributed=True, num_ranges=64, **kw)
     diff = plain.exceptAll(dist).count() + dist.exceptAll(plain).count()
     assert diff == 0 and dist.count() == li.count()
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(0, 50))),
+                     min_size=1, max_size=150),
+       ranges=st.integers(min_value=1, max_value=11))
+def test_lower_median_property(spark, rows, ranges):
+    df = spark.createDataFrame(rows, "k string, v int")
+    want = {}
+    for k in {k for k, _ in rows}:
+        vals = sorted(v for kk, v in rows if kk == k and v is not None)
+        if vals:
+            want[k] = vals[(len(vals) + 1) // 2 - 1]
+    for dist in (False, True):
+        got = {r.k: r.m for r in metrics.lower_median(df, ["k"], "v", "m", distributed=dist,
+                                                      num_ranges=ranges).collect()}
+        assert got == want
+
+
+def test_lower_median_matches_percentile_approx_and_handles_a_hot_group(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [("hot", round(rnd.uniform(80, 120), 3)) for _ in range(20000)]
+    rows += [(f"g{i}", round(rnd.uniform(80, 120), 3)) for i in range(200) for _ in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "k string, v double")
+    med = {r.k: r.m for r in metrics.lower_median(df, ["k"], "v", "m", distributed=True, num_ranges=32).collect()}
+    approx = {r.k: r.m for r in df.groupBy("k").agg(F.percentile_approx("v", 0.5, 10000).alias("m")).collect()}
+    small = [k for k in approx if k != "hot"]
+    assert all(med[k] == approx[k] for k in small)
+    hot = sorted(v for k, v in rows if k == "hot")
+    assert med["hot"] == hot[(len(hot) + 1) // 2 - 1]            # exact for the big group
