@@ -209,11 +209,15 @@ def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
     else:
         from lapworks.operators.conform import maybe_broadcast
         n = num_ranges or shuffle_partitions(df.sparkSession)
-        local = _pin(hist.repartitionByRange(n, *keys, value)
-                         .withColumn("_pid", F.spark_partition_id()))
         run = Window.partitionBy("_pid", *keys)
-        local = local.withColumn("_lc", F.sum("_c").over(
-            run.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
+        local = (hist.repartitionByRange(n, *keys, value)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_lc", F.sum("_c").over(
+                         run.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))))
+        if not _exchange_reuse_on(df):
+            local = _pin(local)
+        # both consumers need keys, value and counts below the window, so their
+        # plans share one range exchange (one range assignment)
         sizes = local.groupBy("_pid", *keys).agg(F.max("_lc").alias("_s"))
         earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
         offsets = sizes.select("_pid", *keys, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
