@@ -707,6 +707,6 @@ _kind("dq_invalid_range", "part", [checks.Check("G1", "invalid_count", "=", 0, "
                                                 valid_min=1, valid_max=40)])
 _kind("dq_min_max", "supplier", [checks.Check("X1", "min", ">=", 0, "s_acctbal"),
                                  checks.Check("X2", "max", "<=", 9999.99, "s_acctbal")])
-_kind("dq_filtered", "events", [checks.Check("F1", "min", ">", 0, "value", filter="event_type = 'purchase'"),
-                                checks.Check("F2", "row_count", ">", 0, filter="event_type = 'purchase'"),
-                                checks.Check("F3", "max", "<=", 400, "value", filter="event_type = 'view'")])
+_kind("dq_filtered", "events", [checks.Check("FL1", "min", ">", 0, "value", filter="event_type = 'purchase'"),
+                                checks.Check("FL2", "row_count", ">", 0, filter="event_type = 'purchase'"),
+                                checks.Check("FL3", "max", "<=", 400, "value", filter="event_type = 'view'")])
