@@ -77,3 +77,18 @@ def test_rolling_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got == want
+
+
+def test_rank_and_median_without_exchange_reuse(spark):
+    df = spark.createDataFrame([(i, i % 7, (i * 37) % 11) for i in range(500)], "id int, a int, b int")
+    want_r = {r.id: r.r for r in metrics.dense_rank(df, ["a", ("b", "desc")], "r", distributed=False).collect()}
+    want_m = {r.a: r.m for r in metrics.lower_median(df, ["a"], "b", "m", distributed=False).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got_r = {r.id: r.r for r in metrics.dense_rank(df, ["a", ("b", "desc")], "r", distributed=True,
+                                                       num_ranges=9).collect()}
+        got_m = {r.a: r.m for r in metrics.lower_median(df, ["a"], "b", "m", distributed=True,
+                                                        num_ranges=9).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got_r == want_r and got_m == want_m
