@@ -2,9 +2,12 @@
 
 ``readStream`` picks up new payload files in the landing folder; each
 micro-batch is classified, exploded, typed with a fixed schema, normalised
-(sentinels, NaN, void, audit) and appended to the Bronze table.  The stream's
+(sentinels, NaN, void, audit) and written to the Bronze table.  The stream's
 checkpoint (offsets and commits) lives in the shared folder, so a restarted or
-re-run job ingests each file exactly once.
+re-run job ingests each file once; each batch's rows carry ``_batch`` (the batch
+id) and the write replaces only that batch's partition, so a batch replayed after
+a failure between its write and its commit replaces itself instead of appending
+twice.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from lapworks.operators import bronze
 from lapworks.sources import payloads
+from lapworks.sources.tables import write_table
 
 
 def ingest_stream(spark: SparkSession, landing: str, table: str, schema: StructType, checkpoint: str,
@@ -27,8 +31,8 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, schema: StructT
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         recs = payloads.to_columns(payloads.explode_records(batch), schema)
-        out = bronze.normalise(recs, race_location, as_of=as_of)
-        out.write.mode("append").format("parquet").saveAsTable(table)
+        out = bronze.normalise(recs, race_location, as_of=as_of).withColumn("_batch", F.lit(epoch_id))
+        write_table(out, table, partition_by="_batch", dynamic=True)
 
     q = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="30 seconds")

@@ -63,6 +63,15 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     (land / "p2.json").write_text(json.dumps([{"a": 3, "b": "y"}]))
     again = ingest_available(spark, str(land), "spark_catalog.st.raw", schema, ck)
     assert sorted(r.a for r in again.collect()) == [1, 2, 3]          # p0 not ingested twice
+    # a replayed batch replaces its own partition instead of appending again
+    from lapworks.operators import bronze as bz
+    from lapworks.sources import payloads as pl
+    from lapworks.sources.tables import write_table
+    replay = pl.to_columns(pl.explode_records(pl.read_landed(spark, str(land / "p2.json"))), schema)
+    write_table(bz.normalise(replay).withColumn("_batch", F.lit(1)), "spark_catalog.st.raw",
+                partition_by="_batch", dynamic=True)
+    spark.catalog.refreshTable("spark_catalog.st.raw")
+    assert sorted(r.a for r in spark.table("spark_catalog.st.raw").collect()) == [1, 2, 3]
 
 
 def test_rolling_without_exchange_reuse(spark):
