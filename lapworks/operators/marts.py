@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,29 @@ from lapworks.operators.metrics import (dense_rank, lower_median, pace_columns,
 from lapworks.operators.validity import valid_only
 
 
+@dataclass(frozen=True)
+class LapColumns:
+    """Input column names of a timed-event table; the defaults are the Silver laps."""
+    driver: str = "driver_number"
+    name: str = "full_name"
+    team: str = "team_name"
+    lap: str = "lap_number"
+    duration: str = "lap_duration"
+    valid: str = "is_valid_lap"
+
+
+LAPS = LapColumns()
+
+
+def conformed(events: DataFrame, cols: LapColumns = LAPS) -> DataFrame:
+    """Any timed-event table in the mart input shape (a projection; names only)."""
+    if cols == LAPS:
+        return events
+    return events.select(F.col(cols.driver).alias("driver_number"), F.col(cols.name).alias("full_name"),
+                         F.col(cols.team).alias("team_name"), F.col(cols.lap).alias("lap_number"),
+                         F.col(cols.duration).alias("lap_duration"), F.col(cols.valid).alias("is_valid_lap"))
+
+
 def _audit(season_year: int, as_of):
     return [ts_or_now(as_of).alias("generated_at"), F.lit(season_year).cast("int").alias("season_year")]
 
@@ -23,11 +48,12 @@ def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
 
 def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
                        accuracy: int = 10000, avg_scale: int | None = None,
-                       distributed="auto", as_of=None, ordered: bool = True) -> DataFrame:
+                       distributed="auto", as_of=None, ordered: bool = True,
+                       cols: LapColumns = LAPS) -> DataFrame:
     """Per (driver, name, team) pace metrics over valid laps, dense-ranked on the
     *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie."""
     keys = ["driver_number", "full_name", "team_name"]
-    valid = valid_only(laps)
+    valid = valid_only(conformed(laps, cols))
     if use_distributed(valid, distributed):
         # a hot driver must not funnel one quantile sketch per map task into one
         # reduce task: exact lower median from a distributed histogram instead
@@ -52,10 +78,10 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
 
 def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
                    avg_scale: int | None = None, distributed="auto",
-                   as_of=None, ordered: bool = True) -> DataFrame:
+                   as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Per team: best lap, lap-weighted average (not a mean of driver means), lap count;
     dense-ranked on (average asc, laps desc)."""
-    agg = valid_only(laps).groupBy("team_name").agg(
+    agg = valid_only(conformed(laps, cols)).groupBy("team_name").agg(
         *pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale,
                       with_median=False, with_stddev=False,
                       names={"min": "best_lap_s", "avg": "avg_team_pace_s"}))
@@ -69,10 +95,10 @@ def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
 def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimals: int = 3,
                     avg_scale: int | None = None, lap_type: str = "int",
                     partition_by=("driver_number",), distributed="auto",
-                    as_of=None, ordered: bool = True) -> DataFrame:
+                    as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Valid laps with the rolling mean of the last ``rows`` *valid* laps of the
     driver (the filter runs first, so gaps are skipped), ordered by name, lap."""
-    base = valid_only(laps).select("full_name", "team_name", "driver_number", "lap_number",
+    base = valid_only(conformed(laps, cols)).select("full_name", "team_name", "driver_number", "lap_number",
                                    "lap_duration", *[c for c in partition_by
                                                      if c not in ("driver_number",)])
     rolled = rolling_mean(base, "lap_duration", list(partition_by), ["lap_number"], rows=rows,

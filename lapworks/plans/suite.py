@@ -435,6 +435,40 @@ def q_pace_median_distributed(spark, sf_dir):
     return med.select("l_suppkey", F.round("m", 3).alias("median_price"))
 
 
+SUPPLIER_LB_SQL = f"""WITH src AS (
+  SELECT CAST(l.l_suppkey AS VARCHAR) AS driver_number, s.s_name AS full_name,
+         CAST(s.s_nationkey AS VARCHAR) AS team_name, l.l_linenumber AS lap_number,
+         l.l_extendedprice AS lap_duration, l.l_returnflag <> 'R' AS is_valid_lap
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey),
+agg AS (
+  SELECT driver_number, full_name, team_name, round(min(lap_duration), 3) AS fastest_lap_s,
+         {exact_avg_sql('lap_duration')} AS avg_lap_time_s,
+         round(quantile_disc(lap_duration, 0.5), 3) AS median_lap_time_s,
+         round(coalesce(stddev_samp(lap_duration), 0), 3) AS lap_consistency_s,
+         CAST(count(lap_number) AS INTEGER) AS total_valid_laps
+  FROM src WHERE is_valid_lap GROUP BY driver_number, full_name, team_name)
+SELECT CAST(dense_rank() OVER (ORDER BY avg_lap_time_s ASC NULLS FIRST,
+                               lap_consistency_s ASC NULLS FIRST) AS INTEGER) AS pace_rank,
+       full_name, team_name, driver_number, fastest_lap_s, avg_lap_time_s, median_lap_time_s,
+       lap_consistency_s, total_valid_laps, 2025 AS season_year FROM agg"""
+
+
+@register("supplier_leaderboard", SUPPLIER_LB_SQL)
+def q_supplier_leaderboard(spark, sf_dir):
+    """The leaderboard over another table of timed events: suppliers ranked by the
+    prices of their line items (returned lines flagged invalid); names are parameters."""
+    li = td.table(spark, sf_dir, "lineitem")
+    su = td.table(spark, sf_dir, "supplier")
+    ev = li.join(su, li.l_suppkey == su.s_suppkey).select(
+        F.col("l_suppkey").cast("string").alias("supplier"), "s_name",
+        F.col("s_nationkey").cast("string").alias("nation"), "l_linenumber", "l_extendedprice",
+        (F.col("l_returnflag") != "R").alias("kept"))
+    cols = marts.LapColumns(driver="supplier", name="s_name", team="nation", lap="l_linenumber",
+                            duration="l_extendedprice", valid="kept")
+    return marts.driver_leaderboard(ev, td.SEASON_YEAR, avg_scale=2, as_of=td.AS_OF, cols=cols) \
+        .drop("generated_at")
+
+
 @register("pace_stddev", """SELECT l_suppkey, round(coalesce(stddev_samp(l_quantity), 0), 3) AS sd_quantity,
   round(min(l_quantity), 3) AS min_quantity FROM lineitem GROUP BY l_suppkey""")
 def q_pace_stddev(spark, sf_dir):
