@@ -177,12 +177,14 @@ def check_results(spark: SparkSession, opts: Options, tables) -> DataFrame:
 
 
 def gate(spark: SparkSession, opts: Options, stage: str, tables) -> list[Status]:
+    """Run the tables' checks; ``rows`` of the status is the number of checks evaluated."""
     results = check_results(spark, opts, tables)
+    n = sum(len(opts.check_sets[t]) for t in tables)
     try:
         checks.gate(results, stage)
     except checks.QualityGateError as ex:
-        raise StageError(str(ex), [Status(stage, ",".join(tables), "failed", detail=str(ex)[:500])]) from ex
-    return [Status(stage, ",".join(tables), "ok")]
+        raise StageError(str(ex), [Status(stage, ",".join(tables), "failed", n, str(ex)[:500])]) from ex
+    return [Status(stage, ",".join(tables), "ok", n)]
 
 
 def run_gold(spark: SparkSession, opts: Options) -> list[Status]:

@@ -709,7 +709,40 @@ def q_stream_ingest(spark, sf_dir):
     return out.select(*EVENT_FIELDS)
 
 
-@register("pipeline_status")
+def _pipeline_status_sql() -> str:
+    """The stage table of ``pipeline_status``: the racing preset runs with its own
+    60 s minimum lap, so the Silver gate fails and the run halts there."""
+    enriched60 = ENRICHED_CTE.replace("WHEN l.lap_duration < 1.0 THEN false",
+                                      "WHEN l.lap_duration < 60.0 THEN false")
+    results = (checks_sql("silver.cleaned_sessions", "cleaned", presets.CLEANED_SESSIONS)
+               + "\nUNION ALL\n"
+               + checks_sql("silver.enriched_laps", "enriched_a", presets.ENRICHED_LAPS))
+    return f"""WITH {enriched60},
+enriched_a AS (SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS processed_at FROM enriched),
+{CLEANED_CTE.strip()},
+results AS ({results}),
+bad AS (SELECT * FROM results WHERE outcome <> 'pass'),
+msg AS (SELECT 'gate_silver gate failed: ' || CAST(count(*) AS VARCHAR) || ' check(s): '
+               || string_agg("table" || ':' || "check" || '=' || coalesce(CAST(value AS VARCHAR), 'None')
+                             || ' (' || outcome || ')', ', ' ORDER BY "table", "check") AS m FROM bad)
+SELECT 'bronze' AS stage, 'sessions' AS dataset, 'ok' AS status, count(*) AS rows,
+       CAST(NULL AS VARCHAR) AS detail FROM orders
+UNION ALL
+SELECT 'bronze', 'target_session', 'ok', 1, 'session_key=' || CAST(max(session_key) AS VARCHAR)
+FROM sessions_raw WHERE session_type = 'Race' AND circuit_short_name = 'Baku'
+UNION ALL SELECT 'bronze', 'laps', 'ok', count(*), NULL FROM events
+UNION ALL SELECT 'bronze', 'drivers', 'ok', count(*), NULL FROM customer
+UNION ALL SELECT 'silver', 'cleaned_sessions', 'ok', count(*), NULL FROM cleaned
+UNION ALL
+SELECT 'silver', 'enriched_laps', 'ok', count(*),
+       'valid=' || CAST(count_if(is_valid_lap) AS VARCHAR) || ' flagged='
+       || CAST(count_if(NOT is_valid_lap) AS VARCHAR) FROM enriched
+UNION ALL
+SELECT 'gate_silver', 'silver.cleaned_sessions,silver.enriched_laps', 'failed',
+       {len(presets.CLEANED_SESSIONS) + len(presets.ENRICHED_LAPS)}, left(m, 500) FROM msg"""
+
+
+@register("pipeline_status", _pipeline_status_sql())
 def q_pipeline_status(spark, sf_dir):
     """The five stages over the whole test tables with the racing preset checks;
     the Silver gate halts the run (test durations are far below 80 s)."""
