@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType, _parse_datatype_string
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -51,12 +51,19 @@ def infer_record_schema(records: DataFrame, rec_col: str = "rec") -> StructType:
 def to_columns(records: DataFrame, schema: StructType | None = None, rec_col: str = "rec",
                keep=("source", "pos")) -> DataFrame:
     """Typed columns from VARIANT records; nested lists / objects stay JSON text
-    (the Bronze stringify rule), scalars get their inferred type."""
+    (the Bronze stringify rule), scalars get their inferred type, and a field
+    whose scalar type differs between records becomes text."""
     schema = schema if schema is not None else infer_record_schema(records, rec_col)
     cols = []
     for f in schema.fields:
         path = "$['" + f.name.replace("'", "\\'") + "']"
-        if isinstance(f.dataType, (StructType, ArrayType, MapType)):
+        if isinstance(f.dataType, VariantType):
+            # mixed scalar types across records (e.g. 1 and "1"): text, as the JSON reader would
+            v = F.try_variant_get(F.col(rec_col), path, "variant")
+            text = F.coalesce(F.try_variant_get(F.col(rec_col), path, "string"), F.to_json(v))
+            cols.append(F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
+                        .otherwise(text).alias(f.name))
+        elif isinstance(f.dataType, (StructType, ArrayType, MapType)):
             cols.append(F.to_json(F.try_variant_get(F.col(rec_col), path, "variant")).alias(f.name))
         else:
             cols.append(F.try_variant_get(F.col(rec_col), path, f.dataType.simpleString()).alias(f.name))

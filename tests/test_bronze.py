@@ -92,3 +92,11 @@ def test_nan_average_is_fixed(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
     avg = bronze.nan_to_null(df).agg(F.avg("v")).first()[0]
     assert avg == 2.0 and not math.isnan(avg)
+
+
+def test_mixed_type_field_becomes_text(spark):
+    df = spark.createDataFrame([("a", '[{"x": 1, "n": 2}, {"x": "two", "n": 3}, {"x": null, "n": 4}]')],
+                               "source string, payload string")
+    out = payloads.to_columns(payloads.explode_records(df))
+    assert dict(out.dtypes)["x"] == "string" and dict(out.dtypes)["n"] == "bigint"
+    assert [r.x for r in out.orderBy("pos").collect()] == ["1", "two", None]
