@@ -64,7 +64,9 @@ def to_columns(records: DataFrame, schema: StructType | None = None, rec_col: st
             cols.append(F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
                         .otherwise(text).alias(f.name))
         elif isinstance(f.dataType, (StructType, ArrayType, MapType)):
-            cols.append(F.to_json(F.try_variant_get(F.col(rec_col), path, "variant")).alias(f.name))
+            v = F.try_variant_get(F.col(rec_col), path, "variant")
+            cols.append(F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
+                        .otherwise(F.to_json(v)).alias(f.name))
         else:
             cols.append(F.try_variant_get(F.col(rec_col), path, f.dataType.simpleString()).alias(f.name))
     return records.select(*keep, *cols)

@@ -100,3 +100,9 @@ def test_mixed_type_field_becomes_text(spark):
     out = payloads.to_columns(payloads.explode_records(df))
     assert dict(out.dtypes)["x"] == "string" and dict(out.dtypes)["n"] == "bigint"
     assert [r.x for r in out.orderBy("pos").collect()] == ["1", "two", None]
+
+
+def test_nested_null_stays_null(spark):
+    df = spark.createDataFrame([("a", '[{"seg": [1, 2]}, {"seg": null}, {}]')], "source string, payload string")
+    out = payloads.to_columns(payloads.explode_records(df)).orderBy("pos").collect()
+    assert [r.seg for r in out] == ["[1,2]", None, None]
