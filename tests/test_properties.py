@@ -96,3 +96,11 @@ def test_lower_median_matches_percentile_approx_and_handles_a_hot_group(spark):
     assert all(med[k] == approx[k] for k in small)
     hot = sorted(v for k, v in rows if k == "hot")
     assert med["hot"] == hot[(len(hot) + 1) // 2 - 1]            # exact for the big group
+
+
+def test_distributed_operators_on_empty_input(spark):
+    df = spark.createDataFrame([], "k string, o int, v double")
+    assert metrics.dense_rank(df, ["v"], "r", distributed=True).count() == 0
+    assert metrics.rolling_mean(df, "v", ["k"], ["o"], out="r", distributed=True).count() == 0
+    assert metrics.lower_median(df, ["k"], "v", "m", distributed=True).count() == 0
+    assert conform.join_dimension(df, df.select("k", F.col("v").alias("w")), "k", broadcast_limit=1).count() == 0
