@@ -8,7 +8,12 @@ from dataclasses import dataclass, field
 # Fixed values that must equal the original pipeline's behaviour:
 # layer names, season, target round and session type, fetch policy
 # (3 attempts, 5 s apart, 30 s timeout), minimum credible lap of 60 s,
-# median accuracy 10000, rolling window of 5 laps, 3-decimal rounding.
+# median accuracy 10000, rolling window of 5 laps, 3-decimal rounding,
+# the session types kept in Silver and the texts that mean "no value".
+SESSION_TYPES_KEPT = ("RACE", "QUALIFYING")
+NULL_SENTINELS = ("None", "nan", "NaN")
+
+
 @dataclass(frozen=True)
 class Settings:
     catalog: str = "spark_catalog"
@@ -26,8 +31,8 @@ class Settings:
     rolling_laps: int = 5
     decimals: int = 3
     base_url: str = "https://api.openf1.org/v1"
-    session_types_kept: tuple = ("RACE", "QUALIFYING")
-    null_sentinels: tuple = ("None", "nan", "NaN")
+    session_types_kept: tuple = SESSION_TYPES_KEPT
+    null_sentinels: tuple = NULL_SENTINELS
     extra: dict = field(default_factory=dict)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
+from lapworks.config import NULL_SENTINELS
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -33,7 +35,7 @@ def parse_timestamp(c) -> Column:
     return F.try_to_timestamp(_c(c).cast("string"))
 
 
-def null_if_sentinel(c, sentinels=("None", "nan", "NaN")) -> Column:
+def null_if_sentinel(c, sentinels=NULL_SENTINELS) -> Column:
     """Exact (case-sensitive, untrimmed) sentinel text -> NULL."""
     col = _c(c)
     return F.when(col.isin(*sentinels), F.lit(None).cast("string")).otherwise(col)

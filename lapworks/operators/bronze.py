@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, MapType, NullType, StringType,
                                StructType)
 
+from lapworks.config import NULL_SENTINELS
 from lapworks.functions.columns import nan_to_null as _nan_expr
 from lapworks.functions.columns import null_if_sentinel
 from lapworks.operators.conform import ts_or_now
 
 
-def null_sentinels(df: DataFrame, sentinels=("None", "nan", "NaN")) -> DataFrame:
+def null_sentinels(df: DataFrame, sentinels=NULL_SENTINELS) -> DataFrame:
     """In string columns only: exact sentinel text -> NULL (one select, not a column loop)."""
     return df.select(*[
         null_if_sentinel(f.name, sentinels).alias(f.name) if isinstance(f.dataType, StringType)
@@ -52,7 +53,7 @@ def stamp(df: DataFrame, race_location: str | None = None, *, as_of=None) -> Dat
 
 
 def normalise(df: DataFrame, race_location: str | None = None, *, as_of=None,
-              sentinels=("None", "nan", "NaN")) -> DataFrame:
+              sentinels=NULL_SENTINELS) -> DataFrame:
     """Full Bronze step: stringify nested, sentinels -> NULL, NaN -> NULL, void -> string, audit."""
     out = void_to_string(nan_to_null(null_sentinels(stringify_complex(df), sentinels)))
     return stamp(out, race_location, as_of=as_of)

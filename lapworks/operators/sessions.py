@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapworks.config import SESSION_TYPES_KEPT
 from lapworks.functions.columns import parse_timestamp, safe_cast, trimmed, upper_trimmed
 from lapworks.operators.conform import dedupe, ts_or_now
 from lapworks.operators.schema import SESSIONS_REQUIRED, assert_columns
 
 
-def clean(bronze: DataFrame, pipeline_year: int, *, keep_types=("RACE", "QUALIFYING"),
+def clean(bronze: DataFrame, pipeline_year: int, *, keep_types=SESSION_TYPES_KEPT,
           id_type: str = "int", as_of=None) -> DataFrame:
     """Normalise first, filter on the normalised values, project, then dedupe.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lapworks.config import SESSION_TYPES_KEPT
 from lapworks.operators.checks import Check
 
 VALID = "is_valid_lap = true"
@@ -13,7 +14,7 @@ CLEANED_SESSIONS = [
     Check("CS2", "row_count", ">=", 2),
     Check("CS3", "missing_count", "=", 0, "session_id"),
     Check("CS4", "duplicate_count", "=", 0, "session_id"),
-    Check("CS5", "invalid_count", "=", 0, "session_type", valid_values=("RACE", "QUALIFYING")),
+    Check("CS5", "invalid_count", "=", 0, "session_type", valid_values=SESSION_TYPES_KEPT),
     Check("CS6", "missing_count", "=", 0, "start_time"),
     Check("CS7", "missing_count", "=", 0, "end_time"),
     Check("CS8", "missing_count", "=", 0, "processed_at"),
