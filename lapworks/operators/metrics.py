@@ -19,16 +19,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapworks.functions.columns import exact_avg
-from lapworks.session import ensure_checkpoint_dir, shuffle_partitions
+from lapworks.session import materialize, shuffle_partitions
 
 
 def _pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once with a reliable checkpoint in the shared folder
-    (``spark.checkpoint.dir``): its consumers read the same rows - and the same
-    range assignment, for a frame keyed by ``spark_partition_id`` - without
-    recomputing the upstream plan, and a lost executor does not lose it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` once (reliable checkpoint in ``spark.checkpoint.dir``): its
+    consumers read the same rows - and the same range assignment, for a frame keyed
+    by ``spark_partition_id`` - without recomputing the upstream plan."""
+    return materialize(df)
 
 
 # Below this optimizer size estimate a single-task window is cheap; above it the

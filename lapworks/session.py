@@ -70,3 +70,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared folder (a reliable ``checkpoint``):
+    later actions read the stored rows instead of recomputing the plan, and a
+    lost executor does not lose them (unlike a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -173,8 +173,10 @@ def fetch_records(spark: SparkSession, urls, *, transport: str = "http", schema=
                   max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
     """URLs (a list or a ``url`` DataFrame) -> typed records ``(url, pos, fields...)``.
 
-    Fetching runs in the tasks; with ``require_all`` a dataset with any URL that
-    did not return a list fails (``FetchFailed``), like a failed single request.
+    Fetching runs in the tasks, once: the fetched payloads are checkpointed to the
+    shared folder before they are checked and parsed.  With ``require_all`` a
+    dataset with any URL that did not return a list fails (``FetchFailed``), like a
+    failed single request.
     ``partitions`` spreads a large manifest over that many fetch tasks.
     """
     from pyspark.sql import functions as F
@@ -184,8 +186,11 @@ def fetch_records(spark: SparkSession, urls, *, transport: str = "http", schema=
         spark.createDataFrame([(u,) for u in urls], "url string")
     if partitions:
         manifest = manifest.repartition(partitions)
-    fetched = fetch_manifest(manifest, transport=transport, max_retries=max_retries,
-                             delay_s=delay_s, timeout_s=timeout_s)
+    # fetched once: the payloads are stored in the shared folder, so the checks,
+    # the schema inference and every later action read them instead of re-fetching
+    from lapworks.session import materialize
+    fetched = materialize(fetch_manifest(manifest, transport=transport, max_retries=max_retries,
+                                         delay_s=delay_s, timeout_s=timeout_s))
     if require_all:
         bad = fetched.filter(F.col("outcome") != "ok").select("url", "outcome").limit(5).collect()
         if bad:

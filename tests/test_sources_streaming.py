@@ -101,3 +101,13 @@ def test_rank_and_median_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got_r == want_r and got_m == want_m
+
+
+def test_fetch_records_fetches_each_url_once(spark, tmp_path):
+    from lapworks.sources.rest import fetch_records
+    page = tmp_path / "p.json"
+    page.write_text(json.dumps([{"a": 1}, {"a": 2}]))
+    recs = fetch_records(spark, [f"file://{page}"], transport="file")
+    page.write_text(json.dumps([{"a": 99}]))            # the source changes after the fetch
+    assert recs.isEmpty() is False
+    assert sorted(r.a for r in recs.collect()) == [1, 2]  # later actions read the stored payloads
