@@ -329,6 +329,18 @@ def q_ingest_audit(spark, sf_dir):
     return out.withColumn("ingested_at", F.col("ingested_at").cast("string"))
 
 
+@register("stringify_nested", """SELECT event_id,
+  to_json({'type': event_type, 'user': user_id})::VARCHAR AS who,
+  to_json([user_id, event_id])::VARCHAR AS ids, props FROM events""")
+def q_stringify_nested(spark, sf_dir):
+    """Nested columns Spark derives from the events (a struct, an integer array)
+    stringified as JSON; scalar columns are left as they are."""
+    e = td.table(spark, sf_dir, "events").select(
+        "event_id", F.struct(F.col("event_type").alias("type"), F.col("user_id").alias("user")).alias("who"),
+        F.array("user_id", "event_id").alias("ids"), "props")
+    return bronze.stringify_complex(e)
+
+
 @register("stringify_complex")
 def q_stringify_complex(spark, sf_dir):
     return bronze.stringify_complex(td.table(spark, sf_dir, "embeddings"))
