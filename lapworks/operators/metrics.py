@@ -117,11 +117,9 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
                  .withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*ksorts))))
     if not _exchange_reuse_on(df):
         local = _pin(local)
-    # Both consumers below read the same columns of ``local`` (``_last`` only keeps
-    # the key columns in the sizes branch), so their plans share one range
-    # exchange: one set of bounds.
-    sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"),
-                                      F.max(F.struct(*knames)).alias("_last"))
+    # Both consumers below need the keys below the window (its ordering), so their
+    # plans share one range exchange: one set of bounds (see docs/PLANS.md).
+    sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off"))
     ranked = local.join(F.broadcast(offsets), "_pid") \
