@@ -157,8 +157,8 @@ sessions_raw AS (
          'Circuit ' || CAST(o_custkey AS VARCHAR) AS location,
          ' ' || o_orderpriority AS country_name,
          CAST(year(o_orderdate) AS INTEGER) AS year,
-         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS date_start,
-         strftime(o_orderdate + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') AS date_end,
+         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS date_start,
+         strftime(o_orderdate + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS date_end,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'Baku' ELSE 'Monza' END AS circuit_short_name,
          o_orderkey AS pos
   FROM orders)"""
@@ -167,15 +167,15 @@ CLEANED_CTE = SESSIONS_RAW_CTE + """,
 cleaned AS (
   SELECT CAST(session_key AS BIGINT) AS session_id, trim(session_name) AS session_name,
          upper(trim(session_type)) AS session_type, location, trim(country_name) AS country_name,
-         CAST(date_start AS TIMESTAMP) AS start_time, CAST(date_end AS TIMESTAMP) AS end_time,
+         CAST(date_start AS TIMESTAMPTZ) AS start_time, CAST(date_end AS TIMESTAMPTZ) AS end_time,
          CAST(year AS INTEGER) AS year, TIMESTAMP '2025-01-01 00:00:00' AS processed_at,
          2025 AS pipeline_year
   FROM sessions_raw
   WHERE upper(trim(session_type)) IN ('RACE', 'QUALIFYING') AND session_key IS NOT NULL
-    AND TRY_CAST(date_start AS TIMESTAMP) IS NOT NULL)"""
+    AND TRY_CAST(date_start AS TIMESTAMPTZ) IS NOT NULL)"""
 
 CLEANED_OUT_SQL = """SELECT session_id, session_name, session_type, location, country_name,
-       CAST(start_time AS VARCHAR) AS start_time, CAST(end_time AS VARCHAR) AS end_time,
+       CAST(epoch(start_time) AS BIGINT) AS start_epoch, CAST(epoch(end_time) AS BIGINT) AS end_epoch,
        year, pipeline_year FROM cleaned"""
 
 
@@ -186,8 +186,8 @@ def cleaned_sessions(spark, sf_dir, raw=None):
 
 def _sessions_out(df):
     return df.select("session_id", "session_name", "session_type", "location", "country_name",
-                     F.col("start_time").cast("string").alias("start_time"),
-                     F.col("end_time").cast("string").alias("end_time"), "year", "pipeline_year")
+                     F.unix_timestamp("start_time").alias("start_epoch"),
+                     F.unix_timestamp("end_time").alias("end_epoch"), "year", "pipeline_year")
 
 
 @register("sessions_clean", f"WITH {CLEANED_CTE} {CLEANED_OUT_SQL}")

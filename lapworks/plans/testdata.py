@@ -56,9 +56,16 @@ def bronze_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _iso_utc(ntz):
+    """ISO text with a ``Z`` offset from a wall-clock (NTZ) value, independent of the
+    session time zone (``date_format`` would pass through the session zone)."""
+    return F.concat(F.regexp_replace(ntz.cast("string"), " ", "T"), F.lit("Z"))
+
+
 def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as raw session payload rows: ISO text dates, untrimmed / mixed-case
-    type text, padded names; ``pos`` is the payload position (the order key)."""
+    """Orders as raw session payload rows: ISO text dates in UTC (``...Z``, as list
+    endpoints send them), untrimmed / mixed-case type text, padded names; ``pos``
+    is the payload position (the order key)."""
     o = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
     stype = F.when(status == "F", F.lit(STATUS_TO_TYPE["F"])) \
@@ -72,8 +79,8 @@ def bronze_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Circuit "), F.col("o_custkey").cast("string")).alias("location"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("country_name"),
         F.year(start).alias("year"),
-        F.date_format(start, "yyyy-MM-dd'T'HH:mm:ss").alias("date_start"),
-        F.date_format(start + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss").alias("date_end"),
+        _iso_utc(start).alias("date_start"),
+        _iso_utc(start + F.expr("INTERVAL 2 HOURS")).alias("date_end"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Baku"))
          .otherwise(F.lit("Monza")).alias("circuit_short_name"),
         F.col("o_orderkey").alias("pos"),
