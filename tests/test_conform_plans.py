@@ -1,7 +1,6 @@
 """Drift guard messages, deterministic dedupe, size-checked broadcast, and plan shape."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lapworks.operators import conform, metrics
 from lapworks.operators.schema import SchemaDriftError, assert_columns, missing_columns

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lapworks.operators import marts, metrics, reports
@@ -150,3 +149,11 @@ def test_rolling_hot_run_of_null_order_values(spark):
     tb = df.withColumn("_tb", F.xxhash64("k", "i", "v")).repartitionByRange(24, "k", "i", "_tb") \
         .withColumn("p", F.spark_partition_id()).filter(F.col("i").isNull())
     assert tb.select("p").distinct().count() > 4
+
+
+def test_top1_reports_break_ties_by_name(spark):
+    rows = [("2", "Zed", "T1", 1, 90.0, True), ("1", "Abe", "T2", 1, 90.0, True),
+            ("3", "Kim", "T3", 1, 91.0, True)]
+    df = spark.createDataFrame(rows, SILVER_DDL.replace("float", "double"))
+    assert reports.fastest_driver(marts.driver_leaderboard(df, 2025)).collect()[0].full_name == "Abe"
+    assert reports.top_team(marts.team_standings(df, 2025)).collect()[0].team_name == "T1"
