@@ -94,7 +94,8 @@ def http_transport(url: str, timeout_s: float) -> Response:
     import urllib.request
     try:
         with urllib.request.urlopen(url, timeout=timeout_s) as r:  # noqa: S310
-            return Response(r.status, r.read().decode("utf-8"))
+            # non-HTTP schemes (file:) carry no status: a readable body is a 200
+            return Response(getattr(r, "status", None) or 200, r.read().decode("utf-8"))
     except urllib.error.HTTPError as e:
         return Response(e.code, None)
     except (socket.timeout, TimeoutError) as e:

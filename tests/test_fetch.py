@@ -91,3 +91,13 @@ def test_file_transport(tmp_path):
     p.write_text("[1, 2]")
     assert file_transport(f"file://{p}", 1).status == 200
     assert file_transport(str(tmp_path / "missing.json"), 1).status == 404
+
+
+def test_urllib_transport_offline(tmp_path):
+    from lapworks.sources.rest import http_transport
+    p = tmp_path / "page.json"
+    p.write_text("[3]")
+    r, _ = run(lambda url, t: http_transport(f"file://{p}", t))
+    assert (r.outcome, json.loads(r.payload)) == ("ok", [3])
+    r, _ = run(lambda url, t: http_transport(f"file://{tmp_path}/missing.json", t))
+    assert r.outcome == "exhausted"                 # an unreachable resource is a transport error

@@ -111,3 +111,17 @@ def test_fetch_records_fetches_each_url_once(spark, tmp_path):
     page.write_text(json.dumps([{"a": 99}]))            # the source changes after the fetch
     assert recs.isEmpty() is False
     assert sorted(r.a for r in recs.collect()) == [1, 2]  # later actions read the stored payloads
+
+
+def test_fetch_records_spreads_a_manifest(spark, tmp_path):
+    from lapworks.sources.rest import FetchFailed, fetch_records
+    urls = []
+    for i in range(12):
+        p = tmp_path / f"p{i}.json"
+        p.write_text(json.dumps([{"i": i, "j": k} for k in range(3)]))
+        urls.append(f"file://{p}")
+    recs = fetch_records(spark, urls, transport="file", partitions=4)
+    assert recs.count() == 36 and recs.select("i").distinct().count() == 12
+    import pytest
+    with pytest.raises(FetchFailed, match="client_error"):
+        fetch_records(spark, urls + [f"file://{tmp_path}/none.json"], transport="file")
