@@ -104,3 +104,20 @@ def test_distributed_operators_on_empty_input(spark):
     assert metrics.rolling_mean(df, "v", ["k"], ["o"], out="r", distributed=True).count() == 0
     assert metrics.lower_median(df, ["k"], "v", "m", distributed=True).count() == 0
     assert conform.join_dimension(df, df.select("k", F.col("v").alias("w")), "k", broadcast_limit=1).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF01), reason="sf0.1 tables not present")
+def test_distributed_leaderboard_equals_plain_on_lineitem(spark):
+    """600k rows, 1,000 suppliers: histogram median + distributed rank = sketch + window."""
+    from lapworks.operators import marts
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    su = spark.read.parquet(f"{SF01}/supplier.parquet")
+    ev = li.join(su, li.l_suppkey == su.s_suppkey).select(
+        F.col("l_suppkey").cast("string").alias("driver_number"), F.col("s_name").alias("full_name"),
+        F.col("s_nationkey").cast("string").alias("team_name"), F.col("l_linenumber").alias("lap_number"),
+        F.col("l_extendedprice").alias("lap_duration"), (F.col("l_returnflag") != "R").alias("is_valid_lap"))
+    kw = dict(avg_scale=2, as_of="2025-01-01 00:00:00")
+    plain = marts.driver_leaderboard(ev, 2025, distributed=False, **kw)
+    dist = marts.driver_leaderboard(ev, 2025, distributed=True, **kw)
+    assert plain.exceptAll(dist).count() == 0 and dist.exceptAll(plain).count() == 0
+    assert dist.count() == 1000
