@@ -67,3 +67,14 @@ def unmatched(laps: DataFrame, drivers: DataFrame, *, lap_type: str = "int",
     return join_dimension(retype(laps, lap_type, duration_type).select(*LAPS_REQUIRED), dim,
                           "driver_number", "left_anti",
                           broadcast_limit=broadcast_limit or DEFAULT_BROADCAST_LIMIT)
+
+
+def cast_failures(laps: DataFrame, lap_type: str = "int", duration_type: str = "float") -> DataFrame:
+    """One pass, one row: per retyped column, how many present values did not
+    survive the cast (bad text becomes NULL instead of failing the job)."""
+    def lost(col: str, to: str):
+        return F.count_if(F.col(col).isNotNull() & safe_cast(col, to).isNull())
+    return laps.agg(lost("lap_number", lap_type).alias("lap_number_failed"),
+                    lost("lap_duration", duration_type).alias("lap_duration_failed"),
+                    lost("is_pit_out_lap", "boolean").alias("is_pit_out_lap_failed"),
+                    F.count(F.lit(1)).alias("rows"))

@@ -225,6 +225,15 @@ def q_retype_laps(spark, sf_dir):
     return laps.retype(td.bronze_laps(spark, sf_dir), td.LAP_TYPE, td.DURATION_TYPE)
 
 
+@register("cast_failures", """SELECT CAST(count_if(event_id IS NOT NULL AND TRY_CAST(event_id AS BIGINT) IS NULL)
+  AS BIGINT) AS lap_number_failed,
+  CAST(count_if(value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) AS BIGINT) AS lap_duration_failed,
+  CAST(count_if(event_type IS NOT NULL AND TRY_CAST(event_type = 'error' AS BOOLEAN) IS NULL) AS BIGINT)
+  AS is_pit_out_lap_failed, count(*) AS rows FROM events""")
+def q_cast_failures(spark, sf_dir):
+    return laps.cast_failures(td.bronze_laps(spark, sf_dir), td.LAP_TYPE, td.DURATION_TYPE)
+
+
 @register("driver_dim_dedupe", """SELECT trim(CAST(c_custkey AS VARCHAR)) AS driver_number,
   trim(c_name) AS full_name, trim(c_mktsegment) AS team_name,
   CAST(c_nationkey AS VARCHAR) AS country_code, 'img/' || CAST(c_custkey AS VARCHAR) AS headshot_url

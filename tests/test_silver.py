@@ -172,3 +172,10 @@ def test_enrich_splits_a_hot_driver_when_the_dimension_is_not_broadcast(spark):
         assert len(miss) == n - want and {r.driver_number for r in miss} == {"0"}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cast_failures_counted(spark):
+    lp = spark.createDataFrame([("1", "1", "90.5", "true"), ("1", "x", "fast", "maybe"), ("1", None, None, None)],
+                               "driver_number string, lap_number string, lap_duration string, is_pit_out_lap string")
+    r = laps.cast_failures(lp).collect()[0]
+    assert (r.lap_number_failed, r.lap_duration_failed, r.is_pit_out_lap_failed, r.rows) == (1, 1, 1, 3)
