@@ -77,3 +77,10 @@ def test_cli_lists_queries(capsys):
     assert main(["queries"]) == 0
     out = capsys.readouterr().out
     assert "driver_leaderboard (oracle)" in out and "pipeline_status" in out
+
+
+def test_assert_columns_on_a_frame_without_columns(spark):
+    empty = spark.range(1).select()
+    with pytest.raises(SchemaDriftError) as ex:
+        assert_columns(empty, ["a", "b"], "t")
+    assert "['a', 'b']" in str(ex.value) and "Available: []" in str(ex.value)

@@ -156,3 +156,16 @@ def test_pipeline_from_landed_payloads(spark, tmp_path):
     assert set(status.values()) == {"ok"}, status
     lb = spark.table("spark_catalog.gold.driver_performance_metrics")
     assert lb.count() == 14 and lb.agg({"total_valid_laps": "min"}).first()[0] == 29
+
+
+def test_read_warns_and_write_logs_counts(spark, tmp_path, caplog):
+    import logging
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS io_l LOCATION '{tmp_path}/io_l.db'")
+    with caplog.at_level(logging.INFO, logger="lapworks.tables"):
+        res = write_table(spark.range(7), "spark_catalog.io_l.seven")
+        write_table(spark.range(0), "spark_catalog.io_l.none")
+        read_table(spark, "spark_catalog.io_l.none", on_empty="warn")
+    assert res["rows"] == 7
+    text = caplog.text
+    assert "spark_catalog.io_l.seven" in text and "'rows': 7" in text
+    assert "io_l.none is empty" in text
