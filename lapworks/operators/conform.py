@@ -51,6 +51,23 @@ def estimated_size(df: DataFrame) -> int | None:
         return None
 
 
+def estimated_input_size(df: DataFrame) -> int | None:
+    """Sum of the size estimates of the plan's leaves (the data it reads), or None.
+
+    Without cost-based statistics Spark estimates an inner join as the *product*
+    of its sides; for fact-to-dimension joins on unique keys the output cannot
+    exceed what is read, so this is the tighter bound there."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            size = leaves.apply(i).stats().sizeInBytes()
+            total += int(size if isinstance(size, int) else str(size.toString()))
+        return total
+    except Exception:
+        return None
+
+
 def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast only when the estimated size is below ``limit_bytes``;
     otherwise leave the join to Catalyst / AQE (shuffle join, skew-join splitting)."""

@@ -36,11 +36,13 @@ SINGLE_TASK_LIMIT = 64 * 1024 * 1024
 
 
 def use_distributed(df: DataFrame, distributed) -> bool:
+    """``auto``: distributed unless the smaller of Spark's plan estimate and the
+    sum of the plan's leaf sizes (what it reads) is under ``SINGLE_TASK_LIMIT``."""
     if distributed != "auto":
         return bool(distributed)
-    from lapworks.operators.conform import estimated_size
-    size = estimated_size(df)
-    return size is None or size > SINGLE_TASK_LIMIT
+    from lapworks.operators.conform import estimated_input_size, estimated_size
+    sizes = [s for s in (estimated_size(df), estimated_input_size(df)) if s is not None]
+    return not sizes or min(sizes) > SINGLE_TASK_LIMIT
 
 
 def _exchange_reuse_on(df: DataFrame) -> bool:
