@@ -84,3 +84,13 @@ def test_assert_columns_on_a_frame_without_columns(spark):
     with pytest.raises(SchemaDriftError) as ex:
         assert_columns(empty, ["a", "b"], "t")
     assert "['a', 'b']" in str(ex.value) and "Available: []" in str(ex.value)
+
+
+def test_cli_pipeline_reports_a_halted_run(spark, tmp_path, capsys):
+    import os
+    from lapworks.__main__ import main
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("test tables not present")
+    code = main(["pipeline", "--sf-dir", "/root/testdata/sf0.001", "--location", str(tmp_path / "wh")])
+    out = capsys.readouterr().out
+    assert code == 1 and "gate_silver" in out and "target_session" in out
