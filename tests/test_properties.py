@@ -121,3 +121,18 @@ def test_distributed_leaderboard_equals_plain_on_lineitem(spark):
     dist = marts.driver_leaderboard(ev, 2025, distributed=True, **kw)
     assert plain.exceptAll(dist).count() == 0 and dist.exceptAll(plain).count() == 0
     assert dist.count() == 1000
+
+
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
+@given(facts=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abcdefg")), st.integers(0, 9)),
+                      min_size=1, max_size=200),
+       dims=st.sets(st.sampled_from("abcdefh"), max_size=7),
+       fraction=st.sampled_from([0.01, 0.2, 0.6]), salts=st.integers(min_value=1, max_value=9))
+def test_salted_join_equals_broadcast_join(spark, facts, dims, fraction, salts):
+    fact = spark.createDataFrame(facts, "k string, x int")
+    dim = spark.createDataFrame([(d, d.upper()) for d in sorted(dims)] or [("zz", "ZZ")], "k string, name string")
+    for how in ("inner", "left_anti"):
+        want = sorted(map(tuple, fact.join(F.broadcast(dim), "k", how).collect()), key=str)
+        got = sorted(map(tuple, conform.join_dimension(fact, dim, "k", how, broadcast_limit=0,
+                                                       hot_fraction=fraction, salts=salts).collect()), key=str)
+        assert got == want
