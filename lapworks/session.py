@@ -78,3 +78,22 @@ def materialize(df):
     lost executor does not lose them (unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def recommended_conf(input_bytes: int, cores: int, *, shuffle_target: int = 200 << 20,
+                     scan_split: int = 256 << 20) -> dict:
+    """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.
+
+    Shuffle partitions aim at ~200 MB each (a multiple of the slots, at least one
+    wave); scans split at 256 MB; AQE coalesces towards 128 MB and treats a
+    partition five times the median and above 512 MB as skewed.  The distributed
+    rank / rolling / median use the shuffle partitions as their number of ranges.
+    """
+    waves = max(1, -(-input_bytes // (shuffle_target * max(cores, 1))))
+    return {
+        "spark.sql.shuffle.partitions": str(max(cores, 1) * waves),
+        "spark.sql.files.maxPartitionBytes": str(scan_split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }

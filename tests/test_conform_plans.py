@@ -94,3 +94,12 @@ def test_cli_pipeline_reports_a_halted_run(spark, tmp_path, capsys):
     code = main(["pipeline", "--sf-dir", "/root/testdata/sf0.001", "--location", str(tmp_path / "wh")])
     out = capsys.readouterr().out
     assert code == 1 and "gate_silver" in out and "target_session" in out
+
+
+def test_recommended_conf_scales_with_input():
+    from lapworks.session import recommended_conf
+    small = recommended_conf(10 << 20, 8)
+    big = recommended_conf(100 * (1 << 40), 8000)           # 100 TB on 8,000 slots
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    parts = int(big["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and (100 * (1 << 40)) / parts <= 200 << 20
