@@ -17,6 +17,7 @@ from lapworks.plans import suite  # noqa: E402
 from lapworks.session import build_session  # noqa: E402
 
 NAMES = ["driver_leaderboard", "driver_leaderboard_distributed", "lap_progression_distributed",
+         "lap_progression_hot_driver",
          "enrich_hot_split", "dense_rank_distributed", "pace_median_distributed", "dq_results_laps",
          "pace_gap", "rest_source"]
 KEEP = re.compile(r"(Exchange|Join|Aggregate|Window|Union|Scan|Reused|Sort \[|TakeOrdered|MapInPandas|Subquery)")
