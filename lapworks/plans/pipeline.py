@@ -235,3 +235,26 @@ def run_all(spark: SparkSession, fetchers, opts: Options) -> DataFrame:
             break
     return spark.createDataFrame([(s.stage, s.dataset, s.status, s.rows, s.detail) for s in statuses],
                                  STATUS_SCHEMA)
+
+
+def report_datasets(spark: SparkSession, opts: Options, *, full_name: str | None = None,
+                    team_name: str | None = None) -> dict[str, DataFrame]:
+    """The report datasets over the written Gold tables (what a dashboard reads)."""
+    from lapworks.operators import reports
+    lb = read_table(spark, opts.name("gold", "driver_performance_metrics"), on_empty="raise")
+    st = read_table(spark, opts.name("gold", "constructor_standings"), on_empty="raise")
+    pg = read_table(spark, opts.name("gold", "lap_progression"), on_empty="raise")
+    filters = {"full_name": full_name, "team_name": team_name}
+    return {
+        "fastest_driver": reports.fastest_driver(lb),
+        "top_team": reports.top_team(st),
+        "speed_consistency": reports.speed_consistency(lb),
+        "pace_gap": reports.pace_gap(st),
+        "race_trace": reports.race_trace(pg, full_name, team_name),
+        "driver_facets": reports.facet_counts(pg, "full_name", filters),
+        "team_facets": reports.facet_counts(pg, "team_name", filters),
+        "fastest_by_driver": reports.widget_sum(lb, "full_name", "fastest_lap_s"),
+        "pace_by_team": reports.widget_sum(st, "team_name", "avg_team_pace_s"),
+        "trace_by_driver_lap": reports.widget_sum(pg, ["full_name", "lap_number"], "rolling_avg_5lap_s"),
+        "preview": reports.preview(pg.orderBy("full_name", "lap_number"), 20),
+    }

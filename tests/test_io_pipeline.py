@@ -69,6 +69,11 @@ def test_pipeline_all_stages_pass(spark, tmp_path):
     assert laps_row.rows == 480 and laps_row.detail == "valid=468 flagged=12"   # one pass with the write
     lb = spark.table("spark_catalog.gold.driver_performance_metrics")
     assert lb.count() == 12 and spark.table("spark_catalog.gold.constructor_standings").count() == 5
+    ds = pipeline.report_datasets(spark, opts, team_name="Ferrari")
+    gap = ds["pace_gap"].collect()
+    assert len(gap) == 5 and gap[0].pace_delta_s == 0.0
+    assert {r.team_name for r in ds["race_trace"].collect()} == {"Ferrari"}
+    assert ds["preview"].count() == 20 and ds["fastest_driver"].count() == 1
 
 
 def test_pipeline_seasonal_gold(spark, tmp_path):
