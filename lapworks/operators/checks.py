@@ -102,7 +102,7 @@ def run_checks(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     dups = [c for c in checks if c.metric == "duplicate_count"]
     parts = []
     if single:
-        agg = df.agg(*[metric_column(c).cast("double").alias(f"m{i}") for i, c in enumerate(single)])
+        agg = df.agg(*[metric_column(c).try_cast("double").alias(f"m{i}") for i, c in enumerate(single)])
         pairs = F.array(*[F.struct(F.lit(c.name).alias("check"), F.col(f"m{i}").alias("value"))
                           for i, c in enumerate(single)])
         parts.append(agg.select(F.inline(pairs)))
@@ -111,7 +111,7 @@ def run_checks(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     spec = spark.createDataFrame(
         [(table, c.name, c.metric, c.column, c.filter, None, c.op, float(c.threshold), None)
          for c in checks], RESULT_SCHEMA).drop("value", "outcome")
-    joined = F.broadcast(spec).join(values, "check", "left")
+    joined = spec.join(F.broadcast(values), "check", "left")      # one row per check on both sides
     outcome = F.when(F.col("value").isNull(), F.lit("error"))
     for op in OPS:
         outcome = outcome.when((F.col("op") == op) & _compare(F.col("value"), op, F.col("threshold")),

@@ -59,3 +59,8 @@ def test_bad_spec():
         Check("x", "min", "~", 0, "c")
     with pytest.raises(ValueError):
         Check("x", "min", "=", 0)
+
+
+def test_min_max_of_a_text_column_is_an_error_not_a_crash(spark):
+    got = outcomes(spark, [Check("mk", "min", ">=", 0, "kind")])
+    assert got["mk"] == (None, "error")
