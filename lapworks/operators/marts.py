@@ -105,7 +105,7 @@ def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimal
                           out="rolling_avg_5lap_s", decimals=decimals, avg_scale=avg_scale,
                           distributed=distributed)
     out = rolled.select(
-        "full_name", "team_name", "driver_number", F.col("lap_number").cast(lap_type).alias("lap_number"),
+        "full_name", "team_name", "driver_number", F.col("lap_number").try_cast(lap_type).alias("lap_number"),
         F.round("lap_duration", decimals).alias("lap_duration_s"), "rolling_avg_5lap_s",
         *_audit(season_year, as_of))
     return _order(out, ordered, "full_name", "lap_number")

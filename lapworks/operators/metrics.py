@@ -73,7 +73,9 @@ def pace_columns(value: str = "lap_duration", count_col: str = "lap_number", *,
         cols.append(F.round(F.percentile_approx(value, 0.5, accuracy), decimals).alias(n["median"]))
     if with_stddev:
         cols.append(F.round(F.coalesce(F.stddev(value), F.lit(0)), decimals).alias(n["stddev"]))
-    cols.append(F.count(count_col).cast("int").alias(n["count"]))
+    # int is the contract; a count past 2^31 becomes NULL (never wraps), which the
+    # missing_count checks then fail closed
+    cols.append(F.count(count_col).try_cast("int").alias(n["count"]))
     return cols
 
 
@@ -104,7 +106,7 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
     """
     spec = _sort_spec(order)
     if not use_distributed(df, distributed):
-        return df.withColumn(out, F.dense_rank().over(Window.orderBy(*[c for _, c in spec])).cast("int"))
+        return df.withColumn(out, F.dense_rank().over(Window.orderBy(*[c for _, c in spec])).try_cast("int"))
     from lapworks.operators.conform import maybe_broadcast
     n = num_ranges or shuffle_partitions(df.sparkSession)
     # The input is read twice (keys, join back): materialise it once instead of
@@ -125,7 +127,7 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off"))
     ranked = local.join(F.broadcast(offsets), "_pid") \
-        .select(*knames, (F.col("_lr") + F.col("_off")).cast("int").alias(out))
+        .select(*knames, (F.col("_lr") + F.col("_off")).try_cast("int").alias(out))
     ranked = maybe_broadcast(ranked)
     cond = [df[name].eqNullSafe(ranked[k]) for (name, _), k in zip(spec, knames)]
     return df.join(ranked, cond, "inner").drop(*knames)
