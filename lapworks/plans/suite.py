@@ -672,6 +672,7 @@ import uuid  # noqa: E402
 
 from pyspark.sql.types import StructType as _ST  # noqa: E402
 
+from lapworks.config import DEFAULT  # noqa: E402
 from lapworks.plans import pipeline  # noqa: E402
 from lapworks.session import shared_dir  # noqa: E402
 from lapworks.sources import manifest as manifest_src  # noqa: E402
@@ -737,13 +738,13 @@ def q_rest_fetch_status(spark, sf_dir):
 
 @register("endpoint_manifest", f"""WITH {CLEANED_CTE}
 SELECT e.dataset, c.session_id AS key,
-       'https://api.openf1.org/v1/' || e.pre || CAST(c.session_id AS VARCHAR) || e.post AS url
+       '{DEFAULT.base_url}/' || e.pre || CAST(c.session_id AS VARCHAR) || e.post AS url
 FROM cleaned c CROSS JOIN (VALUES ('drivers', 'drivers?session_key=', ''),
                                   ('laps', 'laps?session_key=', ''),
                                   ('telemetry', 'car_data?session_key=', '&speed>250')) e(dataset, pre, post)""")
 def q_endpoint_manifest(spark, sf_dir):
     keys = cleaned_sessions(spark, sf_dir).select(F.col("session_id").alias("session_key"))
-    return manifest_src.endpoint_manifest(keys, "https://api.openf1.org/v1")
+    return manifest_src.endpoint_manifest(keys, DEFAULT.base_url)
 
 
 @register("table_roundtrip", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
