@@ -103,3 +103,20 @@ def test_recommended_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     parts = int(big["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and (100 * (1 << 40)) / parts <= 200 << 20
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("test tables not present")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_RUNS="1", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(root, "bench.py"), "pace_gap"], env=env,
+                         capture_output=True, text=True, timeout=600).stdout.strip().splitlines()
+    assert len(out) == 1
+    line = json.loads(out[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(line) and line["unit"] == "sec"
+    assert set(line["queries"]) == {"pace_gap"} and line["sf"] == "0.001"
