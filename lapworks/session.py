@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,7 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None:
         d = d or sc.getCheckpointDir()
         if not d:
-            # Unset (local runs and tests only): take a scratch folder of our own.
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            # Unset, one process (local runs and tests): take a scratch folder of our own.
             d = tempfile.mkdtemp(prefix="lapworks-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
@@ -68,6 +71,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    The sources are zipped once per Spark application and distributed by
+    ``addPyFile``; a cluster needs no installed copy and no PYTHONPATH.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lapworks_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lapworks-src-"), "lapworks_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in sorted(os.walk(here)):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.join("lapworks", os.path.relpath(full, here)))
+    sc.addPyFile(path)
+    sc._lapworks_shipped = True
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
