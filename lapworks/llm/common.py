@@ -37,6 +37,13 @@ def id_out(col: str | Column) -> Column:
     return F.when(c != NULL_ID, c)
 
 
+def doc_key(id_col: str, text_col: str) -> Column:
+    """The id, or for a null one a number from 2**62 on, drawn from the text: rows
+    without id are one document per distinct text, after those with (small) ids."""
+    drawn = F.lit(1 << 62) + F.call_function("shiftrightunsigned", F.xxhash64(text_col), F.lit(2))
+    return F.coalesce(F.col(id_col).cast("long"), drawn)
+
+
 def position(df: DataFrame, keys: list[str], order: list[str], out: str, salt: Column) -> DataFrame:
     """Gapless number from 0 of each row among those of its ``keys``.
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lapworks.llm import exact_dedup, mixing, packing, sharding, substring
+from lapworks.llm import exact_dedup, jaccard, mixing, packing, sharding, substring
 
 QUERIES = {
     "op1_substring_dedup": substring.query,
     "op2_mix_sources": mixing.query,
     "op5_pack": packing.query,
     "op6_shard": sharding.query,
+    "op8_ngram_jaccard_join": jaccard.query,
     "op10_exact_dedup": exact_dedup.query,
 }
-ORACLE = {"op10_exact_dedup": exact_dedup.ORACLE}
+ORACLE = {"op8_ngram_jaccard_join": jaccard.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapworks.llm import words
-from lapworks.llm.common import NULL_ID, prepare, table
+from lapworks.llm.common import doc_key, prepare, table
 
 WIDTH = 20
 PERIOD = 13
@@ -136,14 +136,14 @@ def _windows(batches):
 
 
 def _cut(batches):
-    """``_id, n_words, n_removed, kept_sha256, kept`` from ``_id, text, window starts``."""
+    """``doc_id, n_words, n_removed, kept_sha256, kept`` from ``_id, text, window starts,
+    doc_id``."""
     for b in batches:
-        ids = words.ids_of(b.column(0))
         buf, off = words.buffers(b.column(1))
         flat, lists = _positions(b.column(2))
         raw = memoryview(buf)
         n_words, removed, sha, kept = [], [], [], []
-        for k in range(len(ids)):
+        for k in range(b.num_rows):
             ws = bytes(raw[off[k]:off[k + 1]]).split()
             n_words.append(len(ws))
             marks = flat[lists[k]:lists[k + 1]]
@@ -158,9 +158,9 @@ def _cut(batches):
             kept.append(b" ".join(ws))
             sha.append(hashlib.sha256(kept[-1]).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha),
+            [b.column(3), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha),
              pa.array(kept, pa.binary()).cast(pa.string())],
-            ["_id", "n_words", "n_removed", "kept_sha256", "kept"])
+            ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
 
 def _by_document(rows: DataFrame) -> DataFrame:
@@ -175,13 +175,12 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Windows are judged on the input, not on what is left.  Null text: no words.  Ids are
     expected to be unique; rows that repeat an id count as one document and share their
     positions, so equal rows give equal results and none goes because of the other.
-    Null ids sort before all others, among themselves by a hash of the text.  Texts under ``WIDTH`` words stay whole.  Other
+    Null ids sort after all others, among themselves by a hash of the text.  Texts under ``WIDTH`` words stay whole.  Other
     columns are not read.  Window keys have 96 bits.
     """
     prepare(docs.sparkSession)
-    unnamed = F.lit(NULL_ID) + F.call_function("shiftrightunsigned", F.xxhash64(text_col), F.lit(2))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), unnamed).alias("_id"),
-                        F.col(text_col).cast("string").alias("_t"))
+    texts = docs.select(doc_key(id_col, text_col).alias("_id"), F.col(text_col).cast("string").alias("_t"),
+                        F.col(id_col).cast("long").alias("doc_id"))
     anchors = texts.mapInArrow(_anchors, "key long, _id long, pos int, state byte")
     same = Window.partitionBy("key")
     open_ = F.when(F.col("state") < AGAIN, F.lit(1))
@@ -194,9 +193,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     first = F.min(F.when(F.col("state") < AGAIN, F.struct("_id", "pos"))).over(order)
     later = windows.withColumn("_first", first) \
         .filter((F.col("state") == AGAIN) | (F.struct("_id", "pos") != F.col("_first"))).select("_id", "pos")
-    cut = texts.join(_by_document(later), "_id", "left").select("_id", "_t", "_pos") \
-        .mapInArrow(_cut, "_id long, n_words long, n_removed long, kept_sha256 string, kept string")
-    return cut.select(F.when(F.col("_id") >= NULL_ID // 2, F.col("_id")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept")
+    return texts.join(_by_document(later), "_id", "left").select("_id", "_t", "_pos", "doc_id") \
+        .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
 def query(spark, sf_dir):

@@ -11,11 +11,11 @@ from conftest_llm import ODD, fold, rows, words
 from lapworks.llm import exact_dedup, mixing, packing, sharding, substring, tokens
 from lapworks.llm.common import components
 
-SMALLEST = -(1 << 63)
+LARGEST = 1 << 62
 
 
 def _key(i):
-    return SMALLEST if i is None else i
+    return LARGEST if i is None else i
 
 
 # ------------------------------------------------------------------ substring dedup
