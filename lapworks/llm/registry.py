@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from lapworks.llm import exact_dedup, jaccard, mixing, packing, sharding, substring
+from lapworks.llm import (exact_dedup, jaccard, mixing, neighbours, packing, pii, rollup, sharding, substring,
+                          toxicity)
 
 QUERIES = {
     "op1_substring_dedup": substring.query,
     "op2_mix_sources": mixing.query,
+    "op3_permutation_index": neighbours.query,
+    "op4_toxicity": toxicity.query,
     "op5_pack": packing.query,
     "op6_shard": sharding.query,
+    "op7_token_rollup": rollup.query,
     "op8_ngram_jaccard_join": jaccard.query,
+    "op9_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
 }
-ORACLE = {"op8_ngram_jaccard_join": jaccard.ORACLE, "op10_exact_dedup": exact_dedup.ORACLE}
+ORACLE = {
+    "op8_ngram_jaccard_join": jaccard.ORACLE,
+    "op9_pii": pii.ORACLE,
+    "op10_exact_dedup": exact_dedup.ORACLE,
+}
