@@ -1,4 +1,61 @@
-"""placeholder"""
-STAGES = []
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage reads all that its predecessor kept; its result is written to the cluster's
+shared folder and read again, so a lost executor costs at most one stage's work.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from lapworks.llm import exact_dedup, jaccard, mixing, packing, toxicity
+from lapworks.llm.common import prepare, table
+from lapworks.session import shared_dir
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents predicted toxic go (classifier fitted on the labels beside them)."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_exact_copies(spark, docs, sf_dir):
+    """Of equal texts (but for A-Z case) the one with the smallest id stays."""
+    return exact_dedup.drop_copies(docs, keep="smallest")
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """Of each group that word 5-grams link at a Jaccard of 0.8, the smallest id stays."""
+    return jaccard.one_per_component(docs)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Sources at their target weights: documents repeated, left out, one a source cut."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark, docs, sf_dir):
+    """Token ids of the mix in sequences of 4096."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# Not expressible: a fitted classifier, hashed sampling keys, byte-pair encoding.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark, sf_dir):
+    prepare(spark)
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{i}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
