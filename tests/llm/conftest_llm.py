@@ -31,7 +31,7 @@ ODD = [
     (9, PASSAGE + " " + PASSAGE, "fr", "c", 9), (10, "x " * 45, "fr", "c", 9),
     (11, LONG + " more", "en", "d", 9), (12, "É é ß Σ́ 漢字 <|endoftext|> don't 12ab34 İ", "de", "d", 9),
     (13, "z" * 70_000, "de", "é", 9), (14, "zero\x00byte \x1c odd\x85space", "de", "é", 9),
-    (4, "One two THREE", "en", "b", 13), (None, "no id " + PASSAGE, "en", "a", 9), (None, "one two three", "en", "a", 1),
+    (4, "One two THREE", "en", "b", 13), (8, "head " + PASSAGE + " tail of eight", "en", "b", 9), (None, "no id " + PASSAGE, "en", "a", 9), (None, "one two three", "en", "a", 1),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 

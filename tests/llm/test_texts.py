@@ -60,11 +60,16 @@ def test_substring(spark, docs, odd, empty):
     assert substring.remove_repeats(empty).count() == 0
 
 
-def test_substring_small_chunks(docs, monkeypatch):
-    monkeypatch.setattr(substring, "CHUNK", 500)     # local workers: shipped functions read the default
-    key = substring._local(*[__import__("numpy").array(x) for x in ([5, 5, 7],)], None,
-                           *[__import__("numpy").array(x) for x in ([2, 1, 3], [0, 4, 9])])
-    assert key[2].tolist() == [1, 2, 3] and key[4].tolist() == [substring.FIRST, substring.AGAIN, substring.ALONE]
+def test_substring_packing():
+    import numpy as np
+    key, _, ids, pos, state = substring._compare(*[np.array(x) for x in ([5, 5, 7, 5],)], None,
+                                                 *[np.array(x) for x in ([2, 1, 3, 1], [0, 4, 9, 4])])
+    assert ids.tolist() == [1, 2, 3] and state.tolist() == [substring.FIRST, substring.AGAIN, substring.ALONE]
+    for v in ([-5, 3, 1 << 31], [-(1 << 63), (1 << 63) - 1], [7]):
+        v = np.array(v, dtype=np.int64)
+        assert substring._large(*substring._small(v), len(v)).tolist() == v.tolist()
+    for v in ([0, 65535], [0, 65536]):
+        assert substring._pos_in(substring._pos_out(np.array(v)), 2).tolist() == v
 
 
 # ------------------------------------------------------------------ exact dedup
