@@ -47,14 +47,12 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     classes = hashed.groupBy("_h", "_t").agg(stays.alias("_keep"), F.count(F.lit(1)).alias("_n"))
     # the group's text is not needed any more: narrow rows, one per distinct text
     groups = materialize(classes.select("_h", "_keep", "_n"))
-    alone = groups.groupBy("_h").agg(F.count(F.lit(1)).alias("_texts"), F.first("_keep").alias("_keep"),
-                                     F.first("_n").alias("_n"))
     rows = hashed.select("_id", "_sha", "_h")
-    clash = alone.filter("_texts > 1").select("_h")
+    clash = groups.groupBy("_h").agg(F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("_h")
     if clash.isEmpty():
-        out = rows.join(alone.drop("_texts"), "_h")
+        out = rows.join(groups, "_h")       # both sides straight from their shuffle: AQE can split a hot hash
     else:
-        single = rows.join(alone.filter("_texts = 1").drop("_texts"), "_h")
+        single = rows.join(groups.join(clash, "_h", "left_anti"), "_h")
         mixed = hashed.join(clash, "_h", "left_semi").select("_id", "_sha", "_h", "_t") \
             .join(classes.join(clash, "_h", "left_semi"), ["_h", "_t"]).drop("_t")
         out = single.unionByName(mixed)
@@ -64,7 +62,7 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                keep: str = "largest") -> DataFrame:
+                keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per distinct
     normalised text (of rows that repeat the kept id with the same text, any one)."""
     stay = exact_groups(docs, id_col=id_col, text_col=text_col, keep=keep).filter("kept") \
