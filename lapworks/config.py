@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 # Fixed values that must equal the original pipeline's behaviour:
 # layer names, season, target round and session type, fetch policy
 # (3 attempts, 5 s apart, 30 s timeout), minimum credible lap of 60 s,
-# median accuracy 10000, rolling window of 5 laps, 3-decimal rounding,
+# rolling window of 5 laps, 3-decimal rounding,
 # the session types kept in Silver and the texts that mean "no value".
 SESSION_TYPES_KEPT = ("RACE", "QUALIFYING")
 NULL_SENTINELS = ("None", "nan", "NaN")
@@ -16,7 +16,6 @@ NULL_SENTINELS = ("None", "nan", "NaN")
 
 @dataclass(frozen=True)
 class Settings:
-    catalog: str = "spark_catalog"
     bronze: str = "bronze"
     silver: str = "silver"
     gold: str = "gold"
@@ -27,13 +26,11 @@ class Settings:
     retry_delay_s: float = 5.0
     request_timeout_s: float = 30.0
     min_lap_duration_s: float = 60.0
-    median_accuracy: int = 10000
     rolling_laps: int = 5
     decimals: int = 3
     base_url: str = "https://api.openf1.org/v1"
     session_types_kept: tuple = SESSION_TYPES_KEPT
     null_sentinels: tuple = NULL_SENTINELS
-    extra: dict = field(default_factory=dict)
 
 
 DEFAULT = Settings()

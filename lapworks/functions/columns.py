@@ -50,6 +50,10 @@ def round_to(c, decimals: int = 3) -> Column:
     return F.round(_c(c), decimals)
 
 
+# Decimals that a value keeps in an exact average: far below what 3 decimals of a mean show.
+EXACT_SCALE = 9
+
+
 def exact_avg(c, scale: int, decimals: int = 3) -> Column:
     """Average rounded HALF_UP to ``decimals`` computed on exact decimals.
 

@@ -1,4 +1,4 @@
-"""Conforming helpers: ordered (deterministic) dedupe, audit stamps, size-checked broadcast."""
+"""Conforming helpers: ordered (deterministic) dedupe, audit stamps, dimension joins."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast a join side only when the optimizer's size estimate is below this.
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
 def dedupe(df: DataFrame, keys, order=None, keep: str = "max") -> DataFrame:
     """One row per ``keys``: the row with the largest (``keep='max'``) or smallest
     ``order`` tuple, ties broken by the remaining columns, so the pick is
@@ -33,6 +29,17 @@ def dedupe(df: DataFrame, keys, order=None, keep: str = "max") -> DataFrame:
                         for c in df.columns])
 
 
+# Columns that say which of two versions of a row is the later one, most telling first.
+RECENCY = ("_ingested", "_position")
+
+
+def recency(df: DataFrame) -> list[Column]:
+    """The input's ``ingested_at`` and payload position ``pos``, as far as it has them,
+    under names that a projection can carry up to its dedupe."""
+    have = dict(zip(("ingested_at", "pos"), RECENCY))
+    return [F.col(c).alias(a) for c, a in have.items() if c in df.columns]
+
+
 def ts_or_now(as_of) -> Column:
     """Audit timestamp: a fixed ``as_of`` (reproducible runs) or ``current_timestamp()``."""
     if as_of is None:
@@ -42,41 +49,6 @@ def ts_or_now(as_of) -> Column:
     return F.to_timestamp(F.lit(str(as_of)))
 
 
-def estimated_size(df: DataFrame) -> int | None:
-    """Optimizer size estimate in bytes (an upper-bound style estimate), or None."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else str(size.toString()))
-    except Exception:  # Spark Connect or no statistics: unknown
-        return None
-
-
-def estimated_input_size(df: DataFrame) -> int | None:
-    """Sum of the size estimates of the plan's leaves (the data it reads), or None.
-
-    Without cost-based statistics Spark estimates an inner join as the *product*
-    of its sides; for fact-to-dimension joins on unique keys the output cannot
-    exceed what is read, so this is the tighter bound there."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            size = leaves.apply(i).stats().sizeInBytes()
-            total += int(size if isinstance(size, int) else str(size.toString()))
-        return total
-    except Exception:
-        return None
-
-
-def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimated size is below ``limit_bytes``;
-    otherwise leave the join to Catalyst / AQE (shuffle join, skew-join splitting)."""
-    size = estimated_size(df)
-    if size is not None and size <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def hot_keys(fact: DataFrame, key: str, fraction: float) -> DataFrame:
     """Keys holding more than ``fraction`` of all rows: at most ``1/fraction`` rows,
     a proven bound.  Lazy: a partial count per key plus a one-row total."""
@@ -86,29 +58,37 @@ def hot_keys(fact: DataFrame, key: str, fraction: float) -> DataFrame:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner", *,
-                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                   hot_fraction: float = 0.001, salts: int | None = None) -> DataFrame:
-    """Fact-to-dimension equi-join on ``key`` (dimension unique on ``key``).
-
-    Small dimension (size estimate <= ``broadcast_limit``): a broadcast join.
-    Otherwise one shuffle join on ``(key, salt)`` in which a hot key cannot land
-    whole in one task: keys holding more than ``hot_fraction`` of the fact rows
-    (<= 1/hot_fraction keys, found by a partial count of the key column) spread
-    their fact rows over ``salts`` salt values by a row hash, and only their
-    dimension rows are replicated once per salt (<= salts/hot_fraction rows);
-    every other key keeps salt 0.  ``how``: ``inner`` or ``left_anti``.
+                   split_hot: bool = False, hot_fraction: float = 0.001, salts: int | None = None) -> DataFrame:
+    """Fact-to-dimension equi-join on ``key`` (dimension unique on ``key``), ``how``
+    ``inner`` or ``left_anti``.
+
+    Fact rows without a key meet nothing: an inner join drops them before the shuffle, an
+    anti join passes them by it, so they are never dealt into one task.  The join itself is
+    Catalyst's choice (AQE broadcasts a dimension it has measured and splits skewed
+    partitions); nothing forces a broadcast on an estimate.
+
+    ``split_hot``: a shuffle join on ``(key, salt)`` for facts whose hot keys are known to
+    be too much for one task.  Keys with more than ``hot_fraction`` of the fact rows
+    (<= 1/hot_fraction keys, by a partial count) spread their rows over ``salts`` values by
+    a row hash; only their dimension rows are replicated once per salt.
     """
-    size = estimated_size(dim)
-    if size is not None and size <= broadcast_limit:
-        return fact.join(F.broadcast(dim), key, how)
-    from lapworks.session import shuffle_partitions
-    n = salts or shuffle_partitions(fact.sparkSession)
-    hot = F.broadcast(hot_keys(fact, key, hot_fraction).withColumn("_hot", F.lit(True)))
-    cols = fact.columns
-    salted_fact = fact.join(hot, key, "left").select(
-        *cols, F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)))
-        .otherwise(F.lit(0)).cast("int").alias("_salt"))
-    salted_dim = dim.join(hot, key, "left").select(
-        *dim.columns, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1)))
-                                .otherwise(F.array(F.lit(0)))).alias("_salt"))
-    return salted_fact.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    keyed = fact.filter(F.col(key).isNotNull())
+    rest = [fact.filter(F.col(key).isNull())] if how == "left_anti" else []
+    if not split_hot:
+        out = keyed.join(dim, key, how)
+    else:
+        from lapworks.session import shuffle_partitions
+        n = salts or shuffle_partitions(fact.sparkSession)
+        hot = F.broadcast(hot_keys(keyed, key, hot_fraction).withColumn("_hot", F.lit(True)))
+        cols = fact.columns
+        salted_fact = keyed.join(hot, key, "left").select(
+            *cols, F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)))
+            .otherwise(F.lit(0)).cast("int").alias("_salt"))
+        salted_dim = dim.join(hot, key, "left").select(
+            *dim.columns, F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1)))
+                                    .otherwise(F.array(F.lit(0)))).alias("_salt"))
+        # the hint keeps this a shuffle join whatever the dimension's size
+        out = salted_fact.join(salted_dim.hint("merge"), [key, "_salt"], how).drop("_salt")
+    for r in rest:
+        out = out.unionByName(r)
+    return out

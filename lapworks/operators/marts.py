@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapworks.functions.columns import EXACT_SCALE
 from lapworks.operators.conform import ts_or_now
-from lapworks.operators.metrics import (dense_rank, lower_median, pace_columns, rolling_mean,
-                                       use_distributed)
+from lapworks.operators.metrics import dense_rank, lower_median, pace_columns, rolling_mean
 from lapworks.operators.validity import valid_only
+from lapworks.session import materialize
 
 
 @dataclass(frozen=True)
@@ -47,26 +48,28 @@ def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
 
 
 def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
-                       accuracy: int = 10000, avg_scale: int | None = None,
-                       distributed="auto", as_of=None, ordered: bool = True,
+                       avg_scale: int | None = EXACT_SCALE,
+                       distributed: bool = True, as_of=None, ordered: bool = True,
                        cols: LapColumns = LAPS) -> DataFrame:
     """Per (driver, name, team) pace metrics over valid laps, dense-ranked on the
-    *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie."""
+    *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie.
+
+    The median is the exact lower median in either form; groups with a null driver, name
+    or team are groups like any other."""
     keys = ["driver_number", "full_name", "team_name"]
     valid = valid_only(conformed(laps, cols))
-    if use_distributed(valid, distributed):
-        # a hot driver must not funnel one quantile sketch per map task into one
-        # reduce task: exact lower median from a distributed histogram instead
-        cols = pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale,
-                            with_median=False)
-        med = lower_median(valid, keys, "lap_duration", "_med", distributed=True)
-        agg = valid.groupBy(*keys).agg(*cols).join(med, keys, "left").select(
-            *keys, "fastest_lap_s", "avg_lap_time_s",
-            F.round("_med", decimals).alias("median_lap_time_s"), "lap_consistency_s", "total_valid_laps")
+    if distributed:
+        stats = valid.groupBy(*keys).agg(*pace_columns("lap_duration", "lap_number", decimals=decimals,
+                                                       avg_scale=avg_scale, with_median=False))
+        med = lower_median(valid, keys, "lap_duration", "_med") \
+            .select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], "_med")
+        # one row a group, read by the ranking and by the join back: written once
+        agg = materialize(stats.join(med, [stats[k].eqNullSafe(med[f"_m{i}"]) for i, k in enumerate(keys)], "left").select(
+            *keys, "fastest_lap_s", "avg_lap_time_s", F.round("_med", decimals).alias("median_lap_time_s"),
+            "lap_consistency_s", "total_valid_laps"))
     else:
         agg = valid.groupBy(*keys).agg(
-            *pace_columns("lap_duration", "lap_number", decimals=decimals, accuracy=accuracy,
-                          avg_scale=avg_scale))
+            *pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale))
     ranked = dense_rank(agg, [("avg_lap_time_s", "asc"), ("lap_consistency_s", "asc")],
                         "pace_rank", distributed=distributed)
     ranked = ranked.select(
@@ -77,14 +80,16 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
 
 
 def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
-                   avg_scale: int | None = None, distributed="auto",
+                   avg_scale: int | None = EXACT_SCALE, distributed: bool = True,
                    as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Per team: best lap, lap-weighted average (not a mean of driver means), lap count;
     dense-ranked on (average asc, laps desc)."""
-    agg = valid_only(conformed(laps, cols)).groupBy("team_name").agg(
+    agg = valid_only(conformed(laps, cols))
+    agg = agg.groupBy("team_name").agg(
         *pace_columns("lap_duration", "lap_number", decimals=decimals, avg_scale=avg_scale,
                       with_median=False, with_stddev=False,
                       names={"min": "best_lap_s", "avg": "avg_team_pace_s"}))
+    agg = materialize(agg) if distributed else agg
     ranked = dense_rank(agg, [("avg_team_pace_s", "asc"), ("total_valid_laps", "desc")],
                         "team_pace_rank", distributed=distributed)
     out = ranked.select("team_pace_rank", "team_name", "best_lap_s", "avg_team_pace_s",
@@ -93,8 +98,8 @@ def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
 
 
 def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimals: int = 3,
-                    avg_scale: int | None = None, lap_type: str = "int",
-                    partition_by=("driver_number",), distributed="auto",
+                    avg_scale: int | None = EXACT_SCALE, lap_type: str = "int",
+                    partition_by=("driver_number",), distributed: bool = True,
                     as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Valid laps with the rolling mean of the last ``rows`` *valid* laps of the
     driver (the filter runs first, so gaps are skipped), ordered by name, lap."""

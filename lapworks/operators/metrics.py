@@ -1,16 +1,14 @@
 """Pace aggregates (A3-A7), dense rank (W1, W2) and rolling mean.
 
-Both windowed operators come in two physical forms with identical results:
-
-* ``distributed=False`` - the plain window.  A global ``ORDER BY`` window runs in
-  a single task, and a window partitioned by entity puts a hot entity (say a
-  third of all rows) whole into one task.
-* ``distributed=True`` - the rows are range-partitioned on the
-  ordering, Spark's sampled bounds split even a single hot entity over many
-  tasks; each range is ranked / windowed locally and the few rows whose
-  result depends on an earlier range are fixed up from a bounded side table.
-* ``distributed="auto"`` (default) - the plain window only when Spark's size
-  estimate of the input is below ``SINGLE_TASK_LIMIT``, else the distributed form.
+The windowed operators come in two physical forms with identical results:
+
+* ``distributed=True`` (default) - no task ever holds a whole entity or the whole
+  table.  Rows are dealt into buckets by a function of the row alone (no sampled
+  bounds), each bucket is windowed by itself, and the few rows whose result depends on
+  an earlier bucket are completed from a bounded side table.
+* ``distributed=False`` - the plain window, for inputs the caller knows to be small.
+
+Nothing chooses between them by an estimate of the input's size.
 """
 
 from __future__ import annotations
@@ -18,51 +16,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapworks.functions.columns import exact_avg
+from lapworks.functions.columns import EXACT_SCALE, exact_avg
 from lapworks.session import materialize, shuffle_partitions
 
 
-def _pin(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once (reliable checkpoint in ``spark.checkpoint.dir``): its
-    consumers read the same rows - and the same range assignment, for a frame keyed
-    by ``spark_partition_id`` - without recomputing the upstream plan."""
-    return materialize(df)
-
-
-# Below this optimizer size estimate a single-task window is cheap; above it the
-# distributed form is used.  The estimate is Spark's own (the one behind
-# autoBroadcastJoinThreshold): file size scaled through the plan.
-SINGLE_TASK_LIMIT = 64 * 1024 * 1024
-
-
-def use_distributed(df: DataFrame, distributed) -> bool:
-    """``auto``: distributed unless the smaller of Spark's plan estimate and the
-    sum of the plan's leaf sizes (what it reads) is under ``SINGLE_TASK_LIMIT``."""
-    if distributed != "auto":
-        return bool(distributed)
-    from lapworks.operators.conform import estimated_input_size, estimated_size
-    sizes = [s for s in (estimated_size(df), estimated_input_size(df)) if s is not None]
-    return not sizes or min(sizes) > SINGLE_TASK_LIMIT
-
-
-def _exchange_reuse_on(df: DataFrame) -> bool:
-    return df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() == "true"
-
-
 def _avg(value: str, avg_scale: int | None, decimals: int) -> Column:
     if avg_scale is None:
         return F.round(F.avg(value), decimals)
     return exact_avg(value, avg_scale, decimals)
 
 
+def to_int(c: Column) -> Column:
+    """Contract cast of a count or rank to int; an error when it does not fit."""
+    return F.when(c > F.lit(2**31 - 1), F.raise_error(F.concat(F.lit("past the int range: "), c.cast("string")))
+                  .cast("int")).otherwise(c.cast("int"))
+
+
 def pace_columns(value: str = "lap_duration", count_col: str = "lap_number", *,
-                 decimals: int = 3, accuracy: int = 10000, avg_scale: int | None = None,
+                 decimals: int = 3, avg_scale: int | None = EXACT_SCALE,
                  names: dict | None = None, with_median: bool = True,
                  with_stddev: bool = True) -> list[Column]:
-    """min / avg / approximate median / sample std-dev (n=1 -> 0) / non-null count.
+    """min / avg / lower median / sample std-dev (n=1 -> 0) / non-null count.
 
-    All are partial aggregates (the median is a mergeable quantile sketch), so a
-    hot group is pre-combined map-side before the shuffle.
+    All are partial aggregates.  ``with_median`` adds the exact lower median as
+    ``percentile_disc`` (a value-count table per group: for groups known to be small;
+    ``lower_median`` gives the same values without such a table).
     """
     n = {"min": "fastest_lap_s", "avg": "avg_lap_time_s", "median": "median_lap_time_s",
          "stddev": "lap_consistency_s", "count": "total_valid_laps"}
@@ -70,12 +48,11 @@ def pace_columns(value: str = "lap_duration", count_col: str = "lap_number", *,
     cols = [F.round(F.min(value), decimals).alias(n["min"]),
             _avg(value, avg_scale, decimals).alias(n["avg"])]
     if with_median:
-        cols.append(F.round(F.percentile_approx(value, 0.5, accuracy), decimals).alias(n["median"]))
+        cols.append(F.round(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)"), decimals).alias(n["median"]))
     if with_stddev:
         cols.append(F.round(F.coalesce(F.stddev(value), F.lit(0)), decimals).alias(n["stddev"]))
-    # int is the contract; a count past 2^31 becomes NULL (never wraps), which the
-    # missing_count checks then fail closed
-    cols.append(F.count(count_col).try_cast("int").alias(n["count"]))
+    # int is the contract: a count past 2^31 fails the job, it never wraps or goes missing
+    cols.append(to_int(F.count(count_col)).alias(n["count"]))
     return cols
 
 
@@ -90,68 +67,63 @@ def _sort_spec(order) -> list[tuple[str, Column]]:
 
 
 def dense_rank(df: DataFrame, order, out: str = "rank", *,
-               distributed="auto", num_ranges: int | None = None) -> DataFrame:
+               distributed: bool = True, num_ranges: int | None = None) -> DataFrame:
     """``dense_rank() OVER (ORDER BY order)`` as an int column ``out``.
 
-    Distributed form: the *distinct* sort keys are ranked (a hot key collapses
-    in the map-side partial aggregate), then the rank is joined back.  Distinct
-    keys are range-partitioned (balanced: no key repeats), numbered inside each
-    range, and shifted by the number of keys of all earlier ranges; the offsets
-    table has one row per range (<= ``num_ranges``), a proven bound, so it is
-    broadcast.  The input is checkpointed once (it is read twice).  The join
-    back broadcasts the ranked keys only behind a size check, otherwise it is a
-    shuffle join that AQE's skew handling splits on hot keys.
-    ``distributed="auto"`` picks the plain window only when the input's size
-    estimate is under ``SINGLE_TASK_LIMIT``.
+    Distributed form: the *distinct* sort keys are ranked (a hot key collapses in the
+    map-side partial aggregate), then the rank is joined back.  The keys are
+    range-partitioned and numbered inside each range; that numbered table (distinct keys
+    only) is written once to the shared folder, so everything after it reads one
+    assignment of keys to ranges.  Each range is shifted by the keys of all earlier ones;
+    the shifts have one row per range (<= ``num_ranges``), a proven bound, so they are
+    broadcast.  The join back is a null-safe equi-join left to Catalyst and AQE.
     """
     spec = _sort_spec(order)
-    if not use_distributed(df, distributed):
-        return df.withColumn(out, F.dense_rank().over(Window.orderBy(*[c for _, c in spec])).try_cast("int"))
-    from lapworks.operators.conform import maybe_broadcast
+    if not distributed:
+        return df.withColumn(out, to_int(F.dense_rank().over(Window.orderBy(*[c for _, c in spec]))))
     n = num_ranges or shuffle_partitions(df.sparkSession)
-    # The input is read twice (keys, join back): materialise it once instead of
-    # recomputing its upstream (for a leaderboard: the aggregate over all laps).
-    df = _pin(df)
     knames = [f"_k{i}" for i in range(len(spec))]
     dirs = ["asc" if isinstance(o, str) else o[1] for o in order]
     ksorts = [c for _, c in _sort_spec(list(zip(knames, dirs)))]
     keys = df.select(*[F.col(name).alias(k) for (name, _), k in zip(spec, knames)]).distinct()
-    local = (keys.repartitionByRange(n, *ksorts)
-                 .withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*ksorts))))
-    if not _exchange_reuse_on(df):
-        local = _pin(local)
-    # Both consumers below need the keys below the window (its ordering), so their
-    # plans share one range exchange: one set of bounds (see docs/PLANS.md).
+    local = materialize(keys.repartitionByRange(n, *ksorts)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_lr", F.row_number().over(Window.partitionBy("_pid").orderBy(*ksorts))))
     sizes = local.groupBy("_pid").agg(F.max("_lr").alias("_nk"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_nk").over(before), F.lit(0)).alias("_off"))
     ranked = local.join(F.broadcast(offsets), "_pid") \
-        .select(*knames, (F.col("_lr") + F.col("_off")).try_cast("int").alias(out))
-    ranked = maybe_broadcast(ranked)
+        .select(*knames, to_int(F.col("_lr") + F.col("_off")).alias(out))
     cond = [df[name].eqNullSafe(ranked[k]) for (name, _), k in zip(spec, knames)]
     return df.join(ranked, cond, "inner").drop(*knames)
 
 
+# Consecutive order values that one bucket of the rolling mean covers.
+ORDER_SPAN = 4096
+
+
 def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: list[str], *,
                  rows: int = 5, out: str = "rolling_mean", decimals: int = 3,
-                 avg_scale: int | None = None, distributed="auto",
-                 num_ranges: int | None = None, tiebreak: bool = True) -> DataFrame:
+                 avg_scale: int | None = EXACT_SCALE, distributed: bool = True,
+                 order_span: int = ORDER_SPAN, tiebreak: bool = True) -> DataFrame:
     """Mean over the current and up to ``rows - 1`` preceding rows of the same
     entity (``ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW``), rounded.
 
-    Distributed form: range-partition on ``partition_by + order_by`` so a hot
-    entity spans several ranges; window per (range, entity); the first
-    ``rows - 1`` rows of each (range, entity) run are recomputed from a side
-    table holding only the first and last ``rows - 1`` rows of every run
-    (<= 2*(rows-1) rows per run), then the two disjoint parts are unioned.
+    Rows that tie on the order go by their other columns, the value first.
+
+    Distributed form: the first order column must be a number; ``order_span``
+    consecutive values of it form a bucket, so a hot entity spans many buckets and one
+    full exchange by (entity, bucket) is all that moves every row.  The first
+    ``rows - 1`` rows of each (entity, bucket) run are computed again from a side table
+    with only the first and last ``rows - 1`` rows of every run; the two disjoint parts
+    are unioned.
     """
     k = rows - 1
+    cols = df.columns
+    order = [F.col(c) for c in order_by]
     if tiebreak:
-        # rows that tie on (entity, order) get a deterministic order; it also lets
-        # range bounds split a hot run of identical order values
-        df = df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in df.columns]))
-        order_by = list(order_by) + ["_tb"]
+        rest = [c for c in [value, *cols] if c not in order_by and c not in partition_by]
+        order += [F.col(c) for c in dict.fromkeys(rest)]
     if avg_scale is None:
         def mean(w):
             return F.avg(value).over(w)
@@ -163,67 +135,60 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
         def mean(w):
             return F.try_divide(F.sum(dec).over(w), F.count(dec).over(w))
         finish = (lambda c: F.round(c, decimals).cast("double"))
-    if not use_distributed(df, distributed):
-        w = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(-k, 0)
-        res = df.withColumn(out, finish(mean(w)))
-        return res.drop("_tb") if tiebreak else res
-    n = num_ranges or shuffle_partitions(df.sparkSession)
-    cols = [c for c in df.columns if c != "_tb"]
-    ranged = df.repartitionByRange(n, *partition_by, *order_by) \
-        .withColumn("_pid", F.spark_partition_id())
-    run = Window.partitionBy("_pid", *partition_by)
-    local = ranged.withColumns({
-        "_i": F.row_number().over(run.orderBy(*order_by)),
+    if not distributed:
+        w = Window.partitionBy(*partition_by).orderBy(*order).rowsBetween(-k, 0)
+        return df.withColumn(out, finish(mean(w)))
+    bucket = F.floor(F.col(order_by[0]) / F.lit(order_span))
+    # rows without an order value tie with each other and go by value: so do their buckets
+    tied = tiebreak and len(order_by) == 1 and value not in partition_by
+    part = F.when(F.col(order_by[0]).isNull(), value_bucket(value)) if tied else F.lit(None).cast("long")
+    run = Window.partitionBy(*partition_by, "_bucket", "_part")
+    local = df.withColumns({"_bucket": bucket, "_part": part}).withColumns({
+        "_i": F.row_number().over(run.orderBy(*order)),
         "_m": F.count(F.lit(1)).over(run),
-    }).withColumn("_v", mean(run.orderBy(*order_by).rowsBetween(-k, 0)))
-    if not _exchange_reuse_on(df):
-        # Both branches below must read one and the same range exchange.
-        local = _pin(local)
+    }).withColumn("_v", mean(run.orderBy(*order).rowsBetween(-k, 0)))
     inner = local.filter(F.col("_i") > k)
     edges = local.filter((F.col("_i") <= k) | (F.col("_i") > F.col("_m") - k))
-    across = Window.partitionBy(*partition_by).orderBy("_pid", *order_by).rowsBetween(-k, 0)
+    across = Window.partitionBy(*partition_by).orderBy("_bucket", "_part", *order).rowsBetween(-k, 0)
     heads = edges.withColumn("_v", mean(across)).filter(F.col("_i") <= k)
     both = inner.select(*cols, "_v").unionByName(heads.select(*cols, "_v"))
     return both.withColumn(out, finish(F.col("_v"))).drop("_v")
 
 
-def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median", *,
-                 distributed="auto", num_ranges: int | None = None) -> DataFrame:
-    """Per group of ``keys``: the lower median of ``value`` (the element at rank
-    ceil(n/2) in ascending order, NULLs ignored) as ``(keys..., out)``.
+def value_bucket(value: str) -> Column:
+    """A number that grows with ``value``: its binary exponent and the first eight bits
+    after it (256 buckets from each power of two to the next, either sign).  A rounding
+    of the logarithm to the neighbouring exponent gives the same number."""
+    v = F.col(value).cast("double")
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    scaled = exponent * 256 + F.floor(size / F.pow(F.lit(2.0), exponent) * 256)
+    # 2**-1074 is the least positive double: every magnitude is above zero's bucket
+    away = scaled + 1100 * 256
+    return F.when(v == 0, F.lit(0)).when(size == float("inf"), F.signum(v) * 1_000_000) \
+        .otherwise(F.signum(v) * away).cast("long")
+
 
-    This is what ``percentile_approx(value, 0.5, accuracy)`` returns while it is
-    exact (groups up to about ``accuracy`` rows); unlike the sketch it stays exact
-    for any group size and never merges one sketch per map task into one reduce
-    task for a hot group.  Built from a (group, value) histogram (a partial count);
-    the cumulative counts come from a window per group (plain form) or, for the
-    distributed form, from range partitions of the histogram, a running count per
-    (range, group) and per-group offsets over the ranges (<= ranges rows per group).
+def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Per group of ``keys`` (nulls are keys like any other): the exact lower median of
+    ``value``, the element at rank ceil(n/2) ascending, NULLs ignored, as ``(keys..., out)``.
+
+    One path for every size: a (group, value) histogram by partial count; its totals by
+    ``value_bucket`` give the one bucket per group that holds the median, and only the
+    values of that bucket are ordered.  A hot group is spread over its values throughout.
     """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    if not use_distributed(df, distributed):
-        w = Window.partitionBy(*keys).orderBy(value)
-        cum = hist.withColumns({
-            "_cum": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "_n": F.sum("_c").over(Window.partitionBy(*keys))})
-    else:
-        from lapworks.operators.conform import maybe_broadcast
-        n = num_ranges or shuffle_partitions(df.sparkSession)
-        run = Window.partitionBy("_pid", *keys)
-        local = (hist.repartitionByRange(n, *keys, value)
-                     .withColumn("_pid", F.spark_partition_id())
-                     .withColumn("_lc", F.sum("_c").over(
-                         run.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))))
-        if not _exchange_reuse_on(df):
-            local = _pin(local)
-        # both consumers need keys, value and counts below the window, so their
-        # plans share one range exchange (one range assignment)
-        sizes = local.groupBy("_pid", *keys).agg(F.max("_lc").alias("_s"))
-        earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("_pid", *keys, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"),
-                               F.sum("_s").over(Window.partitionBy(*keys)).alias("_n"))
-        cum = local.join(maybe_broadcast(offsets), ["_pid", *keys]) \
-            .withColumn("_cum", F.col("_lc") + F.col("_off"))
-    target = F.floor((F.col("_n") + 1) / 2)
-    return cum.filter((F.col("_cum") >= target) & (F.col("_cum") - F.col("_c") < target)) \
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")) \
+        .withColumn("_b", value_bucket(value))
+    totals = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    at = totals.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(group)}) \
+        .withColumn("_target", F.floor((F.col("_all") + 1) / 2)) \
+        .filter((F.col("_upto") >= F.col("_target")) & (F.col("_upto") - F.col("_n") < F.col("_target"))) \
+        .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_b").alias("_gb"),
+                (F.col("_target") - F.col("_upto") + F.col("_n")).alias("_within"))
+    cond = [hist[k].eqNullSafe(at[f"_g{i}"]) for i, k in enumerate(keys)] + [hist["_b"] == at["_gb"]]
+    inside = hist.join(at, cond)
+    cum = inside.withColumn("_cum", F.sum("_c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
+    return cum.filter((F.col("_cum") >= F.col("_within")) & (F.col("_cum") - F.col("_c") < F.col("_within"))) \
         .select(*keys, F.col(value).alias(out))

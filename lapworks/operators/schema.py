@@ -19,8 +19,7 @@ def assert_columns(df: DataFrame, required, label: str) -> None:
     missing = missing_columns(df, required)
     if missing:
         raise SchemaDriftError(
-            f"Schema drift detected in '{label}'. Missing columns: {missing}. "
-            f"Available: {df.columns}")
+            f"Schema drift detected in '{label}': {missing} not found among {df.columns}")
 
 
 # Required input columns and output column orders of the contract.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lapworks.config import SESSION_TYPES_KEPT
 from lapworks.functions.columns import parse_timestamp, safe_cast, trimmed, upper_trimmed
-from lapworks.operators.conform import dedupe, ts_or_now
+from lapworks.operators.conform import RECENCY, dedupe, recency, ts_or_now
 from lapworks.operators.schema import SESSIONS_REQUIRED, assert_columns
 
 
@@ -18,7 +18,10 @@ def clean(bronze: DataFrame, pipeline_year: int, *, keep_types=SESSION_TYPES_KEP
     ``start_time``/``end_time`` parsed from text (bad text -> NULL), country and
     name trimmed (location is not), type upper-cased and trimmed; rows kept when
     the type is in ``keep_types`` and key and start are present (a NULL end is
-    kept); one row per ``session_id`` chosen deterministically.
+    kept); one row per ``session_id``: the one ingested last (``ingested_at``, then
+    payload position ``pos``, where the input has them).
+
+    A key that does not fit ``id_type`` is no key: ``rejected`` has these sessions.
     """
     assert_columns(bronze, SESSIONS_REQUIRED, "bronze.raw_sessions")
     df = (bronze
@@ -27,17 +30,27 @@ def clean(bronze: DataFrame, pipeline_year: int, *, keep_types=SESSION_TYPES_KEP
                         "country_name": trimmed("country_name"),
                         "session_type": upper_trimmed("session_type")})
           .filter(F.col("session_type").isin(*keep_types))
-          .filter(F.col("session_key").isNotNull())
+          .filter(safe_cast("session_key", id_type).isNotNull())
           .filter(F.col("start_time").isNotNull())
           .select(safe_cast("session_key", id_type).alias("session_id"),
                   trimmed("session_name").alias("session_name"),
                   "session_type", "location", "country_name", "start_time", "end_time",
-                  safe_cast("year", "int").alias("year")))
-    return dedupe(df, "session_id").select(
+                  safe_cast("year", "int").alias("year"), *recency(bronze)))
+    return dedupe(df, "session_id", order=[c for c in RECENCY if c in df.columns]).drop(*RECENCY).select(
         "*", ts_or_now(as_of).alias("processed_at"),
         F.lit(pipeline_year).cast("int").alias("pipeline_year"))
 
 
+def rejected(bronze: DataFrame, *, keep_types=SESSION_TYPES_KEPT, id_type: str = "int") -> DataFrame:
+    """Sessions of the kept types that ``clean`` leaves out, with the ``reason``."""
+    key = F.col("session_key")
+    reason = (F.when(key.isNull(), F.lit("no session_key"))
+              .when(safe_cast("session_key", id_type).isNull(), F.lit(f"session_key is no {id_type}"))
+              .when(parse_timestamp("date_start").isNull(), F.lit("date_start is no timestamp")))
+    return bronze.filter(upper_trimmed("session_type").isin(*keep_types)).select(
+        key.cast("string").alias("session_key"), "date_start", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
 def resolve_target(sessions: DataFrame, session_type: str = "Race", circuit: str = "Baku", *,
                    position: str = "pos", type_col: str = "session_type",
                    circuit_col: str = "circuit_short_name") -> DataFrame:

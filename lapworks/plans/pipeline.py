@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lapworks.config import DEFAULT, Settings
+from lapworks.functions.columns import EXACT_SCALE
 from lapworks.operators import bronze, checks, laps, marts, sessions
 from lapworks.plans import check_presets as presets
 from lapworks.sources import catalog
@@ -53,8 +54,8 @@ class Options:
     lap_type: str = "int"
     duration_type: str = "float"
     session_id_type: str = "int"
-    avg_scale: int | None = None
-    distributed: object = "auto"
+    avg_scale: int | None = EXACT_SCALE
+    distributed: bool = True
     seasonal_gold: bool = False          # Gold partitioned by season_year, one season replaced per run
     resolve_session: bool = True         # pick the target session before the per-session datasets
     position_col: str = "pos"            # payload position of the raw sessions
@@ -103,17 +104,20 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame
     ensure_layers(spark, opts)
     season = opts.settings.season_year
     loc = race_location or opts.settings.race_round
+    # every source is evaluated once, by its write; what follows reads the written table
     sess = fetchers["sessions"]()
-    if sess is None or sess.isEmpty():
+    rows = 0 if sess is None else write_table(
+        bronze.normalise(sess, loc, as_of=opts.as_of, sentinels=opts.settings.null_sentinels),
+        opts.name("bronze", "raw_sessions", season), require_rows=True)["rows"]
+    if not rows:
         raise StageError("bronze: sessions returned no data", [Status("bronze", "sessions", "failed",
                                                                       detail="no data")])
-    out = [Status("bronze", "sessions", "ok",
-                  write_table(bronze.normalise(sess, loc, as_of=opts.as_of),
-                              opts.name("bronze", "raw_sessions", season))["rows"])]
+    out = [Status("bronze", "sessions", "ok", rows)]
     key = None
     if opts.resolve_session:
         # one aggregate; a single row comes back to the driver
-        target = sessions.resolve_target(sess, opts.settings.session_type, opts.settings.race_round,
+        written = read_table(spark, opts.name("bronze", "raw_sessions", season), on_empty="ignore")
+        target = sessions.resolve_target(written, opts.settings.session_type, opts.settings.race_round,
                                          position=opts.position_col).select("session_key").first()
         if target is None:
             raise StageError("bronze: could not determine the target session",
@@ -125,17 +129,46 @@ def run_bronze(spark: SparkSession, fetchers: dict[str, Callable[..., DataFrame
             continue
         try:
             df = _call(fetch, key)
-            if df is None or df.isEmpty():
-                out.append(Status("bronze", name, "failed", detail="no data"))
-                continue
-            res = write_table(bronze.normalise(df, loc, as_of=opts.as_of),
-                              opts.name("bronze", f"raw_{name}", season))
-            out.append(Status("bronze", name, "ok", res["rows"]))
+            rows = 0 if df is None else write_table(
+                bronze.normalise(df, loc, as_of=opts.as_of, sentinels=opts.settings.null_sentinels),
+                opts.name("bronze", f"raw_{name}", season), require_rows=True)["rows"]
+            out.append(Status("bronze", name, "ok", rows) if rows else
+                       Status("bronze", name, "failed", detail="no data"))
         except Exception as ex:  # recorded, the other datasets go on
-            out.append(Status("bronze", name, "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
+            out.append(Status("bronze", name, "failed", detail=f"{type(ex).__name__}: {ex}"))
     return _fail_at_end("bronze", out)
 
 
+def _retained(what: str, before: int, after: int) -> Status:
+    """A retention row: what is left, and the share that went (one decimal)."""
+    share = round((before - after) * 100.0 / before, 1) if before else 0.0
+    return Status("silver", f"retention_{what}", "ok", after, f"of {before}, {share}% dropped")
+
+
+def rest_fetchers(spark: SparkSession, opts: Options, *, transport="http", schemas: dict | None = None,
+                  endpoints: dict[str, str] | None = None) -> dict[str, Callable[..., DataFrame]]:
+    """The run's datasets from the list endpoints: the season's sessions, then drivers, laps
+    and telemetry of the resolved session, requested in the tasks with the settings' retry
+    policy.  ``schemas``: declared record schemas by dataset (else inferred)."""
+    from lapworks.sources import manifest, rest
+    s = opts.settings
+    policy = dict(transport=transport, max_retries=s.max_retries, delay_s=s.retry_delay_s, timeout_s=s.request_timeout_s)
+    schemas = schemas or {}
+
+    def of_season():
+        return rest.fetch_records(spark, [manifest.season_url(s.base_url, s.season_year)],
+                                  schema=schemas.get("sessions"), **policy)
+
+    def of_session(name: str, path: str):
+        def fetch(key):
+            keys = spark.createDataFrame([(str(key),)], "session_key string")
+            urls = manifest.endpoint_manifest(keys, s.base_url, {name: path}).select("url")
+            return rest.fetch_records(spark, urls, schema=schemas.get(name), **policy)
+        return fetch
+    paths = endpoints or manifest.RACE_ENDPOINTS
+    return {"sessions": of_season, **{n: of_session(n, p) for n, p in paths.items()}}
+
+
 def run_silver(spark: SparkSession, opts: Options) -> list[Status]:
     """Two independent branches (sessions, laps), each caught; raise at the end."""
     s, season = opts.settings, opts.settings.season_year
@@ -144,10 +177,14 @@ def run_silver(spark: SparkSession, opts: Options) -> list[Status]:
         raw = read_table(spark, opts.name("bronze", "raw_sessions", season), on_empty="warn")
         cleaned = sessions.clean(raw, season, keep_types=s.session_types_kept,
                                  id_type=opts.session_id_type, as_of=opts.as_of)
-        out.append(Status("silver", "cleaned_sessions", "ok",
-                          write_table(cleaned, opts.name("silver", "cleaned_sessions"))["rows"]))
+        n = write_table(cleaned, opts.name("silver", "cleaned_sessions"))["rows"]
+        out.append(Status("silver", "cleaned_sessions", "ok", n))
+        out.append(_retained("sessions", raw.count(), n))
+        lost = sessions.rejected(raw, keep_types=s.session_types_kept, id_type=opts.session_id_type).count()
+        if lost:
+            out.append(Status("silver", "rejected_sessions", "ok", lost, "no usable key or start"))
     except Exception as ex:
-        out.append(Status("silver", "cleaned_sessions", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
+        out.append(Status("silver", "cleaned_sessions", "failed", detail=f"{type(ex).__name__}: {ex}"))
     try:
         raw_laps = read_table(spark, opts.name("bronze", "raw_laps", season), on_empty="warn")
         raw_drivers = read_table(spark, opts.name("bronze", "raw_drivers", season), on_empty="warn")
@@ -159,8 +196,10 @@ def run_silver(spark: SparkSession, opts: Options) -> list[Status]:
         log.info("enriched laps: %s valid, %s flagged", res["valid"], res["flagged"])
         out.append(Status("silver", "enriched_laps", "ok", res["rows"],
                           f"valid={res['valid']} flagged={res['flagged']}"))
+        out.append(_retained("laps", raw_laps.count(), res["rows"]))
+        out.append(_retained("valid_laps", res["rows"], res["valid"]))
     except Exception as ex:
-        out.append(Status("silver", "enriched_laps", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
+        out.append(Status("silver", "enriched_laps", "failed", detail=f"{type(ex).__name__}: {ex}"))
     return _fail_at_end("silver", out)
 
 
@@ -180,10 +219,13 @@ def gate(spark: SparkSession, opts: Options, stage: str, tables) -> list[Status]
     """Run the tables' checks; ``rows`` of the status is the number of checks evaluated."""
     results = check_results(spark, opts, tables)
     n = sum(len(opts.check_sets[t]) for t in tables)
-    try:
-        checks.gate(results, stage)
-    except checks.QualityGateError as ex:
-        raise StageError(str(ex), [Status(stage, ",".join(tables), "failed", n, str(ex)[:500])]) from ex
+    # one row per check at most: bounded by the check sets
+    bad = results.filter(F.col("outcome") != "pass").orderBy("table", "check").collect()
+    if bad:
+        failed = [Status(stage, r["table"], "failed", 1,
+                         f"{r['check']}={r['value']} {r['op']} {r['threshold']} ({r['outcome']})") for r in bad]
+        raise StageError(f"{stage}: {len(bad)} of {n} checks failed",
+                         [Status(stage, ",".join(tables), "failed", n, f"{len(bad)} check(s)"), *failed])
     return [Status(stage, ",".join(tables), "ok", n)]
 
 
@@ -193,13 +235,13 @@ def run_gold(spark: SparkSession, opts: Options) -> list[Status]:
     silver = read_table(spark, opts.name("silver", "enriched_laps"), on_empty="raise")
     builders = {
         "driver_performance_metrics": lambda: marts.driver_leaderboard(
-            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of,
-            ordered=False),
+            silver, season, avg_scale=opts.avg_scale, decimals=opts.settings.decimals,
+            distributed=opts.distributed, as_of=opts.as_of, ordered=False),
         "constructor_standings": lambda: marts.team_standings(
-            silver, season, avg_scale=opts.avg_scale, distributed=opts.distributed, as_of=opts.as_of,
-            ordered=False),
+            silver, season, avg_scale=opts.avg_scale, decimals=opts.settings.decimals,
+            distributed=opts.distributed, as_of=opts.as_of, ordered=False),
         "lap_progression": lambda: marts.lap_progression(
-            silver, season, rows=opts.settings.rolling_laps, avg_scale=opts.avg_scale,
+            silver, season, rows=opts.settings.rolling_laps, decimals=opts.settings.decimals, avg_scale=opts.avg_scale,
             lap_type=opts.lap_type, distributed=opts.distributed, as_of=opts.as_of, ordered=False),
     }
     out = []
@@ -208,7 +250,7 @@ def run_gold(spark: SparkSession, opts: Options) -> list[Status]:
             kw = {"partition_by": "season_year", "dynamic": True} if opts.seasonal_gold else {}
             out.append(Status("gold", name, "ok", write_table(build(), opts.name("gold", name), **kw)["rows"]))
         except Exception as ex:
-            out.append(Status("gold", name, "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
+            out.append(Status("gold", name, "failed", detail=f"{type(ex).__name__}: {ex}"))
     return _fail_at_end("gold", out)
 
 
@@ -231,7 +273,7 @@ def run_all(spark: SparkSession, fetchers, opts: Options) -> DataFrame:
             log.error("stage %s failed, halting: %s", stage, ex)
             break
         except Exception as ex:
-            statuses.append(Status(stage, "*", "failed", detail=f"{type(ex).__name__}: {ex}"[:500]))
+            statuses.append(Status(stage, "*", "failed", detail=f"{type(ex).__name__}: {ex}"))
             break
     return spark.createDataFrame([(s.stage, s.dataset, s.status, s.rows, s.detail) for s in statuses],
                                  STATUS_SCHEMA)

@@ -33,11 +33,11 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- oracle pieces
-def exact_avg_sql(x: str, over: str = "") -> str:
-    """HALF_UP average at 3 decimals of 2-decimal values, in exact integers."""
-    s = f"sum(CAST(round({x} * 100) AS BIGINT)){over}"
+def exact_avg_sql(x: str, over: str = "", scale: int = 2) -> str:
+    """HALF_UP average at 3 decimals of values of ``scale`` decimals, in exact integers."""
+    s = f"sum(CAST(round({x} * {10 ** scale}) AS HUGEINT)){over}"
     n = f"count({x}){over}"
-    return f"((20 * {s} + {n}) // (2 * {n})) / 1000.0"
+    return f"((2000 * {s} + {n} * {10 ** scale}) // (2 * {n} * {10 ** scale})) / 1000.0"
 
 
 ENRICHED_CTE = """
@@ -172,6 +172,88 @@ def q_driver_leaderboard_hot_driver(spark, sf_dir):
                                     as_of=td.AS_OF, distributed=True).drop("generated_at")
 
 
+_NULL_CTE = ENRICHED_CTE.replace("valid AS (SELECT * FROM enriched WHERE is_valid_lap)", """valid AS (
+  SELECT driver_number, CASE WHEN country_code <> '7' THEN full_name END AS full_name,
+         nullif(team_name, 'BUILDING') AS team_name, lap_number, lap_duration FROM enriched WHERE is_valid_lap)""")
+_NULL_SQL = f"""WITH {LEADERBOARD_CTE.replace(ENRICHED_CTE, _NULL_CTE)}
+SELECT * EXCLUDE (generated_at) FROM leaderboard"""
+
+
+def _null_keys(spark, sf_dir, distributed):
+    lp = silver_laps(spark, sf_dir).withColumns({
+        "full_name": F.when(F.col("country_code") != "7", F.col("full_name")),
+        "team_name": F.nullif(F.col("team_name"), F.lit("BUILDING"))})
+    return marts.driver_leaderboard(lp, td.SEASON_YEAR, as_of=td.AS_OF, distributed=distributed).drop("generated_at")
+
+
+@register("leaderboard_null_keys", _NULL_SQL)
+def q_leaderboard_null_keys(spark, sf_dir):
+    """Drivers without a team or a name are groups like any other."""
+    return _null_keys(spark, sf_dir, True)
+
+
+@register("leaderboard_null_keys_plain", _NULL_SQL)
+def q_leaderboard_null_keys_plain(spark, sf_dir):
+    return _null_keys(spark, sf_dir, False)
+
+
+@register("driver_leaderboard_plain", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
+def q_driver_leaderboard_plain(spark, sf_dir):
+    return leaderboard(spark, sf_dir, distributed=False).drop("generated_at")
+
+
+# The racing preset's own types: int laps, 32-bit durations, valid from 60 s on.
+DEFAULT_CTE = ENRICHED_CTE.replace("value AS lap_duration", "CAST(value AS FLOAT) AS lap_duration") \
+    .replace("event_id AS lap_number", "CAST(event_id AS INTEGER) AS lap_number").replace("< 1.0", "< 60.0")
+
+
+def default_laps(spark, sf_dir):
+    return laps.enrich(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir), as_of=td.AS_OF)
+
+
+_DEFAULT_LB = LEADERBOARD_CTE.replace(ENRICHED_CTE, DEFAULT_CTE) \
+    .replace(exact_avg_sql("lap_duration"), exact_avg_sql("CAST(lap_duration AS DOUBLE)", scale=9)) \
+    .replace("lap_duration)", "CAST(lap_duration AS DOUBLE))") \
+    .replace("round(min(CAST(lap_duration AS DOUBLE)), 3)", "CAST(round(min(CAST(lap_duration AS DOUBLE)), 3) AS FLOAT)") \
+    .replace("round(quantile_disc(lap_duration, 0.5), 3)", "CAST(round(quantile_disc(CAST(lap_duration AS DOUBLE), 0.5), 3) AS FLOAT)")
+
+
+@register("leaderboard_default_types", f"""WITH {_DEFAULT_LB} SELECT * EXCLUDE (generated_at) FROM leaderboard""")
+def q_leaderboard_default_types(spark, sf_dir):
+    return marts.driver_leaderboard(default_laps(spark, sf_dir), td.SEASON_YEAR, as_of=td.AS_OF).drop("generated_at")
+
+
+@register("progression_default_types", f"""WITH {DEFAULT_CTE}
+SELECT full_name, team_name, driver_number, lap_number,
+       CAST(round(CAST(lap_duration AS DOUBLE), 3) AS FLOAT) AS lap_duration_s,
+       {exact_avg_sql('CAST(lap_duration AS DOUBLE)', _W5, scale=9)} AS rolling_avg_5lap_s, 2025 AS season_year
+FROM valid""")
+def q_progression_default_types(spark, sf_dir):
+    return marts.lap_progression(default_laps(spark, sf_dir), td.SEASON_YEAR, as_of=td.AS_OF).drop("generated_at")
+
+
+_ONE_GROUP = """SELECT l_extendedprice AS v FROM lineitem UNION ALL
+  SELECT -l_extendedprice * l_discount FROM lineitem UNION ALL SELECT l_quantity FROM lineitem"""
+
+
+def _one_group(spark, sf_dir):
+    li = td.table(spark, sf_dir, "lineitem")
+    return li.select(F.lit("all").alias("k"), F.explode(F.array(
+        "l_extendedprice", -F.col("l_extendedprice") * F.col("l_discount"), F.col("l_quantity").cast("double"))).alias("v"))
+
+
+@register("median_one_group", f"SELECT 'all' AS k, round(quantile_disc(v, 0.5), 3) AS median FROM ({_ONE_GROUP})")
+def q_median_one_group(spark, sf_dir):
+    """One group with three values from every line item, either sign."""
+    return metrics.lower_median(_one_group(spark, sf_dir), ["k"], "v").select("k", F.round("median", 3).alias("median"))
+
+
+@register("median_one_group_plain", f"SELECT 'all' AS k, round(quantile_disc(v, 0.5), 3) AS median FROM ({_ONE_GROUP})")
+def q_median_one_group_plain(spark, sf_dir):
+    return _one_group(spark, sf_dir).groupBy("k").agg(
+        F.round(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)"), 3).alias("median"))
+
+
 @register("team_standings", f"WITH {STANDINGS_CTE} SELECT * EXCLUDE (generated_at) FROM standings")
 def q_team_standings(spark, sf_dir):
     return standings(spark, sf_dir).drop("generated_at")
@@ -241,6 +323,69 @@ def q_session_dedupe(spark, sf_dir):
     return _sessions_out(cleaned_sessions(spark, sf_dir, raw.unionByName(raw)))
 
 
+# The same sessions ingested again later under another name: the later one stays.
+@register("session_dedupe_latest", f"""WITH {CLEANED_CTE}
+{CLEANED_OUT_SQL.replace("session_name,", "'renamed ' || session_name AS session_name,", 1)}""")
+def q_session_dedupe_latest(spark, sf_dir):
+    first = td.bronze_sessions(spark, sf_dir).withColumn("ingested_at", F.lit("2025-01-01 10:00:00"))
+    later = first.withColumns({"session_name": F.concat(F.lit("renamed"), F.col("session_name")),
+                               "ingested_at": F.lit("2025-01-02 09:00:00")})
+    return _sessions_out(cleaned_sessions(spark, sf_dir, later.unionByName(first)))
+
+
+_BAD_SESSIONS = SESSIONS_RAW_CTE.replace("sessions_raw AS (", "sessions_given AS (") + """,
+sessions_raw AS (
+  SELECT * REPLACE (
+    CASE WHEN o.r = 0 THEN NULL WHEN o.r = 1 THEN 'k' || CAST(session_key AS VARCHAR)
+         WHEN o.r = 2 THEN CAST(session_key + 3000000000 AS VARCHAR) ELSE CAST(session_key AS VARCHAR) END AS session_key,
+    CASE WHEN o.r = 3 THEN 'n/a' ELSE date_start END AS date_start)
+  FROM sessions_given JOIN (SELECT o_orderkey AS pk, CAST(o_custkey % 9 AS INTEGER) AS r FROM orders) o ON o.pk = pos)"""
+
+
+def bad_sessions(spark, sf_dir):
+    """Sessions with missing, textual and too large keys and unreadable dates."""
+    cust = td.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pk"), (F.col("o_custkey") % 9).alias("r"))
+    s = td.bronze_sessions(spark, sf_dir)
+    s = s.join(cust, s["pos"] == cust["pk"])
+    key, r = F.col("session_key"), F.col("r")
+    return s.withColumns({
+        "session_key": F.when(r == 0, F.lit(None)).when(r == 1, F.concat(F.lit("k"), key.cast("string")))
+        .when(r == 2, (key + 3000000000).cast("string")).otherwise(key.cast("string")),
+        "date_start": F.when(r == 3, F.lit("n/a")).otherwise(F.col("date_start"))}).drop("pk", "r")
+
+
+@register("sessions_bad_ids", f"""WITH {_BAD_SESSIONS}
+SELECT CAST(session_key AS BIGINT) AS session_id, pos FROM sessions_raw
+WHERE upper(trim(session_type)) IN ('RACE', 'QUALIFYING') AND TRY_CAST(session_key AS INTEGER) IS NOT NULL
+  AND date_start <> 'n/a'""")
+def q_sessions_bad_ids(spark, sf_dir):
+    """What stays of them under int ids (as bigint), with the position they came from."""
+    raw = bad_sessions(spark, sf_dir)
+    got = sessions.clean(raw, td.SEASON_YEAR, as_of=td.AS_OF).select(F.col("session_id").cast("bigint"))
+    return got.join(raw.select(F.col("session_key").try_cast("bigint").alias("session_id"), "pos"), "session_id")
+
+
+@register("sessions_rejected", f"""WITH {_BAD_SESSIONS}
+SELECT session_key, date_start, CASE WHEN session_key IS NULL THEN 'no session_key'
+  WHEN TRY_CAST(session_key AS INTEGER) IS NULL THEN 'session_key is no int' ELSE 'date_start is no timestamp' END AS reason
+FROM sessions_raw WHERE upper(trim(session_type)) IN ('RACE', 'QUALIFYING')
+  AND (TRY_CAST(session_key AS INTEGER) IS NULL OR date_start = 'n/a')""")
+def q_sessions_rejected(spark, sf_dir):
+    return sessions.rejected(bad_sessions(spark, sf_dir))
+
+
+# Drivers ingested again later with another name and team: the later row wins, whatever
+# the alphabet says.
+@register("driver_dim_latest", """SELECT trim(CAST(c_custkey AS VARCHAR)) AS driver_number,
+  'A ' || trim(c_name) AS full_name, 'AAA' AS team_name, CAST(c_nationkey AS VARCHAR) AS country_code,
+  'img/' || CAST(c_custkey AS VARCHAR) AS headshot_url FROM customer""")
+def q_driver_dim_latest(spark, sf_dir):
+    d = td.bronze_drivers(spark, sf_dir).withColumn("ingested_at", F.lit("2025-01-01 10:00:00"))
+    later = d.withColumns({"full_name": F.concat(F.lit("A "), F.col("full_name")), "team_name": F.lit("AAA"),
+                           "ingested_at": F.lit("2025-03-01 10:00:00")})
+    return laps.driver_dim(later.unionByName(d))
+
+
 _RESOLVE_SQL = """WITH {cte}
 SELECT *, coalesce(circuit_short_name = '{c}', false) AS matched_circuit FROM sessions_raw
 WHERE session_type = 'Race'
@@ -294,14 +439,42 @@ def q_enrich_hot_split(spark, sf_dir):
     all laps are salted over the join partitions, the others keep salt 0."""
     return laps.enrich(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir), td.MIN_DURATION,
                        lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE, as_of=td.AS_OF,
-                       broadcast_limit=1, hot_fraction=0.007).drop("processed_at")
+                       split_hot=True, hot_fraction=0.007).drop("processed_at")
 
 
-@register("unmatched_laps", f"""WITH {ENRICHED_CTE}
+# Drivers of some nations only, and laps without a driver: what the inner join drops.
+PARTIAL_CTE = ENRICHED_CTE.replace("FROM customer)", "FROM customer WHERE c_nationkey > 4)") \
+    .replace("trim(CAST(user_id AS VARCHAR)) AS driver_number, event_id",
+             "trim(CASE WHEN event_type <> 'view' THEN CAST(user_id AS VARCHAR) END) AS driver_number, event_id")
+
+
+def partial_inputs(spark, sf_dir):
+    e = td.table(spark, sf_dir, "events")
+    lp = e.select(
+        F.when(F.col("event_type") != "view", F.col("user_id").cast("string")).alias("driver_number"),
+        F.col("event_id").alias("lap_number"), F.col("value").alias("lap_duration"),
+        (F.col("event_type") == "error").alias("is_pit_out_lap"))
+    return lp, td.bronze_drivers(spark, sf_dir).filter(F.col("country_code").cast("int") > 4)
+
+
+@register("unmatched_laps", f"""WITH {PARTIAL_CTE}
 SELECT l.* FROM laps l WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_number = l.driver_number)""")
 def q_unmatched_laps(spark, sf_dir):
-    return laps.unmatched(td.bronze_laps(spark, sf_dir), td.bronze_drivers(spark, sf_dir),
-                          lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE)
+    return laps.unmatched(*partial_inputs(spark, sf_dir), lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE)
+
+
+@register("unmatched_hot_split", f"""WITH {PARTIAL_CTE}
+SELECT l.* FROM laps l WHERE NOT EXISTS (SELECT 1 FROM drivers d WHERE d.driver_number = l.driver_number)""")
+def q_unmatched_hot_split(spark, sf_dir):
+    return laps.unmatched(*partial_inputs(spark, sf_dir), lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
+                          split_hot=True, hot_fraction=0.007)
+
+
+@register("enrich_partial", f"WITH {PARTIAL_CTE} SELECT * FROM enriched")
+def q_enrich_partial(spark, sf_dir):
+    """Laps without a driver or of an unknown one drop out."""
+    return laps.enrich(*partial_inputs(spark, sf_dir), td.MIN_DURATION, lap_type=td.LAP_TYPE,
+                       duration_type=td.DURATION_TYPE, as_of=td.AS_OF).drop("processed_at")
 
 
 @register("validity_flag", f"""WITH {ENRICHED_CTE}
@@ -344,23 +517,30 @@ def q_retention_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- bronze normalisation
-@register("null_sentinels", """SELECT event_id,
+_RAW_USER_SQL = """CASE CAST(user_id % 6 AS INTEGER) WHEN 0 THEN 'None' WHEN 1 THEN 'nan' WHEN 2 THEN 'NaN'
+  WHEN 3 THEN ' None' ELSE coalesce(CAST(user_id AS VARCHAR), 'None') END"""
+
+
+@register("null_sentinels", f"""SELECT event_id,
   CASE WHEN event_type IN ('None', 'nan', 'NaN') THEN NULL ELSE event_type END AS event_type,
   CASE WHEN props IN ('None', 'nan', 'NaN') THEN NULL ELSE props END AS props,
   CASE WHEN raw_user IN ('None', 'nan', 'NaN') THEN NULL ELSE raw_user END AS raw_user
-  FROM (SELECT event_id, event_type, props, coalesce(CAST(user_id AS VARCHAR), 'None') AS raw_user FROM events)""")
+  FROM (SELECT event_id, event_type, props, {_RAW_USER_SQL} AS raw_user FROM events)""")
 def q_null_sentinels(spark, sf_dir):
+    """Users as a stringified payload has them: missing ones as 'None', 'nan' or 'NaN'
+    (these become NULL), some with a stray space (these stay)."""
     e = td.table(spark, sf_dir, "events")
-    # pandas-style stringified payload: a missing id arrives as the text 'None'
-    raw = e.select("event_id", "event_type", "props",
-                   F.coalesce(F.col("user_id").cast("string"), F.lit("None")).alias("raw_user"))
-    return bronze.null_sentinels(raw)
+    m = F.col("user_id") % 6
+    raw_user = F.when(m == 0, "None").when(m == 1, "nan").when(m == 2, "NaN").when(m == 3, " None") \
+        .otherwise(F.coalesce(F.col("user_id").cast("string"), F.lit("None")))
+    return bronze.null_sentinels(e.select("event_id", "event_type", "props", raw_user.alias("raw_user")))
 
 
-@register("nan_to_null", """SELECT event_id, CASE WHEN isnan(value) THEN NULL ELSE value END AS value,
-  CASE WHEN isnan(value) THEN NULL ELSE value END / 2 AS half FROM events""")
+@register("nan_to_null", """SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS value,
+  CASE WHEN event_type = 'view' THEN NULL ELSE CAST(value / 2 AS FLOAT) END AS half FROM events""")
 def q_nan_to_null(spark, sf_dir):
-    e = td.table(spark, sf_dir, "events").select("event_id", "value", (F.col("value") / 2).alias("half"))
+    v = F.when(F.col("event_type") == "view", F.lit(float("nan"))).otherwise(F.col("value"))
+    e = td.table(spark, sf_dir, "events").select("event_id", v.alias("value"), (v / 2).cast("float").alias("half"))
     return bronze.nan_to_null(e)
 
 
@@ -390,9 +570,13 @@ def q_stringify_nested(spark, sf_dir):
     return bronze.stringify_complex(e)
 
 
-@register("stringify_complex")
+@register("stringify_complex", """SELECT vec_id, CAST(to_json(list_transform(embedding,
+  lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS INTEGER))) AS VARCHAR) AS embedding, label FROM embeddings""")
 def q_stringify_complex(spark, sf_dir):
-    return bronze.stringify_complex(td.table(spark, sf_dir, "embeddings"))
+    """A vector column (in thousandths) as JSON text."""
+    e = td.table(spark, sf_dir, "embeddings")
+    return bronze.stringify_complex(e.withColumn("embedding", F.transform(
+        "embedding", lambda x: F.round(x.cast("double") * 1000).cast("int"))))
 
 
 # ---------------------------------------------------------------- reports
@@ -484,7 +668,7 @@ def q_preview_20(spark, sf_dir):
 def q_pace_median(spark, sf_dir):
     li = td.table(spark, sf_dir, "lineitem")
     return li.groupBy("l_suppkey").agg(
-        F.round(F.percentile_approx("l_extendedprice", 0.5, 10000), 3).alias("median_price"),
+        F.round(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY l_extendedprice)"), 3).alias("median_price"),
         F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -492,7 +676,7 @@ def q_pace_median(spark, sf_dir):
   AS median_price FROM lineitem GROUP BY l_suppkey""")
 def q_pace_median_distributed(spark, sf_dir):
     li = td.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
-    med = metrics.lower_median(li, ["l_suppkey"], "l_extendedprice", "m", distributed=True)
+    med = metrics.lower_median(li, ["l_suppkey"], "l_extendedprice", "m")
     return med.select("l_suppkey", F.round("m", 3).alias("median_price"))
 
 
@@ -669,6 +853,7 @@ def q_dq_lineitem(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources and sinks
 import uuid  # noqa: E402
+from dataclasses import replace  # noqa: E402
 
 from pyspark.sql.types import StructType as _ST  # noqa: E402
 
@@ -679,13 +864,30 @@ from lapworks.sources import manifest as manifest_src  # noqa: E402
 from lapworks.sources import payloads, rest  # noqa: E402
 from lapworks.streaming import landing  # noqa: E402
 
-PAGE_ROWS = 10000  # records per landed payload page (bounds every file and task)
+PAGE_ROWS = 2500  # records per landed payload page (bounds every file and task)
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props"]
 EVENTS_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
 
 
+_OWNED: dict[str, list[str]] = {"folders": [], "schemas": []}
+
+
 def _scratch(spark, kind: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/lapworks/{kind}/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/lapworks/{kind}/{uuid.uuid4().hex}"
+    _OWNED["folders"].append(path)
+    return path
+
+
+def cleanup(spark) -> None:
+    """Drops the schemas and folders that this process's queries have made; to be called
+    when their results are no longer read."""
+    for name in _OWNED["schemas"]:
+        spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{name} CASCADE")
+    for path in _OWNED["folders"]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    for names in _OWNED.values():
+        names.clear()
 
 
 def land_events(spark, sf_dir) -> str:
@@ -693,7 +895,21 @@ def land_events(spark, sf_dir) -> str:
     path = _scratch(spark, "landing")
     e = td.table(spark, sf_dir, "events").select(
         *EVENT_FIELDS, F.floor(F.col("event_id") / PAGE_ROWS).alias("page"))
-    payloads.land_pages(e, path, "page")
+    payloads.land_pages(e, path, "page", order=["event_id"])
+    return path
+
+
+def land_damaged(spark, sf_dir) -> str:
+    """The same pages; of each fourth one the last entry is cut off, each fourth holds one
+    entry that is no object, each fourth is an error object."""
+    good = land_events(spark, sf_dir)
+    path = _scratch(spark, "landing")
+    kind = F.pmod(F.regexp_extract("source", r"_page=(\d+)", 1).cast("long"), F.lit(4))
+    body = F.regexp_replace("payload", r"\n$", "")
+    text = (F.when(kind == 1, F.left(body, F.length(body) - 2))
+            .when(kind == 2, F.concat(F.left(body, F.length(body) - 1), F.lit(",7]")))
+            .when(kind == 3, F.lit('{"detail": "AVOID_ZONE"}')).otherwise(body))
+    payloads.read_landed(spark, good).select(text.alias("value")).write.text(path)
     return path
 
 
@@ -715,6 +931,30 @@ def q_payload_explode(spark, sf_dir):
     return _typed_events(payloads.read_payloads(spark, land_events(spark, sf_dir)))
 
 
+_DAMAGED = f"CAST(floor(event_id / {PAGE_ROWS}) % 4 AS INTEGER)"
+
+
+@register("payload_good_records", f"{EVENTS_SQL} WHERE {_DAMAGED} IN (0, 2)")
+def q_payload_good_records(spark, sf_dir):
+    return _typed_events(payloads.to_columns(payloads.explode_records(_damaged(spark, sf_dir))))
+
+
+@register("payload_rejected", f"""SELECT CASE k WHEN 1 THEN 'payload is unparsable' WHEN 2 THEN 'record is no object'
+  ELSE 'payload is object' END AS reason, CASE k WHEN 2 THEN n ELSE -1 END AS pos,
+  CASE k WHEN 2 THEN '7' WHEN 3 THEN '{{"detail": "AVOID_ZONE"}}' END AS content
+FROM (SELECT {_DAMAGED} AS k, floor(event_id / {PAGE_ROWS}) AS page, CAST(count(*) AS INTEGER) AS n FROM events
+      GROUP BY ALL) WHERE k > 0""")
+def q_payload_rejected(spark, sf_dir):
+    got = payloads.rejected(_damaged(spark, sf_dir))
+    return got.select("reason", F.coalesce("pos", F.lit(-1)).alias("pos"), F.when(F.col("reason") != "payload is unparsable", F.col("content")).alias("content"))
+
+
+def _damaged(spark, sf_dir):
+    # one payload a line: these pages hold no line breaks
+    return spark.read.text(land_damaged(spark, sf_dir)).select(F.lit("landed").alias("source"),
+                                                               F.col("value").alias("payload"))
+
+
 def _landed_manifest(spark, path):
     return spark.read.format("binaryFile").option("recursiveFileLookup", True) \
         .option("pathGlobFilter", "*.txt").load(path).select(F.col("path").alias("url"))
@@ -723,17 +963,40 @@ def _landed_manifest(spark, path):
 @register("rest_source", EVENTS_SQL)
 def q_rest_source(spark, sf_dir):
     path = land_events(spark, sf_dir)
-    fetched = rest.fetch_manifest(_landed_manifest(spark, path), transport="file")
-    recs = payloads.explode_records(fetched.filter(F.col("outcome") == "ok"), keep=("url",))
-    return _typed_events(payloads.to_columns(recs, keep=("url", "pos")))
+    return _typed_events(rest.records_of(rest.fetch_landed(_landed_manifest(spark, path), path)))
 
 
-@register("rest_fetch_status", f"""SELECT 'ok' AS outcome, 1 AS attempts,
-  count(DISTINCT floor(event_id / {PAGE_ROWS})) AS urls FROM events""")
+@register("rest_fetch_status", f"""SELECT 'ok' AS outcome, 1 AS attempts, 200 AS status,
+  count(DISTINCT floor(event_id / {PAGE_ROWS})) AS urls FROM events
+UNION ALL SELECT 'client_error', 1, 404, count(DISTINCT floor(event_id / {PAGE_ROWS})) FROM events
+UNION ALL SELECT 'bad_format', 1, 200, count(DISTINCT floor(event_id / {PAGE_ROWS})) FROM events""")
 def q_rest_fetch_status(spark, sf_dir):
+    """Pages that are there, one missing and one error object for each of them."""
     path = land_events(spark, sf_dir)
-    fetched = rest.fetch_manifest(_landed_manifest(spark, path), transport="file")
-    return fetched.groupBy("outcome", "attempts").agg(F.count(F.lit(1)).alias("urls"))
+    pages = payloads.read_landed(spark, path)
+    pages.select(F.lit('{"detail": "error"}').alias("value"), F.regexp_extract("source", r"_page=(\d+)", 1).alias("_page")) \
+        .write.mode("append").partitionBy("_page").text(f"{path}/errors")
+    there = _landed_manifest(spark, path)
+    missing = pages.select(F.concat("source", F.lit(".gone")).alias("url"))
+    fetched = rest.fetch_landed(there.unionByName(missing), path)
+    return fetched.groupBy("outcome", "attempts", "status").agg(F.count(F.lit(1)).alias("urls"))
+
+
+def _spread(url: str, timeout_s: float):
+    """A transport without a network: the page is in the URL; odd pages are not there."""
+    page = int(url.rsplit("=", 1)[1])
+    return rest.Response(404, None) if page % 2 else rest.Response(200, f'[{{"page": {page}, "twice": {2 * page}}}]')
+
+
+@register("rest_fetch_manifest", f"""SELECT 'https://host/p?page=' || CAST(p AS VARCHAR) AS url,
+  CASE WHEN p % 2 = 1 THEN 404 ELSE 200 END AS status, 1 AS attempts,
+  CASE WHEN p % 2 = 1 THEN 'client_error' ELSE 'ok' END AS outcome
+FROM (SELECT DISTINCT CAST(floor(event_id / {PAGE_ROWS}) AS BIGINT) AS p FROM events)""")
+def q_rest_fetch_manifest(spark, sf_dir):
+    """The retry policy run in the tasks, over a manifest derived from the events."""
+    pages = td.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / PAGE_ROWS).cast("string").alias("p"))
+    urls = pages.distinct().select(F.concat(F.lit("https://host/p?page="), F.col("p")).alias("url"))
+    return rest.fetch_manifest(urls, transport=_spread, delay_s=0.0).drop("payload")
 
 
 @register("endpoint_manifest", f"""WITH {CLEANED_CTE}
@@ -747,13 +1010,62 @@ def q_endpoint_manifest(spark, sf_dir):
     return manifest_src.endpoint_manifest(keys, DEFAULT.base_url)
 
 
+@register("season_urls", f"""SELECT DISTINCT year, '{DEFAULT.base_url}/sessions?year=' || CAST(year AS VARCHAR)
+  || '&session_type=Race' AS url FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)""")
+def q_season_urls(spark, sf_dir):
+    years = td.bronze_sessions(spark, sf_dir).select("year").distinct()
+    return years.select("year", manifest_src.season_urls(DEFAULT.base_url, F.col("year"), "Race").alias("url"))
+
+
+@register("table_overwrite_twice", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
+def q_table_overwrite_twice(spark, sf_dir):
+    """Written, overwritten by half of itself, then by a plan that reads what it replaces."""
+    from lapworks.sources.tables import read_table, write_table
+    name = f"spark_catalog.{_schema(spark)}.driver_performance_metrics"
+    lb = leaderboard(spark, sf_dir)
+    write_table(lb.filter("pace_rank % 2 = 0"), name)
+    write_table(lb.filter("pace_rank % 2 = 1").unionByName(spark.read.table(name)), name)
+    return read_table(spark, name, on_empty="raise").drop("generated_at")
+
+
+def _schema(spark) -> str:
+    db = f"lw_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{_scratch(spark, 'warehouse')}'")
+    _OWNED["schemas"].append(db)
+    return db
+
+
+@register("season_partitions", """SELECT year AS season_year, count(*) AS sessions FROM (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders) GROUP BY year""")
+def q_season_partitions(spark, sf_dir):
+    """A table by season: each season written by itself, one of them twice; others stay."""
+    from lapworks.sources.tables import read_table, write_table
+    name = f"spark_catalog.{_schema(spark)}.sessions"
+    s = td.bronze_sessions(spark, sf_dir).select("session_key", F.col("year").alias("season_year"))
+    first = s.agg(F.min("season_year")).first()[0]
+    write_table(s.filter(F.col("season_year") == first).limit(1), name, partition_by="season_year")
+    write_table(s.filter(F.col("season_year") != first), name, partition_by="season_year", dynamic=True)
+    write_table(s.filter(F.col("season_year") == first), name, partition_by="season_year", dynamic=True)
+    return read_table(spark, name).groupBy("season_year").agg(F.count(F.lit(1)).alias("sessions"))
+
+
+@register("schema_drift", """SELECT 'session_key' AS missing, 'orders' AS table, count(*) AS rows FROM orders""")
+def q_schema_drift(spark, sf_dir):
+    """The guard names the column that is not there."""
+    from lapworks.operators.schema import assert_columns
+    s = td.bronze_sessions(spark, sf_dir)
+    try:
+        assert_columns(s.drop("session_key"), sessions.SESSIONS_REQUIRED, "orders")
+        missing = None
+    except ValueError as ex:
+        missing = "session_key" if "['session_key'] not found" in str(ex) else str(ex)
+    return s.agg(F.lit(missing).alias("missing"), F.lit("orders").alias("table"), F.count(F.lit(1)).alias("rows"))
+
+
 @register("table_roundtrip", f"WITH {LEADERBOARD_CTE} SELECT * EXCLUDE (generated_at) FROM leaderboard")
 def q_table_roundtrip(spark, sf_dir):
     from lapworks.sources.tables import read_table, write_table
-    loc = _scratch(spark, "warehouse")
-    db = f"lw_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{loc}'")
-    name = f"spark_catalog.{db}.driver_performance_metrics"
+    name = f"spark_catalog.{_schema(spark)}.driver_performance_metrics"
     write_table(leaderboard(spark, sf_dir), name)
     return read_table(spark, name, on_empty="raise").drop("generated_at")
 
@@ -762,15 +1074,34 @@ def q_table_roundtrip(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     path = land_events(spark, sf_dir)
     schema = _ST.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
-    loc = _scratch(spark, "warehouse")
-    db = f"lw_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS spark_catalog.{db} LOCATION '{loc}'")
-    table = f"spark_catalog.{db}.raw_events_stream"
+    table = f"spark_catalog.{_schema(spark)}.raw_events_stream"
     out = landing.ingest_available(spark, path, table, schema, _scratch(spark, "stream-checkpoint"),
                                    race_location="Baku", as_of=td.AS_OF)
     return out.select(*EVENT_FIELDS)
 
 
+def _kept_sql(what: str, before: str, after: str) -> str:
+    return f"""SELECT 'silver', 'retention_{what}', 'ok', {after}, 'of ' || CAST({before} AS VARCHAR) || ', '
+       || CAST(round(({before} - {after}) * 100.0 / {before}, 1) AS VARCHAR) || '% dropped'"""
+
+
+_PIPELINE_HEAD = f"""SELECT 'bronze' AS stage, 'sessions' AS dataset, 'ok' AS status, count(*) AS rows,
+       CAST(NULL AS VARCHAR) AS detail FROM orders
+UNION ALL
+SELECT 'bronze', 'target_session', 'ok', 1, 'session_key=' || CAST(max(session_key) AS VARCHAR)
+FROM sessions_raw WHERE session_type = 'Race' AND circuit_short_name = 'Baku'
+UNION ALL SELECT 'bronze', 'laps', 'ok', count(*), NULL FROM events
+UNION ALL SELECT 'bronze', 'drivers', 'ok', count(*), NULL FROM customer
+UNION ALL SELECT 'silver', 'cleaned_sessions', 'ok', count(*), NULL FROM cleaned
+UNION ALL
+SELECT 'silver', 'enriched_laps', 'ok', count(*),
+       'valid=' || CAST(count_if(is_valid_lap) AS VARCHAR) || ' flagged='
+       || CAST(count_if(NOT is_valid_lap) AS VARCHAR) FROM enriched
+UNION ALL {_kept_sql("sessions", "(SELECT count(*) FROM sessions_raw)", "(SELECT count(*) FROM cleaned)")}
+UNION ALL {_kept_sql("laps", "(SELECT count(*) FROM laps)", "(SELECT count(*) FROM enriched)")}
+UNION ALL {_kept_sql("valid_laps", "(SELECT count(*) FROM enriched)", "(SELECT count(*) FROM valid)")}"""
+
+
 def _pipeline_status_sql() -> str:
     """The stage table of ``pipeline_status``: the racing preset runs with its own
     60 s minimum lap, so the Silver gate fails and the run halts there."""
@@ -783,38 +1114,82 @@ def _pipeline_status_sql() -> str:
 enriched_a AS (SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS processed_at FROM enriched),
 {CLEANED_CTE.strip()},
 results AS ({results}),
-bad AS (SELECT * FROM results WHERE outcome <> 'pass'),
-msg AS (SELECT 'gate_silver gate failed: ' || CAST(count(*) AS VARCHAR) || ' check(s): '
-               || string_agg("table" || ':' || "check" || '=' || coalesce(CAST(value AS VARCHAR), 'None')
-                             || ' (' || outcome || ')', ', ' ORDER BY "table", "check") AS m FROM bad)
-SELECT 'bronze' AS stage, 'sessions' AS dataset, 'ok' AS status, count(*) AS rows,
-       CAST(NULL AS VARCHAR) AS detail FROM orders
-UNION ALL
-SELECT 'bronze', 'target_session', 'ok', 1, 'session_key=' || CAST(max(session_key) AS VARCHAR)
-FROM sessions_raw WHERE session_type = 'Race' AND circuit_short_name = 'Baku'
-UNION ALL SELECT 'bronze', 'laps', 'ok', count(*), NULL FROM events
-UNION ALL SELECT 'bronze', 'drivers', 'ok', count(*), NULL FROM customer
-UNION ALL SELECT 'silver', 'cleaned_sessions', 'ok', count(*), NULL FROM cleaned
-UNION ALL
-SELECT 'silver', 'enriched_laps', 'ok', count(*),
-       'valid=' || CAST(count_if(is_valid_lap) AS VARCHAR) || ' flagged='
-       || CAST(count_if(NOT is_valid_lap) AS VARCHAR) FROM enriched
+bad AS (SELECT * FROM results WHERE outcome <> 'pass')
+{_PIPELINE_HEAD}
 UNION ALL
 SELECT 'gate_silver', 'silver.cleaned_sessions,silver.enriched_laps', 'failed',
-       {len(presets.CLEANED_SESSIONS) + len(presets.ENRICHED_LAPS)}, left(m, 500) FROM msg"""
+       {len(presets.CLEANED_SESSIONS) + len(presets.ENRICHED_LAPS)}, CAST(count(*) AS VARCHAR) || ' check(s)' FROM bad
+UNION ALL
+SELECT 'gate_silver', "table", 'failed', 1, "check" || '=' || coalesce(CAST(value AS VARCHAR), 'None') || ' ' || op
+       || ' ' || CAST(threshold AS VARCHAR) || ' (' || outcome || ')' FROM bad"""
 
 
 @register("pipeline_status", _pipeline_status_sql())
 def q_pipeline_status(spark, sf_dir):
     """The five stages over the whole test tables with the racing preset checks;
     the Silver gate halts the run (test durations are far below 80 s)."""
-    opts = pipeline.Options(location=_scratch(spark, "warehouse"), as_of=td.AS_OF,
-                            lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
-                            session_id_type="bigint", avg_scale=td.AVG_SCALE)
-    fetchers = {"sessions": lambda: td.bronze_sessions(spark, sf_dir),
-                "laps": lambda: td.bronze_laps(spark, sf_dir),
-                "drivers": lambda: td.bronze_drivers(spark, sf_dir)}
-    return pipeline.run_all(spark, fetchers, opts)
+    return pipeline.run_all(spark, _fetchers(spark, sf_dir), _options(spark))
+
+
+def _options(spark, **kw):
+    """A run of its own: own location, own schemas."""
+    own = uuid.uuid4().hex[:8]
+    _OWNED["schemas"] += [f"{layer}_{own}" for layer in ("bronze", "silver", "gold")]
+    settings = replace(DEFAULT, bronze=f"bronze_{own}", silver=f"silver_{own}", gold=f"gold_{own}",
+                       min_lap_duration_s=kw.pop("min_lap", DEFAULT.min_lap_duration_s))
+    return pipeline.Options(settings=settings, location=_scratch(spark, "warehouse"), as_of=td.AS_OF,
+                            lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE, session_id_type="bigint",
+                            avg_scale=td.AVG_SCALE, **kw)
+
+
+def _fetchers(spark, sf_dir):
+    return {"sessions": lambda: td.bronze_sessions(spark, sf_dir),
+            "laps": lambda: td.bronze_laps(spark, sf_dir),
+            "drivers": lambda: td.bronze_drivers(spark, sf_dir)}
+
+
+# The preset checks with the thresholds that fit the test tables: every stage is reached.
+def _fitted(c):
+    if c.op in (">", ">="):
+        return replace(c, threshold=-1.0)
+    return c if c.metric == "min" else replace(c, op="<=", threshold=1e15)
+
+
+FITTED = {label: [_fitted(c) for c in cs] for label, cs in presets.PRESET.items()}
+
+
+@register("pipeline_complete", f"""WITH {ENRICHED_CTE}, {CLEANED_CTE.strip()},
+{LEADERBOARD_CTE[len(ENRICHED_CTE):].lstrip(",").strip()}, {STANDINGS_CTE[len(ENRICHED_CTE):].lstrip(",").strip()}
+{_PIPELINE_HEAD}
+UNION ALL SELECT 'gate_silver', 'silver.cleaned_sessions,silver.enriched_laps', 'ok',
+       {len(presets.CLEANED_SESSIONS) + len(presets.ENRICHED_LAPS)}, NULL
+UNION ALL SELECT 'gold', 'driver_performance_metrics', 'ok', count(*), NULL FROM leaderboard
+UNION ALL SELECT 'gold', 'constructor_standings', 'ok', count(*), NULL FROM standings
+UNION ALL SELECT 'gold', 'lap_progression', 'ok', count(*), NULL FROM valid
+UNION ALL SELECT 'gate_gold', '{",".join(presets.GOLD_TABLES)}', 'ok',
+       {sum(len(presets.PRESET[t]) for t in presets.GOLD_TABLES)}, NULL""")
+def q_pipeline_complete(spark, sf_dir):
+    """A run through all five stages, the checks' thresholds fitted to the given tables."""
+    return pipeline.run_all(spark, _fetchers(spark, sf_dir), _options(spark, check_sets=FITTED, min_lap=td.MIN_DURATION))
+
+
+@register("pipeline_gold_tables", f"""WITH {LEADERBOARD_CTE}, {STANDINGS_CTE[len(ENRICHED_CTE):].lstrip(",").strip()},
+{PROGRESSION_CTE[len(ENRICHED_CTE):].lstrip(",").strip()}
+SELECT 'driver' AS mart, driver_number AS entity, CAST(pace_rank AS BIGINT) AS place, avg_lap_time_s AS pace FROM leaderboard
+UNION ALL SELECT 'team', team_name, team_pace_rank, avg_team_pace_s FROM standings
+UNION ALL SELECT 'lap', driver_number, lap_number, rolling_avg_5lap_s FROM progression""")
+def q_pipeline_gold_tables(spark, sf_dir):
+    """The Gold tables that a complete run has written, read back."""
+    opts = _options(spark, check_sets=FITTED, min_lap=td.MIN_DURATION)
+    pipeline.run_all(spark, _fetchers(spark, sf_dir), opts)
+    read = lambda t: spark.read.table(opts.name("gold", t))
+    return read("driver_performance_metrics").select(
+        F.lit("driver").alias("mart"), F.col("driver_number").alias("entity"), F.col("pace_rank").cast("long").alias("place"),
+        F.col("avg_lap_time_s").alias("pace")) \
+        .union(read("constructor_standings").select(F.lit("team"), "team_name", F.col("team_pace_rank").cast("long"),
+                                                    "avg_team_pace_s")) \
+        .union(read("lap_progression").select(F.lit("lap"), "driver_number", F.col("lap_number").cast("long"),
+                                              "rolling_avg_5lap_s"))
 
 
 # ---------------------------------------------------------------- one check kind per query

@@ -28,6 +28,12 @@ def endpoint_manifest(keys: DataFrame, base_url: str, endpoints: dict[str, str]
                      F.concat(F.col("e.pre"), F.col("key").cast("string"), F.col("e.post")).alias("url"))
 
 
+def season_urls(base_url: str, year, session_type: str | None = None):
+    """The sessions request of a ``year`` column, as a column."""
+    tail = f"&session_type={session_type}" if session_type else ""
+    return F.concat(F.lit(f"{base_url.rstrip('/')}/sessions?year="), year.cast("string"), F.lit(tail))
+
+
 def season_url(base_url: str, year: int, session_type: str | None = None) -> str:
     url = f"{base_url.rstrip('/')}/sessions?year={year}"
     return url + (f"&session_type={session_type}" if session_type else "")

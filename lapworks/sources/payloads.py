@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, VariantType, _parse_datatype_string
+from pyspark.sql.types import (ArrayType, MapType, NullType, StringType, StructField, StructType, VariantType,
+                               _parse_datatype_string)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed payload file: ``(source, payload)`` (whole file text)."""
-    return spark.read.text(path, wholetext=True).select(
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source"), F.col("value").alias("payload"))
 
 
@@ -31,21 +32,88 @@ def classify(payloads: DataFrame, text_col: str = "payload") -> DataFrame:
     return payloads.withColumn("shape", shape)
 
 
-def explode_records(payloads: DataFrame, text_col: str = "payload",
-                    keep=("source",)) -> DataFrame:
-    """Good list payloads exploded to ``(keep..., pos, rec)`` with ``rec`` a VARIANT object."""
+def rejected(payloads: DataFrame, text_col: str = "payload", keep=("source",)) -> DataFrame:
+    """What ``explode_records`` leaves out, with the reason: payloads that are no JSON list
+    (``pos`` null) and list entries that are no object.  ``(keep..., pos, reason, content)``."""
+    whole = classify(payloads, text_col).filter(~F.col("shape").isin("list", "empty_list"))
+    bodies = whole.select(*keep, F.lit(None).cast("int").alias("pos"),
+                          F.concat(F.lit("payload is "), F.col("shape")).alias("reason"), F.col(text_col).alias("content"))
+    entries = _entries(payloads, text_col, keep).filter(~_is_object("rec"))
+    return bodies.unionByName(entries.select(
+        *keep, "pos", F.lit("record is no object").alias("reason"), F.to_json("rec").alias("content")))
+
+
+def _is_object(rec: str):
+    return F.coalesce(F.schema_of_variant(rec).startswith("OBJECT"), F.lit(False))
+
+
+def _entries(payloads: DataFrame, text_col: str, keep) -> DataFrame:
     good = classify(payloads, text_col).filter(F.col("shape") == "list")
     arr = F.try_parse_json(F.col(text_col)).cast("array<variant>")
     return good.select(*keep, F.posexplode(arr).alias("pos", "rec"))
 
 
+def explode_records(payloads: DataFrame, text_col: str = "payload",
+                    keep=("source",)) -> DataFrame:
+    """Object entries of list payloads as ``(keep..., pos, rec)``, ``rec`` a VARIANT; what
+    else there is, ``rejected`` gives."""
+    return _entries(payloads, text_col, keep).filter(_is_object("rec"))
+
+
+def _spark_type(t):
+    """The merged type of a field: an untyped one (only JSON nulls) is text."""
+    if isinstance(t, NullType):
+        return StringType()
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _spark_type(f.dataType)) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_spark_type(t.elementType))
+    return t
+
+
 def infer_record_schema(records: DataFrame, rec_col: str = "rec") -> StructType:
-    """Merged schema of all records: one global aggregate, a single (bounded) row."""
+    """Merged schema of all records: one global aggregate, a single (bounded) row.  The
+    type text is read as a type, field names are never touched."""
     text = records.agg(F.schema_of_variant_agg(rec_col)).first()[0]
-    if not text or not text.startswith("OBJECT"):
+    if not text or not text.startswith("OBJECT<"):
         return StructType([])
-    ddl = text.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    return _parse_datatype_string(ddl)
+    return _spark_type(_parse_variant_type(text))
+
+
+def _parse_variant_type(text: str):
+    """``OBJECT<name: TYPE, ...>`` as ``schema_of_variant_agg`` writes it; names that are
+    not plain identifiers come in back-quotes (a quote in them doubled)."""
+    plain = {"VOID": NullType(), "VARIANT": VariantType()}
+
+    def parse(i: int):
+        if text.startswith("OBJECT<", i):
+            i += len("OBJECT<")
+            fields = []
+            while text[i] != ">":
+                if text[i] == "`":
+                    j = i + 1
+                    while text[j] != "`" or text[j + 1] == "`":
+                        j += 2 if text[j] == "`" else 1
+                    name, i = text[i + 1:j].replace("``", "`"), j + 1
+                else:
+                    j = text.index(":", i)
+                    name, i = text[i:j], j
+                i += 1 + (text[i + 1] == " ")
+                kind, i = parse(i)
+                fields.append(StructField(name, kind))
+                if text[i] == ",":
+                    i += 1 + (text[i + 1] == " ")
+            return StructType(fields), i + 1
+        if text.startswith("ARRAY<", i):
+            kind, i = parse(i + len("ARRAY<"))
+            return ArrayType(kind), i + 1
+        j, depth = i, 0
+        while j < len(text) and (depth or text[j] not in ",>"):
+            depth += {"(": 1, ")": -1}.get(text[j], 0)
+            j += 1
+        word = text[i:j].strip()
+        return plain.get(word) or _parse_datatype_string(word), j
+    return parse(0)[0]
 
 
 def to_columns(records: DataFrame, schema: StructType | None = None, rec_col: str = "rec",
@@ -78,11 +146,13 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return to_columns(recs)
 
 
-def land_pages(df: DataFrame, path: str, page_col: str) -> None:
-    """Write ``df`` as JSON-list payload files, one file per page (``page_col``),
-    the shape a paginated list endpoint returns.  Pages bound each file."""
-    body = df.select(F.col(page_col).alias("_page"),
-                     F.to_json(F.struct(*[c for c in df.columns if c != page_col])).alias("_j"))
-    pages = body.groupBy("_page").agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("_j"), ","), F.lit("]")).alias("value"))
-    (pages.repartition("_page").write.mode("overwrite").partitionBy("_page").text(path))
+def land_pages(df: DataFrame, path: str, page_col: str, order: list[str] | None = None) -> None:
+    """Write ``df`` as JSON-list payload files, one file per page (``page_col``), the shape
+    a paginated list endpoint returns, entries in the order of ``order`` (else of their
+    JSON text).  The caller's pages bound each file."""
+    fields = [c for c in df.columns if c != page_col]
+    body = df.select(F.col(page_col).alias("_page"), F.struct(*[F.col(c) for c in order or []],
+                                                              F.to_json(F.struct(*fields)).alias("_j")).alias("_e"))
+    pages = body.groupBy("_page").agg(F.array_sort(F.collect_list("_e")).alias("_es")).select(
+        "_page", F.concat(F.lit("["), F.array_join(F.transform("_es", lambda e: e["_j"]), ","), F.lit("]")).alias("value"))
+    pages.write.mode("overwrite").partitionBy("_page").text(path)

@@ -10,18 +10,23 @@ Two ways to run it, both distributed:
   millions of URLs are fetched by the tasks holding them (nothing on the driver);
 * ``format("rest_json")`` - a Python Data Source with one input partition per URL,
   for a modest URL list given as an option.
-The transport is injectable (``file`` reads landed payloads, ``http`` uses urllib).
+The transport is injectable (a function of URL and timeout; ``http`` uses urllib).
+Payloads that lie in files are no requests: ``fetch_landed`` reads them with Spark, from
+any store, and gives the same result rows.
 """
 
 from __future__ import annotations
 
 import json
 import time
+from http.client import HTTPException
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lapworks.session import materialize, ship_package
+
 # Statuses that are not worth retrying.
 NO_RETRY_STATUSES = (400, 401, 403, 404)
 
@@ -69,50 +74,43 @@ def fetch_with_retry(url: str, transport, *, max_retries: int = 3, delay_s: floa
             if not isinstance(data, list):
                 return FetchResult(url, status, attempt, "bad_format", None)
             return FetchResult(url, status, attempt, "ok", resp.body)
-        except (FetchTimeout, FetchError, OSError):
+        except (FetchTimeout, FetchError, OSError, UnicodeDecodeError, HTTPException):
             pass
         if attempt < max_retries:
             sleep(delay_s)
     return FetchResult(url, status, max_retries, "exhausted", None)
 
 
-def file_transport(url: str, timeout_s: float) -> Response:
-    """Landed payloads: ``file://`` URLs or paths; a missing file is a 404."""
-    path = url[len("file:"):] if url.startswith("file:") else url
-    while path.startswith("//"):
-        path = path[1:]
-    try:
-        with open(path, encoding="utf-8") as fh:
-            return Response(200, fh.read())
-    except FileNotFoundError:
-        return Response(404, None)
-
-
 def http_transport(url: str, timeout_s: float) -> Response:
+    import http.client
     import socket
     import urllib.error
     import urllib.request
+    if not url.lower().startswith(("http://", "https://")):
+        return Response(400, None)              # nothing but HTTP is requested
     try:
         with urllib.request.urlopen(url, timeout=timeout_s) as r:  # noqa: S310
-            # non-HTTP schemes (file:) carry no status: a readable body is a 200
             return Response(getattr(r, "status", None) or 200, r.read().decode("utf-8"))
     except urllib.error.HTTPError as e:
         return Response(e.code, None)
     except (socket.timeout, TimeoutError) as e:
         raise FetchTimeout(str(e)) from e
-    except urllib.error.URLError as e:
+    except (urllib.error.URLError, http.client.HTTPException, UnicodeDecodeError) as e:
+        # cut-off bodies, broken status lines and bodies that are no text: worth another try
         raise FetchError(str(e)) from e
 
 
-TRANSPORTS = {"file": file_transport, "http": http_transport}
+TRANSPORTS = {"http": http_transport}
 
 
 def fetch_manifest(manifest: DataFrame, url_col: str = "url", *, transport: str = "http",
                    max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
     """Fetch every URL of ``manifest`` inside the tasks (Arrow batches of URLs)."""
+    ship_package(manifest.sparkSession)
+    fn = TRANSPORTS[transport] if isinstance(transport, str) else transport
+
     def run(batches):
         import pandas as pd
-        fn = TRANSPORTS[transport]
         for b in batches:
             out = [fetch_with_retry(u, fn, max_retries=max_retries, delay_s=delay_s,
                                     timeout_s=timeout_s) for u in b[url_col]]
@@ -124,6 +122,25 @@ def fetch_manifest(manifest: DataFrame, url_col: str = "url", *, transport: str
     return manifest.select(url_col).mapInPandas(run, RESULT_DDL)
 
 
+def fetch_landed(manifest: DataFrame, path: str, url_col: str = "url") -> DataFrame:
+    """The same rows for payload files under ``path``, read by Spark (once, in parallel,
+    from any file system): ``ok`` for a JSON list, ``bad_format`` for other JSON,
+    ``exhausted`` for text that is no JSON, ``client_error`` (404) for a URL of the
+    manifest without a file."""
+    from pyspark.sql import functions as F
+
+    from lapworks.sources import payloads
+    files = payloads.classify(payloads.read_landed(manifest.sparkSession, path)).select(
+        F.col("source").alias("_file"), "payload", "shape")
+    got = manifest.select(url_col).join(files, F.col(url_col) == F.col("_file"), "left")
+    status = F.when(F.col("_file").isNull(), F.lit(404)).otherwise(F.lit(200))
+    outcome = (F.when(F.col("_file").isNull(), F.lit("client_error"))
+               .when(F.col("shape").isin("list", "empty_list"), F.lit("ok"))
+               .when(F.col("shape") == "unparsable", F.lit("exhausted")).otherwise(F.lit("bad_format")))
+    return got.select(F.col(url_col).alias("url"), status.alias("status"), F.lit(1).alias("attempts"),
+                      outcome.alias("outcome"), F.when(outcome == "ok", F.col("payload")).alias("payload"))
+
+
 class _UrlPartition(InputPartition):
     def __init__(self, url: str):
         super().__init__(url)
@@ -162,39 +179,45 @@ class RestJsonSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(RestJsonSource)
 
 
 class FetchFailed(RuntimeError):
-    pass
+    """``failures``: a DataFrame ``(url, status, attempts, outcome)`` of all that failed."""
 
+    def __init__(self, message: str, failures: DataFrame):
+        super().__init__(message)
+        self.failures = failures
 
-def fetch_records(spark: SparkSession, urls, *, transport: str = "http", schema=None,
-                  require_all: bool = True, partitions: int | None = None,
-                  max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
-    """URLs (a list or a ``url`` DataFrame) -> typed records ``(url, pos, fields...)``.
-
-    Fetching runs in the tasks, once: the fetched payloads are checkpointed to the
-    shared folder before they are checked and parsed.  With ``require_all`` a
-    dataset with any URL that did not return a list fails (``FetchFailed``), like a
-    failed single request.
-    ``partitions`` spreads a large manifest over that many fetch tasks.
-    """
+
+def records_of(fetched: DataFrame, schema=None, require_all: bool = True) -> DataFrame:
+    """Typed records ``(url, pos, fields...)`` of fetch results, which are stored first (in
+    the shared folder): the check, the schema and every later action read them, nothing is
+    requested twice.  With ``require_all`` one URL that gave no list fails the dataset,
+    like a failed single request."""
     from pyspark.sql import functions as F
 
     from lapworks.sources import payloads
+    fetched = materialize(fetched)
+    if require_all:
+        bad = fetched.filter(F.col("outcome") != "ok").drop("payload")
+        n = bad.count()
+        if n:
+            raise FetchFailed(f"{n} of {fetched.count()} requests failed", bad)
+    recs = payloads.explode_records(fetched.filter(F.col("outcome") == "ok"), keep=("url",))
+    return payloads.to_columns(recs, schema, keep=("url", "pos"))
+
+
+def fetch_records(spark: SparkSession, urls, *, transport="http", schema=None,
+                  require_all: bool = True, partitions: int | None = None,
+                  max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
+    """URLs (a list or a ``url`` DataFrame) -> typed records ``(url, pos, fields...)``,
+    requested in the tasks, once (see ``records_of``).  ``partitions`` spreads a large
+    manifest over that many fetch tasks."""
     manifest = urls if isinstance(urls, DataFrame) else \
         spark.createDataFrame([(u,) for u in urls], "url string")
     if partitions:
         manifest = manifest.repartition(partitions)
-    # fetched once: the payloads are stored in the shared folder, so the checks,
-    # the schema inference and every later action read them instead of re-fetching
-    from lapworks.session import materialize
-    fetched = materialize(fetch_manifest(manifest, transport=transport, max_retries=max_retries,
-                                         delay_s=delay_s, timeout_s=timeout_s))
-    if require_all:
-        bad = fetched.filter(F.col("outcome") != "ok").select("url", "outcome").limit(5).collect()
-        if bad:
-            raise FetchFailed("fetch failed: " + ", ".join(f"{r.url} ({r.outcome})" for r in bad))
-    recs = payloads.explode_records(fetched.filter(F.col("outcome") == "ok"), keep=("url",))
-    return payloads.to_columns(recs, schema, keep=("url", "pos"))
+    return records_of(fetch_manifest(manifest, transport=transport, max_retries=max_retries, delay_s=delay_s,
+                                     timeout_s=timeout_s), schema, require_all)

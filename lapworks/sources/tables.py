@@ -39,35 +39,38 @@ def read_table(spark: SparkSession, full_name: str, on_empty: str = "warn") -> D
 
 
 def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partition_by=None,
-                staged: bool = True, dynamic: bool = False, metrics: dict | None = None) -> dict:
+                staged: bool = True, dynamic: bool = False, metrics: dict | None = None,
+                require_rows: bool = False) -> dict:
     """Overwrite ``full_name`` with ``df`` (schema replaced), idempotently.
 
-    Staged: the rows go to a staging table first and replace the target only
-    after that write succeeded, so a failed job never leaves a half-written
-    target, and a plan that reads the target can still overwrite it.  The row
-    count comes from an ``Observation`` on the same write job (one pass).
+    Staged: the rows go to a staging table first; the target is then renamed to a
+    backup, the stage renamed in, and the backup dropped last.  A failure at any point
+    leaves the old rows under the target's name (the backup is renamed back), and a stage
+    that is the only copy is never dropped.  A plan that reads the target can still
+    overwrite it.  The row count comes from an ``Observation`` on the same write job.
     Failure -> ``RuntimeError`` naming the table, cause chained.
 
     ``dynamic=True`` with ``partition_by`` replaces only the partitions present
     in ``df`` (e.g. one season) of an existing table, keeping the others.
     ``metrics`` (name -> aggregate Column) are observed on the same job and returned.
+    ``require_rows``: an empty result leaves the target as it is (``rows`` is then 0).
     """
     spark = df.sparkSession
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     extra = [c.alias(n) for n, c in (metrics or {}).items()]
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra)
     target = full_name
-    if dynamic and partition_by and spark.catalog.tableExists(full_name):
+    if dynamic and partition_by and spark.catalog.tableExists(full_name) and _partitioned_by(spark, full_name, partition_by):
         cols = spark.read.table(full_name).columns
-        key = "spark.sql.sources.partitionOverwriteMode"
-        prev = spark.conf.get(key, "static")
-        spark.conf.set(key, "dynamic")
         try:
-            observed.select(*cols).write.insertInto(full_name, overwrite=True)
+            # by the table's folder: there the writer's own option holds, no session setting is touched
+            place = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {full_name}").collect()}
+            by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+            observed.select(*cols).write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy(*by).save(place["Location"])
+            spark.sql(f"ALTER TABLE {full_name} RECOVER PARTITIONS")
         except Exception as ex:
             raise RuntimeError(f"Cannot write table '{target}'") from ex
-        finally:
-            spark.conf.set(key, prev)
         spark.catalog.refreshTable(full_name)
         return {"table": target, **obs.get}
     stage = f"{full_name}__staging_{uuid.uuid4().hex[:8]}" if staged else full_name
@@ -76,20 +79,61 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
         if partition_by:
             w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
         w.saveAsTable(stage)
-        if staged:
-            spark.sql(f"DROP TABLE IF EXISTS {target}")
-            # RENAME TO takes <schema>.<table> in the session catalog
-            spark.sql(f"ALTER TABLE {stage} RENAME TO {'.'.join(target.split('.')[-2:])}")
-            if partition_by:
-                # partitions are tracked by the catalog: register the moved ones
-                spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
     except Exception as ex:
         if staged:
-            try:
-                spark.sql(f"DROP TABLE IF EXISTS {stage}")
-            except Exception:  # pragma: no cover - best effort cleanup
-                pass
+            _drop_quietly(spark, stage)
         raise RuntimeError(f"Cannot write table '{target}'") from ex
+    if staged and require_rows and not obs.get["rows"]:
+        _drop_quietly(spark, stage)
+        return {"table": target, **obs.get}
+    if staged:
+        _swap(spark, stage, target, bool(partition_by))
     got = dict(obs.get)
     log.info("Written %s (%s)", target, got)
     return {"table": target, **got}
+
+
+def _partitioned_by(spark: SparkSession, name: str, by) -> bool:
+    """Whether the table has these partition columns (else it is replaced as a whole)."""
+    have = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    same = have == ([by] if isinstance(by, str) else list(by))
+    if not same:
+        log.warning("Table %s is partitioned by %s, not %s: it is replaced as a whole.", name, have, by)
+    return same
+
+
+def _drop_quietly(spark: SparkSession, name: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    except Exception:
+        log.warning("Table %s could not be dropped.", name)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    # RENAME TO takes <schema>.<table> in the session catalog
+    spark.sql(f"ALTER TABLE {old} RENAME TO {'.'.join(new.split('.')[-2:])}")
+
+
+def _swap(spark: SparkSession, stage: str, target: str, partitioned: bool) -> None:
+    """Puts the written ``stage`` in the place of ``target``; the old table is there again
+    if that fails."""
+    backup = f"{target}__backup_{uuid.uuid4().hex[:8]}" if spark.catalog.tableExists(target) else None
+    try:
+        if backup:
+            _rename(spark, target, backup)
+        _rename(spark, stage, target)
+        if partitioned:
+            # partitions are tracked by the catalog: register the moved ones
+            spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+    except Exception as ex:
+        kept = stage
+        if backup and spark.catalog.tableExists(backup):
+            if spark.catalog.tableExists(target):        # the new rows got in: set them aside
+                _rename(spark, target, stage)
+            _rename(spark, backup, target)
+        if spark.catalog.tableExists(target):
+            _drop_quietly(spark, stage)
+            kept = target
+        raise RuntimeError(f"Cannot write table '{target}' (rows are in {kept})") from ex
+    if backup:
+        _drop_quietly(spark, backup)

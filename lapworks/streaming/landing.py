@@ -7,7 +7,8 @@ checkpoint (offsets and commits) lives in the shared folder, so a restarted or
 re-run job ingests each file once; each batch's rows carry ``_batch`` (the batch
 id) and the write replaces only that batch's partition, so a batch replayed after
 a failure between its write and its commit replaces itself instead of appending
-twice.
+twice.  Payloads and entries that are no records go to ``<table>_rejected``, with the
+reason, in the same way.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, schema: StructT
               .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("payload")))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        bad = payloads.rejected(batch).withColumn("_batch", F.lit(epoch_id))
+        if not bad.isEmpty():
+            write_table(bad, f"{table}_rejected", partition_by="_batch", dynamic=True)
         recs = payloads.to_columns(payloads.explode_records(batch), schema)
         out = bronze.normalise(recs, race_location, as_of=as_of).withColumn("_batch", F.lit(epoch_id))
         write_table(out, table, partition_by="_batch", dynamic=True)

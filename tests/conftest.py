@@ -13,4 +13,6 @@ def spark():
     wh = tempfile.mkdtemp(prefix="lapworks-wh-")
     s = build_session("local[*]", 8, "lapworks-tests", {"spark.sql.warehouse.dir": wh})
     yield s
+    from lapworks.plans import suite
+    suite.cleanup(s)
     s.stop()

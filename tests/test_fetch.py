@@ -4,8 +4,7 @@ import json
 
 import pytest
 
-from lapworks.sources.rest import (FetchError, FetchTimeout, Response, fetch_with_retry,
-                                   file_transport)
+from lapworks.sources.rest import FetchError, FetchTimeout, Response, fetch_with_retry
 
 
 def scripted(*steps):
@@ -86,18 +85,45 @@ def test_undecodable_body_retries():
     assert (r.outcome, r.attempts) == ("ok", 2)
 
 
-def test_file_transport(tmp_path):
-    p = tmp_path / "page.json"
-    p.write_text("[1, 2]")
-    assert file_transport(f"file://{p}", 1).status == 200
-    assert file_transport(str(tmp_path / "missing.json"), 1).status == 404
+def test_cut_off_and_garbled_bodies_are_tried_again(monkeypatch):
+    import http.client
+    import urllib.request
+
+    from lapworks.sources import rest
+
+    class Body:
+        status = 200
+
+        def __init__(self, step):
+            self.step = step
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+        def read(self):
+            if isinstance(self.step, Exception):
+                raise self.step
+            return self.step
+    for first in (http.client.IncompleteRead(b"["), b"\xff\xfe[", http.client.BadStatusLine("x")):
+        steps = [first, b"[4]"]
+        monkeypatch.setattr(urllib.request, "urlopen", lambda url, timeout: Body(steps.pop(0)))
+        r, sleeps = run(lambda url, t: rest.http_transport("https://host/x", t))
+        assert (r.outcome, r.attempts, json.loads(r.payload), sleeps) == ("ok", 2, [4], [5.0])
+
+
+def test_errors_of_any_transport_are_tried_again():
+    import http.client
+    bad = UnicodeDecodeError("utf-8", b"x", 0, 1, "bad")
+    r, _ = run(scripted(http.client.IncompleteRead(b""), bad, ok([1])))
+    assert (r.outcome, r.attempts) == ("ok", 3)
 
 
-def test_urllib_transport_offline(tmp_path):
+def test_only_http_is_requested(tmp_path):
     from lapworks.sources.rest import http_transport
     p = tmp_path / "page.json"
     p.write_text("[3]")
     r, _ = run(lambda url, t: http_transport(f"file://{p}", t))
-    assert (r.outcome, json.loads(r.payload)) == ("ok", [3])
-    r, _ = run(lambda url, t: http_transport(f"file://{tmp_path}/missing.json", t))
-    assert r.outcome == "exhausted"                 # an unreachable resource is a transport error
+    assert (r.outcome, r.attempts) == ("client_error", 1)

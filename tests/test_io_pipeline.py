@@ -123,7 +123,6 @@ def test_pipeline_from_landed_payloads(spark, tmp_path):
     """REST-shaped payload files -> Bronze -> Silver -> gate -> Gold -> gate."""
     import json
 
-    from lapworks.sources.rest import fetch_records
     rnd = random.Random(2)
     land = tmp_path / "api"
     land.mkdir()
@@ -141,15 +140,20 @@ def test_pipeline_from_landed_payloads(spark, tmp_path):
              "lap_duration": None if k == 1 else round(rnd.uniform(100, 110), 3),
              "is_pit_out_lap": k == 1, "segments": [1, 2]} for d in drivers for k in range(1, 31)]
     (land / "laps_7001.json").write_text(json.dumps(laps))
-    url = lambda name: f"file://{land}/{name}.json"
-    fetchers = {
-        "sessions": lambda: fetch_records(spark, [url("sessions")], transport="file"),
-        "drivers": lambda key: fetch_records(spark, [url(f"drivers_{key}")], transport="file"),
-        "laps": lambda key: fetch_records(spark, [url(f"laps_{key}")], transport="file"),
-        "telemetry": lambda key: fetch_records(spark, [url(f"car_data_{key}")], transport="file",
-                                               delay_s=0.0),
-    }
-    opts = pipeline.Options(location=str(tmp_path / "wh6"), as_of="2025-09-21 18:00:00")
+    folder = str(land)
+
+    def transport(url, timeout_s):
+        """The endpoints' URLs answered from the files beside: season, then session."""
+        import os
+        import re
+        from lapworks.sources.rest import Response
+        name, key = re.fullmatch(r"https://host/v1/(\w+)\?(?:session_key=(\d+)|year=2025)(?:&speed>250)?", url).groups()
+        path = f"{folder}/{name}{'_' + key if key else ''}.json"
+        return Response(200, open(path).read()) if os.path.exists(path) else Response(404, None)
+    opts = pipeline.Options(location=str(tmp_path / "wh6"), as_of="2025-09-21 18:00:00",
+                            settings=pipeline.Settings(base_url="https://host/v1", retry_delay_s=0.0))
+    fetchers = pipeline.rest_fetchers(spark, opts, transport=transport)
+    assert list(fetchers) == ["sessions", "drivers", "laps", "telemetry"]
     status = {(s.stage, s.dataset): (s.status, s.rows, s.detail)
               for s in pipeline.run_all(spark, fetchers, opts).collect()}
     assert status[("bronze", "target_session")][2] == "session_key=7001"     # last Race at Baku

@@ -11,19 +11,13 @@ from lapworks.sources.manifest import endpoint_manifest, season_url
 from lapworks.streaming.landing import ingest_available
 
 
-def test_rest_data_source_file_transport(spark, tmp_path):
-    good = tmp_path / "a.json"
-    good.write_text(json.dumps([{"x": 1}, {"x": 2}]))
-    bad = tmp_path / "b.json"
-    bad.write_text(json.dumps({"error": "nope"}))
-    urls = [f"file://{good}", str(bad), str(tmp_path / "missing.json")]
+def test_rest_data_source(spark):
+    """One input partition per URL; what is no HTTP URL is refused in the task, at once."""
+    urls = ["file:///etc/hostname", "ftp://host/x", "page"]
     rest.register(spark)
-    df = spark.read.format("rest_json").option("urls", json.dumps(urls)) \
-        .option("transport", "file").option("retryDelay", "0").load()
-    assert df.rdd.getNumPartitions() == 3                      # one input partition per URL
-    got = {r.url: (r.outcome, r.attempts) for r in df.collect()}
-    assert got[urls[0]] == ("ok", 1) and got[urls[1]] == ("bad_format", 1)
-    assert got[urls[2]] == ("client_error", 1)
+    df = spark.read.format("rest_json").option("urls", json.dumps(urls)).option("retryDelay", "0").load()
+    assert df.rdd.getNumPartitions() == 3
+    assert {r.url: (r.outcome, r.attempts, r.status) for r in df.collect()} == {u: ("client_error", 1, 400) for u in urls}
 
 
 def test_fetch_manifest_and_pages(spark, tmp_path):
@@ -33,7 +27,7 @@ def test_fetch_manifest_and_pages(spark, tmp_path):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True) \
         .option("pathGlobFilter", "*.txt").load(str(tmp_path / "land")).select(F.col("path").alias("url"))
     assert files.count() == 3
-    fetched = rest.fetch_manifest(files, transport="file")
+    fetched = rest.fetch_landed(files, str(tmp_path / "land"))
     recs = payloads.to_columns(payloads.explode_records(fetched, keep=("url",)), keep=("url", "pos"))
     rows = recs.select(F.col("k").cast("long"), F.col("v").cast("double")).collect()
     assert sorted(r.k for r in rows) == list(range(2500))
@@ -74,54 +68,99 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     assert sorted(r.a for r in spark.table("spark_catalog.st.raw").collect()) == [1, 2, 3]
 
 
-def test_rolling_without_exchange_reuse(spark):
+def test_windows_without_exchange_reuse(spark):
     df = spark.createDataFrame([("h", i, float(i % 7)) for i in range(400)] +
                                [("x", i, 1.0) for i in range(3)], "k string, i int, v double")
-    want = {(r.k, r.i): r.r for r in metrics.rolling_mean(df, "v", ["k"], ["i"], out="r",
-                                                          distributed=False).collect()}
+    rank = spark.createDataFrame([(i, i % 7, (i * 37) % 11) for i in range(500)], "id int, a int, b int")
+    roll = lambda d: {(r.k, r.i): r.r for r in metrics.rolling_mean(
+        df, "v", ["k"], ["i"], out="r", distributed=d, order_span=9).collect()}
+    ranks = lambda d: {r.id: r.r for r in metrics.dense_rank(rank, ["a", ("b", "desc")], "r", distributed=d).collect()}
+    median = lambda: {r.a: r.m for r in metrics.lower_median(rank, ["a"], "b", "m").collect()}
+    want = (roll(False), ranks(False), median())
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        got = {(r.k, r.i): r.r for r in metrics.rolling_mean(df, "v", ["k"], ["i"], out="r",
-                                                             distributed=True, num_ranges=12).collect()}
+        assert (roll(True), ranks(True), median()) == want
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
-    assert got == want
 
 
-def test_rank_and_median_without_exchange_reuse(spark):
-    df = spark.createDataFrame([(i, i % 7, (i * 37) % 11) for i in range(500)], "id int, a int, b int")
-    want_r = {r.id: r.r for r in metrics.dense_rank(df, ["a", ("b", "desc")], "r", distributed=False).collect()}
-    want_m = {r.a: r.m for r in metrics.lower_median(df, ["a"], "b", "m", distributed=False).collect()}
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        got_r = {r.id: r.r for r in metrics.dense_rank(df, ["a", ("b", "desc")], "r", distributed=True,
-                                                       num_ranges=9).collect()}
-        got_m = {r.a: r.m for r in metrics.lower_median(df, ["a"], "b", "m", distributed=True,
-                                                        num_ranges=9).collect()}
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-    assert got_r == want_r and got_m == want_m
-
-
-def test_fetch_records_fetches_each_url_once(spark, tmp_path):
-    from lapworks.sources.rest import fetch_records
-    page = tmp_path / "p.json"
-    page.write_text(json.dumps([{"a": 1}, {"a": 2}]))
-    recs = fetch_records(spark, [f"file://{page}"], transport="file")
-    page.write_text(json.dumps([{"a": 99}]))            # the source changes after the fetch
-    assert recs.isEmpty() is False
-    assert sorted(r.a for r in recs.collect()) == [1, 2]  # later actions read the stored payloads
-
-
-def test_fetch_records_spreads_a_manifest(spark, tmp_path):
-    from lapworks.sources.rest import FetchFailed, fetch_records
-    urls = []
-    for i in range(12):
-        p = tmp_path / f"p{i}.json"
-        p.write_text(json.dumps([{"i": i, "j": k} for k in range(3)]))
-        urls.append(f"file://{p}")
-    recs = fetch_records(spark, urls, transport="file", partitions=4)
+def _pages(tmp_path, n):
+    for i in range(n):
+        (tmp_path / f"p{i}.json").write_text(json.dumps([{"i": i, "j": k} for k in range(3)]))
+    return [f"file:{tmp_path}/p{i}.json" for i in range(n)]
+
+
+def _urls(spark, urls):
+    return spark.createDataFrame([(u,) for u in urls], "url string")
+
+
+def test_landed_pages_as_fetch_results(spark, tmp_path):
+    import pytest
+    from lapworks.sources.rest import FetchFailed, fetch_landed, records_of
+    urls = _pages(tmp_path, 12)
+    recs = records_of(fetch_landed(_urls(spark, urls), str(tmp_path)))
+    (tmp_path / "p0.json").write_text("[]")             # the source changes after the read
     assert recs.count() == 36 and recs.select("i").distinct().count() == 12
+    (tmp_path / "p1.json").write_text('{"detail": "no"}')
+    (tmp_path / "p2.json").write_text('[{"i": 1')
+    gone = f"file:{tmp_path}/none.json"
+    got = fetch_landed(_urls(spark, [*urls, gone]), str(tmp_path))
+    bad = {r.url: (r.outcome, r.status) for r in got.filter("outcome <> 'ok'").collect()}
+    assert bad == {urls[1]: ("bad_format", 200), urls[2]: ("exhausted", 200), gone: ("client_error", 404)}
+    with pytest.raises(FetchFailed, match="3 of 13") as ex:
+        records_of(got)
+    assert {r.url for r in ex.value.failures.collect()} == set(bad)       # all of them, as a table
+
+
+def test_fetch_records_requests_once_in_the_tasks(spark, tmp_path):
+    from lapworks.sources.rest import Response, fetch_records
+    log = str(tmp_path / "calls")
+
+    def transport(url, timeout_s):
+        with open(log, "a") as f:
+            f.write(url + "\n")
+        return Response(200, '[{"u": "%s"}]' % url)
+    recs = fetch_records(spark, [f"https://h/{i}" for i in range(9)], transport=transport, partitions=3)
+    assert recs.count() == 9 and recs.select("u").distinct().count() == 9
+    assert sorted(open(log).read().split()) == [f"https://h/{i}" for i in range(9)]
+
+
+def test_bad_records_do_not_cost_the_columns(spark):
+    from lapworks.sources import payloads as pl
+    texts = ['[{"AVOID_ZONE": null, "a b": 1, "n": {"VOID": [1, 2]}}, 7, {"AVOID_ZONE": "x"}]', '{"detail": 1}', '[{"a']
+    df = spark.createDataFrame([("s", t) for t in texts], "source string, payload string")
+    good = pl.to_columns(pl.explode_records(df)).orderBy("pos")
+    assert set(good.columns) == {"source", "pos", "AVOID_ZONE", "a b", "n"}
+    assert [(r["AVOID_ZONE"], r["a b"], r["n"]) for r in good.collect()] == [(None, 1, '{"VOID":[1,2]}'), ("x", None, None)]
+    bad = sorted((r.reason, r.pos, r.content) for r in pl.rejected(df).collect())
+    assert [b[0] for b in bad] == ["payload is object", "payload is unparsable", "record is no object"]
+    assert bad[2][1:] == (1, "7")
+
+
+def test_failed_swap_keeps_the_old_rows(spark, monkeypatch):
     import pytest
-    with pytest.raises(FetchFailed, match="client_error"):
-        fetch_records(spark, urls + [f"file://{tmp_path}/none.json"], transport="file")
+    from lapworks.sources import tables
+    spark.sql("CREATE SCHEMA IF NOT EXISTS sw")
+    name = "spark_catalog.sw.t"
+    tables.write_table(spark.range(5), name)
+    real, calls = tables._rename, []
+
+    def failing(at):
+        def rename(sp, old, new):
+            calls.append(old)
+            if len(calls) == at:
+                raise RuntimeError("rename failed")
+            return real(sp, old, new)
+        return rename
+    for at in (1, 2):
+        calls.clear()
+        monkeypatch.setattr(tables, "_rename", failing(at))
+        with pytest.raises(RuntimeError, match="Cannot write table"):
+            tables.write_table(spark.range(50), name)
+        monkeypatch.setattr(tables, "_rename", real)
+        assert spark.table(name).count() == 5
+        assert [t.name for t in spark.catalog.listTables("sw") if not t.isTemporary] == ["t"]
+    tables.write_table(spark.table(name).union(spark.range(2)), name)       # reads what it replaces
+    assert spark.table(name).count() == 7
+    assert tables.write_table(spark.range(0), name, require_rows=True)["rows"] == 0
+    assert spark.table(name).count() == 7
