@@ -13,8 +13,9 @@ only if it holds a repeated anchor.
 What is shuffled is packed: a row holds the anchors (or windows, or positions) that one
 task has for one bucket, as arrays.  Before, whatever repeats inside the task is resolved
 there and leaves one representative, so a passage that a third of the documents hold
-reaches its bucket once a task.  Buckets are several times the shuffle partitions; a task
-holds one bucket at a time.
+reaches its bucket once a task.  There are as many buckets as shuffle partitions (more
+would leave a task's packed rows small and many); a task holds one bucket at a time, and
+of its texts one packed row.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 
 from lapworks.llm import words
 from lapworks.llm.common import doc_key, prepare, shuffle_partitions, table
+from lapworks.llm.packed import (batch_of, bucket_of, key_bucket, keys_in, keys_out, large, pos_in, pos_out, small,
+                                 split)
 
 WIDTH = 20
 PERIOD = 13
@@ -35,7 +38,7 @@ COVER = (0, 1, 3, 9)      # differences of these give every residue modulo 13
 ANCHOR = WIDTH - PERIOD + 1
 CHUNK = 1 << 20           # anchors that a task compares among themselves at a time
 PACK_BYTES = 24 << 20     # text that a task gathers before it packs it by bucket
-BUCKETS_EACH = 8          # buckets for each shuffle partition
+LEAST_BUCKETS = 8
 
 ALONE, FIRST, AGAIN = 0, 1, 2      # in the task: seen once, first of several, a later one
 _TEXTS = "db int, ids binary, named binary, ends binary, text binary"
@@ -44,45 +47,11 @@ _KEYS = "bucket int, db int, n int, base long, ids binary, pos binary, keys bina
 
 
 # ------------------------------------------------------------------ packing
-def _small(v: np.ndarray) -> tuple[int, bytes]:
-    """Integers as their least one and 32-bit (else 64-bit) differences from it."""
-    if not len(v):
-        return 0, b""
-    base = int(v.min())
-    d = v.astype(np.uint64) - np.uint64(base % (1 << 64))
-    return base, (d.astype("<u4") if d.max() < 1 << 32 else d.astype("<u8")).tobytes()
-
-
-def _large(base: int, data: bytes, n: int) -> np.ndarray:
-    d = np.frombuffer(data, "<u8" if len(data) == 8 * n else "<u4").astype(np.uint64)
-    return (d + np.uint64(base % (1 << 64))).view(np.int64)
-
-
-def _pos_out(pos: np.ndarray) -> bytes:
-    return pos.astype("<u2" if not len(pos) or pos.max() < 1 << 16 else "<u4").tobytes()
-
-
-def _pos_in(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype(np.int64)
-
-
-def _db(ids: np.ndarray, n: int) -> np.ndarray:
-    return (words.mix(ids.astype(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(n)).astype(np.int64)
-
-
-def _split(by: np.ndarray, n: int):
-    """Row numbers of each value of ``by`` that occurs, in their order."""
-    order = np.argsort(by, kind="stable")
-    at = np.searchsorted(by[order], np.arange(n + 1))
-    for v in np.flatnonzero(np.diff(at)):
-        yield int(v), order[at[v]:at[v + 1]]
-
-
 def _marks(ids: np.ndarray, pos: np.ndarray, dbs: int) -> list[tuple]:
     out = []
-    for db, rows in _split(_db(ids, dbs), dbs):
-        base, packed = _small(ids[rows])
-        out.append((db, len(rows), base, packed, _pos_out(pos[rows])))
+    for db, rows in split(bucket_of(ids, dbs), dbs):
+        base, packed = small(ids[rows])
+        out.append((db, len(rows), base, packed, pos_out(pos[rows])))
     return out
 
 
@@ -93,18 +62,11 @@ def _keys(key: np.ndarray, width: int, bucket: np.ndarray, ids, pos, state, buck
     for db, n, base, i, p in _marks(ids[done], pos[done], dbs):
         out.append(((db * 31 + int(base)) % buckets, db, n, base, i, p, None, None))
     key, bucket, ids, pos, state = (v[~done] for v in (key, bucket, ids, pos, state))
-    for b, rows in _split(bucket, buckets):
-        base, i = _small(ids[rows])
-        k = np.ascontiguousarray(key[rows]).view(np.uint8).reshape(-1, 8)[:, 8 - width:]
-        out.append((b, None, len(rows), base, i, _pos_out(pos[rows]), k.tobytes(), state[rows].astype(np.int8).tobytes()))
-    return _batch(out, _KEYS)
-
-
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    fields = [f.split() for f in schema.split(", ")]
-    cols = list(zip(*rows)) if rows else [()] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(cols, fields)], [n for n, _ in fields])
+    for b, rows in split(bucket, buckets):
+        base, i = small(ids[rows])
+        out.append((b, None, len(rows), base, i, pos_out(pos[rows]), keys_out(key[rows], width),
+                    state[rows].astype(np.int8).tobytes()))
+    return batch_of(out, _KEYS)
 
 
 def _compare(key: np.ndarray, key2: np.ndarray | None, ids: np.ndarray, pos: np.ndarray):
@@ -139,10 +101,10 @@ def _pack_texts(dbs: int):
                             bytes(n for _, n, _ in docs), np.cumsum([len(t) for _, _, t in docs]).astype("<i8").tobytes(),
                             codec.compress(text, asbytes=True) if text else b""))
                 if len(out) == 64:
-                    yield _batch(out, _TEXTS)
+                    yield batch_of(out, _TEXTS)
                     out = []
             if out:
-                yield _batch(out, _TEXTS)
+                yield batch_of(out, _TEXTS)
             held.clear()
 
         for b in batches:
@@ -150,7 +112,7 @@ def _pack_texts(dbs: int):
             named = b.column(2).is_valid().to_pylist()
             buf, off = words.buffers(b.column(1))
             raw = memoryview(buf)
-            for k, db in enumerate(_db(ids, dbs).tolist()):
+            for k, db in enumerate(bucket_of(ids, dbs).tolist()):
                 t = bytes(raw[off[k]:off[k + 1]])
                 held.setdefault(db, []).append((int(ids[k]), named[k], t))
                 size += len(t) + 64
@@ -182,8 +144,7 @@ def _anchors(buckets: int, dbs: int):
             key, _, ids, pos, state = _compare(key, None, ids, pos)
             back = np.lexsort((pos, ids))            # by document: ids and places pack well
             key = key[back]
-            bucket = ((key & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64)
-            return _keys(key, 5, bucket, ids[back], pos[back], state[back], buckets, dbs)
+            return _keys(key, 5, key_bucket(key, buckets), ids[back], pos[back], state[back], buckets, dbs)
 
         for b in batches:
             ids = words.ids_of(b.column(0))
@@ -215,9 +176,7 @@ def _meet(width: int, later: bool, dbs: int):
             cols = []
             for r in rows:
                 n = r["n"]
-                k = np.zeros((n, 8), np.uint8)
-                k[:, 8 - width:] = np.frombuffer(r["keys"], np.uint8).reshape(n, width)
-                cols.append((k.view(np.uint64).ravel(), _large(r["base"], r["ids"], n), _pos_in(r["pos"], n),
+                cols.append((keys_in(r["keys"], n, width), large(r["base"], r["ids"], n), pos_in(r["pos"], n),
                              np.frombuffer(r["state"], np.int8)))
             key, ids, pos, state = (np.concatenate(c) for c in zip(*cols))
             if later:
@@ -237,7 +196,7 @@ def _meet(width: int, later: bool, dbs: int):
             ids, pos = (np.concatenate(c) for c in zip(*marked))
             marked.clear()
             order = np.lexsort((pos, ids))
-            return _batch(_marks(ids[order], pos[order], dbs), _MARKS)
+            return batch_of(_marks(ids[order], pos[order], dbs), _MARKS)
 
         for b in batches:
             ready = b.filter(b.column(1).is_valid())
@@ -263,7 +222,7 @@ def _places(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Marked places, by id."""
     if not t.num_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    got = [(_large(r["base"], r["ids"], r["n"]), _pos_in(r["pos"], r["n"]))
+    got = [(large(r["base"], r["ids"], r["n"]), pos_in(r["pos"], r["n"]))
            for r in t.select(["n", "base", "ids", "pos"]).to_pylist()]
     ids, pos = (np.concatenate(c) for c in zip(*got))
     order = np.argsort(ids, kind="stable")
@@ -302,7 +261,7 @@ def _windows(buckets: int, dbs: int):
                 parts.append((words.window_hashes(h, WIDTH)[take], words.window_hashes(h, WIDTH, words.BASE_B)[take],
                               ids[i:j][row[take]], place[take]))
         if not parts:
-            return pa.Table.from_batches([_batch([], _KEYS)])
+            return pa.Table.from_batches([batch_of([], _KEYS)])
         key, second, ids, pos, state = _compare(*[np.concatenate(c) for c in zip(*parts)])
         back = np.lexsort((pos, ids))
         bucket = (second[back] % np.uint64(buckets)).astype(np.int64)
@@ -331,7 +290,7 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
             kept = b" ".join(ws)
             out.append((int(ids[k]) if named[k] else None, n, n - len(ws), hashlib.sha256(kept).hexdigest(),
                         kept.decode("utf-8", "replace")))
-    return pa.Table.from_batches([_batch(out, _RESULT)])
+    return pa.Table.from_batches([batch_of(out, _RESULT)])
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -348,7 +307,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     spark = docs.sparkSession
     prepare(spark)
-    buckets = dbs = BUCKETS_EACH * shuffle_partitions(spark)
+    buckets = dbs = max(LEAST_BUCKETS, shuffle_partitions(spark))
     rows = docs.select(doc_key(id_col, text_col).alias("_id"), F.col(text_col).cast("string").alias("_t"),
                        F.col(id_col).cast("long").alias("doc_id"))
     texts = rows.mapInArrow(_pack_texts(dbs), _TEXTS)      # one shuffle, read by both cogroups

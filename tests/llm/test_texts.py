@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest_llm import ODD, fold, rows, words
-from lapworks.llm import exact_dedup, mixing, packing, sharding, substring, tokens
+from lapworks.llm import exact_dedup, mixing, packed, packing, sharding, substring, tokens
 from lapworks.llm.common import components
 
 LARGEST = 1 << 62
@@ -67,9 +67,9 @@ def test_substring_packing():
     assert ids.tolist() == [1, 2, 3] and state.tolist() == [substring.FIRST, substring.AGAIN, substring.ALONE]
     for v in ([-5, 3, 1 << 31], [-(1 << 63), (1 << 63) - 1], [7]):
         v = np.array(v, dtype=np.int64)
-        assert substring._large(*substring._small(v), len(v)).tolist() == v.tolist()
+        assert packed.large(*packed.small(v), len(v)).tolist() == v.tolist()
     for v in ([0, 65535], [0, 65536]):
-        assert substring._pos_in(substring._pos_out(np.array(v)), 2).tolist() == v
+        assert packed.pos_in(packed.pos_out(np.array(v)), 2).tolist() == v
 
 
 # ------------------------------------------------------------------ exact dedup
