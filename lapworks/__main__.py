@@ -3,6 +3,7 @@
     python -m lapworks queries
     python -m lapworks query driver_leaderboard --sf-dir /root/testdata/sf0.01 [--explain]
     python -m lapworks pipeline --sf-dir /root/testdata/sf0.01 --location /shared/warehouse
+    python -m lapworks pipeline --base-url https://host/v1 --season 2025 --circuit Baku --location /shared/warehouse
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ def main(argv=None) -> int:
     p = sub.add_parser("pipeline")
     p.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     p.add_argument("--location", default=None, help="schema root on shared storage")
+    p.add_argument("--base-url", default=None, help="fetch from the list endpoints under this URL instead of --sf-dir")
+    p.add_argument("--season", type=int, default=None)
+    p.add_argument("--circuit", default=None)
     p.add_argument("--master", default=os.environ.get("LAPWORKS_MASTER", "local[*]"))
     args = ap.parse_args(argv)
 
@@ -43,11 +47,20 @@ def main(argv=None) -> int:
         return 0
     from lapworks.plans import pipeline
     from lapworks.plans import testdata as td
-    opts = pipeline.Options(location=args.location, lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
-                            session_id_type="bigint", avg_scale=td.AVG_SCALE)
-    fetchers = {"sessions": lambda: td.bronze_sessions(spark, args.sf_dir),
-                "laps": lambda: td.bronze_laps(spark, args.sf_dir),
-                "drivers": lambda: td.bronze_drivers(spark, args.sf_dir)}
+    if args.base_url:
+        from dataclasses import replace
+
+        from lapworks.config import DEFAULT
+        chosen = {"season_year": args.season, "race_round": args.circuit}
+        settings = replace(DEFAULT, base_url=args.base_url, **{k: v for k, v in chosen.items() if v is not None})
+        opts = pipeline.Options(settings=settings, location=args.location)
+        fetchers = pipeline.rest_fetchers(spark, opts)
+    else:
+        opts = pipeline.Options(location=args.location, lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
+                                session_id_type="bigint", avg_scale=td.AVG_SCALE)
+        fetchers = {"sessions": lambda: td.bronze_sessions(spark, args.sf_dir),
+                    "laps": lambda: td.bronze_laps(spark, args.sf_dir),
+                    "drivers": lambda: td.bronze_drivers(spark, args.sf_dir)}
     status = pipeline.run_all(spark, fetchers, opts)
     status.show(truncate=120)
     return 0 if status.filter("status != 'ok'").isEmpty() else 1
