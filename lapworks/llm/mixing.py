@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapworks.llm import words
-from lapworks.llm.common import id_in, id_out, materialize, prepare, shuffle_partitions, table
+from lapworks.llm.common import id_out, materialize, prepare, shuffle_partitions, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3

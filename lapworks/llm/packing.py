@@ -44,6 +44,7 @@ def _pieces(tokenizer: str, capacity: int, end_id: int):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out],
                                              ["_id", "start", "length", "ids_crc32", "doc_tokens"])
+        words.trim()
     return run
 
 

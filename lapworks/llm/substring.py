@@ -36,8 +36,8 @@ WIDTH = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)      # differences of these give every residue modulo 13
 ANCHOR = WIDTH - PERIOD + 1
-CHUNK = 1 << 20           # anchors that a task compares among themselves at a time
-PACK_BYTES = 24 << 20     # text that a task gathers before it packs it by bucket
+CHUNK = 1 << 19           # anchors that a task compares among themselves at a time
+PACK_BYTES = 16 << 20     # text that a task gathers before it packs it by bucket
 LEAST_BUCKETS = 8
 
 ALONE, FIRST, AGAIN = 0, 1, 2      # in the task: seen once, first of several, a later one

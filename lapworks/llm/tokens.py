@@ -21,7 +21,7 @@ import re
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-TABLE_WORDS = 500_000
+TABLE_WORDS = 200_000
 
 # The tokenizer's own splitting pattern, for the letters of the plain path.
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 ]+")

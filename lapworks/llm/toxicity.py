@@ -37,7 +37,7 @@ PRIOR = 20.0
 CONFIDENCE = 1.645
 STEM = 4
 DRIFT = 0.08
-MEMORY = 400_000          # words that a task remembers the scores of
+MEMORY = 150_000          # words that a task remembers the scores of
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
 MOST_EVIDENCE = 60.0
@@ -175,6 +175,7 @@ def _count(part: dict):
             if len(t) + len(c) > 300_000:
                 yield from flush()
         yield from flush()
+        words.trim()
     return run
 
 
@@ -290,6 +291,7 @@ def _score(model: dict):
                 passages.append([dict(zip(("first", "last", "score", "p"), s)) for s in kept])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64()), pa.array(passages, kind)],
                                              ["_id", "score", "passages"])
+        words.trim()
     return run
 
 
@@ -332,6 +334,7 @@ def _filter(model: dict, column: int, threshold: float = THRESHOLD):
             got = next(one(iter([narrow])))
             keep = np.flatnonzero(got.column(1).to_numpy() < threshold)
             yield b.take(pa.array(keep))
+        words.trim()
     return run
 
 

@@ -8,11 +8,13 @@ single text, never by the number of rows in an Arrow batch.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 NULL_ID = -(1 << 63)          # stands for a null id inside the operators
 
 _U = np.uint64
@@ -48,6 +50,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: workers are reused, and an operator should
+    not start with what the one before has left."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):      # another C library
+        pass
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (n + 1) of a text column; a null text is empty."""
     if isinstance(col, pa.ChunkedArray):
