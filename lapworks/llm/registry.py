@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lapworks.llm import (exact_dedup, jaccard, mixing, neighbours, packing, pii, rollup, sharding, substring,
+from lapworks.llm import (exact_dedup, jaccard, merkle, mixing, neighbours, packing, pii, rollup, sharding, substring,
                           toxicity)
 
 QUERIES = {
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.query,
     "op9_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_merkle_manifest": merkle.query,
 }
 ORACLE = {
     "op8_ngram_jaccard_join": jaccard.ORACLE,
     "op9_pii": pii.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
