@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lapworks.llm import (exact_dedup, jaccard, merkle, mixing, neighbours, packing, pii, rollup, sharding, substring,
-                          toxicity)
+from lapworks.llm import (alignment, exact_dedup, fingerprints, jaccard, merkle, mixing, neighbours, packing, pii,
+                          rollup, sharding, substring, toxicity)
 
 QUERIES = {
     "op1_substring_dedup": substring.query,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_pii": pii.query,
     "op10_exact_dedup": exact_dedup.query,
     "op11_merkle_manifest": merkle.query,
+    "op12_cross_tokenizer": alignment.query,
+    "op13_fingerprints": fingerprints.query,
 }
 ORACLE = {
     "op8_ngram_jaccard_join": jaccard.ORACLE,
