@@ -28,6 +28,10 @@ def main(argv=None) -> int:
     p.add_argument("--base-url", default=None, help="fetch from the list endpoints under this URL instead of --sf-dir")
     p.add_argument("--season", type=int, default=None)
     p.add_argument("--circuit", default=None)
+    p.add_argument("--ledger", default=None, help="shared folder of finished requests; a rerun asks only for the others")
+    p.add_argument("--threshold", action="append", default=[], metavar="CHECK=NUMBER",
+                   help="threshold of a check, e.g. EL10=300 (repeatable)")
+    p.add_argument("--min-lap", type=float, default=None, help="minimum lap duration, also of the checks that bound it")
     p.add_argument("--master", default=os.environ.get("LAPWORKS_MASTER", "local[*]"))
     args = ap.parse_args(argv)
 
@@ -47,16 +51,19 @@ def main(argv=None) -> int:
         return 0
     from lapworks.plans import pipeline
     from lapworks.plans import testdata as td
-    if args.base_url:
-        from dataclasses import replace
+    from dataclasses import replace
 
-        from lapworks.config import DEFAULT
-        chosen = {"season_year": args.season, "race_round": args.circuit}
-        settings = replace(DEFAULT, base_url=args.base_url, **{k: v for k, v in chosen.items() if v is not None})
-        opts = pipeline.Options(settings=settings, location=args.location)
+    from lapworks.config import DEFAULT
+    chosen = {"season_year": args.season, "race_round": args.circuit, "base_url": args.base_url,
+              "min_lap_duration_s": args.min_lap}
+    settings = replace(DEFAULT, **{k: v for k, v in chosen.items() if v is not None})
+    run = dict(settings=settings, location=args.location, ledger=args.ledger, inject_min_lap=args.min_lap is not None,
+               thresholds={k: float(v) for k, _, v in (t.partition("=") for t in args.threshold)})
+    if args.base_url:
+        opts = pipeline.Options(**run)
         fetchers = pipeline.rest_fetchers(spark, opts)
     else:
-        opts = pipeline.Options(location=args.location, lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
+        opts = pipeline.Options(**run, lap_type=td.LAP_TYPE, duration_type=td.DURATION_TYPE,
                                 session_id_type="bigint", avg_scale=td.AVG_SCALE)
         fetchers = {"sessions": lambda: td.bronze_sessions(spark, args.sf_dir),
                     "laps": lambda: td.bronze_laps(spark, args.sf_dir),

@@ -49,8 +49,8 @@ def _order(df: DataFrame, ordered: bool, *cols) -> DataFrame:
 
 def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
                        avg_scale: int | None = EXACT_SCALE,
-                       distributed: bool = True, as_of=None, ordered: bool = True,
-                       cols: LapColumns = LAPS) -> DataFrame:
+                       distributed: bool = True, target_rows: int | None = None, as_of=None,
+                       ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Per (driver, name, team) pace metrics over valid laps, dense-ranked on the
     *rounded* (average asc, std-dev asc) pair, so equal rounded pairs tie.
 
@@ -61,7 +61,7 @@ def driver_leaderboard(laps: DataFrame, season_year: int, *, decimals: int = 3,
     if distributed:
         stats = valid.groupBy(*keys).agg(*pace_columns("lap_duration", "lap_number", decimals=decimals,
                                                        avg_scale=avg_scale, with_median=False))
-        med = lower_median(valid, keys, "lap_duration", "_med") \
+        med = lower_median(valid, keys, "lap_duration", "_med", target_rows=target_rows) \
             .select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(keys)], "_med")
         # one row a group, read by the ranking and by the join back: written once
         agg = materialize(stats.join(med, [stats[k].eqNullSafe(med[f"_m{i}"]) for i, k in enumerate(keys)], "left").select(
@@ -100,7 +100,7 @@ def team_standings(laps: DataFrame, season_year: int, *, decimals: int = 3,
 def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimals: int = 3,
                     avg_scale: int | None = EXACT_SCALE, lap_type: str = "int",
                     partition_by=("driver_number",), distributed: bool = True,
-                    as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
+                    target_rows: int | None = None, as_of=None, ordered: bool = True, cols: LapColumns = LAPS) -> DataFrame:
     """Valid laps with the rolling mean of the last ``rows`` *valid* laps of the
     driver (the filter runs first, so gaps are skipped), ordered by name, lap."""
     base = valid_only(conformed(laps, cols)).select("full_name", "team_name", "driver_number", "lap_number",
@@ -108,7 +108,7 @@ def lap_progression(laps: DataFrame, season_year: int, *, rows: int = 5, decimal
                                                      if c not in ("driver_number",)])
     rolled = rolling_mean(base, "lap_duration", list(partition_by), ["lap_number"], rows=rows,
                           out="rolling_avg_5lap_s", decimals=decimals, avg_scale=avg_scale,
-                          distributed=distributed)
+                          distributed=distributed, target_rows=target_rows)
     out = rolled.select(
         "full_name", "team_name", "driver_number", F.col("lap_number").try_cast(lap_type).alias("lap_number"),
         F.round("lap_duration", decimals).alias("lap_duration_s"), "rolling_avg_5lap_s",

@@ -2,21 +2,25 @@
 
 The windowed operators come in two physical forms with identical results:
 
-* ``distributed=True`` (default) - no task ever holds a whole entity or the whole
-  table.  Rows are dealt into buckets by a function of the row alone (no sampled
-  bounds), each bucket is windowed by itself, and the few rows whose result depends on
-  an earlier bucket are completed from a bounded side table.
+* ``distributed=True`` (default) - no task holds a hot entity or the whole table.  Hot
+  entities are cut by exact counts (``splits``), each bucket is windowed by itself, and
+  the few rows whose result depends on an earlier bucket are completed from a bounded
+  side table.
 * ``distributed=False`` - the plain window, for inputs the caller knows to be small.
 
-Nothing chooses between them by an estimate of the input's size.
+What is hot is counted, not estimated.
 """
 
 from __future__ import annotations
 
+from itertools import takewhile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, NumericType
 
 from lapworks.functions.columns import EXACT_SCALE, exact_avg
+from lapworks.operators.splits import balanced_buckets
 from lapworks.session import materialize, shuffle_partitions
 
 
@@ -98,25 +102,22 @@ def dense_rank(df: DataFrame, order, out: str = "rank", *,
     return df.join(ranked, cond, "inner").drop(*knames)
 
 
-# Consecutive order values that one bucket of the rolling mean covers.
-ORDER_SPAN = 4096
-
-
 def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: list[str], *,
                  rows: int = 5, out: str = "rolling_mean", decimals: int = 3,
                  avg_scale: int | None = EXACT_SCALE, distributed: bool = True,
-                 order_span: int = ORDER_SPAN, tiebreak: bool = True) -> DataFrame:
+                 target_rows: int | None = None, tiebreak: bool = True) -> DataFrame:
     """Mean over the current and up to ``rows - 1`` preceding rows of the same
     entity (``ROWS BETWEEN rows-1 PRECEDING AND CURRENT ROW``), rounded.
 
     Rows that tie on the order go by their other columns, the value first.
 
-    Distributed form: the first order column must be a number; ``order_span``
-    consecutive values of it form a bucket, so a hot entity spans many buckets and one
-    full exchange by (entity, bucket) is all that moves every row.  The first
-    ``rows - 1`` rows of each (entity, bucket) run are computed again from a side table
-    with only the first and last ``rows - 1`` rows of every run; the two disjoint parts
-    are unioned.
+    Distributed form: entities of more than ``target_rows`` rows (by default a share of all
+    rows, see ``splits.balanced_buckets``) are cut into count-balanced buckets along the
+    order columns and, for ties, the value (up to the first that is no number).  One exchange
+    by (entity, bucket) moves every row.  The first ``rows - 1`` rows of each later bucket are
+    computed again from a side table with only the first and last ``rows - 1`` rows of every
+    bucket; the two disjoint parts are unioned.  Without such an entity it is the plain
+    window.  Rows that agree in the order and in the value share a bucket.
     """
     k = rows - 1
     cols = df.columns
@@ -129,66 +130,66 @@ def rolling_mean(df: DataFrame, value: str, partition_by: list[str], order_by: l
             return F.avg(value).over(w)
         finish = (lambda c: F.round(c, decimals))
     else:
-        from pyspark.sql.types import DecimalType
         dec = F.col(value).cast(DecimalType(18 + avg_scale, avg_scale))
 
         def mean(w):
             return F.try_divide(F.sum(dec).over(w), F.count(dec).over(w))
         finish = (lambda c: F.round(c, decimals).cast("double"))
-    if not distributed:
+    along = [c for c in dict.fromkeys([*order_by, *([value] if tiebreak else [])]) if c not in partition_by]
+    dims = list(takewhile(lambda c: isinstance(df.schema[c].dataType, NumericType), along))
+    cut = balanced_buckets(df, partition_by, dims, target_rows=target_rows) if distributed and dims else None
+    if cut is None:
         w = Window.partitionBy(*partition_by).orderBy(*order).rowsBetween(-k, 0)
         return df.withColumn(out, finish(mean(w)))
-    bucket = F.floor(F.col(order_by[0]) / F.lit(order_span))
-    # rows without an order value tie with each other and go by value: so do their buckets
-    tied = tiebreak and len(order_by) == 1 and value not in partition_by
-    part = F.when(F.col(order_by[0]).isNull(), value_bucket(value)) if tied else F.lit(None).cast("long")
-    run = Window.partitionBy(*partition_by, "_bucket", "_part")
-    local = df.withColumns({"_bucket": bucket, "_part": part}).withColumns({
+    run = Window.partitionBy(*partition_by, "_bucket")
+    local = cut.assign(df).withColumns({
         "_i": F.row_number().over(run.orderBy(*order)),
         "_m": F.count(F.lit(1)).over(run),
     }).withColumn("_v", mean(run.orderBy(*order).rowsBetween(-k, 0)))
-    inner = local.filter(F.col("_i") > k)
-    edges = local.filter((F.col("_i") <= k) | (F.col("_i") > F.col("_m") - k))
-    across = Window.partitionBy(*partition_by).orderBy("_bucket", "_part", *order).rowsBetween(-k, 0)
-    heads = edges.withColumn("_v", mean(across)).filter(F.col("_i") <= k)
-    both = inner.select(*cols, "_v").unionByName(heads.select(*cols, "_v"))
+    # a bucket's first rows look back into the bucket before
+    again = (F.coalesce("_bucket", F.lit(0)) > 0) & (F.col("_i") <= k)
+    edges = local.filter(F.col("_bucket").isNotNull() & (again | (F.col("_i") > F.col("_m") - k)))
+    across = Window.partitionBy(*partition_by).orderBy("_bucket", *order).rowsBetween(-k, 0)
+    heads = edges.withColumn("_v", mean(across)).filter(again)
+    both = local.filter(~again).select(*cols, "_v").unionByName(heads.select(*cols, "_v"))
     return both.withColumn(out, finish(F.col("_v"))).drop("_v")
 
 
-def value_bucket(value: str) -> Column:
-    """A number that grows with ``value``: its binary exponent and the first eight bits
-    after it (256 buckets from each power of two to the next, either sign).  A rounding
-    of the logarithm to the neighbouring exponent gives the same number."""
-    v = F.col(value).cast("double")
-    size = F.abs(v)
-    exponent = F.floor(F.log2(size))
-    scaled = exponent * 256 + F.floor(size / F.pow(F.lit(2.0), exponent) * 256)
-    # 2**-1074 is the least positive double: every magnitude is above zero's bucket
-    away = scaled + 1100 * 256
-    return F.when(v == 0, F.lit(0)).when(size == float("inf"), F.signum(v) * 1_000_000) \
-        .otherwise(F.signum(v) * away).cast("long")
-
-
-def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median", *,
+                 target_rows: int | None = None) -> DataFrame:
     """Per group of ``keys`` (nulls are keys like any other): the exact lower median of
-    ``value``, the element at rank ceil(n/2) ascending, NULLs ignored, as ``(keys..., out)``.
-
-    One path for every size: a (group, value) histogram by partial count; its totals by
-    ``value_bucket`` give the one bucket per group that holds the median, and only the
-    values of that bucket are ordered.  A hot group is spread over its values throughout.
+    ``value``, the element at rank ceil(n/2) ascending, NULLs ignored and NaN last, as
+    ``(keys..., out)``.
+
+    Groups of more than ``target_rows`` rows are narrowed down first: the part that holds
+    the median is cut again and again by counts (``splits.balanced_buckets`` around that
+    rank) and only its bucket goes on.  What is left is a (group, value) histogram by
+    partial count, ordered inside each group: never more than about ``target_rows`` values
+    of a group, unless they are equal.
     """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")) \
-        .withColumn("_b", value_bucket(value))
-    totals = hist.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
+    present = df.select(*keys, value).filter(F.col(value).isNotNull())
+    cut = balanced_buckets(present, keys, [value], target_rows=target_rows, at_rank=lambda n: (n + 1) // 2)
+    within = F.lit(None).cast("long")
+    if cut is not None:
+        placed = cut.assign(present)
+        group = Window.partitionBy(*keys)
+        # at most one row per bucket
+        sizes = placed.filter("_bucket IS NOT NULL").groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+        at = sizes.withColumns({"_upto": upto, "_all": F.sum("_n").over(group)}) \
+            .withColumn("_rank", F.floor((F.col("_all") + 1) / 2)) \
+            .filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank"))) \
+            .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_gb"),
+                    (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_within"))
+        same = [placed[k].eqNullSafe(at[f"_g{i}"]) for i, k in enumerate(keys)] + [placed["_bucket"] == at["_gb"]]
+        # one row per hot group, fewer than the pieces of ``splits``
+        present = placed.join(F.broadcast(at), same, "left").filter("_bucket IS NULL OR _within IS NOT NULL")
+        within = F.max("_within")
+    hist = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"), within.alias("_within")) \
+        if cut is not None else present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_within", within)
     group = Window.partitionBy(*keys)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    at = totals.withColumns({"_upto": F.sum("_n").over(upto), "_all": F.sum("_n").over(group)}) \
-        .withColumn("_target", F.floor((F.col("_all") + 1) / 2)) \
-        .filter((F.col("_upto") >= F.col("_target")) & (F.col("_upto") - F.col("_n") < F.col("_target"))) \
-        .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.col("_b").alias("_gb"),
-                (F.col("_target") - F.col("_upto") + F.col("_n")).alias("_within"))
-    cond = [hist[k].eqNullSafe(at[f"_g{i}"]) for i, k in enumerate(keys)] + [hist["_b"] == at["_gb"]]
-    inside = hist.join(at, cond)
-    cum = inside.withColumn("_cum", F.sum("_c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
-    return cum.filter((F.col("_cum") >= F.col("_within")) & (F.col("_cum") - F.col("_c") < F.col("_within"))) \
+    cum = hist.withColumns({
+        "_upto": F.sum("_c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)),
+        "_rank": F.coalesce("_within", F.floor((F.sum("_c").over(group) + 1) / 2))})
+    return cum.filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank"))) \
         .select(*keys, F.col(value).alias(out))

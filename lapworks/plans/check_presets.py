@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from lapworks.config import SESSION_TYPES_KEPT
 from lapworks.operators.checks import Check
 
@@ -102,9 +104,25 @@ SILVER_TABLES = ("silver.cleaned_sessions", "silver.enriched_laps")
 GOLD_TABLES = ("gold.driver_performance_metrics", "gold.constructor_standings", "gold.lap_progression")
 
 
+# The checks that hold the minimum lap duration.
+MIN_LAP_CHECKS = ("EL8", "EL9", "DP10", "DP12", "CN10", "CN11", "LP8", "LP10")
+
+
 def with_thresholds(checks: list[Check], **overrides) -> list[Check]:
-    """Re-parameterise thresholds by check name (e.g. ``EL9=60``): thresholds are
-    real parameters, not text patches."""
-    from dataclasses import replace
-    return [replace(c, threshold=float(overrides[c.name])) if c.name in overrides else c
-            for c in checks]
+    """Re-parameterise checks by name: a number is the threshold (``EL9=60``), a pair the
+    valid range of an ``invalid_count`` (``EL8=(60, 220)``, None leaves that end as it is).
+    Thresholds are real parameters, not text patches."""
+    def changed(c: Check) -> Check:
+        if c.name not in overrides:
+            return c
+        new = overrides[c.name]
+        if c.metric != "invalid_count" or not isinstance(new, (tuple, list)):
+            return replace(c, threshold=float(new))
+        lo, hi = new
+        return replace(c, valid_min=c.valid_min if lo is None else lo, valid_max=c.valid_max if hi is None else hi)
+    return [changed(c) for c in checks]
+
+
+def min_lap_thresholds(min_lap_duration_s: float) -> dict:
+    """The minimum lap duration of the settings as overrides of the checks that hold it."""
+    return {n: (min_lap_duration_s, None) if n == "EL8" else min_lap_duration_s for n in MIN_LAP_CHECKS}

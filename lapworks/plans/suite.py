@@ -172,6 +172,23 @@ def q_driver_leaderboard_hot_driver(spark, sf_dir):
                                     as_of=td.AS_OF, distributed=True).drop("generated_at")
 
 
+# The hot driver's laps numbered 1 to 70: tens of thousands of rows tie on each number.
+_FEW_LAPS = 70
+_FEW_CTE = HOT_CTE.replace("team_name, lap_number, lap_duration\n  FROM enriched",
+                           f"team_name, lap_number % {_FEW_LAPS} + 1 AS lap_number, lap_duration\n  FROM enriched")
+_FEW_W5 = _W5.replace("ORDER BY lap_number", "ORDER BY lap_number, lap_duration, full_name, team_name")
+
+
+@register("lap_progression_hot_laps", f"""WITH {_FEW_CTE}
+SELECT full_name, team_name, driver_number, lap_number, round(lap_duration, 3) AS lap_duration_s,
+       {exact_avg_sql('lap_duration', _FEW_W5)} AS rolling_avg_5lap_s, 2025 AS season_year FROM valid""")
+def q_lap_progression_hot_laps(spark, sf_dir):
+    """A hot driver whose lap numbers repeat: cut by counts along lap and duration."""
+    few = hot_laps(spark, sf_dir).withColumn("lap_number", F.col("lap_number") % _FEW_LAPS + 1)
+    return marts.lap_progression(few, td.SEASON_YEAR, avg_scale=td.AVG_SCALE, lap_type=td.LAP_TYPE, as_of=td.AS_OF,
+                                 target_rows=64).drop("generated_at")
+
+
 _NULL_CTE = ENRICHED_CTE.replace("valid AS (SELECT * FROM enriched WHERE is_valid_lap)", """valid AS (
   SELECT driver_number, CASE WHEN country_code <> '7' THEN full_name END AS full_name,
          nullif(team_name, 'BUILDING') AS team_name, lap_number, lap_duration FROM enriched WHERE is_valid_lap)""")
@@ -254,6 +271,26 @@ def q_median_one_group_plain(spark, sf_dir):
         F.round(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)"), 3).alias("median"))
 
 
+_NAN_GROUPS = """SELECT event_type AS k, CASE WHEN user_id % 3 > 0 AND event_type <> 'view' THEN 'NaN'::DOUBLE ELSE value END AS v
+  FROM events
+  UNION ALL SELECT 'narrow', 90 + (event_id * 7919 % 1000003) / 5000015.0 FROM events
+  UNION ALL SELECT 'equal', 90.5 FROM events"""
+
+
+@register("median_nan_groups", f"""SELECT k, isnan(m) AS is_nan, CASE WHEN NOT isnan(m) THEN round(m, 9) END AS median
+FROM (SELECT k, quantile_disc(v, 0.5) AS m FROM ({_NAN_GROUPS}) GROUP BY k)""")
+def q_median_nan_groups(spark, sf_dir):
+    """Groups with NaN (sorted last), one between 90.0 and 90.2, one of equal values."""
+    e = td.table(spark, sf_dir, "events")
+    own = F.when((F.col("user_id") % 3 > 0) & (F.col("event_type") != "view"), F.lit(float("nan"))).otherwise(F.col("value"))
+    df = e.select(F.explode(F.array(
+        F.struct(F.col("event_type").alias("k"), own.alias("v")),
+        F.struct(F.lit("narrow").alias("k"), (F.col("event_id") * 7919 % 1000003 / F.lit(5000015.0) + 90).alias("v")),
+        F.struct(F.lit("equal").alias("k"), F.lit(90.5).alias("v")))).alias("r")).select("r.k", "r.v")
+    m = metrics.lower_median(df, ["k"], "v", "m", target_rows=128)
+    return m.select("k", F.isnan("m").alias("is_nan"), F.when(~F.isnan("m"), F.round("m", 9)).alias("median"))
+
+
 @register("team_standings", f"WITH {STANDINGS_CTE} SELECT * EXCLUDE (generated_at) FROM standings")
 def q_team_standings(spark, sf_dir):
     return standings(spark, sf_dir).drop("generated_at")
@@ -637,6 +674,17 @@ def q_facet_counts_teams(spark, sf_dir):
                                 {"full_name": "Customer#000000001", "team_name": "AUTOMOBILE"})
 
 
+@register("facet_tables", f"""WITH {PROGRESSION_CTE}
+SELECT 'full_name' AS facet, full_name AS value, CAST(count_if(team_name = 'BUILDING') AS BIGINT) AS row_count
+FROM progression GROUP BY full_name
+UNION ALL SELECT 'team_name', team_name, CAST(count_if(full_name = 'Customer#000000001') AS BIGINT)
+FROM progression GROUP BY team_name""")
+def q_facet_tables(spark, sf_dir):
+    """Both facet tables from one aggregate; each is filtered by the other's selection."""
+    return reports.facet_tables(progression(spark, sf_dir), ["full_name", "team_name"],
+                                {"team_name": "BUILDING", "full_name": "Customer#000000001"})
+
+
 @register("widget_fastest_by_driver", f"""WITH {LEADERBOARD_CTE}
 SELECT full_name, sum(fastest_lap_s) AS sum_fastest_lap_s FROM leaderboard GROUP BY full_name""")
 def q_widget_fastest_by_driver(spark, sf_dir):
@@ -852,8 +900,10 @@ def q_dq_lineitem(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sources and sinks
+import base64  # noqa: E402
 import uuid  # noqa: E402
 from dataclasses import replace  # noqa: E402
+from functools import reduce  # noqa: E402
 
 from pyspark.sql.types import StructType as _ST  # noqa: E402
 
@@ -861,7 +911,7 @@ from lapworks.config import DEFAULT  # noqa: E402
 from lapworks.plans import pipeline  # noqa: E402
 from lapworks.session import shared_dir  # noqa: E402
 from lapworks.sources import manifest as manifest_src  # noqa: E402
-from lapworks.sources import payloads, rest  # noqa: E402
+from lapworks.sources import long_lists, payloads, rest  # noqa: E402
 from lapworks.streaming import landing  # noqa: E402
 
 PAGE_ROWS = 2500  # records per landed payload page (bounds every file and task)
@@ -902,15 +952,20 @@ def land_events(spark, sf_dir) -> str:
 def land_damaged(spark, sf_dir) -> str:
     """The same pages; of each fourth one the last entry is cut off, each fourth holds one
     entry that is no object, each fourth is an error object."""
-    good = land_events(spark, sf_dir)
     path = _scratch(spark, "landing")
-    kind = F.pmod(F.regexp_extract("source", r"_page=(\d+)", 1).cast("long"), F.lit(4))
+    _damaged_pages(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
+def _damaged_pages(spark, sf_dir):
+    pages = payloads.read_landed(spark, land_events(spark, sf_dir)) \
+        .withColumn("_page", F.regexp_extract("source", r"_page=(\d+)", 1).cast("long"))
+    kind = F.pmod("_page", F.lit(4))
     body = F.regexp_replace("payload", r"\n$", "")
     text = (F.when(kind == 1, F.left(body, F.length(body) - 2))
             .when(kind == 2, F.concat(F.left(body, F.length(body) - 1), F.lit(",7]")))
             .when(kind == 3, F.lit('{"detail": "AVOID_ZONE"}')).otherwise(body))
-    payloads.read_landed(spark, good).select(text.alias("value")).write.text(path)
-    return path
+    return pages.select(text.alias("value"), "_page")
 
 
 def _typed_events(df):
@@ -949,39 +1004,181 @@ def q_payload_rejected(spark, sf_dir):
     return got.select("reason", F.coalesce("pos", F.lit(-1)).alias("pos"), F.when(F.col("reason") != "payload is unparsable", F.col("content")).alias("content"))
 
 
+@register("payload_long_lists", f"{EVENTS_SQL} WHERE {_DAMAGED} IN (0, 2)")
+def q_payload_long_lists(spark, sf_dir):
+    """The same records when files are read in byte ranges instead of one row each."""
+    path = _scratch(spark, "landing")
+    _damaged_pages(spark, sf_dir).write.partitionBy("_page").text(path)
+    recs, _ = long_lists.read_records(spark, path)
+    return payloads.to_columns(recs, _ST.fromDDL(_EVENT_SCHEMA)).select(*EVENT_FIELDS)
+
+
 def _damaged(spark, sf_dir):
     # one payload a line: these pages hold no line breaks
     return spark.read.text(land_damaged(spark, sf_dir)).select(F.lit("landed").alias("source"),
                                                                F.col("value").alias("payload"))
 
 
-def _landed_manifest(spark, path):
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True) \
-        .option("pathGlobFilter", "*.txt").load(path).select(F.col("path").alias("url"))
+ASKED_ROWS = 100          # records of a requested page
+
+
+class Answers:
+    """A transport without a network.  The URL says how its server answers, attempt by
+    attempt (``answers=503,timeout,ok``; the last goes on), and holds the body."""
+
+    def __init__(self):
+        self.asked: dict[str, int] = {}
+
+    def __call__(self, url: str, timeout_s: float):
+        n = self.asked[url] = self.asked.get(url, 0) + 1
+        options = dict(x.split("=", 1) for x in url.partition("?")[2].split("&"))
+        script = options["answers"].split(",")
+        answer = script[min(n, len(script)) - 1]
+        if answer == "timeout":
+            raise rest.FetchTimeout(f"no answer in {timeout_s} s")
+        if answer == "reset":
+            raise rest.FetchError("connection reset")
+        body = base64.b64decode(options.get("body", "W10=")).decode()
+        if answer == "cut":
+            body = body[:-1]
+        return rest.Response(200, body) if answer in ("ok", "cut") else rest.Response(int(answer), None)
+
+
+def _pages(spark, sf_dir):
+    """Pages of the events as ``(page, body)``, the body a JSON list in base64 (URL-safe
+    but for its padding, which a query string allows)."""
+    e = td.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    return e.groupBy(F.floor(F.col("event_id") / ASKED_ROWS).cast("long").alias("page")).agg(
+        F.regexp_replace(F.base64(F.to_json(F.collect_list(F.struct(*EVENT_FIELDS)))), r"\s", "").alias("body"))
+
+
+def _url(answers, body=None):
+    """``answers``: a column with the script; ``body`` in base64 (none: an empty list)."""
+    return F.concat(F.lit("https://host/events?page="), F.col("page"), F.lit("&answers="), answers,
+                    *([F.lit("&body="), body] if body is not None else []))
+
+
+_EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 @register("rest_source", EVENTS_SQL)
 def q_rest_source(spark, sf_dir):
-    path = land_events(spark, sf_dir)
-    return _typed_events(rest.records_of(rest.fetch_landed(_landed_manifest(spark, path), path)))
+    """All events from list endpoints; three of four pages answer only after a failure."""
+    script = F.element_at(F.array(*[F.lit(x) for x in ("ok", "503,ok", "429,timeout,ok", "cut,ok")]),
+                          (F.col("page") % 4 + 1).cast("int"))
+    urls = _pages(spark, sf_dir).select(_url(script, F.col("body")).alias("url"))
+    return rest.fetch_records(spark, urls, transport=Answers(), schema=_ST.fromDDL(_EVENT_SCHEMA), delay_s=0.0) \
+        .select(*EVENT_FIELDS)
+
+
+# Answers by page number modulo their count, and what the policy makes of them:
+# outcome, last status (0: none), attempts.
+SCRIPTS = [
+    ("ok", "ok", 200, 1), ("429,ok", "ok", 200, 2), ("503,503,ok", "ok", 200, 3), ("timeout,ok", "ok", 200, 2),
+    ("cut,cut,cut", "exhausted", 200, 3), ("404", "client_error", 404, 1), ("500,502,504,ok", "exhausted", 504, 3),
+    ("reset,403", "client_error", 403, 2), ("timeout,timeout,timeout", "exhausted", 0, 3), ("429,reset,ok", "ok", 200, 3),
+    ("401", "client_error", 401, 1), ("503,cut,ok", "ok", 200, 3), ("418,ok", "ok", 200, 2),
+]
+_PAGES_SQL = f"SELECT CAST(floor(event_id / {ASKED_ROWS}) AS BIGINT) AS page, count(*) AS n FROM events GROUP BY ALL"
+
+
+def _case(n: int) -> str:
+    return " ".join(f"WHEN {i} THEN {s[n]!r}" for i, s in enumerate(SCRIPTS))
+
+
+def _scripted(spark, sf_dir):
+    scripts = F.array(*[F.lit(s[0]) for s in SCRIPTS])
+    return _pages(spark, sf_dir).select(
+        "page", _url(F.element_at(scripts, (F.col("page") % len(SCRIPTS) + 1).cast("int")), F.col("body")).alias("url"))
+
+
+@register("rest_retry_outcomes", f"""SELECT page, CASE page % {len(SCRIPTS)} {_case(1)} END AS outcome,
+  CAST(CASE page % {len(SCRIPTS)} {_case(2)} END AS INTEGER) AS status,
+  CAST(CASE page % {len(SCRIPTS)} {_case(3)} END AS INTEGER) AS attempts,
+  CASE WHEN CASE page % {len(SCRIPTS)} {_case(1)} END = 'ok' THEN n ELSE 0 END AS records FROM ({_PAGES_SQL})""")
+def q_rest_retry_outcomes(spark, sf_dir):
+    """Every answer a server can give, in order, for the pages of the events: 429, 5xx, other
+    statuses, timeouts, resets and cut bodies are asked again, 400/401/403/404 are not."""
+    asked = _scripted(spark, sf_dir)
+    got = rest.fetch_manifest(asked, transport=Answers(), delay_s=0.0)
+    records = F.coalesce(F.size(F.from_json("payload", "array<struct<event_id:long>>")), F.lit(0))
+    return got.select(F.regexp_extract("url", r"page=(\d+)", 1).cast("long").alias("page"), "outcome",
+                      F.coalesce("status", F.lit(0)).alias("status"), "attempts", records.cast("long").alias("records"))
+
 
+@register("rest_fetch_ledger", f"""SELECT page, 'ok' AS outcome, 200 AS status,
+  CASE WHEN page % 3 = 1 THEN 4 ELSE 1 END AS attempts, CASE WHEN page % 3 = 1 THEN 2 ELSE 1 END AS runs,
+  n AS records FROM ({_PAGES_SQL})""")
+def q_rest_fetch_ledger(spark, sf_dir):
+    """A run in which a third of the URLs fails and the run after it: each URL that was good
+    is asked once, the others again; the attempts of both runs are kept.  (In the first run
+    a server that is down is a transport of its own: the URLs are the same.)"""
+    ledger = _scratch(spark, "ledger")
+    urls = _pages(spark, sf_dir).select(_url(F.lit("ok"), F.col("body")).alias("url"))
+    rest.fetch_missing(urls, ledger, transport=_down, delay_s=0.0)
+    got = rest.fetch_missing(urls, ledger, transport=Answers(), delay_s=0.0)
+    return got.select(F.regexp_extract("url", r"page=(\d+)", 1).cast("long").alias("page"), "outcome", "status", "attempts",
+                      "runs", F.size(F.from_json("payload", "array<struct<event_id:long>>")).cast("long").alias("records"))
 
-@register("rest_fetch_status", f"""SELECT 'ok' AS outcome, 1 AS attempts, 200 AS status,
-  count(DISTINCT floor(event_id / {PAGE_ROWS})) AS urls FROM events
-UNION ALL SELECT 'client_error', 1, 404, count(DISTINCT floor(event_id / {PAGE_ROWS})) FROM events
-UNION ALL SELECT 'bad_format', 1, 200, count(DISTINCT floor(event_id / {PAGE_ROWS})) FROM events""")
+
+def _down(url: str, timeout_s: float):
+    """As ``Answers``, but every third page is not to be had."""
+    page = int(url.partition("page=")[2].partition("&")[0])
+    return rest.Response(503, None) if page % 3 == 1 else Answers()(url, timeout_s)
+
+
+@register("rest_fetch_status", f"""SELECT 'ok' AS outcome, 1 AS attempts, 200 AS status, count(*) AS urls FROM ({_PAGES_SQL})
+UNION ALL SELECT 'client_error', 1, 404, count(*) FROM ({_PAGES_SQL})
+UNION ALL SELECT 'bad_format', 1, 200, count(*) FROM ({_PAGES_SQL})""")
 def q_rest_fetch_status(spark, sf_dir):
-    """Pages that are there, one missing and one error object for each of them."""
-    path = land_events(spark, sf_dir)
-    pages = payloads.read_landed(spark, path)
-    pages.select(F.lit('{"detail": "error"}').alias("value"), F.regexp_extract("source", r"_page=(\d+)", 1).alias("_page")) \
-        .write.mode("append").partitionBy("_page").text(f"{path}/errors")
-    there = _landed_manifest(spark, path)
-    missing = pages.select(F.concat("source", F.lit(".gone")).alias("url"))
-    fetched = rest.fetch_landed(there.unionByName(missing), path)
+    """For each page of the events one that is there, one missing and one error object."""
+    pages = _pages(spark, sf_dir)
+    error = F.base64(F.lit('{"detail": "error"}').cast("binary"))
+    urls = [pages.select(_url(F.lit("ok"), F.col("body")).alias("url")), pages.select(_url(F.lit("404")).alias("url")),
+            pages.select(_url(F.lit("ok"), error).alias("url"))]
+    fetched = rest.fetch_manifest(reduce(DataFrame.unionByName, urls), transport=Answers(), delay_s=0.0)
     return fetched.groupBy("outcome", "attempts", "status").agg(F.count(F.lit(1)).alias("urls"))
 
 
+def served(url: str, timeout_s: float):
+    """A transport without a network: the URL names a table file, the parameters filter it,
+    the rows come back as a JSON list."""
+    import json
+    import re
+    from urllib.parse import unquote
+
+    import pyarrow.dataset as ds
+    path, _, query = url.removeprefix("https://host").partition("?")
+    data = ds.dataset(path)
+    where = None
+    for part in filter(None, query.split("&")):
+        name, op, text = re.fullmatch(r"(\w+)(>=|<=|=|>|<)(.*)", part).groups()
+        value = data.schema.field(name).type.to_pandas_dtype()(unquote(text))
+        c = ds.field(name)
+        term = {"=": c == value, ">": c > value, ">=": c >= value, "<": c < value, "<=": c <= value}[op]
+        where = term if where is None else where & term
+    return rest.Response(200, json.dumps(data.to_table(filter=where).to_pylist(), default=str))
+
+
+def endpoint_events(spark, sf_dir):
+    """The events behind a list endpoint that can filter, spread over ranges of ids."""
+    from lapworks.sources import endpoint
+    endpoint.register(spark)
+    return spark.read.format("rest_list").schema(_EVENT_SCHEMA).options(
+        url=f"https://host{sf_dir}/events.parquet", transport="lapworks.plans.suite:served", retryDelay="0",
+        filters='{"event_type": "=", "value": "> >= < <=", "event_id": "= > >= < <="}',
+        partitionColumn="event_id", lowerBound="0", upperBound="10000", numPartitions="4").load()
+
+
+@register("rest_pushdown", """SELECT event_id, user_id, event_type, value FROM events
+WHERE event_type IN ('purchase', 'view') AND value > 50 AND event_id >= 17 AND user_id % 2 = 0""")
+def q_rest_pushdown(spark, sf_dir):
+    """DataFrame filters as URL parameters; the one the endpoint does not know stays with Spark."""
+    return endpoint_events(spark, sf_dir) \
+        .filter("event_type IN ('purchase', 'view') AND value > 50 AND event_id >= 17 AND user_id % 2 = 0") \
+        .select("event_id", "user_id", "event_type", "value")
+
+
 def _spread(url: str, timeout_s: float):
     """A transport without a network: the page is in the URL; odd pages are not there."""
     page = int(url.rsplit("=", 1)[1])
@@ -1148,29 +1345,54 @@ def _fetchers(spark, sf_dir):
             "drivers": lambda: td.bronze_drivers(spark, sf_dir)}
 
 
-# The preset checks with the thresholds that fit the test tables: every stage is reached.
-def _fitted(c):
-    if c.op in (">", ">="):
-        return replace(c, threshold=-1.0)
-    return c if c.metric == "min" else replace(c, op="<=", threshold=1e15)
+# Thresholds that fit the given tables: laps of 1 to 1,000 s, event ids as lap numbers, orders
+# from 1995 on.  Counts of nulls, duplicates and invalid values must be zero as in the preset.
+FITTED = {"EL8": (None, 1000), "EL10": 1000, "EL11": 0, "EL12": 1e9, "CS10": 1995, "DP11": 1000, "CN12": 1000,
+          "LP6": 0, "LP7": 1e9, "LP9": 1000, "LP11": 1000}
+_FITTED_CHECKS = {label: presets.with_thresholds(presets.with_thresholds(cs, **presets.min_lap_thresholds(td.MIN_DURATION)),
+                                                 **FITTED) for label, cs in presets.PRESET.items()}
 
 
-FITTED = {label: [_fitted(c) for c in cs] for label, cs in presets.PRESET.items()}
+def _gate_sql(stage: str, labels, bad: str, reached: str) -> str:
+    """The status rows of a gate: one for the gate, one for each failed check."""
+    n = sum(len(presets.PRESET[t]) for t in labels)
+    return f"""SELECT '{stage}', '{",".join(labels)}', CASE WHEN (SELECT count(*) FROM {bad}) = 0 THEN 'ok' ELSE 'failed' END, {n},
+       CASE WHEN (SELECT count(*) FROM {bad}) > 0 THEN CAST((SELECT count(*) FROM {bad}) AS VARCHAR) || ' check(s)' END
+WHERE {reached}
+UNION ALL
+SELECT '{stage}', "table", 'failed', 1, "check" || '=' || coalesce(CAST(value AS VARCHAR), 'None') || ' ' || op
+       || ' ' || CAST(threshold AS VARCHAR) || ' (' || outcome || ')' FROM {bad} WHERE {reached}"""
+
+
+def _complete_sql() -> str:
+    source = {"silver.cleaned_sessions": "cleaned", "silver.enriched_laps": "enriched_a",
+              "gold.driver_performance_metrics": "leaderboard", "gold.constructor_standings": "standings",
+              "gold.lap_progression": "progression"}
+    results = {layer: "\nUNION ALL\n".join(checks_sql(t, source[t], _FITTED_CHECKS[t]) for t in labels)
+               for layer, labels in (("s", presets.SILVER_TABLES), ("g", presets.GOLD_TABLES))}
+    passed = "(SELECT count(*) FROM bad_s) = 0"
+    rest = ", ".join(x[len(ENRICHED_CTE):].lstrip(",").strip() for x in (LEADERBOARD_CTE, STANDINGS_CTE, PROGRESSION_CTE))
+    return f"""WITH {ENRICHED_CTE}, {CLEANED_CTE.strip()}, {rest},
+enriched_a AS (SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS processed_at FROM enriched),
+bad_s AS (SELECT * FROM ({results["s"]}) WHERE outcome <> 'pass'),
+bad_g AS (SELECT * FROM ({results["g"]}) WHERE outcome <> 'pass')
+{_PIPELINE_HEAD}
+UNION ALL {_gate_sql("gate_silver", presets.SILVER_TABLES, "bad_s", "true")}
+UNION ALL SELECT 'gold', 'driver_performance_metrics', 'ok', count(*), NULL FROM leaderboard HAVING {passed}
+UNION ALL SELECT 'gold', 'constructor_standings', 'ok', count(*), NULL FROM standings HAVING {passed}
+UNION ALL SELECT 'gold', 'lap_progression', 'ok', count(*), NULL FROM valid HAVING {passed}
+UNION ALL {_gate_sql("gate_gold", presets.GOLD_TABLES, "bad_g", passed)}"""
 
 
-@register("pipeline_complete", f"""WITH {ENRICHED_CTE}, {CLEANED_CTE.strip()},
-{LEADERBOARD_CTE[len(ENRICHED_CTE):].lstrip(",").strip()}, {STANDINGS_CTE[len(ENRICHED_CTE):].lstrip(",").strip()}
-{_PIPELINE_HEAD}
-UNION ALL SELECT 'gate_silver', 'silver.cleaned_sessions,silver.enriched_laps', 'ok',
-       {len(presets.CLEANED_SESSIONS) + len(presets.ENRICHED_LAPS)}, NULL
-UNION ALL SELECT 'gold', 'driver_performance_metrics', 'ok', count(*), NULL FROM leaderboard
-UNION ALL SELECT 'gold', 'constructor_standings', 'ok', count(*), NULL FROM standings
-UNION ALL SELECT 'gold', 'lap_progression', 'ok', count(*), NULL FROM valid
-UNION ALL SELECT 'gate_gold', '{",".join(presets.GOLD_TABLES)}', 'ok',
-       {sum(len(presets.PRESET[t]) for t in presets.GOLD_TABLES)}, NULL""")
+def _fitted_options(spark):
+    return _options(spark, thresholds=FITTED, inject_min_lap=True, min_lap=td.MIN_DURATION)
+
+
+@register("pipeline_complete", _complete_sql())
 def q_pipeline_complete(spark, sf_dir):
-    """A run through all five stages, the checks' thresholds fitted to the given tables."""
-    return pipeline.run_all(spark, _fetchers(spark, sf_dir), _options(spark, check_sets=FITTED, min_lap=td.MIN_DURATION))
+    """A run through all five stages; the checks' bounds fit the given tables, the gates
+    fail where a check really does."""
+    return pipeline.run_all(spark, _fetchers(spark, sf_dir), _fitted_options(spark))
 
 
 @register("pipeline_gold_tables", f"""WITH {LEADERBOARD_CTE}, {STANDINGS_CTE[len(ENRICHED_CTE):].lstrip(",").strip()},
@@ -1180,7 +1402,7 @@ UNION ALL SELECT 'team', team_name, team_pace_rank, avg_team_pace_s FROM standin
 UNION ALL SELECT 'lap', driver_number, lap_number, rolling_avg_5lap_s FROM progression""")
 def q_pipeline_gold_tables(spark, sf_dir):
     """The Gold tables that a complete run has written, read back."""
-    opts = _options(spark, check_sets=FITTED, min_lap=td.MIN_DURATION)
+    opts = _fitted_options(spark)
     pipeline.run_all(spark, _fetchers(spark, sf_dir), opts)
     read = lambda t: spark.read.table(opts.name("gold", t))
     return read("driver_performance_metrics").select(

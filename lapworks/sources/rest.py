@@ -11,17 +11,20 @@ Two ways to run it, both distributed:
 * ``format("rest_json")`` - a Python Data Source with one input partition per URL,
   for a modest URL list given as an option.
 The transport is injectable (a function of URL and timeout; ``http`` uses urllib).
-Payloads that lie in files are no requests: ``fetch_landed`` reads them with Spark, from
-any store, and gives the same result rows.
+With a ``ledger`` (a shared folder) a run records its answers and a later run asks only
+for the URLs that are not finished.  Payloads that lie in files are no requests: see
+``payloads.read_landed``.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 from http.client import HTTPException
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -122,23 +125,54 @@ def fetch_manifest(manifest: DataFrame, url_col: str = "url", *, transport: str
     return manifest.select(url_col).mapInPandas(run, RESULT_DDL)
 
 
-def fetch_landed(manifest: DataFrame, path: str, url_col: str = "url") -> DataFrame:
-    """The same rows for payload files under ``path``, read by Spark (once, in parallel,
-    from any file system): ``ok`` for a JSON list, ``bad_format`` for other JSON,
-    ``exhausted`` for text that is no JSON, ``client_error`` (404) for a URL of the
-    manifest without a file."""
+# ---------------------------------------------------------------- ledger of finished requests
+LEDGER_DDL = RESULT_DDL + ", run long"
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """All recorded requests ``(url, status, attempts, outcome, payload, run)``, one row per
+    URL and run that asked for it; no rows for a ledger without runs."""
+    try:
+        return spark.read.schema(LEDGER_DDL).parquet(f"{ledger.rstrip('/')}/*")
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER_DDL)
+
+
+def fetch_missing(manifest: DataFrame, ledger: str, url_col: str = "url", *, finished=("ok",),
+                  partitions: int | None = None, **policy) -> DataFrame:
+    """Fetches what the ledger (a folder of the shared storage) does not have as finished.
+
+    The manifest's distinct URLs are anti-joined with the URLs that some run has finished;
+    the others are requested in the tasks and recorded as one more run.  A rerun after a
+    failure therefore asks each good URL only once.  Returns ``ledger_state`` of the
+    manifest's URLs.
+    """
     from pyspark.sql import functions as F
+    spark = manifest.sparkSession
+    urls = manifest.select(F.col(url_col).alias("url")).filter("url IS NOT NULL").distinct()
+    before = read_ledger(spark, ledger)
+    run = (before.agg(F.max("run")).first()[0] or 0) + 1
+    done = before.filter(F.col("outcome").isin(*finished)).select("url").distinct()
+    todo = urls.join(done, "url", "left_anti")
+    if partitions:
+        todo = todo.repartition(partitions)
+    # a folder of its own: a run that fails half way has recorded nothing half
+    fetch_manifest(todo, **policy).withColumn("run", F.lit(run).cast("long")) \
+        .write.parquet(f"{ledger.rstrip('/')}/run-{run:06d}-{uuid.uuid4().hex[:8]}")
+    return ledger_state(urls, ledger)
 
-    from lapworks.sources import payloads
-    files = payloads.classify(payloads.read_landed(manifest.sparkSession, path)).select(
-        F.col("source").alias("_file"), "payload", "shape")
-    got = manifest.select(url_col).join(files, F.col(url_col) == F.col("_file"), "left")
-    status = F.when(F.col("_file").isNull(), F.lit(404)).otherwise(F.lit(200))
-    outcome = (F.when(F.col("_file").isNull(), F.lit("client_error"))
-               .when(F.col("shape").isin("list", "empty_list"), F.lit("ok"))
-               .when(F.col("shape") == "unparsable", F.lit("exhausted")).otherwise(F.lit("bad_format")))
-    return got.select(F.col(url_col).alias("url"), status.alias("status"), F.lit(1).alias("attempts"),
-                      outcome.alias("outcome"), F.when(outcome == "ok", F.col("payload")).alias("payload"))
+
+def ledger_state(urls: DataFrame, ledger: str) -> DataFrame:
+    """What is known of each URL: ``url, status, attempts, outcome, payload, runs``, the
+    last run's answer, with the attempts of all runs."""
+    from pyspark.sql import functions as F
+    rows = read_ledger(urls.sparkSession, ledger).join(urls.select("url"), "url", "left_semi")
+    last = F.max_by(F.struct("status", "outcome", "payload"), "run").alias("last")
+    return rows.groupBy("url").agg(last, F.sum("attempts").cast("int").alias("attempts"),
+                                   F.count(F.lit(1)).cast("int").alias("runs")) \
+        .select("url", "last.status", "attempts", "last.outcome", "last.payload", "runs")
 
 
 class _UrlPartition(InputPartition):
@@ -191,15 +225,15 @@ class FetchFailed(RuntimeError):
         self.failures = failures
 
 
-def records_of(fetched: DataFrame, schema=None, require_all: bool = True) -> DataFrame:
+def records_of(fetched: DataFrame, schema=None, require_all: bool = True, stored: bool = False) -> DataFrame:
     """Typed records ``(url, pos, fields...)`` of fetch results, which are stored first (in
-    the shared folder): the check, the schema and every later action read them, nothing is
-    requested twice.  With ``require_all`` one URL that gave no list fails the dataset,
-    like a failed single request."""
+    the shared folder) unless they are ``stored``: the check, the schema and every later
+    action read them, nothing is requested twice.  With ``require_all`` one URL that gave no
+    list fails the dataset, like a failed single request."""
     from pyspark.sql import functions as F
 
     from lapworks.sources import payloads
-    fetched = materialize(fetched)
+    fetched = fetched if stored else materialize(fetched)
     if require_all:
         bad = fetched.filter(F.col("outcome") != "ok").drop("payload")
         n = bad.count()
@@ -210,14 +244,17 @@ def records_of(fetched: DataFrame, schema=None, require_all: bool = True) -> Dat
 
 
 def fetch_records(spark: SparkSession, urls, *, transport="http", schema=None,
-                  require_all: bool = True, partitions: int | None = None,
+                  require_all: bool = True, partitions: int | None = None, ledger: str | None = None,
                   max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
     """URLs (a list or a ``url`` DataFrame) -> typed records ``(url, pos, fields...)``,
     requested in the tasks, once (see ``records_of``).  ``partitions`` spreads a large
-    manifest over that many fetch tasks."""
+    manifest over that many fetch tasks.  With a ``ledger`` a rerun asks only for what
+    earlier runs have not finished (see ``fetch_missing``)."""
     manifest = urls if isinstance(urls, DataFrame) else \
         spark.createDataFrame([(u,) for u in urls], "url string")
+    policy = dict(transport=transport, max_retries=max_retries, delay_s=delay_s, timeout_s=timeout_s)
+    if ledger is not None:
+        return records_of(fetch_missing(manifest, ledger, partitions=partitions, **policy), schema, require_all, stored=True)
     if partitions:
         manifest = manifest.repartition(partitions)
-    return records_of(fetch_manifest(manifest, transport=transport, max_retries=max_retries, delay_s=delay_s,
-                                     timeout_s=timeout_s), schema, require_all)
+    return records_of(fetch_manifest(manifest, **policy), schema, require_all)

@@ -178,3 +178,83 @@ def test_read_warns_and_write_logs_counts(spark, tmp_path, caplog):
     text = caplog.text
     assert "spark_catalog.io_l.seven" in text and "'rows': 7" in text
     assert "io_l.none is empty" in text
+
+
+def test_gold_gate_fails_on_one_null_rank(spark, tmp_path, monkeypatch):
+    """A single NULL rank in the mart halts the run at the Gold gate, by what the write observed."""
+    from pyspark.sql import functions as F
+
+    from lapworks.operators import marts
+    real = marts.driver_leaderboard
+
+    def damaged(*a, **kw):
+        df = real(*a, **kw)
+        return df.withColumn("pace_rank", F.when(F.col("pace_rank") != 3, F.col("pace_rank")))
+    monkeypatch.setattr(marts, "driver_leaderboard", damaged)
+    opts = pipeline.Options(location=str(tmp_path / "wh7"), as_of="2025-09-21 18:00:00")
+    status = pipeline.run_all(spark, racing_fixture(spark), opts).collect()
+    failed = [(s.stage, s.dataset, s.detail) for s in status if s.status != "ok"]
+    assert [f[0] for f in failed] == ["gate_gold", "gate_gold"]
+    assert failed[1][1:] == ("gold.driver_performance_metrics", "DP3=1.0 = 0.0 (fail)")
+
+
+def test_thresholds_of_a_run(spark, tmp_path):
+    """The settings' minimum lap and single thresholds reach the gates."""
+    settings = pipeline.Settings(min_lap_duration_s=99.0)
+    kw = dict(as_of="2025-09-21 18:00:00", inject_min_lap=True)
+    tight = pipeline.Options(location=str(tmp_path / "wh8"), settings=settings, thresholds={"EL10": 100}, **kw)
+    status = pipeline.run_all(spark, racing_fixture(spark), tight).collect()
+    assert [s.stage for s in status if s.status != "ok"] == ["gate_silver", "gate_silver"]
+    assert next(s for s in status if s.dataset == "silver.enriched_laps").detail.startswith("EL10=")
+    assert next(c for c in tight.checks("silver.enriched_laps") if c.name == "EL9").threshold == 99.0
+    wide = pipeline.Options(location=str(tmp_path / "wh8"), settings=settings, **kw)
+    assert {s.status for s in pipeline.run_all(spark, racing_fixture(spark), wide).collect()} == {"ok"}
+
+
+def test_branches_run_at_the_same_time(spark):
+    """Both branches are inside at once, statuses keep the given order, each has its own tag."""
+    import threading
+    both = threading.Barrier(2, timeout=60)
+    tags = {}
+
+    def branch(name, rows):
+        def work():
+            both.wait()
+            tags[name] = set(spark.sparkContext.getJobTags())
+            return [pipeline.Status("s", name, "ok", spark.range(rows).count())]
+        return work
+    out = pipeline._together(spark, "s", {"b": branch("b", 7), "a": branch("a", 5)})
+    assert [(s.dataset, s.rows) for s in out] == [("b", 7), ("a", 5)]
+    assert len(tags["a"]) == len(tags["b"]) == 1 and tags["a"] != tags["b"] and not spark.sparkContext.getJobTags()
+
+
+def test_an_aborted_run_cancels_its_branches(spark):
+    import threading
+
+    from pyspark.sql import functions as F
+    begun, ended = threading.Event(), []
+
+    def long_one():
+        begun.set()
+        try:
+            slow = F.udf(lambda i: __import__("time").sleep(1) or i, "long")      # would take minutes
+            spark.range(0, 90, numPartitions=1).select(slow("id").alias("x")).agg(F.sum("x")).collect()
+            ended.append("finished")
+        except Exception as ex:
+            ended.append(type(ex).__name__)
+        return []
+
+    def abort():
+        begun.wait(60)
+        raise KeyboardInterrupt
+    with pytest.raises(KeyboardInterrupt):
+        pipeline._together(spark, "s", {"stop": abort, "long": long_one})
+    assert ended and ended[0] != "finished"
+
+
+def test_checks_over_views(spark):
+    """Checks run over registered views, as the catalog names them."""
+    from lapworks.operators.checks import Check, run_checks
+    names = catalog.register_views({"silver.enriched_laps": spark.range(3)})
+    got = run_checks(spark.table(names["silver.enriched_laps"]), [Check("rows", "row_count", "=", 3)], "silver.enriched_laps")
+    assert [r.outcome for r in got.collect()] == ["pass"]
