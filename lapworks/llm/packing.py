@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -59,24 +60,32 @@ def pieces(docs: DataFrame, *, id_col="doc_id", text_col="text", tokenizer: str
 
 def patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """``(lengths, packs)``: every length of the histogram placed, longest first, into
-    the shortest packs with room for it."""
+    the shortest packs with room for it; where no pack has room, into new packs of as many
+    equal pieces as go in.
+
+    A length leaves at most one new pattern of full stacks, one of the rest and one for each
+    run of packs that it splits: the patterns' lengths together are in the order of
+    ``capacity * log(capacity)`` for ``capacity`` bins, whatever the counts."""
     open_: list[tuple[int, int, tuple[int, ...], int]] = []     # total, order, lengths, packs
     done: list[tuple[tuple[int, ...], int]] = []
     order = 0
     for length in sorted((n for n, c in histogram.items() if c), reverse=True):
         left = histogram[length]
-        grown: list[tuple[int, tuple[int, ...], int]] = []
         while left:
             if open_ and open_[0][0] + length <= capacity:
                 total, _, pack, count = heapq.heappop(open_)
-                n = min(count, left)
+                # as many of them in each pack as go in and as there are
+                high = max(min((capacity - total) // length, left // count), 1)
+                n = min(count, left // high)
                 if count > n:
                     order += 1
                     heapq.heappush(open_, (total, order, pack, count - n))
             else:
-                total, pack, n = 0, (), left
-            left -= n
-            new = (total + length, (*pack, length), n)
+                total, pack = 0, ()
+                high = min(capacity // length, left)
+                n = left // high
+            left -= high * n
+            new = (total + high * length, (*pack, *[length] * high), n)
             if new[0] >= capacity:
                 done.append(new[1:])
             else:
@@ -86,19 +95,20 @@ def patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
 
 
 def _runs(plan: list[tuple[tuple[int, ...], int]]):
-    """By length, in rank order: where each run of pieces ends, the sequence of its
-    first piece, the offset of its pieces in their sequences."""
-    runs: dict[int, tuple[list, list, list]] = {}
+    """By length, in rank order: where each run of pieces ends, where it begins, its first
+    sequence, the offset of its first piece there, and how many equal pieces stand side by
+    side in a sequence."""
+    runs: dict[int, tuple[list, ...]] = {}
     base = 0
     for pack, count in plan:
         offset = 0
-        for n in pack:
-            ends, first, at = runs.setdefault(n, ([], [], []))
+        for n, same in groupby(pack):
+            high = len(list(same))
+            ends, starts, first, at, stack = runs.setdefault(n, ([], [], [], [], []))
             start = ends[-1] if ends else 0
-            ends.append(start + count)
-            first.append(base - start)
-            at.append(offset)
-            offset += n
+            for column, value in zip((ends, starts, first, at, stack), (start + count * high, start, base, offset, high)):
+                column.append(value)
+            offset += n * high
         base += count
     return [(n, *r) for n, r in runs.items()]
 
@@ -116,13 +126,17 @@ def pack(docs: DataFrame, *, capacity: int = CAPACITY, **kw) -> DataFrame:
     rows = materialize(pieces(docs, capacity=capacity, **kw))
     histogram = dict(rows.groupBy("length").count().collect())      # at most ``capacity`` rows
     plan = _runs(patterns(histogram, capacity))
-    plan = spark.createDataFrame(plan, "length long, _ends array<long>, _first array<long>, _at array<long>")
+    plan = spark.createDataFrame(plan, "length long, _ends array<long>, _starts array<long>, _first array<long>, "
+                                       "_at array<long>, _stack array<long>")
     ranked = position(rows, ["length"], ["_id", "start", "ids_crc32"], "_rank", F.xxhash64("_id", "start"))
     run = F.size(F.filter("_ends", lambda e: e <= F.col("_rank")))
+    own = lambda name: F.get(name, F.col("_run"))
+    inside = F.col("_rank") - own("_starts")
+    # at most ``capacity`` rows; their runs are bounded by the patterns, see there
     return ranked.join(F.broadcast(plan), "length").withColumn("_run", run).select(
         id_out("_id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens",
-        (F.get("_first", F.col("_run")) + F.col("_rank")).alias("sequence_id"),
-        F.get("_at", F.col("_run")).alias("offset"))
+        (own("_first") + F.floor(inside / own("_stack"))).cast("long").alias("sequence_id"),
+        (own("_at") + F.pmod(inside, own("_stack")) * F.col("length")).cast("long").alias("offset"))
 
 
 def query(spark, sf_dir):
