@@ -2,9 +2,9 @@
 
 Changes are signed: an insert counts +1, a delete -1, a revision is the old row with -1
 and the new one with +1.  A batch of them becomes additive totals by source, language and
-tokenizer version, written once under the batch's name; the current totals are the sum
-over all batches.  A batch whose folder carries its commit marker is never applied again,
-one that failed before it is written anew as a whole.
+tokenizer version, written once; the current totals are the sum over all committed batches.
+A batch is committed by an entry in the store's manifest: with it, it is never applied
+again; without it, nothing that was written for it counts.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import uuid
 from collections import Counter
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,32 +58,68 @@ def delta(changes: DataFrame, versions: tuple[str, ...] = VERSIONS) -> DataFrame
         .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
 
-def _committed(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+def _entry(spark: SparkSession, store: str, batch_id: str):
+    """The manifest entry of a batch: a path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/commits/{batch_id}")
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _commit(spark: SparkSession, store: str, batch_id: str, folder: str) -> bool:
+    """Moves the batch's manifest entry, which names its folder, into its place in one
+    rename: of several writers of a batch exactly one's folder counts."""
+    path, fs = _entry(spark, store, batch_id)
+    written = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/pending/{folder}")
+    out = fs.create(written, True)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    fs.mkdirs(path.getParent())
+    if not fs.exists(path) and fs.rename(written, path):
+        return _named(spark, path, fs) == folder
+    fs.delete(written, False)
+    return False
+
+
+def _named(spark: SparkSession, path, fs) -> str:
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def apply_batch(store: str, batch_id: str, changes: DataFrame, versions: tuple[str, ...] = VERSIONS) -> bool:
     """Commits a batch to ``store``; False if it was committed before.
 
+    A batch is written to a folder of its own attempt and counts from the moment that its
+    manifest entry exists; what a failed or a losing attempt has written never counts.
     Null source or language: a group of its own.  Null text: no tokens.  A batch without
     rows commits as empty.
     """
     spark = changes.sparkSession
     prepare(spark)
-    if not batch_id or "/" in batch_id or "=" in batch_id:
+    if not batch_id or any(c in batch_id for c in "/=\\:") or batch_id[0] in "._":
         raise ValueError(f"not a batch id: {batch_id!r}")
-    folder = f"{store}/batch={batch_id}"
-    if _committed(spark, folder):
+    path, fs = _entry(spark, store, batch_id)
+    if fs.exists(path):
         return False
-    delta(changes, versions).coalesce(1).write.mode("overwrite").parquet(folder)      # a row a group
-    return True
+    folder = uuid.uuid4().hex
+    delta(changes, versions).coalesce(1).write.parquet(f"{store}/data/{folder}")      # a row a group
+    return _commit(spark, store, batch_id, folder)
 
 
 def totals(spark: SparkSession, store: str) -> DataFrame:
     """Current totals: the sum over all committed batches, without groups that are empty
-    again."""
-    return spark.read.schema(_TOTALS).parquet(f"{store}/batch=*").groupBy("source", "lang", "tokenizer") \
+    again.  A store without batches has no groups."""
+    try:
+        named = spark.read.text(f"{store}/commits", wholetext=True).select(F.col("value").alias("_folder"))
+        rows = spark.read.schema(_TOTALS).parquet(f"{store}/data/*")
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _TOTALS)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/data/([^/]+)/", 1)
+    return rows.withColumn("_folder", folder).join(named, "_folder", "left_semi") \
+        .groupBy("source", "lang", "tokenizer") \
         .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 OR tokens <> 0")
 
 
