@@ -40,7 +40,7 @@ DRIFT = 0.08
 MEMORY = 150_000          # words that a task remembers the scores of
 SIGNIFICANT = 0.05
 THRESHOLD = 0.3
-MOST_EVIDENCE = 60.0
+MOST_EVIDENCE = 60.0      # beyond P = e**-60 texts are not told apart: their score is 1 to many digits
 
 # a token is a run of letters, lower-cased: all other ASCII characters part tokens
 _LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -56,28 +56,30 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
 
     One pass with a stack of disjoint candidates, each with the running sums before and
     after it; a new positive run is joined to the latest candidate that starts lower
-    when it also ends higher.
+    when it also ends higher.  Each candidate is linked to the latest earlier one that
+    starts lower, so a search never passes the same candidate twice: the time is linear
+    in the number of scores.
     """
-    out: list[list] = []        # first, last, sum before, sum after
+    first, last, low, high, link = [], [], [], [], []      # of each candidate; sums before and after
     total, at = 0.0, -1
     for place, score in scores:
         total -= drift * (place - at - 1)
         at = place
-        before = total
+        start, before = place, total
         total += score - drift
         if total <= before:
             continue
-        new = [place, place, before, total]
         while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= new[3]:
-                out.append(new)
+            j = len(low) - 1
+            while j >= 0 and low[j] >= before:
+                j = link[j]
+            if j < 0 or high[j] >= total:
                 break
-            new = [out[j][0], new[1], out[j][2], new[3]]
-            del out[j:]
-    return [(a, b, r - l) for a, b, l, r in out]
+            start, before = first[j], low[j]
+            del first[j:], last[j:], low[j:], high[j:], link[j:]
+        for column, value in zip((first, last, low, high, link), (start, place, before, total, j)):
+            column.append(value)
+    return [(a, b, h - l) for a, b, l, h in zip(first, last, low, high)]
 
 
 def evidence(found: list[tuple[int, int, float]], n: int, lam: float, k: float) -> tuple[float, list]:
@@ -130,6 +132,13 @@ class _Lookup(dict):
         return s
 
 
+def _found(look: _Lookup, text: str) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
+    """The scores of a text's tokens and its maximal-scoring segments."""
+    v = np.array(list(map(look.__getitem__, tokens(text))), dtype=float)
+    at = np.flatnonzero(v)
+    return v, segments(list(zip(at.tolist(), v[at].tolist())))
+
+
 def _texts(batch):
     buf, off = words.buffers(batch.column(1))
     raw = memoryview(buf)
@@ -183,23 +192,38 @@ _LAMBDAS = np.round(np.geomspace(0.05, 10, 60), 6)
 
 
 def _observe(part: dict, scores: dict):
-    """Of the calibration documents: tokens, segment scores, and sums of exp(lambda s)."""
+    """Of the calibration documents: tokens, the best segment, and sums of exp(lambda s)."""
     def run(batches):
         look = _Lookup(scores)
         for b in batches:
             out = []
             for i, text in zip(b.column(0).to_pylist(), _texts(b)):
                 if i in part:
-                    v = np.array(list(map(look.__getitem__, tokens(text))), dtype=float)
-                    at = np.flatnonzero(v)
-                    found = segments(list(zip(at.tolist(), v[at].tolist())))
+                    v, found = _found(look, text)
                     sums = [float(np.exp(x * (v - DRIFT)).sum()) for x in _LAMBDAS]
-                    out.append((i, part[i], len(v), [s for _, _, s in found], sums))
+                    out.append((i, part[i], len(v), max((s for _, _, s in found), default=0.0), sums))
             if out:
                 cols = list(zip(*out))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                 ["_id", "toxic", "n", "found", "sums"])
+                                                 ["_id", "toxic", "n", "best", "sums"])
+    return run
+
+
+def _weigh(part: dict, scores: dict, lam: float, k: float):
+    """Of the calibration documents: the evidence."""
+    def run(batches):
+        look = _Lookup(scores)
+        for b in batches:
+            out = []
+            for i, text in zip(b.column(0).to_pylist(), _texts(b)):
+                if i in part:
+                    v, found = _found(look, text)
+                    out.append((i, part[i], evidence(found, len(v), lam, k)[0]))
+            if out:
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.float64()))],
+                                                 ["_id", "toxic", "e"])
     return run
 
 
@@ -251,20 +275,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text",
         .groupBy("token").agg(F.sum("t").alias("t"), F.sum("c").alias("c")).filter(F.col("t") + F.col("c") >= LEAST_DOCS)
     counts = counts.orderBy(F.desc(F.col("t") + F.col("c")), "token").limit(5 * VOCABULARY).collect()
     scores = token_scores([(bytes(r["token"]), r["t"], r["c"]) for r in counts], toxic, len(counted) - toxic)
-    got = chosen(kept).mapInArrow(_observe(kept, scores), "_id long, toxic int, n long, found array<double>, "
+    # a few numbers for each document of the sample
+    got = chosen(kept).mapInArrow(_observe(kept, scores), "_id long, toxic int, n long, best double, "
                                   "sums array<double>").collect() if kept else []
-    got = sorted(got, key=lambda r: r["_id"])
+    got = sorted(got, key=lambda r: (r["_id"], r["n"], r["best"]))
     clean = [r for r in got if not r["toxic"] and r["n"]]
     if not clean:
         return {"scores": scores, "lam": 1.0, "k": 1.0, "slope": 1.0, "base": math.log(toxic / (len(counted) - toxic))}
     mean = np.sum([r["sums"] for r in clean], axis=0) / sum(r["n"] for r in clean)
     under = np.flatnonzero(mean <= 1.0)
     lam = float(_LAMBDAS[under[-1]]) if len(under) else 1.0
-    best = np.array([max(r["found"], default=0.0) for r in clean])
+    best = np.array([r["best"] for r in clean])
     n = np.array([r["n"] for r in clean], dtype=float)
     k = len(clean) / float((n * np.exp(-lam * best)).sum())
-    x = np.array([evidence([(0, 0, s) for s in r["found"]], r["n"], lam, k)[0] for r in got])
-    slope, base = _logistic(x, np.array([r["toxic"] for r in got], dtype=float))
+    seen = chosen(kept).mapInArrow(_weigh(kept, scores, lam, k), "_id long, toxic int, e double").collect()
+    seen = sorted((r["_id"], r["toxic"], r["e"]) for r in seen)
+    slope, base = _logistic(np.array([e for _, _, e in seen]), np.array([t for _, t, _ in seen], dtype=float))
     return {"scores": scores, "lam": lam, "k": k, "slope": slope, "base": base}
 
 
@@ -284,9 +310,8 @@ def _score(model: dict):
         for b in batches:
             score, passages = [], []
             for text in _texts(b):
-                v = np.array(list(map(look.__getitem__, tokens(text))), dtype=float)
-                at = np.flatnonzero(v)
-                e, kept = evidence(segments(list(zip(at.tolist(), v[at].tolist()))), len(v), model["lam"], model["k"])
+                v, found = _found(look, text)
+                e, kept = evidence(found, len(v), model["lam"], model["k"])
                 score.append(1 / (1 + math.exp(-model["slope"] * e - model["base"])))
                 passages.append([dict(zip(("first", "last", "score", "p"), s)) for s in kept])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64()), pa.array(passages, kind)],
