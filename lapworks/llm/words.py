@@ -20,10 +20,9 @@ NULL_ID = -(1 << 63)          # stands for a null id inside the operators
 _U = np.uint64
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_rng = np.random.default_rng(20240917)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_BYTE_FOLDED = _BYTE.copy()
-_BYTE_FOLDED[65:91] = _BYTE[97:123]      # A-Z hash as a-z
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32                     # A-Z hash as a-z
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)      # the n lowest bytes of 8
 BASE_A, BASE_B = 0x9E3779B97F4A7C17, 0xD1B54A32D192ED07
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -99,11 +98,33 @@ def _scan(c: np.ndarray, cuts: np.ndarray):
     return np.flatnonzero(w & before), np.flatnonzero(w & after) + 1
 
 
+def _hash_runs(c: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the byte runs ``[s, e)``: their 8-byte blocks, each mixed with its place,
+    are added up and mixed with the length.  Mixing is not linear, so no pattern of bytes
+    makes different words meet."""
+    if not len(s):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([c, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(c) + 1, "<u8", padded, strides=(1,))          # from each byte on
+    n = e - s
+    blocks = (n + 7) >> 3
+    first = np.concatenate([[0], np.cumsum(blocks)[:-1]])
+    if blocks.max() == 1:
+        v, place = eight[s] & _KEEP[n], np.zeros(1, np.int64)
+    else:
+        word = np.repeat(np.arange(len(s)), blocks)
+        place = np.arange(len(word)) - first[word]
+        v = eight[s[word] + 8 * place] & _KEEP[np.minimum(n[word] - 8 * place, 8)]
+    v = mix(v ^ mix((place + 1).astype(np.uint64) * _U(BASE_A)))
+    if len(v) > len(s):
+        v = np.add.reduceat(v, first)
+    return mix(v + n.astype(np.uint64) * _U(BASE_B))
+
+
 def word_hashes(buf: np.ndarray, off: np.ndarray, fold: bool = False):
     """Hashes of all words of the texts ``off`` bounds, and the words' offsets by
     text (n + 1).  ``fold`` takes A-Z as a-z."""
     lo, hi = int(off[0]), int(off[-1])
-    table = _BYTE_FOLDED if fold else _BYTE
     hs, ss = [], []
     at = lo
     while at < hi:
@@ -113,10 +134,7 @@ def word_hashes(buf: np.ndarray, off: np.ndarray, fold: bool = False):
             end = end + int(nxt[0]) if len(nxt) else min(end + SLICE_BYTES, hi)
         c = buf[at:end]
         s, e = _scan(c, off - at)
-        p, inv = powers(len(c))
-        acc = np.zeros(len(c) + 1, dtype=np.uint64)
-        np.cumsum(table[c] * p[:len(c)], out=acc[1:])
-        hs.append(mix((acc[e] - acc[s]) * inv[s]))
+        hs.append(_hash_runs(_FOLDED[c] if fold else c, s, e))
         ss.append(s + at)
         at = end
     h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)

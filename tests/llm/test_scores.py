@@ -261,14 +261,36 @@ def test_rollup(spark, docs, odd, empty):
         rollup.apply_batch(store, "x/y", empty)
 
 
-def test_rollup_after_a_failed_write(spark, docs):
-    """A folder without its commit marker is written anew, as a whole."""
+def test_segments_take_linear_time():
+    """Isolated positive scores stay apart; a few million steps, not a trillion."""
+    import time
+    begun = time.process_time()
+    found = toxicity.segments([(30 * i, 1.0) for i in range(300_000)])
+    assert len(found) == 300_000 and time.process_time() - begun < 30
+
+
+def test_rollup_counts_committed_batches_only(spark, docs):
+    """A store without batches is empty; what a failed attempt has written never counts."""
     store = f"{shared_dir(spark)}/test-{uuid.uuid4().hex}"
-    rollup.delta(rollup.signed(docs, 5)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
-        .parquet(f"{store}/batch=a")
+    assert rollup.totals(spark, store).count() == 0
+    rollup.delta(rollup.signed(docs, 5)).write.parquet(f"{store}/data/attempt")      # written, never committed
+    assert rollup.totals(spark, store).count() == 0
     assert rollup.apply_batch(store, "a", rollup.signed(docs, 1))
-    assert {tuple(r) for r in rollup.totals(spark, store).collect()} == \
-        brute_totals([tuple(r) for r in rollup.signed(docs, 1).collect()])
+    want = brute_totals([tuple(r) for r in rollup.signed(docs, 1).collect()])
+    assert {tuple(r) for r in rollup.totals(spark, store).collect()} == want
+    rollup.delta(rollup.signed(docs, 3)).write.parquet(f"{store}/data/another")
+    assert {tuple(r) for r in rollup.totals(spark, store).collect()} == want
+
+
+def test_rollup_of_two_writers(spark, docs):
+    """Both have written before either commits: one of them counts."""
+    store = f"{shared_dir(spark)}/test-{uuid.uuid4().hex}"
+    for folder in ("one", "two"):
+        rollup.delta(rollup.signed(docs, 1)).write.parquet(f"{store}/data/{folder}")
+    assert [rollup._commit(spark, store, "a", folder) for folder in ("one", "two")] == [True, False]
+    assert not rollup.apply_batch(store, "a", rollup.signed(docs, 1))
+    want = brute_totals([tuple(r) for r in rollup.signed(docs, 1).collect()])
+    assert {tuple(r) for r in rollup.totals(spark, store).collect()} == want
 
 
 def test_rollup_query(spark, docs):

@@ -4,11 +4,12 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest_llm import ODD, fold, rows, words
-from lapworks.llm import exact_dedup, mixing, packed, packing, sharding, substring, tokens
+from lapworks.llm import exact_dedup, jaccard, mixing, packed, packing, sharding, substring, tokens
 from lapworks.llm.common import components
 
 LARGEST = 1 << 62
@@ -272,3 +273,67 @@ def test_components(spark):
     alone = {a for a, b in edges if a == b}
     assert got == {x: find(x) for e in edges for x in e if x in got} and set(got) | alone == {x for e in edges for x in e}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def filled(histogram, capacity=packing.CAPACITY):
+    plan = packing.patterns(histogram, capacity)
+    placed = Counter()
+    for lengths, packs in plan:
+        assert packs > 0 and sum(lengths) <= capacity
+        for n in lengths:
+            placed[n] += packs
+    assert placed == Counter({n: c for n, c in histogram.items() if c})
+    return sum(n * c for n, c in histogram.items()) / (capacity * sum(packs for _, packs in plan))
+
+
+def test_patterns_of_short_texts():
+    """Equal short pieces are stacked: at least 98 % full."""
+    assert filled({10: 100_000}) > 0.98 and filled({n: 2_000 for n in range(1, 51)}) > 0.98
+    assert filled({7: 10**9, 4000: 10**6}) > 0.98 and filled({n: 10_000_000 // n for n in range(1, 4097)}) > 0.98
+    assert sum(len(lengths) for lengths, _ in packing.patterns({n: 12_345 for n in range(1, 4097)})) < 200_000
+
+
+def test_pack_one_line_texts(spark):
+    """A table of one-line texts: gapless, nothing twice, at least 98 % full."""
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("one line"), F.col("id") % 7,
+                                                                            F.repeat(F.lit("x "), (F.col("id") % 5).cast("int"))).alias("text"))
+    got = packing.pack(df, capacity=512).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    assert len(got) == 6000 and sorted(by) == list(range(len(by)))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 512
+    assert sum(r.length for r in got) / (512 * len(by)) > 0.98
+
+
+def _thue_morse(n, one=b"a", other=b"b"):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - x for x in bits]
+    return b"".join(one if x else other for x in bits)
+
+
+def test_different_words_do_not_meet(spark):
+    """A polynomial hash modulo 2**64 gives a Thue-Morse word and its mirror the same value."""
+    from lapworks.llm import words as kernel
+
+    def hashes(text, fold=False):
+        buf = np.frombuffer(text, np.uint8)
+        return kernel.word_hashes(buf, np.array([0, len(buf)]), fold)[0].tolist()
+    x, y = _thue_morse(1024), _thue_morse(1024, b"b", b"a")
+    assert x != y and hashes(x) != hashes(y)
+    some = [b"abcdefgh", b"abcdefghi", b"a", b"aaaaaaaab", b"baaaaaaaa", b"aaaaaaaabaaaaaaaa", b"\xc3\xa9", x, y]
+    assert len(set(hashes(b" ".join(some)))) == len(some)
+    assert [h for w in some for h in hashes(w)] == hashes(b" ".join(some))          # whatever stands beside
+    assert hashes(b"ABCdefghIJ a", True) == hashes(b"abcDEFGHij A", True)
+    filler = " ".join(f"w{i}" for i in range(19))
+    df = spark.createDataFrame([(1, f"{x.decode()} {filler}"), (2, f"{y.decode()} {filler}")], "doc_id long, text string")
+    assert [r.n_removed for r in substring.remove_repeats(df).collect()] == [0, 0]
+    two = spark.createDataFrame([(1, x.decode()), (2, y.decode()), (3, x.decode())], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(two).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
