@@ -18,6 +18,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,10 +69,12 @@ def _load(a: str, b: str) -> dict:
                    else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         spelt = [p.replace("▁", " ") for i, p in enumerate(pieces) if bytes_b[i]]
         whole = any(re.search("[^ \n][ \n]", p.lstrip(" \n")) for p in spelt if p.strip(" \n"))
+        # ids as text with what may follow them: another token, the other tokenizer, another group
+        texts = [f"{i}{c}" for i in range(max(len(bytes_a), len(bytes_b))) for c in ",|;"]
         _state.clear()
         _state.update(names=(a, b), a=first, b=second, bytes_a=bytes_a, bytes_b=bytes_b, table={}, whole=whole,
-                      link_type="<u4" if len(bytes_a) * len(bytes_b) < 1 << 32 else "<u8",
-                      len_a=np.array([len(x) for x in bytes_a]), len_b=np.array([len(x) for x in bytes_b]))
+                      len_a=np.array([len(x) for x in bytes_a]), len_b=np.array([len(x) for x in bytes_b]),
+                      spelt=texts, len_spelt=np.array([len(x) for x in texts]))
     return _state
 
 
@@ -160,19 +163,23 @@ def _records(st: dict, units: list[str]) -> dict:
             continue
         a, ends_a, b, _, ia, ib = got
         bounds = np.cumsum([len(u.encode()) for u in some])
-        stop = np.searchsorted(ends_a[ia], bounds) + 1         # groups up to each word's end
-        if not np.array_equal(ends_a[ia[stop - 1]], bounds):
+        last = np.searchsorted(ends_a[ia], bounds)             # each word's last group
+        if not np.array_equal(ends_a[ia[last]], bounds):
             raise RuntimeError("a token crosses the end of a word")
-        links = (a[ia] * len(st["bytes_b"]) + b[ib]).astype("<u8")
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ja, jb = (ia + 1).tolist(), (ib + 1).tolist()
-        groups = [",".join(sa[p:q]) + "|" + ",".join(sb[r:s])
-                  for p, q, r, s in zip([0, *ja], ja, [0, *jb], jb)]
-        g0 = 0
-        na = nb = 0
-        for u, g in zip(some, stop.tolist()):
-            out[u] = (ja[g - 1] - na, jb[g - 1] - nb, ";".join(groups[g0:g]), links[g0:g].tobytes())
-            g0, na, nb = g, ja[g - 1], jb[g - 1]
+        # groups as text, all words at once: tokens of A, then those of B, group by group
+        of_a, of_b = np.searchsorted(ia, np.arange(len(a))), np.searchsorted(ib, np.arange(len(b)))
+        codes = np.empty(len(a) + len(b), dtype=np.int64)
+        at_a = np.arange(len(a))
+        codes[at_a + np.concatenate([[0], ib + 1])[of_a]] = 3 * a + (at_a == ia[of_a])
+        at_b = np.arange(len(b))
+        codes[at_b + ia[of_b] + 1] = 3 * b + 2 * (at_b == ib[of_b])
+        text = "".join(map(st["spelt"].__getitem__, codes.tolist()))
+        stop = np.cumsum(st["len_spelt"][codes])[ia[last] + ib[last] + 1].tolist()
+        links = (a[ia] * len(st["bytes_b"]) + b[ib]).astype("<u8").tobytes()
+        cut = (8 * (last + 1)).tolist()
+        out.update(zip(some, zip(np.diff(ia[last] + 1, prepend=0).tolist(), np.diff(ib[last] + 1, prepend=0).tolist(),
+                                 [text[i:j - 1] for i, j in zip([0, *stop], stop)],
+                                 [links[i:j] for i, j in zip([0, *cut], cut)])))
     return out
 
 
@@ -203,7 +210,9 @@ def _documents(texts: list[str], st: dict) -> list:
     keep = {u: r for u, r in new.items() if len(u) <= LONG_WORD}
     if len(known) + len(keep) <= TABLE_WORDS:
         known.update(keep)
-    get = {**{u: known[u] for u in distinct if u in known}, **new}.__getitem__
+        get = known.__getitem__ if len(keep) == len(new) else (known | new).__getitem__
+    else:
+        get = (known | new).__getitem__
     out = []
     for us in units:
         got = list(map(get, us))
@@ -251,39 +260,55 @@ def alignments(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return narrow.mapInArrow(run, "doc_id long, groups array<struct<start:long,stop:long,a:array<int>,b:array<int>>>")
 
 
-_CHUNKED = ("chunk long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary, "
+_CHUNKED = ("chunk long, place int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary, "
             "pairs array<long>, counts array<long>")
+_CODEC = "zstd"
+
+
+def _packed(rank: np.ndarray) -> bytes:
+    """Numbers that are mostly small: all lowest bytes, all second bytes, ..., compressed."""
+    planes = rank.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.Codec(_CODEC, compression_level=1).compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec(_CODEC).decompress(data, 4 * n, asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def _chunked(a: str, b: str):
-    """Documents in chunks, and after each chunk its distinct linked pairs with counts."""
-    types = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    """Documents by chunk, and for each chunk a row with its distinct linked pairs, the most
+    frequent first, their counts, and the links as ranks among them."""
+    types = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     names = [f.split()[0] for f in _CHUNKED.split(", ")]
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     def pairs_of(chunk, links):
-        pairs, counts = np.unique(np.frombuffer(b"".join(links), "<u8").astype(np.int64), return_counts=True)
-        return batch_of([(chunk, *[None] * 6, pairs, counts)])
+        pairs, at, counts = np.unique(np.frombuffer(b"".join(links), "<u8").astype(np.int64),
+                                      return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        return batch_of([(chunk, *[None] * 6, _packed(rank[at]), pairs[order], counts[order])])
 
     def run(batches):
         st = _load(a, b)
-        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+        chunk, held, size, place = TaskContext.get().partitionId() << 32, [], 0, 0
         for batch in batches:
             for i, j in words.slices(words.buffers(batch.column(1))[1]):
                 ids = batch.column(0).slice(i, j - i).to_pylist()
                 rows = []
                 for d, (na, nb, groups, links) in zip(ids, _documents(_texts(batch.column(1).slice(i, j - i)), st)):
                     sha = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-                    narrow = np.frombuffer(links, "<u8").astype(st["link_type"]).tobytes()
-                    rows.append((chunk, d, na, nb, len(links) // 8, sha, narrow, None, None))
+                    rows.append((chunk, place, d, na, nb, len(links) // 8, sha, None, None, None))
                     held.append(links)
-                    size += len(links) // 8
+                    size, place = size + len(links) // 8, place + 1
                     if size >= CHUNK_LINKS:
                         yield batch_of(rows)
                         yield pairs_of(chunk, held)
-                        chunk, held, size, rows = chunk + 1, [], 0, []
+                        chunk, held, size, place, rows = chunk + 1, [], 0, 0, []
                 if rows:
                     yield batch_of(rows)
         if size:
@@ -292,21 +317,23 @@ def _chunked(a: str, b: str):
     return run
 
 
-def _score(docs: pa.Table, pairs: pa.Table) -> pa.Table:
+def _score(chunk: pa.Table, pairs: pa.Table) -> pa.Table:
     """A chunk's documents with the corpus counts of its pairs."""
-    key = pairs.column("pair").to_numpy()
-    order = np.argsort(key)
-    key, total = key[order], pairs.column("total").to_numpy()[order]
-    best = pairs.column("best").to_numpy(zero_copy_only=False)[order].astype(np.int64)
-    n_best, count_sum = [], []
-    for links, n in zip(docs.column("links"), docs.column("n_groups").to_pylist()):
-        raw = links.as_buffer()
-        at = np.searchsorted(key, np.frombuffer(raw, f"<u{raw.size // n}").astype(np.int64) if n else [])
-        n_best.append(int(best[at].sum()) if n else 0)
-        count_sum.append(int(total[at].sum()) if n else 0)
+    is_doc = pc.is_valid(chunk["place"])
+    docs = chunk.filter(is_doc).sort_by("place")
+    n = docs["n_groups"].to_numpy()
+    at = np.concatenate([[0], np.cumsum(n)])
+    sums = np.zeros((2, at[-1] + 1), dtype=np.int64)          # prefix sums over the chunk's links
+    if at[-1]:
+        rank = _unpacked(chunk.filter(pc.invert(is_doc))["links"][0].as_py(), int(at[-1]))
+        of_pair = np.zeros((2, pairs.num_rows), dtype=np.int64)
+        where = pairs["rank"].to_numpy()
+        of_pair[0, where] = pairs["best"].to_numpy(zero_copy_only=False)
+        of_pair[1, where] = pairs["total"].to_numpy()
+        np.cumsum(of_pair[:, rank], axis=1, out=sums[:, 1:])
+    best, total = sums[:, at[1:]] - sums[:, at[:-1]]
     keep = docs.select(["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
-    return keep.append_column("n_best", pa.array(n_best, pa.int64())) \
-        .append_column("count_sum", pa.array(count_sum, pa.int64()))
+    return keep.append_column("n_best", pa.array(best)).append_column("count_sum", pa.array(total))
 
 
 def linked_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", a: str = TOKENIZER_A,
@@ -317,8 +344,8 @@ def linked_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     id pair's count is the number of links of the whole table that hold it; a link is best
     if no other pair of its ``b`` id has a higher count.
 
-    Documents are read and tokenized once, into chunks of packed links in the shared
-    folder.  What is shuffled for the counts is each chunk's distinct pairs: a pair that
+    Documents are read and tokenized once, into chunks whose links are packed as ranks among
+    the chunk's pairs.  What is shuffled for the counts is each chunk's distinct pairs: a pair that
     occurs everywhere has one row a chunk, and partial sums before that.  The counts come
     back to the chunks, so no task needs all pairs, nor a document a row for each link.
 
@@ -332,14 +359,14 @@ def linked_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     made = materialize(narrow.mapInArrow(_chunked(a, b), _CHUNKED))
     vocabulary = _vocabulary(b)
     uses = made.filter("pairs IS NOT NULL") \
-        .select("chunk", F.explode(F.arrays_zip(F.col("pairs").alias("pair"), F.col("counts").alias("n"))).alias("u")) \
-        .select("chunk", "u.pair", "u.n")
+        .select("chunk", F.posexplode(F.arrays_zip(F.col("pairs").alias("pair"), F.col("counts").alias("n"))).alias("rank", "u")) \
+        .select("chunk", "rank", "u.pair", "u.n")
     totals = uses.groupBy("pair").agg(F.sum("n").alias("total"))
     # at most as many rows for an id of b as a has tokens
     of_b = Window.partitionBy(F.col("pair") % vocabulary)
     totals = totals.select(F.col("pair").alias("_pair"), "total", (F.col("total") == F.max("total").over(of_b)).alias("best"))
-    back = uses.join(totals, F.col("pair") == F.col("_pair")).select(F.col("chunk").alias("_chunk"), "pair", "total", "best")
-    rows = made.filter("pairs IS NULL").drop("pairs", "counts")
+    back = uses.join(totals, F.col("pair") == F.col("_pair")).select(F.col("chunk").alias("_chunk"), "rank", "total", "best")
+    rows = made.drop("pairs", "counts")
     scored = rows.groupBy("chunk").cogroup(back.groupBy("_chunk")).applyInArrow(
         _score, "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, n_best long, count_sum long")
     return scored.select("doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best",
