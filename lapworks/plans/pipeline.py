@@ -275,11 +275,13 @@ def run_silver(spark: SparkSession, opts: Options, observed: dict | None = None)
 
 def check_results(spark: SparkSession, opts: Options, tables, observed: dict | None = None) -> DataFrame:
     """The check results of ``tables``: what their writes have observed is taken over, the
-    rest (duplicates) is one pass over each table."""
+    rest (duplicates) is one pass over each table.  The tables are also registered as views
+    (``silver_enriched_laps``), to look at what a check has found."""
     frames = []
     for label in tables:
         layer, tbl = label.split(".", 1)
         df = read_table(spark, opts.name(layer, tbl), on_empty="ignore")
+        catalog.register_views({label: df})
         frames.append(checks.run_checks(df, opts.checks(label), label, (observed or {}).get(label)))
     return reduce(DataFrame.unionByName, frames)
 
