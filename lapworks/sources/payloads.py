@@ -32,32 +32,33 @@ def classify(payloads: DataFrame, text_col: str = "payload") -> DataFrame:
     return payloads.withColumn("shape", shape)
 
 
+def parsed(payloads: DataFrame, text_col: str = "payload", keep=("source",)) -> DataFrame:
+    """Every list entry and every payload that is no list, from one parse: ``(keep..., pos,
+    rec, reason, content)``.  Records are VARIANT objects without a ``reason``; others have
+    one, and their text (payloads with ``pos`` null)."""
+    shaped = classify(payloads, text_col).filter(F.col("shape") != "empty_list")
+    is_list = F.col("shape") == "list"
+    entries = F.when(is_list, F.try_parse_json(F.col(text_col)).cast("array<variant>"))
+    rows = shaped.select(*keep, F.when(~is_list, F.col("shape")).alias("_shape"),
+                         F.when(~is_list, F.col(text_col)).alias("_body"), F.posexplode_outer(entries).alias("pos", "rec"))
+    is_object = F.coalesce(F.schema_of_variant("rec").startswith("OBJECT"), F.lit(False))
+    reason = F.when(F.col("_shape").isNotNull(), F.concat(F.lit("payload is "), "_shape")) \
+        .when(~is_object, F.lit("record is no object"))
+    content = F.when(F.col("_shape").isNotNull(), F.col("_body")).when(~is_object, F.to_json("rec"))
+    return rows.select(*keep, "pos", "rec", reason.alias("reason"), content.alias("content"))
+
+
 def rejected(payloads: DataFrame, text_col: str = "payload", keep=("source",)) -> DataFrame:
     """What ``explode_records`` leaves out, with the reason: payloads that are no JSON list
     (``pos`` null) and list entries that are no object.  ``(keep..., pos, reason, content)``."""
-    whole = classify(payloads, text_col).filter(~F.col("shape").isin("list", "empty_list"))
-    bodies = whole.select(*keep, F.lit(None).cast("int").alias("pos"),
-                          F.concat(F.lit("payload is "), F.col("shape")).alias("reason"), F.col(text_col).alias("content"))
-    entries = _entries(payloads, text_col, keep).filter(~_is_object("rec"))
-    return bodies.unionByName(entries.select(
-        *keep, "pos", F.lit("record is no object").alias("reason"), F.to_json("rec").alias("content")))
-
-
-def _is_object(rec: str):
-    return F.coalesce(F.schema_of_variant(rec).startswith("OBJECT"), F.lit(False))
-
-
-def _entries(payloads: DataFrame, text_col: str, keep) -> DataFrame:
-    good = classify(payloads, text_col).filter(F.col("shape") == "list")
-    arr = F.try_parse_json(F.col(text_col)).cast("array<variant>")
-    return good.select(*keep, F.posexplode(arr).alias("pos", "rec"))
+    return parsed(payloads, text_col, keep).filter("reason IS NOT NULL").drop("rec")
 
 
 def explode_records(payloads: DataFrame, text_col: str = "payload",
                     keep=("source",)) -> DataFrame:
     """Object entries of list payloads as ``(keep..., pos, rec)``, ``rec`` a VARIANT; what
     else there is, ``rejected`` gives."""
-    return _entries(payloads, text_col, keep).filter(_is_object("rec"))
+    return parsed(payloads, text_col, keep).filter("reason IS NULL").drop("reason", "content")
 
 
 def _spark_type(t):

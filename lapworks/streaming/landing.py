@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lapworks.operators import bronze
+from lapworks.session import materialize
 from lapworks.sources import payloads
 from lapworks.sources.tables import write_table
 
@@ -31,10 +32,12 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, schema: StructT
               .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("payload")))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        bad = payloads.rejected(batch).withColumn("_batch", F.lit(epoch_id))
-        if not bad.isEmpty():
-            write_table(bad, f"{table}_rejected", partition_by="_batch", dynamic=True)
-        recs = payloads.to_columns(payloads.explode_records(batch), schema)
+        # parsed once, for both tables; the rejects go first, so that a batch whose records
+        # are there has its rejects there as well
+        rows = materialize(payloads.parsed(batch))
+        bad = rows.filter("reason IS NOT NULL").drop("rec").withColumn("_batch", F.lit(epoch_id))
+        write_table(bad, f"{table}_rejected", partition_by="_batch", dynamic=True, require_rows=True)
+        recs = payloads.to_columns(rows.filter("reason IS NULL").drop("reason", "content"), schema)
         out = bronze.normalise(recs, race_location, as_of=as_of).withColumn("_batch", F.lit(epoch_id))
         write_table(out, table, partition_by="_batch", dynamic=True)
 
