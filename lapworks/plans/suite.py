@@ -909,7 +909,7 @@ from pyspark.sql.types import StructType as _ST  # noqa: E402
 
 from lapworks.config import DEFAULT  # noqa: E402
 from lapworks.plans import pipeline  # noqa: E402
-from lapworks.session import shared_dir  # noqa: E402
+from lapworks.session import remove_folder, shared_dir  # noqa: E402
 from lapworks.sources import manifest as manifest_src  # noqa: E402
 from lapworks.sources import long_lists, payloads, rest  # noqa: E402
 from lapworks.streaming import landing  # noqa: E402
@@ -934,8 +934,7 @@ def cleanup(spark) -> None:
     for name in _OWNED["schemas"]:
         spark.sql(f"DROP SCHEMA IF EXISTS spark_catalog.{name} CASCADE")
     for path in _OWNED["folders"]:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove_folder(spark, path)
     for names in _OWNED.values():
         names.clear()
 

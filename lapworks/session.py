@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import zipfile
@@ -104,6 +105,17 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Removes a folder of any file system that Spark can write; False (and a warning) if
+    that fails, as under Spark Connect, where the client has no file system."""
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    except Exception:
+        logging.getLogger("lapworks").warning("Folder %s could not be removed.", path)
+        return False
+
+
 def recommended_conf(input_bytes: int, cores: int, *, shuffle_target: int = 200 << 20,
                      scan_split: int = 256 << 20) -> dict:
     """Partition sizing for an input of ``input_bytes`` on ``cores`` task slots.

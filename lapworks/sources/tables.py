@@ -14,6 +14,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lapworks.session import remove_folder
+
 log = logging.getLogger("lapworks.tables")
 
 
@@ -79,7 +81,7 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
         observed.write.format(fmt).partitionBy(*by).save(path)
         got = dict(obs.get)
         if require_rows and not got["rows"]:
-            _delete(spark, path)
+            remove_folder(spark, path)
             return {"table": full_name, **got}
         if exists and (keep_others or _same_shape(spark, full_name, observed, fmt, by)):
             if by:
@@ -96,7 +98,7 @@ def write_table(df: DataFrame, full_name: str, *, fmt: str = "parquet", partitio
             unused = _swap(spark, stage, full_name)
     except Exception as ex:
         if unused:
-            _delete(spark, path)
+            remove_folder(spark, path)
         raise RuntimeError(f"Cannot write table '{full_name}'") from ex
     spark.catalog.refreshTable(full_name)
     log.info("Written %s (%s)", full_name, got)
@@ -210,19 +212,11 @@ def _retire(spark: SparkSession, full_name: str, old: dict[str, str]) -> None:
         gone = [before[k] for k in old if k in before and before[k] != old[k]]
         spark.sql(f"ALTER TABLE {full_name} SET TBLPROPERTIES ({_text(_PREVIOUS)} = {_text(json.dumps({**before, **old}))})")
         for path in gone:
-            _delete(spark, path)
+            remove_folder(spark, path)
     except Exception:
         log.warning("Old versions of %s could not be cleared.", full_name, exc_info=True)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:
-        log.warning("Folder %s could not be removed.", path)
-
-
 def _partitioned_by(spark: SparkSession, name: str, by) -> bool:
     """Whether the table has these partition columns (else it is replaced as a whole)."""
     have = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
