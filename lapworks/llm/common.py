@@ -9,12 +9,17 @@ from lapworks.llm import words
 from lapworks.session import ensure_checkpoint_dir, ship_package, shuffle_partitions
 
 NULL_ID = words.NULL_ID
+BATCH_ROWS = 2000        # documents of an Arrow batch at most: a worker holds a few MB of text at a time
 
 
 def prepare(spark: SparkSession) -> None:
-    """Checkpoint folder known, package shipped to the Python workers."""
+    """Checkpoint folder known, package shipped to the Python workers, Arrow batches of
+    texts small (unless the session asks for smaller ones)."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +32,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_in(col: str) -> Column:
     """Ids as the operators use them: long, null as the smallest long."""
     return F.coalesce(F.col(col).cast("long"), F.lit(NULL_ID))
