@@ -8,7 +8,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapworks.llm.common import NULL_ID, id_in, id_out, materialize, prepare
+from lapworks.llm.common import NULL_ID, id_in, id_out, materialize, prepare, unused
 
 
 def normalised(text: str = "text") -> Column:
@@ -63,13 +63,15 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one per distinct
-    normalised text (of rows that repeat the kept id with the same text, any one)."""
+    """The rows of ``docs`` that stay, with all their columns, whatever they are called: one
+    per distinct normalised text (of rows that repeat the kept id with the same text, any
+    one).  Null text: equal to the empty text.  No rows: no rows."""
+    k, sha = unused(docs, "_key", "_sha")
     stay = exact_groups(docs, id_col=id_col, text_col=text_col, keep=keep).filter("kept") \
-        .select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__k"), F.unhex("text_sha256").alias("__sha")).distinct()
-    once = docs.withColumns({"__k": id_in(id_col), "__sha": F.unhex(F.sha2(normalised(text_col), 256))}) \
-        .dropDuplicates(["__k", "__sha"])
-    return once.join(stay, ["__k", "__sha"], "left_semi").drop("__k", "__sha")
+        .select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(k), F.unhex("text_sha256").alias(sha)).distinct()
+    # the copies go before anything else is done with whole rows
+    kept = docs.withColumns({k: id_in(id_col), sha: F.unhex(F.sha2(normalised(text_col), 256))}).join(stay, [k, sha], "left_semi")
+    return kept.dropDuplicates([k, sha]).select(*docs.columns)
 
 
 def query(spark, sf_dir):

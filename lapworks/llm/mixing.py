@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapworks.llm import words
-from lapworks.llm.common import id_out, materialize, prepare, shuffle_partitions, table
+from lapworks.llm.common import id_out, materialize, prepare, shuffle_partitions, table, unused
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
@@ -87,21 +87,22 @@ def mix(measured: DataFrame, *, weights=WEIGHTS, most: float = MOST_EPOCHS, seed
     source's complete epochs, once more if it is drawn for the fractional one.  The
     one document a source whose words pass the budget is cut there, so the taken words
     of a source miss its target by less than one word.  Keys depend on id and seed
-    alone: reruns agree.  Ties in the key go by id; rows repeating an id are drawn as
+    alone: reruns agree.  Ties in the key go by id, then size; rows repeating an id are drawn as
     separate rows.  Null source: a source of its own.  Empty texts take 0.  Weights
     null or below 1e-6 count as 1e-6.
 
-    Prefix sums of a hot source: rows are dealt into buckets by key, the buckets'
-    totals give each bucket's start, and only the one bucket a source in which the
-    budget ends is ordered.
+    Prefix sums of a hot source: rows are dealt into buckets by the logarithm of the key,
+    which spreads them alike whatever their weights (of equally weighted rows a bucket has
+    one in ``4 * steps`` at most), the buckets' totals give each bucket's start, and only
+    the one bucket a source in which the budget ends is ordered.
     """
     spark = measured.sparkSession
-    buckets = max(256, 8 * shuffle_partitions(spark))
+    steps = max(64, 2 * shuffle_partitions(spark))          # buckets from a key to its double
     w = F.greatest(F.coalesce(F.col("weight"), F.lit(1e-6)), F.lit(1e-6))
     bits = F.call_function("shiftrightunsigned", F.xxhash64(F.col("_id"), F.lit(seed)), F.lit(11))
     u = (bits.cast("double") + 0.5) / F.lit(float(1 << 53))
     rows = materialize(measured.withColumn("_key", -F.log(u) / w).withColumn(
-        "_b", F.least(F.floor((1 - F.exp(-F.col("_key"))) * buckets), F.lit(buckets - 1)).cast("int")))
+        "_b", F.floor(F.log2("_key") * steps).cast("int")))
     totals = rows.groupBy("source", "_b").agg(F.sum("size").alias("_words"))
     of_source = targets(totals.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, most)
     of_source = of_source.withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(
@@ -117,7 +118,7 @@ def mix(measured: DataFrame, *, weights=WEIGHTS, most: float = MOST_EPOCHS, seed
     whole = F.col("_start") + F.col("_words") <= F.col("_rest")
     none = F.col("_start") >= F.col("_rest")
     clear = joined.filter(whole | none).withColumn("_drawn", F.when(whole, F.col("size")).otherwise(F.lit(0)))
-    run = Window.partitionBy("source").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("source").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     edge = joined.filter(~(whole | none)).withColumn("_to", F.col("_start") + F.sum("size").over(run))
     edge = edge.withColumn("_drawn", F.greatest(F.lit(0), F.least(
         F.col("size"), F.col("_rest") - (F.col("_to") - F.col("size"))))).drop("_to")
@@ -127,19 +128,22 @@ def mix(measured: DataFrame, *, weights=WEIGHTS, most: float = MOST_EPOCHS, seed
 
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row for each time a document is
-    taken whole, and a cut row for the one document a source where the budget ends.  Rows
-    that repeat an id and source are each taken as often as the one taken most."""
+    """The mix itself, with the columns of ``docs``, whatever others it has: a row for each
+    time a document is taken whole, and a cut row for the one document a source where the
+    budget ends.  Rows that repeat an id and source are each taken as often as the one taken
+    most.  Null and empty texts have no words and are never taken; a null source is a source
+    of its own.  No rows: no rows."""
     prepare(docs.sparkSession)
+    doc, source, size, taken, copy = unused(docs, "_doc", "_src", "_size", "_taken", "_copy")
     m = mix(measure(docs), **kw).filter("taken > 0") \
-        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")) \
-        .agg(F.max("size").alias("__size"), F.max("taken").alias("__taken"))
-    d = docs.join(m, docs["doc_id"].eqNullSafe(m["__id"]) & docs["source"].eqNullSafe(m["__source"]))
-    times = F.ceil(F.col("__taken") / F.col("__size")).cast("int")
-    d = d.withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
-    left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
+        .groupBy(F.col("doc_id").alias(doc), F.col("source").alias(source)) \
+        .agg(F.max("size").alias(size), F.max("taken").alias(taken))
+    d = docs.join(m, docs["doc_id"].eqNullSafe(m[doc]) & docs["source"].eqNullSafe(m[source]))
+    times = F.ceil(F.col(taken) / F.col(size)).cast("int")
+    d = d.withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
+    left = F.col(taken) - (F.col(copy) - 1) * F.col(size)
     ws = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda x: x != "")
-    text = F.when(left >= F.col("__size"), F.col("text")).otherwise(
+    text = F.when(left >= F.col(size), F.col("text")).otherwise(
         F.array_join(F.slice(ws, F.lit(1), F.greatest(left, F.lit(1)).cast("int")), " "))
     out = d.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import corpus_pipeline as P
 import pytest
+from pyspark.sql import functions as F
 
 from conftest_llm import SF, fold, words
 from lapworks.llm import mixing, registry, tokens, toxicity
@@ -66,8 +67,21 @@ def test_run(spark, steps):
     assert key(P.run(spark, SF)) == key(steps[-1])
 
 
+def test_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    """Nulls, repeats, extra columns of any name, no rows: no stage fails or loses a column."""
+    for name, df in (("odd", odd.withColumn("__k", F.lit(1)).withColumn("__taken", F.lit(2))), ("none", empty)):
+        docs = df
+        for i, (_, stage) in enumerate(P.STAGES):
+            path = str(tmp_path / f"{name}-{i}")
+            stage(spark, docs, SF).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if i < 4:
+                assert docs.columns == df.columns
+        assert (docs.count() > 0) == (name == "odd")
+
+
 def test_registry():
     import __spark_entry__ as E
     names = {n for n in E.queries() if n.startswith("op") or n == "pipeline"}
-    assert names == {*registry.QUERIES, "pipeline"} and len(names) == 11
+    assert names == {*registry.QUERIES, "pipeline"} and len(names) == 14
     assert set(registry.ORACLE) <= set(registry.QUERIES)

@@ -337,3 +337,39 @@ def test_different_words_do_not_meet(spark):
     two = spark.createDataFrame([(1, x.decode()), (2, y.decode()), (3, x.decode())], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(two).collect()}
     assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_low_weights_spread_over_buckets(spark):
+    """A source of low-weight rows is dealt into small buckets too (only one of them is ordered)."""
+    n = 200_000
+    rows = spark.range(n).select(F.col("id").alias("_id"), F.lit("figures").alias("source"), F.lit(3).cast("long").alias("size"),
+                                 F.when(F.col("id") % 2 == 0, 0.1).otherwise(0.11).alias("weight"))
+    rows = rows.unionByName(spark.range(n, n + 1000).select(F.col("id").alias("_id"), F.lit("prose").alias("source"),
+                                                            F.lit(1000).cast("long").alias("size"), F.lit(1.0).alias("weight")))
+    seen = []
+    real = mixing.materialize
+
+    def watched(df):
+        out = real(df)
+        if "_b" in out.columns:
+            seen.append(out.groupBy("source", "_b").count().agg(F.max("count")).first()[0])
+        return out
+    mixing.materialize = watched
+    try:
+        got = mixing.mix(rows).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("want")).collect()
+    finally:
+        mixing.materialize = real
+    assert seen and seen[0] < n / 100
+    assert all(abs(r.t - r.want) <= 1 for r in got) and len(got) == 2
+
+
+def test_columns_with_any_names(spark, docs):
+    """Names that the operators use themselves are kept."""
+    names = ("__k", "__sha", "_key", "_sha", "__id", "__source", "__size", "__taken", "__copy", "_doc", "_src", "_size", "_taken", "_copy")
+    wide = docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    kept = exact_dedup.drop_copies(wide)
+    assert kept.columns == wide.columns and kept.count() == exact_dedup.drop_copies(docs).count()
+    made = mixing.mixed_documents(wide)
+    assert made.columns == wide.columns
+    assert sorted(map(tuple, made.select(*docs.columns).collect()), key=str) == \
+        sorted(map(tuple, mixing.mixed_documents(docs).collect()), key=str)
