@@ -176,11 +176,12 @@ def _ranges(keys: DataFrame, n: int):
     """A function from a row's key to its range of ids and, for the first key of a range,
     the range before (cyclically) as well, which needs it as its last document's next.
 
-    Boundaries come from a bounded sample (``SAMPLE_PER_RANGE`` keys for each range, drawn
-    by hash); they only decide where rows are computed, never the result.
+    Boundaries come from a sample by hash (``SAMPLE_PER_RANGE`` distinct keys for each
+    range are expected); they only decide where rows are computed, never the result.
     """
-    drawn = keys.orderBy(F.xxhash64("_z", "_o", "_h")).limit(SAMPLE_PER_RANGE * n).collect()
-    drawn = sorted({tuple(r) for r in drawn})
+    share = min(1.0, SAMPLE_PER_RANGE * n / max(keys.count(), 1))
+    chosen = F.pmod(F.xxhash64("_z", "_o", "_h"), F.lit(1 << 30)) < int(share * (1 << 30))
+    drawn = sorted(tuple(r) for r in keys.filter(chosen).distinct().collect())
     bounds = sorted({drawn[len(drawn) * i // n] for i in range(1, n)}) if drawn else []
 
     def range_of(z, o, h):
