@@ -13,6 +13,7 @@ What is hot is counted, not estimated.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
@@ -193,3 +194,44 @@ def lower_median(df: DataFrame, keys: list[str], value: str, out: str = "median"
         "_rank": F.coalesce("_within", F.floor((F.sum("_c").over(group) + 1) / 2))})
     return cum.filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_c") < F.col("_rank"))) \
         .select(*keys, F.col(value).alias(out))
+
+
+BRACKET = 3e-4               # share of the rows on either side of the median that stays as it is
+_ACCURACY = 10_000           # of the bracket's sketch: its ranks err by a third of that share at most
+
+
+def within_bracket(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``df`` with a bracket ``_lo``, ``_hi`` around each group's median, from a mergeable
+    sketch, and the value as ``_near``: moved to the bracket's nearer end if it is outside.
+    That keeps the order, so the median of ``_near`` is that of the value."""
+    kind = df.schema[value].dataType
+    v, real = F.col(value), kind.typeName() in ("double", "float")
+    top, nan = F.lit(float("inf")).cast(kind), F.lit(float("nan")).cast(kind)
+    # the sketch has no place for NaN: it counts as infinity, and then nothing is cut above
+    sketch = F.percentile_approx(F.when(F.isnan(v), top).otherwise(v) if real else v,
+                                 [0.5 - BRACKET, 0.5 + BRACKET], _ACCURACY)
+    lo, hi = F.col("_cut")[0], F.col("_cut")[1]
+    cut = df.groupBy(*keys).agg(sketch.alias("_cut")).select(
+        *[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], lo.alias("_lo"),
+        (F.when(hi == top, nan).otherwise(hi) if real else hi).alias("_hi"))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(cut[f"_g{i}"]) for i, k in enumerate(keys)])
+    return df.join(F.broadcast(cut), same).select(
+        *keys, value, "_lo", "_hi", F.when(v.isNotNull(), F.greatest(F.least(v, "_hi"), "_lo")).alias("_near"))
+
+
+def bracketed_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Per group of ``keys`` (few groups; nulls are keys like any other): the exact lower
+    median as ``percentile_disc`` gives it, NULLs ignored and NaN last, as ``(keys..., out)``.
+
+    The value-count table of ``percentile_disc`` holds every distinct value of a group; here
+    it holds those of ``within_bracket``, less than a hundredth of a group's rows unless that
+    is small.  The rows on either side are counted: a bracket without the median fails the job.
+    """
+    v = F.col(value)
+    found = within_bracket(df, keys, value).groupBy(*keys).agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _near)").alias("_m"), F.count(v).alias("_n"),
+        F.count_if(v < F.col("_lo")).alias("_below"), F.count_if(v <= F.col("_hi")).alias("_upto"))
+    rank = F.floor((F.col("_n") + 1) / 2)
+    held = (F.col("_n") == 0) | ((F.col("_below") < rank) & (rank <= F.col("_upto")))
+    missed = F.raise_error(F.lit("the median is outside its bracket")).cast(found.schema["_m"].dataType)
+    return found.select(*keys, F.when(held, F.col("_m")).otherwise(missed).alias(out))

@@ -127,3 +127,32 @@ def test_rolling_property_with_ties(spark, rows, target):
     plain, spread = (Counter(tuple(r) for r in metrics.rolling_mean(
         df, "v", ["k"], ["i"], out="r", avg_scale=2, distributed=d, target_rows=target).collect()) for d in (False, True))
     assert plain == spread
+
+
+def test_bracketed_median_counts_few_values(many_partitions):
+    """400,000 distinct values: the table of ``percentile_disc`` gets the few around the median."""
+    df = many_partitions.range(400_000).select(
+        F.lit("k").alias("k"), (F.col("id") * 7919 % 400_000 / 1_000 - 150).alias("v")).repartition(16)
+    assert metrics.within_bracket(df, ["k"], "v").select("_near").distinct().count() < 400_000 // 100
+    assert metrics.bracketed_median(df, ["k"], "v", "m").first().m == 199_999 / 1_000 - 150
+
+
+def test_bracketed_median_of_odd_groups(many_partitions):
+    spark = many_partitions
+    data = {"nan": [math.nan] * 300 + [float(i) for i in range(299)], "half": [math.nan] * 300 + [1.5] * 300,
+            "all": [math.nan] * 500, "same": [7.25] * 800, "inf": [math.inf] * 200 + [-math.inf] * 201,
+            "top": [math.inf] * 9 + [math.nan] * 8 + [1.0], "null": [None, None], "one": [2.5], None: [3.0, None, 1.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k string, v double").repartition(7)
+    got = {r.k: None if r.m is None else repr(r.m) for r in metrics.bracketed_median(df, ["k"], "v", "m").collect()}
+    assert got == {k: expected_median(vs) for k, vs in data.items()}
+    assert metrics.bracketed_median(df.limit(0), ["k"], "v").count() == 0
+
+
+def test_plain_median_of_one_group_reads_the_bracket(many_partitions, tmp_path):
+    from lapworks.plans import suite
+    rows = many_partitions.range(5_000).selectExpr(
+        "id + 0.25 AS l_extendedprice", "id % 11 / 100 AS l_discount", "CAST(id % 50 AS DOUBLE) AS l_quantity")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = suite.q_median_one_group_plain(many_partitions, str(tmp_path))
+    assert "_near" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert df.collect() == suite.q_median_one_group(many_partitions, str(tmp_path)).collect()
