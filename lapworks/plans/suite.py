@@ -1023,13 +1023,15 @@ ASKED_ROWS = 100          # records of a requested page
 
 class Answers:
     """A transport without a network.  The URL says how its server answers, attempt by
-    attempt (``answers=503,timeout,ok``; the last goes on), and holds the body."""
+    attempt (``answers=503,timeout,ok``; the last goes on), and holds the body.  The attempts
+    at a URL follow one another, so only the URL that was asked last is kept."""
 
     def __init__(self):
-        self.asked: dict[str, int] = {}
+        self.url, self.attempts = None, 0
 
     def __call__(self, url: str, timeout_s: float):
-        n = self.asked[url] = self.asked.get(url, 0) + 1
+        n = self.attempts = self.attempts + 1 if url == self.url else 1
+        self.url = url
         options = dict(x.split("=", 1) for x in url.partition("?")[2].split("&"))
         script = options["answers"].split(",")
         answer = script[min(n, len(script)) - 1]

@@ -6,7 +6,7 @@ after the last attempt); 400/401/403/404 stop at once; a body that is not a JSON
 list fails without retry; ``[]`` is success.
 
 Two ways to run it, both distributed:
-* ``fetch_manifest(manifest_df)`` - ``mapInPandas`` over a URL DataFrame, so
+* ``fetch_manifest(manifest_df)`` - ``mapInArrow`` over a URL DataFrame, so
   millions of URLs are fetched by the tasks holding them (nothing on the driver);
 * ``format("rest_json")`` - a Python Data Source with one input partition per URL,
   for a modest URL list given as an option.
@@ -33,6 +33,8 @@ from lapworks.session import materialize, ship_package
 # Statuses that are not worth retrying.
 NO_RETRY_STATUSES = (400, 401, 403, 404)
 
+ANSWER_CHARS = 4 << 20       # of URLs and payloads that a task holds before it hands them on
+
 RESULT_DDL = "url string, status int, attempts int, outcome string, payload string"
 
 
@@ -106,6 +108,30 @@ def http_transport(url: str, timeout_s: float) -> Response:
 TRANSPORTS = {"http": http_transport}
 
 
+def answers(batches, ask):
+    """Arrow batches of results for batches of URLs; the results are handed on as soon as
+    they have ``ANSWER_CHARS``, however many URLs a batch has."""
+    import pyarrow as pa
+    schema = pa.schema([("url", pa.string()), ("status", pa.int32()), ("attempts", pa.int32()),
+                        ("outcome", pa.string()), ("payload", pa.string())])
+
+    def batch(results):
+        columns = zip(*((r.url, r.status, r.attempts, r.outcome, r.payload) for r in results))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    for urls in batches:
+        held, chars = [], 0
+        for url in urls.column(0):
+            r = ask(url.as_py())
+            held.append(r)
+            chars += len(r.url or "") + len(r.payload or "")
+            if chars >= ANSWER_CHARS:
+                yield batch(held)
+                held, chars = [], 0
+        if held:
+            yield batch(held)
+
+
 def fetch_manifest(manifest: DataFrame, url_col: str = "url", *, transport: str = "http",
                    max_retries: int = 3, delay_s: float = 5.0, timeout_s: float = 30.0) -> DataFrame:
     """Fetch every URL of ``manifest`` inside the tasks (Arrow batches of URLs)."""
@@ -113,16 +139,9 @@ def fetch_manifest(manifest: DataFrame, url_col: str = "url", *, transport: str
     fn = TRANSPORTS[transport] if isinstance(transport, str) else transport
 
     def run(batches):
-        import pandas as pd
-        for b in batches:
-            out = [fetch_with_retry(u, fn, max_retries=max_retries, delay_s=delay_s,
-                                    timeout_s=timeout_s) for u in b[url_col]]
-            yield pd.DataFrame({"url": [r.url for r in out],
-                                "status": pd.array([r.status for r in out], dtype="Int32"),
-                                "attempts": pd.array([r.attempts for r in out], dtype="Int32"),
-                                "outcome": [r.outcome for r in out],
-                                "payload": [r.payload for r in out]})
-    return manifest.select(url_col).mapInPandas(run, RESULT_DDL)
+        return answers(batches, lambda url: fetch_with_retry(
+            url, fn, max_retries=max_retries, delay_s=delay_s, timeout_s=timeout_s))
+    return manifest.select(url_col).mapInArrow(run, RESULT_DDL)
 
 
 # ---------------------------------------------------------------- ledger of finished requests

@@ -127,3 +127,35 @@ def test_only_http_is_requested(tmp_path):
     p.write_text("[3]")
     r, _ = run(lambda url, t: http_transport(f"file://{p}", t))
     assert (r.outcome, r.attempts) == ("client_error", 1)
+
+
+def test_answers_are_handed_on_before_they_fill_the_memory(monkeypatch):
+    """One batch of 400 URLs with 20,000 characters each: results come in parts, while it is read."""
+    import pyarrow as pa
+
+    from lapworks.sources import rest
+    monkeypatch.setattr(rest, "ANSWER_CHARS", 200_000)
+    asked, body = [], json.dumps(["x" * 20_000])
+    urls = [f"u{i}" for i in range(400)] + [None]
+
+    def ask(url):
+        asked.append(url)
+        return rest.FetchResult(url, 200 if url else None, 1, "ok", body if url else None)
+    parts = rest.answers([pa.record_batch({"url": pa.array(urls, pa.string())})], ask)
+    first = next(parts)
+    assert first.num_rows == len(asked) == 10
+    rows = [r for p in [first, *parts] for r in p.to_pylist()]
+    assert [r["url"] for r in rows] == urls == asked
+    assert rows[0] == {"url": "u0", "status": 200, "attempts": 1, "outcome": "ok", "payload": body}
+    assert list(rows[-1].values()) == [None, None, 1, "ok", None]
+
+
+def test_scripted_server_keeps_one_url():
+    import pickle
+
+    from lapworks.plans.suite import Answers
+    server = Answers()
+    urls = [f"https://host/events?page={i}&answers=503,timeout,ok&body=W10=&pad={'x' * 1000}" for i in range(50)]
+    got = [fetch_with_retry(u, server, delay_s=0.0) for u in urls]
+    assert [(r.outcome, r.attempts) for r in got] == [("ok", 3)] * 50
+    assert len(pickle.dumps(server)) < 3 * len(urls[0])
