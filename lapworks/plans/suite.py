@@ -901,6 +901,7 @@ def q_dq_lineitem(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources and sinks
 import base64  # noqa: E402
+import json  # noqa: E402
 import uuid  # noqa: E402
 from dataclasses import replace  # noqa: E402
 from functools import reduce  # noqa: E402
@@ -1144,7 +1145,6 @@ def q_rest_fetch_status(spark, sf_dir):
 def served(url: str, timeout_s: float):
     """A transport without a network: the URL names a table file, the parameters filter it,
     the rows come back as a JSON list."""
-    import json
     import re
     from urllib.parse import unquote
 
@@ -1158,17 +1158,26 @@ def served(url: str, timeout_s: float):
         c = ds.field(name)
         term = {"=": c == value, ">": c > value, ">=": c >= value, "<": c < value, "<=": c <= value}[op]
         where = term if where is None else where & term
-    return rest.Response(200, json.dumps(data.to_table(filter=where).to_pylist(), default=str))
+    # one thread and little ahead: the file may have far more rows than the answer
+    found = data.scanner(filter=where, batch_readahead=1, fragment_readahead=1, use_threads=False,
+                         fragment_scan_options=ds.ParquetFragmentScanOptions(pre_buffer=False, use_buffered_stream=True))
+    texts = [json.dumps(b.to_pylist(), default=str)[1:-1] for b in found.to_batches() if b.num_rows]
+    return rest.Response(200, f"[{', '.join(texts)}]")
+
+
+REQUEST_ROWS = 200_000    # rows between two bounds, before the filters
 
 
 def endpoint_events(spark, sf_dir):
-    """The events behind a list endpoint that can filter, spread over ranges of ids."""
+    """The events behind a list endpoint that can filter, spread over ranges of ids with
+    equally many rows."""
     from lapworks.sources import endpoint
     endpoint.register(spark)
+    cuts = endpoint.even_cuts(td.table(spark, sf_dir, "events"), "event_id", REQUEST_ROWS, least=4)
     return spark.read.format("rest_list").schema(_EVENT_SCHEMA).options(
         url=f"https://host{sf_dir}/events.parquet", transport="lapworks.plans.suite:served", retryDelay="0",
         filters='{"event_type": "=", "value": "> >= < <=", "event_id": "= > >= < <="}',
-        partitionColumn="event_id", lowerBound="0", upperBound="10000", numPartitions="4").load()
+        partitionColumn="event_id", partitionCuts=json.dumps(cuts)).load()
 
 
 @register("rest_pushdown", """SELECT event_id, user_id, event_type, value FROM events

@@ -8,7 +8,8 @@ spread the requests over ranges, as with JDBC reads; every request is one input
 Options: ``url``; ``filters``, a JSON object from column to the operators that the endpoint
 knows for it (``{"year": "=", "speed": "= > >= < <="}``); ``transport`` (a name of
 ``rest.TRANSPORTS`` or ``module:function``); ``partitionColumn``, ``lowerBound``,
-``upperBound``, ``numPartitions``; ``maxRetries``, ``retryDelay``, ``timeout``.  The schema is
+``upperBound``, ``numPartitions``, or instead of these three ``partitionCuts``, a JSON list
+with the ascending bounds between the ranges (see ``even_cuts``); ``maxRetries``, ``retryDelay``, ``timeout``.  The schema is
 declared by the reader: ``.schema(...)``; fields missing in a record are null, nested ones are
 JSON text.
 """
@@ -19,7 +20,8 @@ import importlib
 import json
 from urllib.parse import quote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In,
                                     InputPartition, LessThan, LessThanOrEqual)
 from pyspark.sql.types import BooleanType, FractionalType, IntegralType, StringType, StructType
@@ -63,6 +65,16 @@ def _typed(value, kind):
     raise TypeError(f"rest_list has no {kind.simpleString()} fields")
 
 
+def even_cuts(df: DataFrame, column: str, rows: int, least: int = 1) -> list:
+    """Bounds that cut ``df`` along ``column`` into at least ``least`` ranges of about ``rows``
+    rows (more only where values repeat), for ``partitionCuts``: one number for each request."""
+    n = max(least, -(-df.count() // rows))
+    if n < 2:
+        return []
+    cuts = df.agg(F.percentile_approx(column, [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0]
+    return sorted(set(cuts or []))
+
+
 class _Request(InputPartition):
     def __init__(self, url: str):
         super().__init__(url)
@@ -102,10 +114,15 @@ class RestListReader(DataSourceReader):
     def _ranges(self) -> list[str]:
         """The ranges of the partition column; the first and last are open, as in JDBC reads."""
         column, n = self.options.get("partitioncolumn"), int(self.options.get("numpartitions", 1))
-        if not column or n < 2:
+        if column and "partitioncuts" in self.options:
+            cuts = json.loads(self.options["partitioncuts"])
+        elif column and n >= 2:
+            lo, hi = int(self.options["lowerbound"]), int(self.options["upperbound"])
+            cuts = [lo + (hi - lo) * i // n for i in range(1, n)]
+        else:
+            cuts = []
+        if not cuts:
             return []
-        lo, hi = int(self.options["lowerbound"]), int(self.options["upperbound"])
-        cuts = [lo + (hi - lo) * i // n for i in range(1, n)]
         ends = [None, *cuts, None]
         return ["&".join(p for p in (a is not None and _param(column, ">=", a), b is not None and _param(column, "<", b)) if p)
                 for a, b in zip(ends, ends[1:])]

@@ -68,3 +68,37 @@ def test_a_failed_request_fails_the_read(spark):
     plain = spark.read.format("rest_list").schema("a INT").options(url="file:///etc/hostname", retryDelay="0").load()
     with pytest.raises(Exception, match="client_error"):
         plain.collect()
+
+
+def test_ranges_between_given_cuts():
+    r = reader(partitionColumn="speed", partitionCuts="[5, 70]")
+    assert urls(r) == [f"https://h/v1/car_data?{s}" for s in ("speed<5", "speed>=5&speed<70", "speed>=70")]
+    assert urls(reader(partitionColumn="speed", partitionCuts="[]")) == ["https://h/v1/car_data"]
+
+
+def test_cuts_follow_the_rows(spark):
+    """Ids that lie close together and far apart, one of them often, some null."""
+    ids = list(range(900)) + [10**12 + 10**9 * i for i in range(900)] + [5] * 150 + [None] * 50
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(5)
+    cuts = endpoint.even_cuts(df, "id", 200)
+    ends = [-1, *cuts, 10**15]
+    sizes = [sum(a <= i < b for i in ids if i is not None) for a, b in zip(ends, ends[1:])]
+    assert len(cuts) == 9 and sum(sizes) == 1950 and max(sizes) <= 200 + 150, sizes
+    assert endpoint.even_cuts(df, "id", 5000) == [] != endpoint.even_cuts(df, "id", 5000, least=4)
+    assert endpoint.even_cuts(df.filter("id IS NULL"), "id", 10) == endpoint.even_cuts(df.limit(0), "id", 10) == []
+
+
+def test_requests_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """No request answers with a large part of a table whose ids go past 10,000."""
+    from lapworks.plans import suite
+    monkeypatch.setattr(suite, "REQUEST_ROWS", 1000)
+    path = f"{tmp_path}/events.parquet"
+    spark.range(20_000).selectExpr(
+        "id + 7000 AS event_id", "CURRENT_TIMESTAMP() AS ts", "id % 97 AS user_id", "IF(id % 2 = 0, 'view', 'click') AS event_type",
+        "CAST(id % 101 AS DOUBLE) AS value", "CAST(NULL AS STRING) AS props").write.parquet(path)
+    df = suite.endpoint_events(spark, str(tmp_path))
+    sizes = [len(p) for p in df.select("event_id").rdd.glom().collect()]
+    assert len(sizes) == 20 and sum(sizes) == 20_000 and max(sizes) <= 1100, sizes
+    got = suite.q_rest_pushdown(spark, str(tmp_path))
+    want = spark.read.parquet(path).filter("event_type IN ('purchase', 'view') AND value > 50 AND user_id % 2 = 0")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) != []
